@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from ledgerlens import schemas
 
 TABLES = ("customers", "ledger_entries", "invoices", "invoice_allocations")
-CORRUPT = "_corrupt_record"
 
 
 class UpstreamMissing(RuntimeError):
@@ -21,26 +20,38 @@ class UpstreamMissing(RuntimeError):
 
 def read_bronze_csv(spark: SparkSession, path: str, table: str,
                     with_rejects: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
-    """Scan one Bronze CSV with its declared schema (no inference pass).
+    """Scan one Bronze CSV against its declared schema (no inference pass).
 
-    Rows that do not parse (bad dates, bad numbers) are kept aside in PERMISSIVE mode
-    instead of failing the job: with ``with_rejects`` the call returns
-    ``(good_rows, rejected_rows)``.
+    Every field is read as text and parsed with ``try_to_date`` / ``try_cast``, so a
+    bad value (e.g. ``2024-02-30``) never fails the job under ANSI mode.  A row with a
+    non-empty field that does not parse is quarantined: with ``with_rejects`` the call
+    returns ``(good_rows, rejected_rows)``, the rejects keeping the raw text and a
+    ``reject_reason`` naming the failing columns.
     """
     schema = schemas.BRONZE[table]
-    read_schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    df = (
-        spark.read.schema(read_schema)
+    raw = (
+        spark.read.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]))
         .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("dateFormat", "yyyy-MM-dd")
         .csv(path)
     )
-    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    parsed = [_try_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields]
+    failed = [
+        F.when(F.col(f.name).isNotNull() & _try_typed(F.col(f.name), f.dataType).isNull(), F.lit(f.name))
+        for f in schema.fields
+    ]
+    tagged = raw.select("*", F.concat_ws(",", *failed).alias("reject_reason"))
+    good = tagged.filter(F.col("reject_reason") == "").select(parsed)
     if not with_rejects:
         return good
-    return good, df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    return good, tagged.filter(F.col("reject_reason") != "")
+
+
+def _try_typed(c, dtype: T.DataType):
+    if isinstance(dtype, T.DateType):
+        return F.try_to_date(c, "yyyy-MM-dd")
+    if isinstance(dtype, T.StringType):
+        return c
+    return c.try_cast(dtype)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
