@@ -82,24 +82,30 @@ def balance_asof(targets: DataFrame, entries: DataFrame, date_col: str = "date",
 
     Null when the customer has no valid entry on or before the date.  One row per
     distinct target.
+
+    Plan: the valid entries and the targets are unioned and reduced by ONE aggregate
+    to a row per (customer, day) carrying the day's net amount and whether the day is
+    a target (map-side partial aggregation, one shuffle); ONE running sum per customer
+    over those day rows then gives every target its end-of-day balance (one shuffle).
+    A day with no entries contributes a null amount, so a target with no earlier
+    entry gets a null balance.
     """
-    t = (
-        targets.select(F.col("customer_id"), F.col(date_col).alias("_d"))
-        .filter(F.col("_d").isNotNull())
-        .distinct()
+    amounts = valid_entries(entries).select(
+        "customer_id", F.col("effective_date").alias("_d"), F.col("amount").alias("_amt"),
+        F.lit(False).alias("_t"),
     )
-    days = day_totals(entries)
-    amt_type = days.schema["day_amount"].dataType
-    u = days.select(
-        "customer_id", F.col("effective_date").alias("_d"), F.lit(0).alias("_k"), F.col("day_amount").alias("_amt")
-    ).unionByName(
-        t.select("customer_id", "_d", F.lit(1).alias("_k"), F.lit(None).cast(amt_type).alias("_amt"))
+    amt_type = amounts.schema["_amt"].dataType
+    wanted = targets.select(
+        "customer_id", F.col(date_col).alias("_d"), F.lit(None).cast(amt_type).alias("_amt"),
+        F.lit(True).alias("_t"),
+    ).filter(F.col("_d").isNotNull())
+    days = amounts.unionByName(wanted).groupBy("customer_id", "_d").agg(
+        F.sum("_amt").alias("_day"), F.max("_t").alias("_is_target")
     )
-    # Ledger rows of a day sort before that day's targets: the balance is end-of-day.
-    w = Window.partitionBy("customer_id").orderBy("_d", "_k").rowsBetween(_UNBOUNDED, 0)
+    w = Window.partitionBy("customer_id").orderBy("_d").rowsBetween(_UNBOUNDED, 0)
     return (
-        u.withColumn(out_col, F.sum("_amt").over(w))
-        .filter(F.col("_k") == 1)
+        days.withColumn(out_col, F.sum("_day").over(w))
+        .filter(F.col("_is_target"))
         .select("customer_id", F.col("_d").alias(date_col), out_col)
     )
 

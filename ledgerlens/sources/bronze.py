@@ -18,22 +18,20 @@ class UpstreamMissing(RuntimeError):
     """An upstream stage's table is absent; the message is one human-readable line."""
 
 
-def read_bronze_csv(spark: SparkSession, path: str, table: str,
-                    with_rejects: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
-    """Scan one Bronze CSV against its declared schema (no inference pass).
+def text_schema(table: str) -> T.StructType:
+    """The table's columns, all as text (what a raw CSV scan yields)."""
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in schemas.BRONZE[table].fields])
 
-    Every field is read as text and parsed with ``try_to_date`` / ``try_cast``, so a
-    bad value (e.g. ``2024-02-30``) never fails the job under ANSI mode.  A row with a
-    non-empty field that does not parse is quarantined: with ``with_rejects`` the call
-    returns ``(good_rows, rejected_rows)``, the rejects keeping the raw text and a
-    ``reject_reason`` naming the failing columns.
+
+def parse_typed(raw: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """Parse text columns into the table's schema with ``try_to_date`` / ``try_cast``.
+
+    A bad value (e.g. ``2024-02-30``) never fails the job under ANSI mode.  A row with
+    a non-empty field that does not parse is quarantined.  Returns ``(good, rejects)``;
+    rejects keep the raw text and a ``reject_reason`` naming the failing columns.
+    Works on batch and streaming frames alike.
     """
     schema = schemas.BRONZE[table]
-    raw = (
-        spark.read.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]))
-        .option("header", True)
-        .csv(path)
-    )
     parsed = [_try_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields]
     failed = [
         F.when(F.col(f.name).isNotNull() & _try_typed(F.col(f.name), f.dataType).isNull(), F.lit(f.name))
@@ -41,11 +39,21 @@ def read_bronze_csv(spark: SparkSession, path: str, table: str,
     ]
     tagged = raw.select("*", F.concat_ws(",", *failed).alias("reject_reason"))
     good = tagged.filter(F.col("reject_reason") == "").select(parsed)
-    if not with_rejects:
-        return good
     return good, tagged.filter(F.col("reject_reason") != "")
 
 
+def read_bronze_csv(spark: SparkSession, path: str, table: str,
+                    with_rejects: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
+    """Scan one Bronze CSV against its declared schema (no inference pass).
+
+    With ``with_rejects`` the call returns ``(good_rows, rejected_rows)``
+    (see :func:`parse_typed`).
+    """
+    raw = spark.read.schema(text_schema(table)).option("header", True).csv(path)
+    good, rejects = parse_typed(raw, table)
+    return (good, rejects) if with_rejects else good
+
+
 def _try_typed(c, dtype: T.DataType):
     if isinstance(dtype, T.DateType):
         return F.try_to_date(c, "yyyy-MM-dd")

@@ -12,7 +12,7 @@ from ledgerlens.params import DetectorParams
 from tests.conftest import entries, invoices
 
 BASE = dt.date(2024, 1, 1)
-SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
 entry_rows = st.lists(
     st.tuples(st.sampled_from("AB"), st.integers(-300, 300), st.integers(0, 12), st.booleans()),
