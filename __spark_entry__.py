@@ -99,7 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "naive_notices": _q(_notices),
         "balance_asof": _q(lambda t: L.balance_asof(
             A.with_sent_date(inv(t), P).select("customer_id", F.col("sent_date").alias("date")), ent(t))),
-        "running_balance": _q(lambda t: L.running_balance(ent(t))),
+        "running_balance": _q(lambda t: L.running_balance(ent(t), P)),
         "end_of_day_balance": _q(lambda t: L.end_of_day_balance(ent(t))),
         "account_balance": _q(lambda t: L.account_balance(ent(t))),
         "overpaid_accounts": _q(lambda t: L.overpaid_accounts(ent(t))),
@@ -112,7 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "reconciliation_mismatch": _q(lambda t: N.reconciliation_mismatch(_notices(t))),
         "invoice_position": _q(lambda t: N.invoice_position(inv(t), alc(t), ent(t), P)),
         "coverage_gaps": _q(lambda t: R.coverage_gaps(inv(t), P)),
-        "continuity_classes": _q(lambda t: R.continuity_classes(inv(t))),
+        "continuity_classes": _q(lambda t: R.continuity_classes(inv(t), P)),
         # gold rules
         "rule1_wrongful_notice": _q(lambda t: R.rule1_wrongful_notice(_notices(t), P)),
         "rule2_orphaned_credit": _q(lambda t: R.rule2_orphaned_credit(ent(t), alc(t), inv(t), P)),

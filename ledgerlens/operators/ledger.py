@@ -21,6 +21,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.skew import SLICE, split_hot_groups
+from ledgerlens.params import DetectorParams
+
 _UNBOUNDED = Window.unboundedPreceding
 
 
@@ -47,25 +50,33 @@ def end_of_day_balance(entries: DataFrame) -> DataFrame:
     return day_totals(entries).withColumn("balance", F.sum("day_amount").over(w))
 
 
-def running_balance(entries: DataFrame) -> DataFrame:
+def running_balance(entries: DataFrame, params: DetectorParams = DetectorParams()) -> DataFrame:
     """Balance after each valid entry, ordered by (effective_date, entry_id).
 
     Returns ``customer_id, effective_date, entry_id, running_balance``.  Entries with
     an identical (date, entry_id) share one value (a RANGE frame), as a plain ordered
     window sum would give.
+
+    The within-day sum is windowed per (customer, day, slice), where a hot
+    customer-day is range-split into slices (``operators.skew``); the carry-in is a
+    running sum per customer over one row per slice.
     """
     valid = valid_entries(entries).select("customer_id", "effective_date", "entry_id", "amount")
-    w_day = Window.partitionBy("customer_id", "effective_date").orderBy("entry_id")
-    within = valid.withColumn("_within", F.sum("amount").over(w_day))
-    w_prev = Window.partitionBy("customer_id").orderBy("effective_date").rowsBetween(_UNBOUNDED, -1)
-    opening = day_totals(entries).select(
+    keys = ["customer_id", "effective_date", SLICE]
+    sliced = split_hot_groups(valid, ["customer_id", "effective_date"], ["entry_id"], params)
+    w_slice = Window.partitionBy(*keys).orderBy("entry_id")
+    within = sliced.withColumn("_within", F.sum("amount").over(w_slice))
+    w_prev = Window.partitionBy("customer_id").orderBy("effective_date", SLICE).rowsBetween(_UNBOUNDED, -1)
+    opening = sliced.groupBy(*keys).agg(F.sum("amount").alias("_tot")).select(
         F.col("customer_id").alias("_c"),
         F.col("effective_date").alias("_d"),
-        F.sum("day_amount").over(w_prev).alias("_opening"),
+        F.col(SLICE).alias("_s"),
+        F.sum("_tot").over(w_prev).alias("_opening"),
     )
     joined = within.join(
         opening,
-        F.col("customer_id").eqNullSafe(F.col("_c")) & F.col("effective_date").eqNullSafe(F.col("_d")),
+        F.col("customer_id").eqNullSafe(F.col("_c")) & F.col("effective_date").eqNullSafe(F.col("_d"))
+        & (F.col(SLICE) == F.col("_s")),
         "left",
     )
     return joined.select(

@@ -17,7 +17,7 @@ def build_silver(tables: dict[str, DataFrame], params: DetectorParams = Detector
     """The three Silver tables: running balance, invoices with allocated-at-sent, notices."""
     inv, alloc, ent = tables["invoices"], tables["invoice_allocations"], tables["ledger_entries"]
     return {
-        "silver_running_balance": L.running_balance(ent),
+        "silver_running_balance": L.running_balance(ent, params),
         "silver_invoices": A.allocated_at_sent(inv, alloc, params),
         "silver_notices": N.naive_notices(inv, alloc, ent, params),
     }

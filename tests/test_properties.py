@@ -45,12 +45,16 @@ def test_balance_asof_matches_brute_force(spark, rows, targets):
     assert got == want
 
 
+# Tiny thresholds force the hot-group path: every group with more than 2 rows is range-split.
+HOT = DetectorParams(hot_group_rows=2, max_hot_groups=1_000_000)
+
+
 @SETTINGS
-@given(entry_rows)
-def test_running_balance_matches_brute_force(spark, rows):
-    data = [(f"e{i:02d}", c, "p", a, _d(d), "dishonoured" if bad else "settled")
+@given(entry_rows, st.sampled_from([DetectorParams(), HOT]))
+def test_running_balance_matches_brute_force(spark, rows, params):
+    data = [(f"e{i:02d}", c, "p", a, _d(d % 3), "dishonoured" if bad else "settled")
             for i, (c, a, d, bad) in enumerate(rows)]
-    got = {r.entry_id: r.running_balance for r in L.running_balance(entries(spark, *data)).collect()}
+    got = {r.entry_id: r.running_balance for r in L.running_balance(entries(spark, *data), params).collect()}
     want = {}
     for c in "AB":
         run = 0
@@ -67,9 +71,9 @@ def _inv(spark, rows):
 
 
 @SETTINGS
-@given(inv_rows)
-def test_statement_sequence_matches_brute_force(spark, rows):
-    p = DetectorParams()
+@given(inv_rows, st.sampled_from([DetectorParams(), HOT]))
+def test_statement_sequence_matches_brute_force(spark, rows, p):
+    rows = [(c, s % 20, ln, amt) for c, s, ln, amt in rows]  # many same-day starts
     inv = _inv(spark, rows)
     got3 = sorted(r.invoice_id for r in R.rule3_statement_gap(inv, p).collect())
     gotc = sorted(r.invoice_id for r in R.coverage_gaps(inv, p).collect())

@@ -115,3 +115,19 @@ def test_invoice_position_and_views(spark):
     mm = N.reconciliation_mismatch(notices).collect()[0]
     assert mm.allocation_shortfall == Decimal("50.00") and mm.ledger_balance == Decimal("100.00")
     assert [r.customer_id for r in L.overpaid_accounts(e).collect()] == ["A"]
+
+
+def test_hot_groups_are_range_split_into_ordered_slices(spark):
+    from ledgerlens.operators.skew import hot_groups, split_hot_groups
+    rows = [(f"e{i:03d}", "A", "payment", 1, "2024-01-01") for i in range(60)]
+    rows += [("x1", "B", "payment", 1, "2024-01-01")]
+    e = entries(spark, *rows)
+    p = DetectorParams(hot_group_rows=10, max_hot_groups=1000)
+    assert [r.customer_id for r in hot_groups(e, ["customer_id", "effective_date"], p).collect()] == ["A"]
+    sliced = split_hot_groups(e, ["customer_id", "effective_date"], ["entry_id"], p).collect()
+    a = sorted((r.entry_id, r._slice) for r in sliced if r.customer_id == "A")
+    slices = [s for _, s in a]
+    assert slices == sorted(slices) and min(slices) >= 1 and len(set(slices)) > 1
+    assert [r._slice for r in sliced if r.customer_id == "B"] == [0]
+    got = {r.entry_id: r.running_balance for r in L.running_balance(e, p).collect()}
+    assert got["e059"] == Decimal("60.00") and got["e000"] == Decimal("1.00")
