@@ -18,6 +18,8 @@ no range join, and again one row per customer-day at most.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,17 +123,31 @@ def balance_asof(targets: DataFrame, entries: DataFrame, date_col: str = "date",
     )
 
 
-def attach_balance(df: DataFrame, entries: DataFrame, date_col: str,
-                   out_col: str = "balance") -> DataFrame:
-    """Left-join each row of ``df`` to its customer's end-of-day balance at ``date_col``.
+def balance_lookup(entries: DataFrame, target_sets: list[tuple[DataFrame, str]]) -> DataFrame:
+    """One as-of lookup serving several target sets: ``customer_id, date, balance``.
 
-    The lookup runs on the distinct (customer, date) pairs; the join back is an
-    equi-join that AQE turns into a broadcast when the lookup is small, or splits
-    when a key is skewed.
+    Each consumer joins back to the same lookup, so the ledger is aggregated once for
+    all of them (e.g. the notice dates of rule 1 and the dishonour dates of rule 4).
     """
-    bal = balance_asof(df.select("customer_id", date_col), entries, date_col, out_col).select(
-        F.col("customer_id").alias("_bc"), F.col(date_col).alias("_bd"), out_col
+    targets = reduce(
+        lambda a, b: a.unionByName(b),
+        [df.select("customer_id", F.col(col).alias("date")) for df, col in target_sets],
     )
+    return balance_asof(targets, entries, "date", "balance")
+
+
+def attach_balance(df: DataFrame, entries: DataFrame, date_col: str, out_col: str = "balance",
+                   lookup: DataFrame | None = None) -> DataFrame:
+    """Left-join each row of ``df`` to its customer's end-of-day balance at ``date_col``.
+
+    The lookup runs on the distinct (customer, date) pairs (or is a shared
+    :func:`balance_lookup` covering them); the join back is an equi-join that AQE
+    turns into a broadcast when the lookup is small, or splits when a key is skewed.
+    """
+    if lookup is None:
+        lookup = balance_lookup(entries, [(df, date_col)])
+    bal = lookup.select(F.col("customer_id").alias("_bc"), F.col("date").alias("_bd"),
+                        F.col("balance").alias(out_col))
     joined = df.join(
         bal, (F.col("customer_id") == F.col("_bc")) & (F.col(date_col) == F.col("_bd")), "left"
     )

@@ -23,13 +23,14 @@ def under_allocated(invoices: DataFrame, allocations: DataFrame, params: Detecto
 
 
 def naive_notices(invoices: DataFrame, allocations: DataFrame, entries: DataFrame,
-                  params: DetectorParams) -> DataFrame:
+                  params: DetectorParams, lookup: DataFrame | None = None) -> DataFrame:
     """Arrears notices a naive rule sends, with the ledger balance at the sent date.
 
     A customer without any ledger history counts as balance 0, i.e. in credit.
+    ``lookup`` may be a shared balance lookup that covers the notice dates.
     """
     under = under_allocated(invoices, allocations, params)
-    withbal = attach_balance(under, entries, "sent_date", "_bal")
+    withbal = attach_balance(under, entries, "sent_date", "_bal", lookup)
     bal = F.coalesce(F.col("_bal"), F.lit(0))
     return withbal.select(
         "customer_id", "invoice_id", "amount_due", "sent_date", "allocated_total_at_sent",

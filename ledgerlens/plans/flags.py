@@ -28,12 +28,20 @@ def gold_frames(tables: dict[str, DataFrame], params: DetectorParams = DetectorP
     """The five rule outputs, keyed by rule id (each in the common schema)."""
     inv, alloc, ent = tables["invoices"], tables["invoice_allocations"], tables["ledger_entries"]
     if notices is None:
-        notices = N.naive_notices(inv, alloc, ent, params)
+        # One as-of lookup serves both the notice dates (rule 1) and the dishonour
+        # dates (rule 4): the ledger is aggregated once for the two rules.
+        lookup = L.balance_lookup(ent, [
+            (N.under_allocated(inv, alloc, params), "sent_date"),
+            (L.dishonoured_entries(ent), "effective_date"),
+        ])
+        notices = N.naive_notices(inv, alloc, ent, params, lookup)
+    else:
+        lookup = None
     return {
         1: R.rule1_wrongful_notice(notices, params),
         2: R.rule2_orphaned_credit(ent, alloc, inv, params),
         3: R.rule3_statement_gap(inv, params),
-        4: R.rule4_dishonour(ent, params),
+        4: R.rule4_dishonour(ent, params, lookup),
         5: R.rule5_duplicate_invoice(inv, params),
     }
 
