@@ -131,6 +131,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "missed_defects": _q(lambda t: V.missed_defects(_flags(t), _labels(t))),
         "false_positives": _q(lambda t: V.false_positives(_flags(t), _labels(t))),
         "severity_confusion": _q(lambda t: V.severity_confusion(_flags(t), _labels(t))),
+        "manifest_shape": _q(lambda t: V.manifest_shape(_labels(t))),
         "notice_set_diff": _q(lambda t: V.notice_set_diff(_notices(t), _labels(t))),
         "customers_by_rule_set": _q(lambda t: V.customers_by_rule_set(_flags(t))),
         "flag_contract_checks": _q(lambda t: V.flag_contract_checks(_flags(t))),

@@ -38,6 +38,20 @@ def manifest_from_flags(flags: DataFrame) -> DataFrame:
     )
 
 
+def manifest_shape(labels: DataFrame) -> DataFrame:
+    """Per defect family: label count and labels whose rule is not the family's rule."""
+    fam = labels.sparkSession.createDataFrame(
+        sorted(FAMILY_RULE.items()), "defect_family string, family_rule int"
+    )
+    # The family map has five rows: broadcasting it is size-bounded by construction.
+    j = labels.join(F.broadcast(fam), "defect_family", "left")
+    return j.groupBy("defect_family").agg(
+        F.count(F.lit(1)).alias("labels"),
+        F.count_if(F.col("family_rule").isNull() | (F.col("family_rule") != F.col("expected_rule")))
+        .cast("long").alias("rule_mismatches"),
+    )
+
+
 def _label_hits(labels: DataFrame, flags: DataFrame) -> DataFrame:
     """Labels with a boolean ``hit``."""
     by_cust = flags.select(F.col("customer_id").alias("_c"), F.col("rule_id").alias("_r")).distinct()

@@ -343,6 +343,13 @@ FROM labels m LEFT JOIN (
     FROM flags GROUP BY 1, 2, 3) k
   ON k.customer_id = m.customer_id AND k.rule_id = m.expected_rule AND k.inv = m.affected_invoice_id
 GROUP BY 1, 2, 3""")
+    q["manifest_shape"] = _with("""
+SELECT m.defect_family, count(*) AS labels,
+       count(*) FILTER (WHERE f.rule IS NULL OR f.rule <> m.expected_rule) AS rule_mismatches
+FROM labels m LEFT JOIN (VALUES ('allocation', 1), ('stale_unswept_credit', 2), ('statement_gap', 3),
+                                ('dishonour', 4), ('duplicate_invoice', 5)) AS f(family, rule)
+  ON f.family = m.defect_family
+GROUP BY m.defect_family""")
     q["notice_set_diff"] = _with("""
 SELECT 'notice_only' AS side, CAST(invoice_id AS VARCHAR) AS invoice_id FROM
   (SELECT CAST(invoice_id AS VARCHAR) AS invoice_id FROM notices

@@ -57,6 +57,8 @@ def test_validation_scorecard_and_sets(spark):
     conf = {(r.expected_rule, r.expected_severity, r.assigned_severity): r.labels
             for r in V.severity_confusion(f, labels).collect()}
     assert conf == {(1, "critical", "high"): 1, (2, "warning", "warning"): 1, (4, "critical", "missing"): 1}
+    shape = {r.defect_family: (r.labels, r.rule_mismatches) for r in V.manifest_shape(labels).collect()}
+    assert shape == {"allocation": (1, 0), "stale_unswept_credit": (1, 0), "dishonour": (1, 0)}
     rs = {r.rule_set: r.customers for r in V.customers_by_rule_set(f).collect()}
     assert rs == {"1": 1, "2": 1, "3": 1}
     checks = {r.check_name: r.violations for r in V.flag_contract_checks(f).collect()}
