@@ -28,7 +28,7 @@ from ledgerlens.plans import flags as G  # noqa: E402
 from ledgerlens.plans import medallion as M  # noqa: E402
 from ledgerlens.plans import reports as Rp  # noqa: E402
 from ledgerlens.plans import validation as V  # noqa: E402
-from ledgerlens.session import shared_dir  # noqa: E402
+from ledgerlens.session import ensure_checkpoint_dir, shared_dir  # noqa: E402
 from ledgerlens.sources.testdata import billing_tables  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -64,6 +64,20 @@ def _labels(t: dict[str, DataFrame]) -> DataFrame:
     return V.manifest_from_flags(G.flagged_accounts(t, LABEL_PARAMS))
 
 
+def _materialized(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back (cuts lineage).
+
+    Validation reads the detector's and the labeller's Gold tables several times;
+    materialising them once avoids recomputing both Gold plans per branch.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _gold_pair(t: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    return _materialized(_flags(t)), _materialized(_labels(t))
+
+
 def _q(fn: Callable[[dict[str, DataFrame]], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: _out(fn(_t(spark, sf_dir)))
 
@@ -127,10 +141,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "flags_by_month": _q(lambda t: Rp.flags_by_month(_flags(t))),
         "flag_drilldown": _q(lambda t: Rp.flag_drilldown(_flags(t))),
         # validation
-        "detection_scorecard": _q(lambda t: V.detection_scorecard(_flags(t), _labels(t))),
-        "missed_defects": _q(lambda t: V.missed_defects(_flags(t), _labels(t))),
-        "false_positives": _q(lambda t: V.false_positives(_flags(t), _labels(t))),
-        "severity_confusion": _q(lambda t: V.severity_confusion(_flags(t), _labels(t))),
+        "detection_scorecard": _q(lambda t: V.detection_scorecard(*_gold_pair(t))),
+        "missed_defects": _q(lambda t: V.missed_defects(*_gold_pair(t))),
+        "false_positives": _q(lambda t: V.false_positives(*_gold_pair(t))),
+        "severity_confusion": _q(lambda t: V.severity_confusion(*_gold_pair(t))),
         "manifest_shape": _q(lambda t: V.manifest_shape(_labels(t))),
         "notice_set_diff": _q(lambda t: V.notice_set_diff(_notices(t), _labels(t))),
         "customers_by_rule_set": _q(lambda t: V.customers_by_rule_set(_flags(t))),
