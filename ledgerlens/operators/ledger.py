@@ -59,33 +59,31 @@ def running_balance(entries: DataFrame, params: DetectorParams = DetectorParams(
     an identical (date, entry_id) share one value (a RANGE frame), as a plain ordered
     window sum would give.
 
-    The within-day sum is windowed per (customer, day, slice), where a hot
-    customer-day is range-split into slices (``operators.skew``); the carry-in is a
-    running sum per customer over one row per slice.
+    Rows are windowed per (customer, day, slice), where a hot customer-day is
+    range-split into slices (``operators.skew``).  The balance carried into each slice
+    comes from a running sum per customer over one row per slice; it enters the slice
+    window as an extra leading row, so no join is needed and null keys group exactly
+    as in a plain window.
     """
     valid = valid_entries(entries).select("customer_id", "effective_date", "entry_id", "amount")
     keys = ["customer_id", "effective_date", SLICE]
     sliced = split_hot_groups(valid, ["customer_id", "effective_date"], ["entry_id"], params)
-    w_slice = Window.partitionBy(*keys).orderBy("entry_id")
-    within = sliced.withColumn("_within", F.sum("amount").over(w_slice))
     w_prev = Window.partitionBy("customer_id").orderBy("effective_date", SLICE).rowsBetween(_UNBOUNDED, -1)
-    opening = sliced.groupBy(*keys).agg(F.sum("amount").alias("_tot")).select(
-        F.col("customer_id").alias("_c"),
-        F.col("effective_date").alias("_d"),
-        F.col(SLICE).alias("_s"),
-        F.sum("_tot").over(w_prev).alias("_opening"),
+    carry = sliced.groupBy(*keys).agg(F.sum("amount").alias("_tot")).select(
+        *keys,
+        F.lit(None).cast("string").alias("entry_id"),
+        F.coalesce(F.sum("_tot").over(w_prev), F.lit(0)).alias("amount"),
+        F.lit(0).alias("_kind"),
     )
-    joined = within.join(
-        opening,
-        F.col("customer_id").eqNullSafe(F.col("_c")) & F.col("effective_date").eqNullSafe(F.col("_d"))
-        & (F.col(SLICE) == F.col("_s")),
-        "left",
-    )
-    return joined.select(
-        "customer_id",
-        "effective_date",
-        "entry_id",
-        (F.coalesce(F.col("_opening"), F.lit(0)) + F.col("_within")).alias("running_balance"),
+    # Entry amounts are widened to the carried sum's (wider) decimal type.
+    money_sum = carry.schema["amount"].dataType
+    rows = sliced.select(*keys, "entry_id", F.col("amount").cast(money_sum).alias("amount"),
+                         F.lit(1).alias("_kind")).unionByName(carry)
+    w = Window.partitionBy(*keys).orderBy("_kind", "entry_id")
+    return (
+        rows.withColumn("running_balance", F.sum("amount").over(w))
+        .filter(F.col("_kind") == 1)
+        .select("customer_id", "effective_date", "entry_id", "running_balance")
     )
 
 
