@@ -1,5 +1,6 @@
 """Property tests: the bounded-window and binned-join plans against brute force."""
 import datetime as dt
+import os
 from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
@@ -12,7 +13,9 @@ from ledgerlens.params import DetectorParams
 from tests.conftest import entries, invoices
 
 BASE = dt.date(2024, 1, 1)
-SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+# LEDGERLENS_EXAMPLES deepens the search (default kept small: every example runs Spark jobs).
+SETTINGS = settings(max_examples=int(os.environ.get("LEDGERLENS_EXAMPLES", "8")), deadline=None,
+                    suppress_health_check=list(HealthCheck))
 
 entry_rows = st.lists(
     st.tuples(st.sampled_from("AB"), st.integers(-300, 300), st.integers(0, 12), st.booleans()),
@@ -20,7 +23,7 @@ entry_rows = st.lists(
 )
 inv_rows = st.lists(
     st.tuples(st.sampled_from("AB"), st.integers(0, 90), st.integers(-3, 60),
-              st.sampled_from([100, 101, 150, 100.5, 99, 1000, 1009, 1011])),
+              st.sampled_from([100, 101, 150, 100.5, 99, 1000, 1009, 1011, 0, -5, -5.5, 250000])),
     min_size=1, max_size=18,
 )
 
@@ -91,9 +94,12 @@ def test_statement_sequence_matches_brute_force(spark, rows, p):
 
 
 @SETTINGS
-@given(inv_rows, st.sampled_from([1, 7, 32, 400]), st.booleans())
-def test_binned_overlap_join_matches_all_pairs(spark, rows, width, banding):
-    p = DetectorParams(overlap_bin_days=width, amount_banding=banding)
+@given(inv_rows, st.sampled_from([1, 7, 32, 400]), st.booleans(),
+       st.sampled_from([("0.01", "1.00"), ("0.5", "0.10"), ("0", "2.00"), ("0.02", "0")]))
+def test_binned_overlap_join_matches_all_pairs(spark, rows, width, banding, tol):
+    ratio, minimum = Decimal(tol[0]), Decimal(tol[1])
+    p = DetectorParams(overlap_bin_days=width, amount_banding=banding, tolerance_ratio=ratio,
+                       tolerance_min=minimum)
     inv = _inv(spark, rows)
     got_pairs = sorted((r.a_invoice_id, r.b_invoice_id) for r in I.overlap_pairs(inv, p).collect())
     got_dup = sorted((r.a_invoice_id, r.b_invoice_id)
@@ -107,7 +113,7 @@ def test_binned_overlap_join_matches_all_pairs(spark, rows, width, banding):
             if sa <= sb + lb and sb <= sa + la:
                 want_pairs.append((ia, ib))
                 a, b = Decimal(str(xa)), Decimal(str(xb))
-                if abs(a - b) <= max(Decimal("1.00"), Decimal("0.01") * a):
+                if abs(a - b) <= max(minimum, ratio * a):
                     want_dup.append((ia, ib))
     assert got_pairs == sorted(want_pairs)
     assert got_dup == sorted(want_dup)
