@@ -40,10 +40,12 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                      params: DetectorParams) -> DataFrame:
     """``df`` plus ``_slice``: 0 for ordinary groups, 1.. increasing with ``order`` for hot ones."""
     keys, order = list(keys), list(order)
+    if not params.split_hot:
+        return df.withColumn(SLICE, F.lit(0))
     hot = F.broadcast(hot_groups(df, keys, params))  # <= max_hot_groups rows by pigeonhole
     ordinary = df.join(hot, keys, "left_anti").withColumn(SLICE, F.lit(0))
     # An explicit count keeps AQE from merging the slices again.
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = params.hot_split_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     heavy = (
         df.join(hot, keys, "left_semi")
         .repartitionByRange(parts, *keys, *order)

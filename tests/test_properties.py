@@ -53,7 +53,7 @@ HOT = DetectorParams(hot_group_rows=2, max_hot_groups=1_000_000)
 
 
 @SETTINGS
-@given(entry_rows, st.sampled_from([DetectorParams(), HOT]))
+@given(entry_rows, st.sampled_from([DetectorParams(), HOT, DetectorParams(split_hot=False)]))
 def test_running_balance_matches_brute_force(spark, rows, params):
     data = [(f"e{i:02d}", c, "p", a, _d(d % 3), "dishonoured" if bad else "settled")
             for i, (c, a, d, bad) in enumerate(rows)]
