@@ -78,7 +78,7 @@ def _silver(grace: int, sfx: str = "") -> list[tuple[str, str]]:
     ]
 
 
-def _rules(sfx: str, orphan: int, gap: int, esc: str) -> list[tuple[str, str]]:
+def _rules(sfx: str, orphan: int, gap: int, esc: str, strict4: bool = False) -> list[tuple[str, str]]:
     flag_cols = "flag_id, rule_id, customer_id, invoice_id, amount, severity, flag_date, explanation"
     return [
         (f"r1{sfx}", f"""
@@ -117,14 +117,14 @@ def _rules(sfx: str, orphan: int, gap: int, esc: str) -> list[tuple[str, str]]:
                      PARTITION BY customer_id ORDER BY statement_period_start, invoice_id) AS INTEGER) AS gap_days
         FROM invoices) s
   WHERE gap_days > {gap}"""),
-        (f"r4{sfx}", """
+        (f"r4{sfx}", f"""
   SELECT 'R4_' || entry_id AS flag_id, 4 AS rule_id, CAST(customer_id AS VARCHAR) AS customer_id,
          regexp_extract(entry_id, '^P([0-9]+)-', 1) AS invoice_id, CAST(amount AS DECIMAL(18,2)) AS amount,
          'critical' AS severity, strftime(effective_date, '%Y-%m-%d') AS flag_date,
          concat_ws('', 'Dishonoured debit ', entry_id, ' (', CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR),
                    ') with no cause: balance ', CAST(CAST(balance AS DECIMAL(18,2)) AS VARCHAR),
                    ' pre-debit.') AS explanation
-  FROM dishonour_bal WHERE balance >= 0"""),
+  FROM dishonour_bal WHERE balance >= {"amount" if strict4 else "0"}"""),
         (f"r5{sfx}", f"""
   SELECT 'R5_' || CAST(b.invoice_id AS VARCHAR) AS flag_id, 5 AS rule_id,
          CAST(b.customer_id AS VARCHAR) AS customer_id, CAST(b.invoice_id AS VARCHAR) AS invoice_id,
@@ -153,7 +153,7 @@ def _shared() -> list[tuple[str, str]]:
   FROM ledger_entries d WHERE d.status = 'dishonoured'"""))
     ctes += _rules("", ORPHAN, GAP, ESC)
     # Label parameterisation: the rule-1 CTE reads ``notices`` and is rebuilt with its own thresholds.
-    ctes += _rules("_lab", LABEL_ORPHAN, LABEL_GAP, LABEL_ESC)
+    ctes += _rules("_lab", LABEL_ORPHAN, LABEL_GAP, LABEL_ESC, strict4=True)
     ctes.append(("labels", """
   SELECT flag_id AS defect_id,
          CASE rule_id WHEN 1 THEN 'allocation' WHEN 2 THEN 'stale_unswept_credit' WHEN 3 THEN 'statement_gap'
