@@ -369,10 +369,10 @@ UNION ALL SELECT 'rule_id_known', count(*) FILTER (WHERE rule_id IS NULL OR rule
 UNION ALL SELECT 'severity_known', count(*) FILTER (WHERE severity IS NULL OR severity NOT IN ('critical', 'high', 'medium', 'warning')) FROM flags""")
     q["bronze_quality_checks"] = _with("""
 SELECT 'customers_pk_unique' AS check_name,
-       COALESCE(SUM(n - 1), 0) AS violations FROM (SELECT customer_id, count(*) AS n FROM customers WHERE customer_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1) x
-UNION ALL SELECT 'ledger_pk_unique', COALESCE(SUM(n - 1), 0) FROM (SELECT entry_id, count(*) AS n FROM ledger_entries WHERE entry_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1) x
-UNION ALL SELECT 'invoices_pk_unique', COALESCE(SUM(n - 1), 0) FROM (SELECT invoice_id, count(*) AS n FROM invoices WHERE invoice_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1) x
-UNION ALL SELECT 'allocations_pk_unique', COALESCE(SUM(n - 1), 0) FROM (SELECT allocation_id, count(*) AS n FROM invoice_allocations WHERE allocation_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1) x
+       CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS violations FROM (SELECT customer_id, count(*) AS n FROM customers WHERE customer_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1) x
+UNION ALL SELECT 'ledger_pk_unique', CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) FROM (SELECT entry_id, count(*) AS n FROM ledger_entries WHERE entry_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1) x
+UNION ALL SELECT 'invoices_pk_unique', CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) FROM (SELECT invoice_id, count(*) AS n FROM invoices WHERE invoice_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1) x
+UNION ALL SELECT 'allocations_pk_unique', CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) FROM (SELECT allocation_id, count(*) AS n FROM invoice_allocations WHERE allocation_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1) x
 UNION ALL SELECT 'ledger_customer_fk', count(*) FROM ledger_entries e WHERE NOT EXISTS (SELECT 1 FROM customers c WHERE c.customer_id = e.customer_id)
 UNION ALL SELECT 'invoice_customer_fk', count(*) FROM invoices i WHERE NOT EXISTS (SELECT 1 FROM customers c WHERE c.customer_id = i.customer_id)
 UNION ALL SELECT 'allocation_entry_fk', count(*) FROM invoice_allocations a WHERE NOT EXISTS (SELECT 1 FROM ledger_entries e WHERE e.entry_id = a.entry_id)
