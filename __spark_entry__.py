@@ -75,7 +75,19 @@ def _materialized(df: DataFrame) -> DataFrame:
 
 
 def _gold_pair(t: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    return _materialized(_flags(t)), _materialized(_labels(t))
+    """Detector flags and labels, materialised together.
+
+    Both Gold runs go into one plan (tagged by run), so the subtrees they share (the
+    mapping, the as-of lookup, the statement sequence, the binned join) are computed
+    once through exchange reuse; one checkpoint then serves both sides.
+    """
+    both = _materialized(
+        _flags(t).withColumn("_run", F.lit("detector"))
+        .unionByName(G.flagged_accounts(t, LABEL_PARAMS).withColumn("_run", F.lit("labels")))
+    )
+    flags = both.filter(F.col("_run") == "detector").drop("_run")
+    labels = V.manifest_from_flags(both.filter(F.col("_run") == "labels").drop("_run"))
+    return flags, labels
 
 
 def _q(fn: Callable[[dict[str, DataFrame]], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
