@@ -9,7 +9,9 @@ two levels:
 * day level: entries are pre-aggregated to one row per (customer, day) with a
   map-side partial sum, and only that table is windowed per customer.  Its size per
   customer is bounded by the calendar (one row per day), not by the data volume;
-* entry level: the within-day running sum is windowed per (customer, day).
+* entry level: the within-day running sum is windowed per (customer, day, slice),
+  where a hot customer-day is range-split into ordered slices (``operators.skew``)
+  and the balance carried into each slice enters its window as a leading row.
 
 The as-of lookup ("balance at the end of day d") is a union of the day totals with
 the distinct (customer, d) targets, and one running sum over that union: linear,
