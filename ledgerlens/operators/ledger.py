@@ -13,9 +13,10 @@ two levels:
   where a hot customer-day is range-split into ordered slices (``operators.skew``)
   and the balance carried into each slice enters its window as a leading row.
 
-The as-of lookup ("balance at the end of day d") is a union of the day totals with
-the distinct (customer, d) targets, and one running sum over that union: linear,
-no range join, and again one row per customer-day at most.
+The as-of lookup ("balance at the end of day d") unions the valid entries with the
+(customer, d) targets, reduces them by one aggregate to a row per (customer, day),
+and runs one running sum over those rows: linear, no range join, and again one row
+per customer-day at most.
 """
 
 from __future__ import annotations
