@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.skew import SLICE, split_hot_groups
+from ledgerlens.operators.skew import SLICE, hot_groups, split_hot_groups
 from ledgerlens.params import DetectorParams
 
 _UNBOUNDED = Window.unboundedPreceding
@@ -69,10 +69,23 @@ def running_balance(entries: DataFrame, params: DetectorParams = DetectorParams(
     as in a plain window.
     """
     valid = valid_entries(entries).select("customer_id", "effective_date", "entry_id", "amount")
-    keys = ["customer_id", "effective_date", SLICE]
-    sliced = split_hot_groups(valid, ["customer_id", "effective_date"], ["entry_id"], params)
+    day_keys = ["customer_id", "effective_date"]
+    keys = day_keys + [SLICE]
+    # One aggregate per customer-day serves both the hot-group check and the carry-in.
+    days = valid.groupBy(*day_keys).agg(F.count(F.lit(1)).alias("_n"), F.sum("amount").alias("_tot"))
+    hot = hot_groups(valid, day_keys, params, counts=days) if params.split_hot else None
+    sliced = split_hot_groups(valid, day_keys, ["entry_id"], params, hot=hot)
+    # Blocks in (day, slice) order: an ordinary day is one block (slice 0); a hot day is
+    # its slices, whose totals come from the hot rows only (the ordinary branch of the
+    # union is pruned by the filter).
+    ordinary_days = days if hot is None else days.join(F.broadcast(hot), day_keys, "left_anti")
+    blocks = ordinary_days.select(*day_keys, F.lit(0).alias(SLICE), "_tot")
+    if hot is not None:
+        blocks = blocks.unionByName(
+            sliced.filter(F.col(SLICE) > 0).groupBy(*keys).agg(F.sum("amount").alias("_tot"))
+        )
     w_prev = Window.partitionBy("customer_id").orderBy("effective_date", SLICE).rowsBetween(_UNBOUNDED, -1)
-    carry = sliced.groupBy(*keys).agg(F.sum("amount").alias("_tot")).select(
+    carry = blocks.select(
         *keys,
         F.lit(None).cast("string").alias("entry_id"),
         F.coalesce(F.sum("_tot").over(w_prev), F.lit(0)).alias("amount"),

@@ -27,9 +27,15 @@ from ledgerlens.params import DetectorParams
 SLICE = "_slice"
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], params: DetectorParams) -> DataFrame:
-    """Keys of the groups that must be split (at most ``params.max_hot_groups`` rows)."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+def hot_groups(df: DataFrame, keys: Sequence[str], params: DetectorParams,
+               counts: DataFrame | None = None) -> DataFrame:
+    """Keys of the groups that must be split (at most ``params.max_hot_groups`` rows).
+
+    ``counts`` (keys plus ``_n`` rows per group) may be passed when the caller computes
+    that aggregate anyway, so the input is not read again for it.
+    """
+    if counts is None:
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.select(F.sum("_n")).scalar()
     threshold = F.greatest(F.lit(params.hot_group_rows).cast("double"),
                            total.cast("double") / F.lit(float(params.max_hot_groups)))
@@ -37,12 +43,17 @@ def hot_groups(df: DataFrame, keys: Sequence[str], params: DetectorParams) -> Da
 
 
 def split_hot_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                     params: DetectorParams) -> DataFrame:
-    """``df`` plus ``_slice``: 0 for ordinary groups, 1.. increasing with ``order`` for hot ones."""
+                     params: DetectorParams, hot: DataFrame | None = None) -> DataFrame:
+    """``df`` plus ``_slice``: 0 for ordinary groups, 1.. increasing with ``order`` for hot ones.
+
+    ``hot`` may be the caller's :func:`hot_groups` result (it is broadcast here).
+    """
     keys, order = list(keys), list(order)
     if not params.split_hot:
         return df.withColumn(SLICE, F.lit(0))
-    hot = F.broadcast(hot_groups(df, keys, params))  # <= max_hot_groups rows by pigeonhole
+    if hot is None:
+        hot = hot_groups(df, keys, params)
+    hot = F.broadcast(hot)  # <= max_hot_groups rows by pigeonhole
     ordinary = df.join(hot, keys, "left_anti").withColumn(SLICE, F.lit(0))
     # An explicit count keeps AQE from merging the slices again.
     parts = params.hot_split_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
