@@ -31,6 +31,14 @@ from ledgerlens.plans import validation as V  # noqa: E402
 from ledgerlens.session import ensure_checkpoint_dir, shared_dir  # noqa: E402
 from ledgerlens.sources.testdata import billing_tables  # noqa: E402
 
+try:  # the corpus operators are an optional part of the library
+    import corpus_pipeline
+    from ledgerlens.llm import queries as corpus
+except ModuleNotFoundError as e:
+    if e.name not in ("corpus_pipeline", "ledgerlens.llm"):
+        raise
+    corpus = corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 P = TESTDATA_PARAMS
 
@@ -170,6 +178,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # sources and sinks end to end
         "medallion_roundtrip": _medallion,
     }
+    if corpus is not None:
+        q |= corpus.queries()
+        q["pipeline"] = corpus_pipeline.run
     return q
 
 
@@ -177,4 +188,8 @@ def oracle_sql() -> dict[str, str]:
     from oracle_sql import queries_sql
 
     sql = queries_sql()
+    if corpus is not None:
+        sql |= corpus.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return {k: sql[k] for k in queries() if k in sql}
