@@ -47,8 +47,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, name: str, folds: int, o
         part = y.filter(F.col("label") == value).orderBy("_h", "doc_id").limit(per_class)
         pick = part if pick is None else pick.unionByName(part)
     text = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text")
-    # repeated rows of one id: the least text, so that the sample stays one row per document
-    return text.join(F.broadcast(pick.select("doc_id", "label")), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    # repeated rows of one id: the least text; copies of one text: the least id, so that copies do not weigh more
+    rows = text.join(F.broadcast(pick.select("doc_id", "label")), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    return rows.groupBy("text", "label").agg(F.min("doc_id").alias("doc_id"))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

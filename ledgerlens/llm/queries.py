@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.llm.quality_rules import quality_rules
+from ledgerlens.llm.toxicity import toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op9_toxicity": toxicity,
         "op10_quality_rules": quality_rules,
     }
 
