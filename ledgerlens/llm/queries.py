@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlens.llm.langid import language_id
 from ledgerlens.llm.quality_model import quality_model
 from ledgerlens.llm.quality_rules import quality_rules
+from ledgerlens.llm.sharding import sharding
 from ledgerlens.llm.toxicity import toxicity
 
 
@@ -16,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_language_id": language_id,
         "op6_quality_model": quality_model,
+        "op8_sharding": sharding,
         "op9_toxicity": toxicity,
         "op10_quality_rules": quality_rules,
     }
