@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlens.llm.bpe import byte_bpe
 from ledgerlens.llm.langid import language_id
 from ledgerlens.llm.quality_model import quality_model
 from ledgerlens.llm.quality_rules import quality_rules
@@ -15,6 +16,7 @@ from ledgerlens.llm.toxicity import toxicity
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_byte_bpe": byte_bpe,
         "op5_language_id": language_id,
         "op6_quality_model": quality_model,
         "op8_sharding": sharding,

@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 
 #: Text bytes handled at once.
 SLICE_BYTES = 2 << 20
+#: Elements of list columns handled at once.
+SLICE_ELEMENTS = 1 << 21
 
 U64 = np.uint64
 
@@ -32,6 +34,23 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
             yield batch.slice(lo, hi - lo)
 
 
+def list_slices(batch: pa.RecordBatch, column: str, most: int = SLICE_ELEMENTS) -> Iterator[pa.RecordBatch]:
+    """Cut a record batch into row ranges of about ``most`` elements of a list column."""
+    if not batch.num_rows:
+        return
+    size = pc.fill_null(pc.list_value_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = (np.cumsum(size.astype(np.int64) + 1) - 1) // most
+    cuts = np.flatnonzero(np.diff(part)) + 1
+    for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+        yield batch.slice(lo, hi - lo)
+
+
+def list_bounds(column: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
+    """(elements, offsets) of a list column; null is empty."""
+    size = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return column.flatten(), np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column; null is empty."""
     column = pc.fill_null(column, b"" if pa.types.is_binary(column.type) else "")
