@@ -12,6 +12,7 @@ from ledgerlens.llm.quality_model import quality_model
 from ledgerlens.llm.quality_rules import quality_rules
 from ledgerlens.llm.sharding import sharding
 from ledgerlens.llm.toxicity import toxicity
+from ledgerlens.llm.wordpiece import token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_byte_bpe": byte_bpe,
         "op5_language_id": language_id,
         "op6_quality_model": quality_model,
+        "op7_token_counts": token_counts,
         "op8_sharding": sharding,
         "op9_toxicity": toxicity,
         "op10_quality_rules": quality_rules,
