@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.llm.bpe import byte_bpe
+from ledgerlens.llm.decontam import decontamination
 from ledgerlens.llm.langid import language_id
 from ledgerlens.llm.quality_model import quality_model
 from ledgerlens.llm.quality_rules import quality_rules
@@ -18,6 +19,7 @@ from ledgerlens.llm.wordpiece import token_counts
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_byte_bpe": byte_bpe,
+        "op4_decontamination": decontamination,
         "op5_language_id": language_id,
         "op6_quality_model": quality_model,
         "op7_token_counts": token_counts,
