@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm import text as X
-from ledgerlens.llm.corpus import append, one_label, table
+from ledgerlens.llm.corpus import append, one_label, table, written
 
 RISK = 0.005
 DELTA = 0.05
@@ -125,10 +125,12 @@ def cutoffs(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float
     One row of counts per stratum reaches the driver, ``MAX_STRATA`` + 1 at most.
     """
     good = one_label(labels, "quality").filter("label = 1").select("doc_id")
-    held, m = measures(docs.select("doc_id", "text", "lang").join(good, "doc_id", "left_semi"))
+    counted, m = measures(docs.select("doc_id", "text", "lang"))
+    # the texts stay where they are: ids and counts alone meet the labels
+    held = counted.filter(~base_failed(m)).select("doc_id", "lang", m).join(good, "doc_id", "left_semi")
     sums = [F.sum(rejects(m, r, c).cast("long")).alias(f"{r}_{c}") for r, (_, _, _, grid) in RULES.items() for c in grid]
-    per_lang = (held.filter(~base_failed(m)).withColumn("stratum", F.coalesce("lang", F.lit(OTHER)))
-                .groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *sums))
+    per_lang = written(held.withColumn("stratum", F.coalesce("lang", F.lit(OTHER)))
+                       .groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *sums), "strata")
     # the strata past MAX_STRATA are added up under OTHER before anything reaches the driver
     top = per_lang.orderBy(F.desc("n"), "stratum").limit(MAX_STRATA).select("stratum", F.lit(True).alias("_own"))
     pooled = (per_lang.join(F.broadcast(top), "stratum", "left")
