@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlens.llm.bpe import byte_bpe
 from ledgerlens.llm.decontam import decontamination
 from ledgerlens.llm.langid import language_id
+from ledgerlens.llm.minhash import near_dedup
 from ledgerlens.llm.quality_model import quality_model
 from ledgerlens.llm.quality_rules import quality_rules
 from ledgerlens.llm.sharding import sharding
@@ -18,6 +19,7 @@ from ledgerlens.llm.wordpiece import token_counts
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_near_dedup": near_dedup,
         "op2_byte_bpe": byte_bpe,
         "op4_decontamination": decontamination,
         "op5_language_id": language_id,
