@@ -10,11 +10,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import quality_rules
+from ledgerlens.llm import bpe, decontam, minhash, quality_model, quality_rules
 from ledgerlens.llm.corpus import table, written
 
 STAGES = [
     ("quality_rules", quality_rules.stage),
+    ("quality_model", quality_model.stage),
+    ("near_dedup", minhash.stage),
+    ("decontamination", decontam.stage),
+    ("byte_bpe", bpe.stage),
 ]
 
 #: The classifier is trained by gradient descent, which SQL cannot express.
