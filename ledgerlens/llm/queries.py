@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlens.llm import lm
 from ledgerlens.llm.bpe import byte_bpe
 from ledgerlens.llm.decontam import decontamination
 from ledgerlens.llm.langid import language_id
@@ -21,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": near_dedup,
         "op2_byte_bpe": byte_bpe,
+        "op3_lm_scores": lm.lm_scores,
         "op4_decontamination": decontamination,
         "op5_language_id": language_id,
         "op6_quality_model": quality_model,
@@ -32,4 +34,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_lm_scores": lm.SQL}
