@@ -101,7 +101,7 @@ def words(column: pa.Array, breaks: np.ndarray = BLANKS) -> Words:
     inside[:-1] = ~breaks[data]
     edge = np.diff(inside, prepend=np.int8(0))
     if len(offsets) > 2:  # a row's first byte starts a word even when the row before ends in one
-        first = offsets[1:-1]
+        first = np.unique(offsets[1:-1])  # empty rows share a bound
         first = first[(first > 0) & (first < len(data))]
         glued = first[(inside[first] == 1) & (inside[first - 1] == 1)]
     else:
