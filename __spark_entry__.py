@@ -23,13 +23,14 @@ from ledgerlens.operators import intervals as I  # noqa: E402
 from ledgerlens.operators import ledger as L  # noqa: E402
 from ledgerlens.operators import notices as N  # noqa: E402
 from ledgerlens.operators import rules as R  # noqa: E402
-from ledgerlens.params import LABEL_PARAMS, TESTDATA_PARAMS, WHATIF_PARAMS  # noqa: E402
+from ledgerlens.params import TESTDATA_PARAMS, WHATIF_PARAMS  # noqa: E402
 from ledgerlens.plans import flags as G  # noqa: E402
 from ledgerlens.plans import medallion as M  # noqa: E402
 from ledgerlens.plans import reports as Rp  # noqa: E402
 from ledgerlens.plans import validation as V  # noqa: E402
-from ledgerlens.session import ensure_checkpoint_dir, shared_dir  # noqa: E402
-from ledgerlens.sources.testdata import billing_tables  # noqa: E402
+from ledgerlens.session import shared_dir  # noqa: E402
+from ledgerlens.sources.bronze import read_bronze_csv  # noqa: E402
+from ledgerlens.sources.testdata import billing_tables, expected_defects  # noqa: E402
 
 try:  # the corpus operators are an optional part of the library
     import corpus_pipeline
@@ -69,44 +70,40 @@ def _flags(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def _labels(t: dict[str, DataFrame]) -> DataFrame:
-    return V.manifest_from_flags(G.flagged_accounts(t, LABEL_PARAMS))
+    return expected_defects(_flags(t), t["invoices"])
 
 
-def _materialized(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back (cuts lineage).
+def _gold_pair(t: dict[str, DataFrame], text: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Flags and labels over one Gold run, written column-pruned to the shared folder and read by both."""
+    flags = _flags(t) if text else _flags(t).drop("explanation", "flag_date")
+    spark = flags.sparkSession
+    path = shared_dir(spark, "gold")
+    flags.write.parquet(path)
+    flags = spark.read.schema(flags.schema).parquet(path)
+    return flags, expected_defects(flags, t["invoices"])
 
-    Validation reads the detector's and the labeller's Gold tables several times;
-    materialising them once avoids recomputing both Gold plans per branch.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
 
+def _q(fn: Callable[[dict[str, DataFrame]], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: _out(fn(_t(spark, sf_dir)))
 
-def _gold_pair(t: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """Detector flags and labels, materialised together.
-
-    Both Gold runs go into one plan (tagged by run), so the subtrees they share (the
-    mapping, the as-of lookup, the statement sequence, the binned join) are computed
-    once through exchange reuse; one checkpoint then serves both sides.
-    """
-    both = _materialized(
-        _flags(t).withColumn("_run", F.lit("detector"))
-        .unionByName(G.flagged_accounts(t, LABEL_PARAMS).withColumn("_run", F.lit("labels")))
-    )
-    flags = both.filter(F.col("_run") == "detector").drop("_run")
-    labels = V.manifest_from_flags(both.filter(F.col("_run") == "labels").drop("_run"))
-    return flags, labels
 
+def _medallion(table: str, columns: str) -> Callable[[SparkSession, str], DataFrame]:
+    """All stages over the mapped tables; one of the tables they wrote, as read back."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = shared_dir(spark, "medallion")
+        M.run_all(spark, _t(spark, sf_dir), root, P)
+        return _out(M.read_table(spark, f"{root}/{table}").select(*columns.split()))
 
-def _q(fn: Callable[[dict[str, DataFrame]], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: _out(fn(_t(spark, sf_dir)))
+    return run
 
 
-def _medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = shared_dir(spark, "medallion")
-    gold = M.run_all(spark, _t(spark, sf_dir), root, P)
-    return _out(gold.select("flag_id", "rule_id", "customer_id", "invoice_id", "amount", "severity",
-                            "flag_date", "explanation"))
+def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapped invoices written as CSV with the columns turned round, and read as Bronze."""
+    path = shared_dir(spark, "csv")
+    invoices = _t(spark, sf_dir)["invoices"]
+    invoices.select(*reversed(invoices.columns)).write.option("header", True).csv(path)
+    good, _ = read_bronze_csv(spark, path, "invoices")
+    return _out(good.withColumns({c: F.col(c).cast("long") for c in ("invoice_id", "customer_id")}))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -132,7 +129,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "allocated_at_sent": _q(lambda t: A.allocated_at_sent(inv(t), alc(t), P)),
         "naive_notices": _q(_notices),
         "balance_asof": _q(lambda t: L.balance_asof(
-            A.with_sent_date(inv(t), P).select("customer_id", F.col("sent_date").alias("date")), ent(t))),
+            A.with_sent_date(inv(t), P).select("customer_id", F.col("sent_date").alias("date")), L.entry_amounts(ent(t)))),
         "running_balance": _q(lambda t: L.running_balance(ent(t), P)),
         "end_of_day_balance": _q(lambda t: L.end_of_day_balance(ent(t))),
         "account_balance": _q(lambda t: L.account_balance(ent(t))),
@@ -141,7 +138,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "allocated_per_invoice": _q(lambda t: A.allocated_per_invoice(alc(t))),
         "asof_date": _q(lambda t: inv(t).agg(F.max("due_date").alias("asof_date"))),
         "entry_residuals": _q(lambda t: A.entry_residuals(ent(t), alc(t))),
-        "overlapping_statement_pairs": _q(lambda t: I.overlap_pairs(inv(t), P)),
+        "overlapping_statements": _q(lambda t: I.overlap_counts(inv(t))),
         "notice_classes": _q(lambda t: N.notice_classes(_notices(t))),
         "reconciliation_mismatch": _q(lambda t: N.reconciliation_mismatch(_notices(t))),
         "invoice_position": _q(lambda t: N.invoice_position(inv(t), alc(t), ent(t), P)),
@@ -163,7 +160,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # validation
         "detection_scorecard": _q(lambda t: V.detection_scorecard(*_gold_pair(t))),
         "missed_defects": _q(lambda t: V.missed_defects(*_gold_pair(t))),
-        "false_positives": _q(lambda t: V.false_positives(*_gold_pair(t))),
+        "false_positives": _q(lambda t: V.false_positives(*_gold_pair(t, text=True))),
         "severity_confusion": _q(lambda t: V.severity_confusion(*_gold_pair(t))),
         "manifest_shape": _q(lambda t: V.manifest_shape(_labels(t))),
         "notice_set_diff": _q(lambda t: V.notice_set_diff(_notices(t), _labels(t))),
@@ -176,7 +173,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                 F.col("invoice_id").cast("string"), F.col("customer_id").cast("string"), "in_credit"),
         )),
         # sources and sinks end to end
-        "medallion_roundtrip": _medallion,
+        "medallion_roundtrip": _medallion("gold/flagged_accounts", "flag_id rule_id customer_id invoice_id amount severity flag_date explanation"),
+        "silver_notices": _medallion("silver/silver_notices", "customer_id invoice_id amount_due sent_date allocated_total_at_sent "
+                                     "balance_at_sent in_credit"),
+        "silver_running_balance": _medallion("silver/silver_running_balance", "customer_id effective_date entry_id running_balance"),
+        "bronze_csv_roundtrip": _csv_roundtrip,
     }
     if corpus is not None:
         q |= corpus.queries()

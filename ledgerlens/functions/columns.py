@@ -15,8 +15,8 @@ def money(c: Column | str) -> Column:
 
 
 def money_text(c: Column | str) -> Column:
-    """Money as plain text with two decimals, e.g. ``-50.00``."""
-    return money(c).cast("string")
+    """Money as plain text with two decimals, e.g. ``-50.00``; sums may be wider than single amounts."""
+    return (F.col(c) if isinstance(c, str) else c).cast("decimal(38,2)").cast("string")
 
 
 def iso_date(c: Column | str) -> Column:

@@ -9,15 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerlens.params import SEVERITY_BASE, SEVERITY_ESCALATED, SEVERITY_RANK, DetectorParams
+from ledgerlens.params import SEVERITY_RANK, DetectorParams, escalation
 
 
-def severity_col(rule_id: int, escalation: Column | None, params: DetectorParams) -> Column:
-    base = SEVERITY_BASE[rule_id]
-    threshold = {1: params.notice_escalation, 5: params.duplicate_escalation}.get(rule_id)
-    if threshold is None or escalation is None:
+def severity_col(rule_id: int, money_at_risk: Column | None, params: DetectorParams) -> Column:
+    base, limit, escalated = escalation(rule_id, params)
+    if limit is None or money_at_risk is None:
         return F.lit(base)
-    return F.when(escalation > F.lit(threshold), F.lit(SEVERITY_ESCALATED[rule_id])).otherwise(F.lit(base))
+    return F.when(money_at_risk > F.lit(limit), F.lit(escalated)).otherwise(F.lit(base))
 
 
 def severity_rank_col(c: Column | str) -> Column:

@@ -1,24 +1,28 @@
-"""Interval-overlap self-join of statement periods, without an all-pairs blow-up.
-
-Two statements of one customer overlap when ``a.ps <= b.pe and b.ps <= a.pe``
-(closed intervals).  A plain equi-join on customer_id compares every pair of a
-customer's statements, which is quadratic for a customer with many statements.
-
-Here each statement is exploded into the fixed-width time bins its period covers and
-the join key is (customer_id, bin).  Every overlapping pair shares the bin of
-``greatest(a.ps, b.ps)`` and is kept only there, so it is produced exactly once.
-For the duplicate-invoice rule the key also carries an amount band: ``b`` sits in the
-band of its amount, ``a`` is exploded over the bands its tolerance interval
-``[a - t(a), a + t(a)]`` touches.  The band function is monotone, which is all the
-exactness argument needs; its widths (about one tolerance) only bound the fan-out to
-about three bands.  The exact predicates are re-checked after the join.
+"""Overlapping statement periods of one customer, without an all-pairs blow-up.
+
+Two statements overlap when ``a.ps <= b.pe and b.ps <= a.pe`` (closed intervals).
+
+Near-duplicates (``overlap_pairs``): a period of up to 2^k days has level k and lies in at
+most two bins of its level (bins of 2^k days).  Two periods meet in the bins of the longer
+one's level, so a statement is put into its own level's bins and, to be found by longer
+ones, into the bins of the longer levels that occur at all: a few dozen rows at the very
+most, however long the period.  A pair is kept only in the bin of ``greatest(a.ps, b.ps)``,
+so it comes out once.  The key also carries an amount band: ``b`` sits in the band of its
+amount, ``a`` in the bands of its tolerance interval (about three).  Bins and bands are
+monotone, which is all that exactness needs, and the exact predicates are checked after the
+join; AQE splits keys that are still skewed.
+
+Counts (``overlap_counts``): how many statements overlap each one is the number of starts up
+to its end less the number of ends before its start, less itself: two running sums over one
+row per customer-day, no pairs at all.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.params import DetectorParams
@@ -26,8 +30,13 @@ from ledgerlens.params import DetectorParams
 _COLS = ["customer_id", "invoice_id", "ps", "pe", "amount_due"]
 
 
-def _time_bin(c: Column, width: int) -> Column:
-    return F.floor(F.unix_date(c) / F.lit(width)).cast("long")
+def _level(lo: Column, hi: Column) -> Column:
+    """The least k with a period of at most 2^k days."""
+    return F.ceil(F.log2((F.datediff(hi, lo) + 1).cast("double"))).cast("int")
+
+
+def _bin(day: Column, level: Column) -> Column:
+    return F.floor(F.unix_date(day) / F.pow(F.lit(2.0), level)).cast("long")
 
 
 def tolerance(amount: Column, params: DetectorParams) -> Column:
@@ -36,18 +45,15 @@ def tolerance(amount: Column, params: DetectorParams) -> Column:
 
 
 def _band(x: Column, params: DetectorParams) -> Column:
-    """Monotone amount band: unit-width below min/ratio, geometric (ratio) above."""
-    ratio = float(params.tolerance_ratio)
-    minimum = float(params.tolerance_min)
-    t = minimum / ratio
+    """Monotone amount band: steps of the least tolerance (a cent where it is 0), then geometric where the ratio takes over."""
+    ratio, unit = float(params.tolerance_ratio), max(float(params.tolerance_min), 0.01)
     xd = x.cast("double")
-    linear = F.floor(xd / F.lit(minimum))
-    geometric = F.lit(math.floor(t / minimum)) + F.floor(F.log(xd / F.lit(t)) / F.lit(math.log1p(ratio)))
-    return F.when(xd < F.lit(t), linear).otherwise(geometric).cast("long")
-
-
-def _banding_enabled(params: DetectorParams) -> bool:
-    return params.amount_banding and params.tolerance_ratio > 0 and params.tolerance_min > 0
+    steps = F.floor(xd / F.lit(unit))
+    if not ratio:
+        return steps.cast("long")
+    knee = max(float(params.tolerance_min) / ratio, unit)
+    beyond = F.lit(math.floor(knee / unit)) + F.floor(F.log(xd / F.lit(knee)) / F.lit(math.log1p(ratio)))
+    return F.when(xd < F.lit(knee), steps).otherwise(beyond).cast("long")
 
 
 def statement_periods(invoices: DataFrame) -> DataFrame:
@@ -59,50 +65,68 @@ def statement_periods(invoices: DataFrame) -> DataFrame:
     )
 
 
-def overlap_pairs(invoices: DataFrame, params: DetectorParams, near_identical: bool = False) -> DataFrame:
+def overlap_pairs(invoices: DataFrame, params: DetectorParams, near_identical: bool = True) -> DataFrame:
     """Pairs (a, b) of one customer's statements with ``a.invoice_id < b.invoice_id``
     whose periods overlap; with ``near_identical`` also ``|a - b| <= t(a)``.
 
     Columns: ``customer_id, a_invoice_id, b_invoice_id, a_ps, a_pe, b_ps, b_pe,
-    a_amount, b_amount``.
+    a_amount, b_amount``.  One row per pair, so n alike statements give n (n - 1) / 2.
     """
-    width = params.overlap_bin_days
-    base = statement_periods(invoices).filter(
-        F.col("customer_id").isNotNull() & F.col("invoice_id").isNotNull()
-        & F.col("ps").isNotNull() & F.col("pe").isNotNull()
-    )
+    base = statement_periods(invoices).dropna(subset=["customer_id", "invoice_id", "ps", "pe"])
     if near_identical:
-        base = base.filter(F.col("amount_due").isNotNull())
+        base = base.dropna(subset=["amount_due"])
     lo, hi = F.least("ps", "pe"), F.greatest("ps", "pe")
-    binned = base.withColumn("_bin", F.explode(F.sequence(_time_bin(lo, width), _time_bin(hi, width))))
-
-    a = binned.select([F.col(c).alias("a_" + c) for c in _COLS] + [F.col("_bin").alias("a_bin")])
-    b = binned.select([F.col(c).alias("b_" + c) for c in _COLS] + [F.col("_bin").alias("b_bin")])
-    key = (F.col("a_customer_id") == F.col("b_customer_id")) & (F.col("a_bin") == F.col("b_bin"))
-    banded = near_identical and _banding_enabled(params)
-    if banded:
-        tol = tolerance(F.col("a_amount_due"), params)
-        a = a.withColumn(
-            "a_band",
-            F.explode(F.sequence(_band(F.col("a_amount_due") - tol, params),
-                                 _band(F.col("a_amount_due") + tol, params))),
-        )
-        b = b.withColumn("b_band", _band(F.col("b_amount_due"), params))
-        key = key & (F.col("a_band") == F.col("b_band"))
-
-    cond = (
-        key
-        & (F.col("a_invoice_id") < F.col("b_invoice_id"))
-        & (F.col("a_ps") <= F.col("b_pe"))
-        & (F.col("b_ps") <= F.col("a_pe"))
-        & (F.col("a_bin") == _time_bin(F.greatest("a_ps", "b_ps"), width))
-    )
-    if near_identical:
-        cond = cond & (
-            F.abs(F.col("a_amount_due") - F.col("b_amount_due")) <= tolerance(F.col("a_amount_due"), params)
-        )
-    return a.join(b, cond).select(
+    base = base.withColumn("level", _level(lo, hi))
+    occurring = base.agg(F.sort_array(F.collect_set("level")).alias("levels")).scalar()  # two dozen numbers at most
+
+    def bins(df: DataFrame, level: Column) -> DataFrame:
+        df = df.withColumn("at", level)
+        return df.withColumn("bin", F.explode(F.sequence(_bin(lo, F.col("at")), _bin(hi, F.col("at")))))
+
+    home = bins(base, F.col("level"))
+    longer = base.withColumn("_levels", F.array_except(occurring, F.sequence(F.lit(0), F.col("level"))))
+    abroad = bins(longer.withColumn("_longer", F.explode("_levels")), F.col("_longer")).drop("_levels", "_longer")
+    side = lambda df, p: df.select([F.col(c).alias(f"{p}_{c}") for c in [*_COLS, "at", "bin"]])
+    banded = near_identical and params.amount_banding
+
+    def join(a: DataFrame, b: DataFrame) -> DataFrame:
+        a, b = side(a, "a"), side(b, "b")
+        cond = reduce(lambda x, y: x & y, [F.col(f"a_{k}") == F.col(f"b_{k}") for k in ("customer_id", "at", "bin")])
+        if banded:
+            tol = tolerance(F.col("a_amount_due"), params)
+            a = a.withColumn("a_band", F.explode(F.sequence(_band(F.col("a_amount_due") - tol, params), _band(F.col("a_amount_due") + tol, params))))
+            b = b.withColumn("b_band", _band(F.col("b_amount_due"), params))
+            cond = cond & (F.col("a_band") == F.col("b_band"))
+        cond = (cond & (F.col("a_invoice_id") < F.col("b_invoice_id")) & (F.col("a_ps") <= F.col("b_pe")) & (F.col("b_ps") <= F.col("a_pe"))
+                & (F.col("a_bin") == _bin(F.greatest("a_ps", "b_ps"), F.col("a_at"))))
+        if near_identical:
+            cond = cond & (F.abs(F.col("a_amount_due") - F.col("b_amount_due")) <= tolerance(F.col("a_amount_due"), params))
+        return a.join(b, cond)
+
+    met = join(home, home.unionAll(abroad)).unionAll(join(abroad, home))
+    return met.select(
         F.col("a_customer_id").alias("customer_id"),
         "a_invoice_id", "b_invoice_id", "a_ps", "a_pe", "b_ps", "b_pe",
         F.col("a_amount_due").alias("a_amount"), F.col("b_amount_due").alias("b_amount"),
     )
+
+
+def overlap_counts(invoices: DataFrame) -> DataFrame:
+    """``customer_id, invoice_id, overlapping``: how many other statements of the customer overlap each one.
+
+    Statements without customer, start or end, or that end before they start, are left out.
+    """
+    periods = statement_periods(invoices).dropna(subset=["customer_id", "ps", "pe"]).filter("ps <= pe")
+    marks = periods.select("customer_id", F.col("ps").alias("day"), F.lit(1).alias("starts"), F.lit(0).alias("ends")).unionAll(
+        periods.select("customer_id", F.col("pe").alias("day"), F.lit(0), F.lit(1)))
+    days = marks.groupBy("customer_id", "day").agg(F.sum("starts").alias("starts"), F.sum("ends").alias("ends"))
+    w = Window.partitionBy("customer_id").orderBy("day")
+    sums = days.select(
+        F.col("customer_id").alias("c"), "day",
+        F.sum("starts").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("started"),
+        F.coalesce(F.sum("ends").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ended"))
+    at_end = sums.select(F.col("c").alias("_ce"), F.col("day").alias("_de"), "started")
+    at_start = sums.select(F.col("c").alias("_cs"), F.col("day").alias("_ds"), "ended")
+    both = periods.join(at_end, (F.col("customer_id") == F.col("_ce")) & (F.col("pe") == F.col("_de"))).join(
+        at_start, (F.col("customer_id") == F.col("_cs")) & (F.col("ps") == F.col("_ds")))
+    return both.select("customer_id", "invoice_id", (F.col("started") - F.col("ended") - 1).alias("overlapping"))

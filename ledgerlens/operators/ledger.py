@@ -3,15 +3,10 @@
 Scale design
 ------------
 A customer may own a large share of all ledger rows, and a window partition is one
-task.  So no window here ranges over a customer's raw entries.  The work is split in
-two levels:
-
-* day level: entries are pre-aggregated to one row per (customer, day) with a
-  map-side partial sum, and only that table is windowed per customer.  Its size per
-  customer is bounded by the calendar (one row per day), not by the data volume;
-* entry level: the within-day running sum is windowed per (customer, day, slice),
-  where a hot customer-day is range-split into ordered slices (``operators.skew``)
-  and the balance carried into each slice enters its window as a leading row.
+task.  Day level: entries are pre-aggregated to one row per (customer, day) with a
+map-side partial sum, and only that table is windowed per customer; its size per
+customer is bounded by the calendar.  Entry level: the running balance is windowed per
+customer, and per slice of the order for hot customers (``operators.skew``).
 
 The as-of lookup ("balance at the end of day d") unions the valid entries with the
 (customer, d) targets, reduces them by one aggregate to a row per (customer, day),
@@ -26,7 +21,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.skew import SLICE, hot_groups, split_hot_groups
+from ledgerlens.operators.skew import SLICE, renamed, same, separate
 from ledgerlens.params import DetectorParams
 
 _UNBOUNDED = Window.unboundedPreceding
@@ -59,76 +54,61 @@ def running_balance(entries: DataFrame, params: DetectorParams = DetectorParams(
     """Balance after each valid entry, ordered by (effective_date, entry_id).
 
     Returns ``customer_id, effective_date, entry_id, running_balance``.  Entries with
-    an identical (date, entry_id) share one value (a RANGE frame), as a plain ordered
-    window sum would give.
-
-    Rows are windowed per (customer, day, slice), where a hot customer-day is
-    range-split into slices (``operators.skew``).  The balance carried into each slice
-    comes from a running sum per customer over one row per slice; it enters the slice
-    window as an extra leading row, so no join is needed and null keys group exactly
-    as in a plain window.
+    an identical (date, entry_id) share one value (a RANGE frame).
+
+    One plain window serves every ordinary customer.  A hot customer's entries are cut
+    into slices of the order (``operators.skew``): a window per slice, plus the total of
+    the slices before it.
     """
     valid = valid_entries(entries).select("customer_id", "effective_date", "entry_id", "amount")
-    day_keys = ["customer_id", "effective_date"]
-    keys = day_keys + [SLICE]
-    # One aggregate per customer-day serves both the hot-group check and the carry-in.
-    days = valid.groupBy(*day_keys).agg(F.count(F.lit(1)).alias("_n"), F.sum("amount").alias("_tot"))
-    hot = hot_groups(valid, day_keys, params, counts=days) if params.split_hot else None
-    sliced = split_hot_groups(valid, day_keys, ["entry_id"], params, hot=hot)
-    # Blocks in (day, slice) order: an ordinary day is one block (slice 0); a hot day is
-    # its slices, whose totals come from the hot rows only (the ordinary branch of the
-    # union is pruned by the filter).
-    ordinary_days = days if hot is None else days.join(F.broadcast(hot), day_keys, "left_anti")
-    blocks = ordinary_days.select(*day_keys, F.lit(0).alias(SLICE), "_tot")
-    if hot is not None:
-        blocks = blocks.unionByName(
-            sliced.filter(F.col(SLICE) > 0).groupBy(*keys).agg(F.sum("amount").alias("_tot"))
-        )
-    w_prev = Window.partitionBy("customer_id").orderBy("effective_date", SLICE).rowsBetween(_UNBOUNDED, -1)
-    carry = blocks.select(
-        *keys,
-        F.lit(None).cast("string").alias("entry_id"),
-        F.coalesce(F.sum("_tot").over(w_prev), F.lit(0)).alias("amount"),
-        F.lit(0).alias("_kind"),
-    )
-    # Entry amounts are widened to the carried sum's (wider) decimal type.
-    money_sum = carry.schema["amount"].dataType
-    rows = sliced.select(*keys, "entry_id", F.col("amount").cast(money_sum).alias("amount"),
-                         F.lit(1).alias("_kind")).unionByName(carry)
-    w = Window.partitionBy(*keys).orderBy("_kind", "entry_id")
-    return (
-        rows.withColumn("running_balance", F.sum("amount").over(w))
-        .filter(F.col("_kind") == 1)
-        .select("customer_id", "effective_date", "entry_id", "running_balance")
-    )
-
-
-def balance_asof(targets: DataFrame, entries: DataFrame, date_col: str = "date",
+    order = ["effective_date", "entry_id"]
+    out = ["customer_id", *order, "running_balance"]
+    ordinary, hot = separate(valid, ["customer_id"], order, params)
+    plain = ordinary.withColumn("running_balance", F.sum("amount").over(Window.partitionBy("customer_id").orderBy(*order)))
+    if hot is None:
+        return plain.select(*out)
+    keys = ["customer_id", SLICE]
+    earlier = Window.partitionBy("customer_id").orderBy(SLICE).rowsBetween(_UNBOUNDED, -1)
+    carried = renamed(hot.groupBy(*keys).agg(F.sum("amount").alias("_total")).select(
+        *keys, F.sum("_total").over(earlier).alias("_carried")), keys)
+    inside = hot.withColumn("_inside", F.sum("amount").over(Window.partitionBy(*keys).orderBy(*order)))
+    split = inside.join(carried, same(keys, inside, carried)).withColumn(
+        "running_balance", F.when(F.col("_inside").isNull(), F.col("_carried"))
+        .otherwise(F.col("_inside") + F.coalesce("_carried", F.lit(0))))
+    return plain.select(*out).unionByName(split.select(*out))
+
+
+def entry_amounts(entries: DataFrame) -> DataFrame:
+    """``customer_id, date, amount`` of the valid entries: what the as-of lookup adds up."""
+    return valid_entries(entries).select("customer_id", F.col("effective_date").alias("date"), "amount")
+
+
+def day_amounts(end_of_day: DataFrame) -> DataFrame:
+    """The same from an end-of-day balance table, one row per customer-day."""
+    return end_of_day.select("customer_id", F.col("effective_date").alias("date"), F.col("day_amount").alias("amount"))
+
+
+def balance_asof(targets: DataFrame, amounts: DataFrame, date_col: str = "date",
                  out_col: str = "running_balance") -> DataFrame:
     """End-of-day balance of each distinct (customer_id, date) target.
 
-    Null when the customer has no valid entry on or before the date.  One row per
-    distinct target.
+    ``amounts`` is :func:`entry_amounts` or :func:`day_amounts`.  Null when the customer has
+    no amount on or before the date.  One row per distinct target; amounts without a
+    customer belong to no target.
 
-    Plan: the valid entries and the targets are unioned and reduced by ONE aggregate
-    to a row per (customer, day) carrying the day's net amount and whether the day is
-    a target (map-side partial aggregation, one shuffle); ONE running sum per customer
-    over those day rows then gives every target its end-of-day balance (one shuffle).
-    A day with no entries contributes a null amount, so a target with no earlier
-    entry gets a null balance.
+    Plan: amounts and targets are unioned and reduced by ONE aggregate to a row per
+    (customer, day) carrying the day's net amount and whether the day is a target
+    (map-side partial aggregation, one shuffle); ONE running sum per customer over those
+    day rows then gives every target its balance (one shuffle).
     """
-    amounts = valid_entries(entries).select(
-        "customer_id", F.col("effective_date").alias("_d"), F.col("amount").alias("_amt"),
-        F.lit(False).alias("_t"),
-    )
-    amt_type = amounts.schema["_amt"].dataType
+    moved = amounts.filter(F.col("customer_id").isNotNull()).select(
+        "customer_id", F.col("date").alias("_d"), F.col("amount").alias("_amt"), F.lit(False).alias("_t"))
+    kind = moved.schema["_amt"].dataType
     wanted = targets.select(
-        "customer_id", F.col(date_col).alias("_d"), F.lit(None).cast(amt_type).alias("_amt"),
-        F.lit(True).alias("_t"),
+        "customer_id", F.col(date_col).alias("_d"), F.lit(None).cast(kind).alias("_amt"), F.lit(True).alias("_t"),
     ).filter(F.col("_d").isNotNull())
-    days = amounts.unionByName(wanted).groupBy("customer_id", "_d").agg(
-        F.sum("_amt").alias("_day"), F.max("_t").alias("_is_target")
-    )
+    days = moved.unionByName(wanted).groupBy("customer_id", "_d").agg(
+        F.sum("_amt").alias("_day"), F.max("_t").alias("_is_target"))
     w = Window.partitionBy("customer_id").orderBy("_d").rowsBetween(_UNBOUNDED, 0)
     return (
         days.withColumn(out_col, F.sum("_day").over(w))
@@ -137,7 +117,7 @@ def balance_asof(targets: DataFrame, entries: DataFrame, date_col: str = "date",
     )
 
 
-def balance_lookup(entries: DataFrame, target_sets: list[tuple[DataFrame, str]]) -> DataFrame:
+def balance_lookup(amounts: DataFrame, target_sets: list[tuple[DataFrame, str]]) -> DataFrame:
     """One as-of lookup serving several target sets: ``customer_id, date, balance``.
 
     Each consumer joins back to the same lookup, so the ledger is aggregated once for
@@ -147,10 +127,10 @@ def balance_lookup(entries: DataFrame, target_sets: list[tuple[DataFrame, str]])
         lambda a, b: a.unionByName(b),
         [df.select("customer_id", F.col(col).alias("date")) for df, col in target_sets],
     )
-    return balance_asof(targets, entries, "date", "balance")
+    return balance_asof(targets, amounts, "date", "balance")
 
 
-def attach_balance(df: DataFrame, entries: DataFrame, date_col: str, out_col: str = "balance",
+def attach_balance(df: DataFrame, amounts: DataFrame, date_col: str, out_col: str = "balance",
                    lookup: DataFrame | None = None) -> DataFrame:
     """Left-join each row of ``df`` to its customer's end-of-day balance at ``date_col``.
 
@@ -159,7 +139,7 @@ def attach_balance(df: DataFrame, entries: DataFrame, date_col: str, out_col: st
     turns into a broadcast when the lookup is small, or splits when a key is skewed.
     """
     if lookup is None:
-        lookup = balance_lookup(entries, [(df, date_col)])
+        lookup = balance_lookup(amounts, [(df, date_col)])
     bal = lookup.select(F.col("customer_id").alias("_bc"), F.col("date").alias("_bd"),
                         F.col("balance").alias(out_col))
     joined = df.join(

@@ -6,15 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.allocations import allocated_at_sent, allocated_per_invoice
-from ledgerlens.operators.ledger import attach_balance
+from ledgerlens.operators.ledger import attach_balance, entry_amounts
 from ledgerlens.params import DetectorParams
 
-NOTICE_COLUMNS = [
-    "customer_id", "invoice_id", "amount_due", "sent_date",
-    "allocated_total_at_sent", "balance_at_sent", "in_credit",
-]
-
-
 def under_allocated(invoices: DataFrame, allocations: DataFrame, params: DetectorParams) -> DataFrame:
     """Invoices whose allocated total at the sent date is strictly below the amount due."""
     return allocated_at_sent(invoices, allocations, params).filter(
@@ -24,13 +18,18 @@ def under_allocated(invoices: DataFrame, allocations: DataFrame, params: Detecto
 
 def naive_notices(invoices: DataFrame, allocations: DataFrame, entries: DataFrame,
                   params: DetectorParams, lookup: DataFrame | None = None) -> DataFrame:
-    """Arrears notices a naive rule sends, with the ledger balance at the sent date.
+    """Arrears notices a naive rule sends, with the ledger balance at the sent date."""
+    return notices_of(allocated_at_sent(invoices, allocations, params), entry_amounts(entries), lookup)
+
+
+def notices_of(at_sent: DataFrame, amounts: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
+    """The notices of invoices with their total at the sent date (the Silver invoice table).
 
     A customer without any ledger history counts as balance 0, i.e. in credit.
     ``lookup`` may be a shared balance lookup that covers the notice dates.
     """
-    under = under_allocated(invoices, allocations, params)
-    withbal = attach_balance(under, entries, "sent_date", "_bal", lookup)
+    under = at_sent.filter(F.col("allocated_total_at_sent") < F.col("amount_due"))
+    withbal = attach_balance(under, amounts, "sent_date", "_bal", lookup)
     bal = F.coalesce(F.col("_bal"), F.lit(0))
     return withbal.select(
         "customer_id", "invoice_id", "amount_due", "sent_date", "allocated_total_at_sent",
@@ -63,7 +62,7 @@ def invoice_position(invoices: DataFrame, allocations: DataFrame, entries: DataF
     pos = at_sent.join(total, "invoice_id", "left").withColumn(
         "due_date", F.date_sub(F.col("sent_date"), params.grace_days)
     )
-    pos = attach_balance(pos, entries, "due_date", "_bal")
+    pos = attach_balance(pos, entry_amounts(entries), "due_date", "_bal")
     return pos.select(
         "invoice_id", "customer_id", "amount_due", "due_date", "sent_date",
         F.coalesce(F.col("allocated_total"), F.lit(0)).alias("allocated_total"),

@@ -1,25 +1,26 @@
-"""Splitting hot groups of an ordered window into contiguous, balanced slices.
+"""Ordered windows over groups of which some hold very many rows.
 
-A window partition is one task.  Where a window is partitioned by a key that may be
-hot (one group holding a large share of all rows), the rows get a ``_slice`` column:
+A window partition is one task.  ``separate`` tells the ordinary groups, whose rows go
+straight into a plain window, from the hot ones (more than ``hot_group_rows`` rows), whose
+rows get a ``_slice``: a number that grows with the window's order and cuts a group into
+pieces of about ``hot_group_rows`` rows.  A window over (group, slice) then handles each
+slice in a task of its own, and what the slices before it carry in is joined to it.
 
-* ordinary groups: slice 0;
-* hot groups (more rows than ``max(hot_group_rows, total / max_hot_groups)``): the
-  rows are range-partitioned on (group keys, order columns) and the slice is the range
-  partition number.  Range partitioning (sampled bounds) cuts a hot group into
-  contiguous pieces of balanced size, so slices of a group increase with the order.
+Slices follow bounds that are rows of the group itself, chosen by a hash of their order
+columns.  So they are a function of the data alone: every use of the sliced rows, on every
+attempt of a task and whatever exchanges Spark reuses, sees the same slices.  Groups match
+null-safely, and rows of equal order columns share a slice.
 
-A window over (group keys, _slice) then handles each slice in its own task; callers
-carry a running value across slices with a second, small window over one row per
-slice.  At most ``max_hot_groups`` groups can exceed ``total / max_hot_groups`` rows,
-so the hot-key table has a proven size bound and is broadcast.
+Only the list of hot groups is broadcast; it is cut at the ``max_hot_groups`` largest.
+Smaller groups beyond that list stay in the plain window, which gives the same result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.params import DetectorParams
@@ -27,39 +28,45 @@ from ledgerlens.params import DetectorParams
 SLICE = "_slice"
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], params: DetectorParams,
-               counts: DataFrame | None = None) -> DataFrame:
-    """Keys of the groups that must be split (at most ``params.max_hot_groups`` rows).
+def same(keys: Sequence[str], left: DataFrame, right: DataFrame) -> Column:
+    """Null-safe equality of all ``keys`` of two frames (the right one's carry a leading ``_k_``)."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_k_{k}"]) for k in keys])
 
-    ``counts`` (keys plus ``_n`` rows per group) may be passed when the caller computes
-    that aggregate anyway, so the input is not read again for it.
-    """
-    if counts is None:
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.select(F.sum("_n")).scalar()
-    threshold = F.greatest(F.lit(params.hot_group_rows).cast("double"),
-                           total.cast("double") / F.lit(float(params.max_hot_groups)))
-    return counts.filter(F.col("_n") > threshold).select(*keys)
 
+def renamed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.withColumnsRenamed({k: f"_k_{k}" for k in keys})
 
-def split_hot_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                     params: DetectorParams, hot: DataFrame | None = None) -> DataFrame:
-    """``df`` plus ``_slice``: 0 for ordinary groups, 1.. increasing with ``order`` for hot ones.
 
-    ``hot`` may be the caller's :func:`hot_groups` result (it is broadcast here).
-    """
+def hot_groups(df: DataFrame, keys: Sequence[str], params: DetectorParams) -> DataFrame:
+    """Keys of the groups of over ``hot_group_rows`` rows, at most ``max_hot_groups`` of them, largest first."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > params.hot_group_rows)
+    return counts.orderBy(F.desc("_n"), *keys).limit(params.max_hot_groups).select(*keys)
+
+
+def _bounds_below(bounds: Column, value: Column) -> Column:
+    """How many of the sorted ``bounds`` lie below ``value``, by bisection."""
+    pair = lambda lo, hi: F.struct(lo.cast("int").alias("lo"), hi.cast("int").alias("hi"))
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        below = F.get(bounds, middle) < value
+        return F.when(s["lo"] >= s["hi"], s).when(below, pair(middle + 1, s["hi"])).otherwise(pair(s["lo"], middle))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(bounds) + 1)).cast("int"))
+    return F.aggregate(steps, pair(F.lit(0), F.size(bounds)), halve, lambda s: s["lo"])
+
+
+def separate(df: DataFrame, keys: Sequence[str], order: Sequence[str], params: DetectorParams) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary groups, rows of hot groups with ``_slice``); no second frame where splitting is off."""
     keys, order = list(keys), list(order)
     if not params.split_hot:
-        return df.withColumn(SLICE, F.lit(0))
-    if hot is None:
-        hot = hot_groups(df, keys, params)
-    hot = F.broadcast(hot)  # <= max_hot_groups rows by pigeonhole
-    ordinary = df.join(hot, keys, "left_anti").withColumn(SLICE, F.lit(0))
-    # An explicit count keeps AQE from merging the slices again.
-    parts = params.hot_split_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    heavy = (
-        df.join(hot, keys, "left_semi")
-        .repartitionByRange(parts, *keys, *order)
-        .withColumn(SLICE, F.spark_partition_id() + 1)
-    )
-    return ordinary.unionByName(heavy)
+        return df, None
+    hot = F.broadcast(renamed(hot_groups(df, keys, params), keys))  # max_hot_groups rows at most
+    ordinary = df.join(hot, same(keys, df, hot), "left_anti")
+    heavy = df.join(hot, same(keys, df, hot), "left_semi")
+    place = F.struct(*order)
+    chosen = heavy.filter(F.pmod(F.xxhash64(*order), F.lit(params.hot_group_rows)) == 0)
+    bounds = renamed(chosen.groupBy(*keys).agg(F.sort_array(F.collect_set(place)).alias("_bounds")), keys)
+    found = heavy.join(bounds, same(keys, heavy, bounds), "left")
+    sliced = found.withColumn(SLICE, F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(_bounds_below(F.col("_bounds"), place)))
+    return ordinary, sliced.select(*df.columns, SLICE)

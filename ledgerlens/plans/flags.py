@@ -14,40 +14,43 @@ from ledgerlens.params import DetectorParams
 
 
 def build_silver(tables: dict[str, DataFrame], params: DetectorParams = DetectorParams()) -> dict[str, DataFrame]:
-    """The three Silver tables: running balance, invoices with allocated-at-sent, notices."""
+    """The Silver tables that come from Bronze alone: balances per entry and per day, invoices at their sent date."""
     inv, alloc, ent = tables["invoices"], tables["invoice_allocations"], tables["ledger_entries"]
     return {
         "silver_running_balance": L.running_balance(ent, params),
+        "silver_end_of_day": L.end_of_day_balance(ent),
         "silver_invoices": A.allocated_at_sent(inv, alloc, params),
-        "silver_notices": N.naive_notices(inv, alloc, ent, params),
     }
 
 
 def gold_frames(tables: dict[str, DataFrame], params: DetectorParams = DetectorParams(),
-                notices: DataFrame | None = None) -> dict[int, DataFrame]:
-    """The five rule outputs, keyed by rule id (each in the common schema)."""
+                silver: dict[str, DataFrame] | None = None) -> dict[int, DataFrame]:
+    """The five rule outputs, keyed by rule id (each in the common schema).
+
+    With ``silver`` (as written by the medallion stage) rules 1 and 4 read its notices and
+    end-of-day balances; without it one as-of lookup over one allocated-at-sent table serves both.
+    """
     inv, alloc, ent = tables["invoices"], tables["invoice_allocations"], tables["ledger_entries"]
-    if notices is None:
-        # One as-of lookup serves both the notice dates (rule 1) and the dishonour
-        # dates (rule 4): the ledger is aggregated once for the two rules.
-        lookup = L.balance_lookup(ent, [
-            (N.under_allocated(inv, alloc, params), "sent_date"),
+    if silver is not None:
+        notices, lookup, amounts = silver["silver_notices"], None, L.day_amounts(silver["silver_end_of_day"])
+    else:
+        at_sent, amounts = A.allocated_at_sent(inv, alloc, params), L.entry_amounts(ent)
+        lookup = L.balance_lookup(amounts, [
+            (at_sent.filter("allocated_total_at_sent < amount_due"), "sent_date"),
             (L.dishonoured_entries(ent), "effective_date"),
         ])
-        notices = N.naive_notices(inv, alloc, ent, params, lookup)
-    else:
-        lookup = None
+        notices = N.notices_of(at_sent, amounts, lookup)
     return {
         1: R.rule1_wrongful_notice(notices, params),
         2: R.rule2_orphaned_credit(ent, alloc, inv, params),
         3: R.rule3_statement_gap(inv, params),
-        4: R.rule4_dishonour(ent, params, lookup),
+        4: R.rule4_dishonour(ent, params, lookup, amounts),
         5: R.rule5_duplicate_invoice(inv, params),
     }
 
 
 def flagged_accounts(tables: dict[str, DataFrame], params: DetectorParams = DetectorParams(),
-                     notices: DataFrame | None = None) -> DataFrame:
+                     silver: dict[str, DataFrame] | None = None) -> DataFrame:
     """The Gold table: union by name of the five rules, one row per anomaly instance."""
-    frames = list(gold_frames(tables, params, notices).values())
+    frames = list(gold_frames(tables, params, silver).values())
     return reduce(lambda a, b: a.unionByName(b), frames)

@@ -8,14 +8,19 @@ on shared storage (e.g. under ``spark.checkpoint.dir``), never on a machine-loca
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerlens.operators import ledger as L
+from ledgerlens.operators import notices as N
 from ledgerlens.params import DetectorParams
 from ledgerlens.plans import flags as G
 from ledgerlens.plans import reports as Rp
-from ledgerlens.sources.bronze import TABLES, read_table, read_tables, require
+from ledgerlens.sources.bronze import TABLES, read_bronze_csv, read_table, read_tables
 
-SILVER_TABLES = ("silver_running_balance", "silver_invoices", "silver_notices")
+SILVER_TABLES = ("silver_running_balance", "silver_end_of_day", "silver_invoices", "silver_notices")
 
 
 def _p(base: str, *parts: str) -> str:
@@ -23,10 +28,18 @@ def _p(base: str, *parts: str) -> str:
 
 
 def _write(df: DataFrame, path: str, fmt: str, partition_by: str | None = None) -> None:
-    w = df.write.mode("overwrite").format(fmt)
+    """Write beside ``path`` and put the finished table in its place: a failed write leaves the old one."""
+    staged = f"{path}.{uuid.uuid4().hex[:12]}"
+    w = df.write.format(fmt)
     if partition_by:
         w = w.partitionBy(partition_by)
-    w.save(path)
+    w.save(staged)
+    jvm = df.sparkSession.sparkContext._jvm
+    new, old = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(path)
+    fs = new.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise RuntimeError(f"the finished table {staged} could not be moved to {path}")
 
 
 def run_bronze(tables: dict[str, DataFrame], root: str, fmt: str = "parquet") -> None:
@@ -35,20 +48,37 @@ def run_bronze(tables: dict[str, DataFrame], root: str, fmt: str = "parquet") ->
         _write(tables[name], _p(root, "bronze", name), fmt)
 
 
+def run_bronze_csv(spark: SparkSession, files: dict[str, str], root: str, fmt: str = "parquet") -> dict[str, int]:
+    """Bronze from CSV files ``{table: path}``: typed rows and, beside them, every rejected row.
+
+    Returns the number of rejected rows by table.
+    """
+    rejected = {}
+    for name in TABLES:
+        good, rejects = read_bronze_csv(spark, files[name], name)
+        _write(good, _p(root, "bronze", name), fmt)
+        _write(rejects, _p(root, "bronze_rejects", name), fmt)
+        rejected[name] = read_table(spark, _p(root, "bronze_rejects", name), fmt).count()
+    return rejected
+
+
 def run_silver(spark: SparkSession, root: str, params: DetectorParams = DetectorParams(),
                fmt: str = "parquet") -> None:
     bronze = read_tables(spark, _p(root, "bronze"), fmt=fmt)
     for name, df in G.build_silver(bronze, params).items():
         _write(df, _p(root, "silver", name), fmt)
+    at_sent, days = (read_table(spark, _p(root, "silver", n), fmt) for n in ("silver_invoices", "silver_end_of_day"))
+    _write(N.notices_of(at_sent, L.day_amounts(days)), _p(root, "silver", "silver_notices"), fmt)
 
 
 def run_gold(spark: SparkSession, root: str, params: DetectorParams = DetectorParams(),
              fmt: str = "parquet") -> None:
     bronze = read_tables(spark, _p(root, "bronze"), fmt=fmt)
-    require(spark, *[_p(root, "silver", n) for n in SILVER_TABLES], fmt=fmt)
-    notices = read_table(spark, _p(root, "silver", "silver_notices"), fmt)
-    flagged = G.flagged_accounts(bronze, params, notices=notices)
-    _write(flagged, _p(root, "gold", "flagged_accounts"), fmt, partition_by="rule_id")
+    silver = read_tables(spark, _p(root, "silver"), SILVER_TABLES, fmt)
+    flagged = G.flagged_accounts(bronze, params, silver)
+    # a few files per rule, not one per rule and task
+    dealt = flagged.repartition(F.col("rule_id"), F.pmod(F.xxhash64("flag_id"), F.lit(16)))
+    _write(dealt, _p(root, "gold", "flagged_accounts"), fmt, partition_by="rule_id")
 
 
 def read_gold(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:

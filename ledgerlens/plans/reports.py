@@ -39,11 +39,12 @@ def flag_drilldown(flags: DataFrame) -> DataFrame:
     return (
         flags.join(F.broadcast(dim), "rule_id")
         .select(
-            "customer_id", "rule_id", "rule_label", "severity", "amount",
+            "flag_id", "customer_id", "rule_id", "rule_label", "severity", "amount",
             F.coalesce(F.col("invoice_id"), F.lit("")).alias("invoice_id"),
             "flag_date", "explanation",
         )
-        .orderBy(severity_rank_col("severity"), "customer_id", "rule_id")
+        .orderBy(severity_rank_col("severity"), "customer_id", "rule_id", "flag_id")
+        .drop("flag_id")
     )
 
 

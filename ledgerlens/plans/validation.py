@@ -5,8 +5,9 @@ customer_id, affected_invoice_id ('' when the defect has no invoice), expected_r
 expected_severity, injected_amount``.  A label is recalled when a flag of its rule
 exists for its customer and, if it names an invoice, for that invoice.
 
-Every match is a semi/anti join against a *distinct* key set, so a customer with
-many flags and many labels never produces a per-customer cross product.
+Flags and labels are matched by key: counted by it where counts are asked for, and joined to a
+*distinct* key set where rows are, so a customer with many flags and many labels never
+produces a per-customer cross product.
 """
 
 from __future__ import annotations
@@ -21,23 +22,6 @@ from ledgerlens.functions.severity import severity_rank_col
 from ledgerlens.params import FAMILY_RULE, SEVERITY_RANK
 
 
-def manifest_from_flags(flags: DataFrame) -> DataFrame:
-    """Turn a flag table into labels (e.g. flags of a trusted labelling run)."""
-    family = None
-    for fam, rule in FAMILY_RULE.items():
-        family = (F.when(F.col("rule_id") == rule, F.lit(fam)) if family is None
-                  else family.when(F.col("rule_id") == rule, F.lit(fam)))
-    return flags.select(
-        F.col("flag_id").alias("defect_id"),
-        family.alias("defect_family"),
-        "customer_id",
-        F.coalesce(F.col("invoice_id"), F.lit("")).alias("affected_invoice_id"),
-        F.col("rule_id").alias("expected_rule"),
-        F.col("severity").alias("expected_severity"),
-        F.col("amount").alias("injected_amount"),
-    )
-
-
 def manifest_shape(labels: DataFrame) -> DataFrame:
     """Per defect family: label count and labels whose rule is not the family's rule."""
     fam = labels.sparkSession.createDataFrame(
@@ -93,21 +77,33 @@ def _flag_hits(flags: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def _keys(df: DataFrame, rule: str, invoice: str, *more: Column) -> DataFrame:
+    """One row per (customer, rule, invoice or '') with the number of rows: what flags and labels are matched by."""
+    return df.groupBy(F.col("customer_id").alias("c"), F.col(rule).alias("r"), F.coalesce(F.col(invoice), F.lit("")).alias("i")).agg(
+        F.count(F.lit(1)).alias("n"), *more)
+
+
 def detection_scorecard(flags: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per rule: expected, recalled, flagged, true flags, recall and precision."""
-    lab = _label_hits(labels, flags).groupBy(F.col("expected_rule").alias("rule_id")).agg(
-        F.count(F.lit(1)).alias("expected"), F.count_if(F.col("hit")).alias("recalled")
-    )
-    fl = _flag_hits(flags, labels).groupBy("rule_id").agg(
-        F.count(F.lit(1)).alias("flagged"), F.count_if(F.col("hit")).alias("true_flags")
-    )
+    """Per rule: expected, recalled, flagged, true flags, recall and precision.
+
+    Flags and labels are counted by key before they meet, so no customer's rows are joined one by one.
+    """
+    flag_keys, label_keys = _keys(flags, "rule_id", "invoice_id"), _keys(labels, "expected_rule", "affected_invoice_id")
+    named, open_ = label_keys.filter("i <> ''"), label_keys.filter("i = ''").drop("i")
+    by_rule = lambda df, n, hits: df.groupBy(F.col("r").alias("rule_id")).agg(
+        F.sum("n").alias(n), F.sum(F.when(F.col("hit"), F.col("n"))).alias(hits))
+    yes = F.lit(True)
+    found = named.join(flag_keys.select("c", "r", "i", yes.alias("hit")), ["c", "r", "i"], "left").drop("i").unionByName(
+        open_.join(flag_keys.select("c", "r", yes.alias("hit")).distinct(), ["c", "r"], "left"))
+    judged = flag_keys.join(named.select("c", "r", "i", yes.alias("by_invoice")), ["c", "r", "i"], "left").join(
+        open_.select("c", "r", yes.alias("by_customer")), ["c", "r"], "left").withColumn("hit", F.coalesce("by_invoice", "by_customer"))
     dim = F.broadcast(rule_dimension(flags.sparkSession).select("rule_id"))  # five rows
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
-    return dim.join(lab, "rule_id", "left").join(fl, "rule_id", "left").select(
-        "rule_id", z("expected").alias("expected"), z("recalled").alias("recalled"),
-        z("flagged").alias("flagged"), z("true_flags").alias("true_flags"),
-        F.try_divide(F.col("recalled").cast("double"), F.col("expected")).alias("recall"),
-        F.try_divide(F.col("true_flags").cast("double"), F.col("flagged")).alias("precision"),
+    return dim.join(by_rule(found, "expected", "recalled"), "rule_id", "left").join(
+        by_rule(judged, "flagged", "true_flags"), "rule_id", "left").select(
+        "rule_id", *[z(c).alias(c) for c in ("expected", "recalled", "flagged", "true_flags")],
+        F.try_divide(z("recalled").cast("double"), F.col("expected")).alias("recall"),
+        F.try_divide(z("true_flags").cast("double"), F.col("flagged")).alias("precision"),
     )
 
 
@@ -132,22 +128,13 @@ def severity_confusion(flags: DataFrame, labels: DataFrame) -> DataFrame:
     for rank, name in names.items():
         back = (F.when(F.col("_rank") == rank, F.lit(name)) if back is None
                 else back.when(F.col("_rank") == rank, F.lit(name)))
-    keyed = flags.groupBy(
-        F.col("customer_id").alias("_c"), F.col("rule_id").alias("_r"),
-        F.coalesce(F.col("invoice_id"), F.lit("")).alias("_i"),
-    ).agg(F.min(severity_rank_col("severity")).alias("_rank")).withColumn(
-        "_assigned", back.otherwise(F.lit("unknown"))
-    )
-    j = labels.join(
-        keyed,
-        (F.col("customer_id") == F.col("_c")) & (F.col("expected_rule") == F.col("_r"))
-        & (F.col("affected_invoice_id") == F.col("_i")),
-        "left",
-    )
-    return j.groupBy(
-        "expected_rule", "expected_severity",
-        F.coalesce(F.col("_assigned"), F.lit("missing")).alias("assigned_severity"),
-    ).agg(F.count(F.lit(1)).alias("labels"))
+    assigned = _keys(flags, "rule_id", "invoice_id", F.min(severity_rank_col("severity")).alias("_rank")).select(
+        "c", "r", "i", back.otherwise(F.lit("unknown")).alias("assigned"))
+    expected = labels.groupBy(F.col("customer_id").alias("c"), F.col("expected_rule").alias("r"), F.col("affected_invoice_id").alias("i"),
+                              "expected_severity").agg(F.count(F.lit(1)).alias("n"))
+    return expected.join(assigned, ["c", "r", "i"], "left").groupBy(
+        F.col("r").alias("expected_rule"), "expected_severity", F.coalesce("assigned", F.lit("missing")).alias("assigned_severity"),
+    ).agg(F.sum("n").alias("labels"))
 
 
 def set_diff(left: DataFrame, right: DataFrame, left_name: str = "left_only",
@@ -205,9 +192,13 @@ def _dup_rows(df: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def _orphans(child: DataFrame, parent: DataFrame, key: str, name: str) -> DataFrame:
-    # A row whose key is null has no parent either (as NOT EXISTS would say).
-    missing = child.select(key).join(parent.select(key).distinct(), key, "left_anti")
-    return missing.agg(F.count(F.lit(1)).cast("long").alias("violations")).select(
+    """Rows of ``child`` whose key ``parent`` lacks; a null key has no parent either (as NOT EXISTS would say).
+
+    The child is counted by key first, so a hot key is one row in the join.
+    """
+    counted = child.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    missing = counted.join(parent.select(key).distinct(), key, "left_anti")
+    return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations")).select(
         F.lit(name).alias("check_name"), "violations"
     )
 

@@ -69,7 +69,6 @@ FLAGGED_ACCOUNTS = T.StructType([
     T.StructField("flag_date", T.StringType()),
     T.StructField("explanation", T.StringType()),
 ])
-FLAG_COLUMNS = [f.name for f in FLAGGED_ACCOUNTS.fields]
 
 # Ground-truth labels: one row per planted defect.
 MANIFEST = T.StructType([

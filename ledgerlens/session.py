@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,25 +31,21 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint location.
+def checkpoint_base(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, else the one set on the context.
 
-    The location comes from ``spark.checkpoint.dir`` (set by the cluster).  Only when
-    it is unset (local tests) do we fall back to a folder under /tmp.
+    A local session without one gets a temporary folder; on a cluster that is an error, since
+    every executor would write to a disk of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = os.path.join("/tmp", "ledgerlens-checkpoints")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; intermediate tables need a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="ledgerlens-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``df.checkpoint()`` usable: reuse the configured folder, set one only if unset."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    target = conf or os.path.join("/tmp", "ledgerlens-checkpoints")
-    spark.sparkContext.setCheckpointDir(target)
-    return spark.sparkContext.getCheckpointDir()
+    return base.rstrip("/")
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder's path under :func:`checkpoint_base`; whoever asked for it removes it."""
+    return f"{checkpoint_base(spark)}/{name}-{uuid.uuid4().hex[:12]}"

