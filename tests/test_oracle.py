@@ -8,13 +8,13 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+assert os.path.isdir(SF), "the test tables are missing"
 
 
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ["customer", "orders", "lineitem"]:
+    for t in ["customer", "orders", "lineitem", "documents"]:
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 

@@ -11,29 +11,28 @@ from ledgerlens.plans import reports as Rp
 from ledgerlens.plans import validation as V
 from ledgerlens.schemas import FLAGGED_ACCOUNTS, MANIFEST
 from ledgerlens.session import shared_dir
-from ledgerlens.sources.bronze import UpstreamMissing, from_rows, read_bronze_csv, read_table, require
+from ledgerlens.sources.bronze import MissingColumn, UpstreamMissing, from_rows, read_bronze_csv, read_labels_csv, read_table, require
 from tests.conftest import allocations, entries, invoices
 
 
-def sample_flags(spark):
-    rows = [
-        dict(flag_id="R1_I1", rule_id=1, customer_id="C1", invoice_id="I1", amount=59, severity="high",
-             flag_date="2024-04-10", explanation="x"),
-        dict(flag_id="R3_I2", rule_id=3, customer_id="C2", invoice_id="I2", amount=0, severity="medium",
-             flag_date="2024-05-10", explanation="y"),
-        dict(flag_id="R2_e1", rule_id=2, customer_id="C3", invoice_id=None, amount=40, severity="warning",
-             flag_date="2024-11-01", explanation="z"),
-    ]
-    return from_rows(spark, rows, schema=FLAGGED_ACCOUNTS)
+FLAG = [f.name for f in FLAGGED_ACCOUNTS.fields]
+
+
+def some_flags(spark):
+    rows = [("R5_700", 5, "N4", "700", "88.10", "medium", "2022-12-30", "dup"), ("R4_p9", 4, "N5", "", "12.00", "critical", "2023-01-02", "dis"),
+            ("R2_k7", 2, "N6", None, "4.75", "warning", "2023-01-31", "orphan"), ("R5_701", 5, "N4", "701", "300", "high", "2023-02-01", "dup"),
+            ("R2_k6", 2, "N6", None, "6.00", "warning", "2022-12-01", "orphan")]
+    return from_rows(spark, [dict(zip(FLAG, r, strict=True)) for r in rows], schema=FLAGGED_ACCOUNTS)
 
 
 def test_reports(spark):
-    f = sample_flags(spark)
-    assert [(r.rule_id, r.flags) for r in Rp.flags_by_rule(f).collect()] == [(1, 1), (2, 1), (3, 1), (4, 0), (5, 0)]
-    assert [r.month for r in Rp.flags_by_month(f).collect()] == ["2024-04", "2024-05", "2024-11"]
-    dd = Rp.flag_drilldown(f).collect()
-    assert [r.severity for r in dd] == ["high", "medium", "warning"]
-    assert dd[2].invoice_id == "" and dd[2].rule_label == "R2 orphaned credit"
+    f = some_flags(spark)
+    assert [(r.rule_id, r.flags) for r in Rp.flags_by_rule(f).collect()] == [(1, 0), (2, 2), (3, 0), (4, 1), (5, 2)]
+    assert [(r.month, r.flags) for r in Rp.flags_by_month(f).collect()] == [("2022-12", 2), ("2023-01", 2), ("2023-02", 1)]
+    listed = Rp.flag_drilldown(f).collect()
+    assert [(r.severity, r.invoice_id, str(r.amount)) for r in listed] == [
+        ("critical", "", "12.00"), ("high", "701", "300.00"), ("medium", "700", "88.10"), ("warning", "", "6.00"), ("warning", "", "4.75")]
+    assert {r.rule_label for r in listed if r.rule_id == 4} == {"R4 dishonour"}
 
 
 def _labels(spark, rows):
@@ -41,28 +40,26 @@ def _labels(spark, rows):
     return from_rows(spark, [dict(zip(cols, r)) for r in rows], schema=MANIFEST)
 
 
-def test_validation_scorecard_and_sets(spark):
-    f = sample_flags(spark)
+def test_validation_against_labels(spark):
+    f = some_flags(spark)
     labels = _labels(spark, [
-        ("D1", "allocation", "C1", "I1", 1, "critical", 59),
-        ("D2", "stale_unswept_credit", "C3", "", 2, "warning", 40),
-        ("D3", "dishonour", "C9", "P1", 4, "critical", 10),
-    ])
-    sc = {r.rule_id: r for r in V.detection_scorecard(f, labels).collect()}
-    assert (sc[1].expected, sc[1].recalled, sc[1].flagged, sc[1].true_flags) == (1, 1, 1, 1)
-    assert sc[3].true_flags == 0 and sc[3].precision == 0.0 and sc[3].recall is None
-    assert sc[4].recall == 0.0 and sc[5].precision is None
-    assert [r.defect_id for r in V.missed_defects(f, labels).collect()] == ["D3"]
-    assert [r.flag_id for r in V.false_positives(f, labels).collect()] == ["R3_I2"]
-    conf = {(r.expected_rule, r.expected_severity, r.assigned_severity): r.labels
-            for r in V.severity_confusion(f, labels).collect()}
-    assert conf == {(1, "critical", "high"): 1, (2, "warning", "warning"): 1, (4, "critical", "missing"): 1}
-    shape = {r.defect_family: (r.labels, r.rule_mismatches) for r in V.manifest_shape(labels).collect()}
-    assert shape == {"allocation": (1, 0), "stale_unswept_credit": (1, 0), "dishonour": (1, 0)}
-    rs = {r.rule_set: r.customers for r in V.customers_by_rule_set(f).collect()}
-    assert rs == {"1": 1, "2": 1, "3": 1}
-    checks = {r.check_name: r.violations for r in V.flag_contract_checks(f).collect()}
-    assert set(checks.values()) == {0}
+        ("L1", "duplicate_invoice", "N4", "700", 5, "high", 88), ("L2", "duplicate_invoice", "N4", "702", 5, "high", 1),
+        ("L3", "stale_unswept_credit", "N6", "", 2, "warning", 4), ("L4", "stale_unswept_credit", "N7", "", 2, "warning", 4),
+        ("L5", "statement_gap", "N4", "700", 4, "medium", 0)])
+    score = {r.rule_id: (r.expected, r.recalled, r.flagged, r.true_flags, r.recall, r.precision) for r in V.detection_scorecard(f, labels).collect()}
+    assert score == {1: (0, 0, 0, 0, None, None), 2: (2, 1, 2, 2, 0.5, 1.0), 3: (0, 0, 0, 0, None, None),
+                     4: (1, 0, 1, 0, 0.0, 0.0), 5: (2, 1, 2, 1, 0.5, 0.5)}
+    assert sorted(r.defect_id for r in V.missed_defects(f, labels).collect()) == ["L2", "L4", "L5"]
+    assert sorted(r.flag_id for r in V.false_positives(f, labels).collect()) == ["R4_p9", "R5_701"]
+    table = {(r.expected_rule, r.expected_severity, r.assigned_severity): r.labels for r in V.severity_confusion(f, labels).collect()}
+    assert table == {(5, "high", "medium"): 1, (5, "high", "missing"): 1, (2, "warning", "warning"): 1, (2, "warning", "missing"): 1,
+                     (4, "medium", "missing"): 1}
+    assert {r.defect_family: (r.labels, r.rule_mismatches) for r in V.manifest_shape(labels).collect()} == {
+        "duplicate_invoice": (2, 0), "stale_unswept_credit": (2, 0), "statement_gap": (1, 1)}
+    assert {r.rule_set: r.customers for r in V.customers_by_rule_set(f).collect()} == {"2": 1, "4": 1, "5": 1}
+    broken = f.withColumn("severity", F.lit("odd")).withColumn("flag_date", F.lit(" "))
+    assert {r.check_name: r.violations for r in V.flag_contract_checks(broken).collect()} == {
+        "flag_date_present": 5, "invoice_missing_only_for_rule2": 0, "rule_id_known": 0, "severity_known": 5}
 
 
 def test_set_diff_and_digest(spark):
@@ -87,25 +84,60 @@ def test_bronze_quality_checks(spark):
     assert got["period_start_before_end"] == 1 and got["invoice_customer_fk"] == 0
 
 
-def test_csv_source_with_rejects(spark, tmp_path):
-    p = tmp_path / "inv.csv"
-    p.write_text(
-        "invoice_id,customer_id,statement_period_start,statement_period_end,due_date,amount_due,issued_date\n"
-        "I1,A,2024-01-01,2024-01-31,2024-02-05,100.50,2024-01-01\n"
-        "I2,A,2024-02-30,2024-03-31,2024-04-05,100.00,2024-02-01\n"
-    )
-    good, bad = read_bronze_csv(spark, str(p), "invoices", with_rejects=True)
-    assert [r.invoice_id for r in good.collect()] == ["I1"]
-    rej = bad.collect()
-    assert len(rej) == 1 and rej[0].reject_reason == "statement_period_start"
-    assert bad.count() == 1
-
-
-def test_require_reports_missing_upstream(spark, tmp_path):
-    with pytest.raises(UpstreamMissing, match="Pre-flight failed"):
-        require(spark, str(tmp_path / "nope"))
-    with pytest.raises(UpstreamMissing):
-        read_table(spark, str(tmp_path / "nope"))
+HEADER = "invoice_id,customer_id,statement_period_start,statement_period_end,due_date,amount_due,issued_date"
+
+
+@pytest.mark.parametrize(("line", "reason"), [
+    ("I7,N1,2023-04-01,2023-04-30,2023-05-09,10.00,2023-04-01", None), ("I7,N1,2023-04-31,2023-04-30,2023-05-09,10.00,2023-04-01", "statement_period_start"),
+    ("I7,N1,2023-04-01,2023-04-30,2023-05-09,10.005,2023-04-01", "amount_due"), ("I7,N1,2023-04-01,2023-04-30,2023-05-09,10.500,2023-04-01", None),
+    ("I7,N1,2023-04-01,2023-04-30,2023-05-09,oops,oops", "amount_due,issued_date"), ("I7,N1,2023-04-01", "too few fields"),
+    ("I7,N1,2023-04-01,2023-04-30,2023-05-09,10,2023-04-01,x", "too many fields"), ('"I,7",N1,2023-04-01,2023-04-30,2023-05-09,,2023-04-01', None)])
+def test_csv_rows_are_typed_or_rejected(spark, tmp_path, line, reason):
+    path = tmp_path / "invoices.csv"
+    path.write_text(f"{HEADER}\n{line}\n")
+    good, rejects = read_bronze_csv(spark, str(path), "invoices")
+    assert [r.reject_reason for r in rejects.collect()] == ([] if reason is None else [reason])
+    assert [r.customer_id for r in good.collect()] == (["N1"] if reason is None else [])
+
+
+def test_csv_goes_by_header(spark, tmp_path):
+    path = tmp_path / "ledger.csv"
+    path.write_text("status,source,entry_id,customer_id,type,amount,effective_date\ndishonoured,x,k1,N1,payment,5,2023-01-01\n")
+    (row,) = read_bronze_csv(spark, str(path), "ledger_entries")[0].collect()
+    assert (row.status, row.source, row.entry_id, str(row.amount)) == ("dishonoured", "x", "k1", "5.00")
+    path.write_text("entry_id,customer_id,type,amount,effective_date,source\nk1,N1,payment,5,2023-01-01,x\n")
+    with pytest.raises(MissingColumn, match="status"):
+        read_bronze_csv(spark, str(path), "ledger_entries")
+
+
+def test_labels_file(spark, tmp_path):
+    path = tmp_path / "labels.csv"
+    path.write_text("expected_rule,defect_id,defect_family,customer_id,affected_invoice_id,expected_severity,injected_amount\n2,D1,x,N1,,warning,4.5\n")
+    (row,) = read_labels_csv(spark, str(path)).collect()
+    assert (row.defect_id, row.expected_rule, row.affected_invoice_id, str(row.injected_amount)) == ("D1", 2, "", "4.50")
+
+
+def test_bronze_from_csv_keeps_rejects(spark, tmp_path):
+    texts = {"customers": "customer_id,plan_id,signup_date,status\nN1,p,,active\n", "invoices": HEADER + "\nI1,N1,2023-01-01\n",
+             "ledger_entries": "entry_id,customer_id,type,amount,effective_date,source,status\n",
+             "invoice_allocations": "allocation_id,entry_id,invoice_id,amount_allocated,allocated_date\na,b,c,1,2023-01-01\n"}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    root = shared_dir(spark, "test-bronze")
+    counts = M.run_bronze_csv(spark, {n: str(tmp_path / f"{n}.csv") for n in texts}, root)
+    assert counts == {"customers": 0, "invoices": 1, "ledger_entries": 0, "invoice_allocations": 0}
+    assert read_table(spark, f"{root}/bronze/customers").count() == 1
+
+
+def test_absent_tables_are_named_and_broken_ones_are_not_absent(spark, tmp_path):
+    for call in (lambda: require(spark, str(tmp_path / "nope")), lambda: read_table(spark, str(tmp_path / "nope"))):
+        with pytest.raises(UpstreamMissing, match="nope"):
+            call()
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet") as e:
+        require(spark, str(tmp_path / "broken"))
+    assert not isinstance(e.value, UpstreamMissing)
 
 
 def test_medallion_stages_roundtrip(spark):

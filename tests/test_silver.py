@@ -1,8 +1,8 @@
-"""Silver plumbing: balances, as-of lookup, allocated-at-sent, notices."""
+"""Balances, the as-of lookup, totals at the sent date, notices: own small ledgers."""
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
+import pytest
 
 from ledgerlens.operators import allocations as A
 from ledgerlens.operators import ledger as L
@@ -13,121 +13,63 @@ from tests.conftest import allocations, entries, invoices
 P = DetectorParams()
 
 
-def test_running_balance_accumulates_and_excludes_dishonoured(spark):
-    e = entries(
-        spark,
-        ("e1", "A", "invoice_debit", -100, "2024-01-01"),
-        ("e2", "A", "payment", 100, "2024-01-05"),
-        ("e3", "A", "payment", 50, "2024-01-20"),
-        ("e4", "A", "payment", 100, "2024-01-25", "dishonoured"),
-    )
-    got = {r.entry_id: r.running_balance for r in L.running_balance(e).collect()}
-    assert got == {"e1": Decimal("-100.00"), "e2": Decimal("0.00"), "e3": Decimal("50.00")}
-
-
-def test_running_balance_orders_same_day_by_entry_id(spark):
-    e = entries(
-        spark,
-        ("b", "A", "payment", 10, "2024-01-02"),
-        ("a", "A", "payment", 5, "2024-01-02"),
-        ("z", "A", "invoice_debit", -1, "2024-01-01"),
-        ("c", "B", "payment", 7, "2024-01-02"),
-    )
-    got = {r.entry_id: r.running_balance for r in L.running_balance(e).collect()}
-    assert got == {"z": Decimal("-1.00"), "a": Decimal("4.00"), "b": Decimal("14.00"), "c": Decimal("7.00")}
-
-
-def test_null_status_is_not_counted(spark):
-    e = entries(spark, ("e1", "A", "payment", 10, "2024-01-01", None), ("e2", "A", "payment", 5, "2024-01-02"))
-    assert [r.entry_id for r in L.running_balance(e).collect()] == ["e2"]
-
-
-def test_balance_asof_returns_latest_prior_balance(spark):
-    e = entries(spark, ("e1", "A", "d", -100, "2024-01-01"), ("e2", "A", "p", 100, "2024-01-05"))
-    t = spark.createDataFrame([("A", "2024-01-03"), ("A", "2024-01-10"), ("A", "2023-12-31")],
-                              "customer_id string, date string").select(
-        "customer_id", F.to_date("date").alias("date"))
-    got = {str(r.date): r.running_balance for r in L.balance_asof(t, e).collect()}
-    assert got == {"2024-01-03": Decimal("-100.00"), "2024-01-10": Decimal("0.00"), "2023-12-31": None}
-
-
-def test_balance_asof_is_end_of_day_and_distinct(spark):
-    e = entries(
-        spark,
-        ("e1", "A", "p", 10, "2024-01-05"),
-        ("e2", "A", "p", 20, "2024-01-05"),
-        ("e3", "A", "p", 30, "2024-01-06"),
-    )
-    t = spark.createDataFrame([("A", dt.date(2024, 1, 5))] * 3, "customer_id string, date date")
-    rows = L.balance_asof(t, e).collect()
-    assert len(rows) == 1 and rows[0].running_balance == Decimal("30.00")
-
-
-def test_allocated_at_sent_excludes_late_allocations(spark):
-    inv = invoices(spark, ("I1", "A", "2024-01-01", "2024-01-31", "2024-01-10", 100))
-    on_time = allocations(spark, ("a1", "p1", "I1", 100, "2024-01-09"))
-    got = A.allocated_at_sent(inv, on_time, P).collect()[0]
-    assert got.sent_date == dt.date(2024, 1, 17)
-    assert got.allocated_total_at_sent == Decimal("100.00")
-    late = allocations(spark, ("a1", "p1", "I1", 100, "2024-01-20"))
-    assert A.allocated_at_sent(inv, late, P).collect()[0].allocated_total_at_sent == 0
-
-
-def test_allocated_at_sent_counts_on_sent_day_and_ignores_null_dates(spark):
-    inv = invoices(spark, ("I1", "A", "2024-01-01", "2024-01-31", "2024-01-10", 100))
-    al = allocations(spark, ("a1", "p1", "I1", 40, "2024-01-17"), ("a2", "p2", "I1", 5, None),
-                     ("a3", "p3", "I1", 7, "2024-01-02"))
-    assert A.allocated_at_sent(inv, al, P).collect()[0].allocated_total_at_sent == Decimal("47.00")
-
-
-def test_naive_notice_fires_only_when_under_allocated_at_sent(spark):
-    inv = invoices(
-        spark,
-        ("PAID", "A", "2024-01-01", "2024-01-31", "2024-01-10", 100),
-        ("UNPAID", "B", "2024-02-01", "2024-02-29", "2024-02-10", 50),
-        ("LATE", "C", "2024-03-01", "2024-03-31", "2024-03-10", 30),
-    )
-    al = allocations(spark, ("a1", "p1", "PAID", 100, "2024-01-09"), ("a3", "p3", "LATE", 30, "2024-03-20"))
-    e = entries(
-        spark,
-        ("d2", "B", "invoice_debit", -50, "2024-02-01"),
-        ("p1", "A", "payment", 100, "2024-01-05"),
-        ("d1", "A", "invoice_debit", -100, "2024-01-01"),
-    )
-    by_inv = {r.invoice_id: r for r in N.naive_notices(inv, al, e, P).collect()}
-    assert set(by_inv) == {"UNPAID", "LATE"}
-    assert by_inv["UNPAID"].in_credit is False
-    # C has no ledger history at all: balance 0, counted as in credit.
-    assert by_inv["LATE"].in_credit is True and by_inv["LATE"].balance_at_sent == 0
-
-
-def test_invoice_position_and_views(spark):
-    inv = invoices(spark, ("I1", "A", "2024-01-01", "2024-01-31", "2024-01-10", 300))
-    al = allocations(spark, ("a1", "c1", "I1", 250, "2024-01-05"), ("a2", "c1", "I1", 50, "2024-02-01"))
-    e = entries(spark, ("c1", "A", "credit", 400, "2024-01-02"), ("d1", "A", "invoice_debit", -300, "2024-01-01"))
-    pos = N.invoice_position(inv, al, e, P).collect()[0]
-    assert pos.allocated_total == Decimal("300.00")
-    assert pos.allocated_total_at_sent == Decimal("250.00")
-    assert pos.balance_at_due == Decimal("100.00")
-    assert pos.notice_sent is True
-    notices = N.naive_notices(inv, al, e, P)
-    assert [r.notice_class for r in N.notice_classes(notices).collect()] == ["wrongful"]
-    mm = N.reconciliation_mismatch(notices).collect()[0]
-    assert mm.allocation_shortfall == Decimal("50.00") and mm.ledger_balance == Decimal("100.00")
-    assert [r.customer_id for r in L.overpaid_accounts(e).collect()] == ["A"]
-
-
-def test_hot_groups_are_range_split_into_ordered_slices(spark):
-    from ledgerlens.operators.skew import hot_groups, split_hot_groups
-    rows = [(f"e{i:03d}", "A", "payment", 1, "2024-01-01") for i in range(60)]
-    rows += [("x1", "B", "payment", 1, "2024-01-01")]
-    e = entries(spark, *rows)
-    p = DetectorParams(hot_group_rows=10, max_hot_groups=1000)
-    assert [r.customer_id for r in hot_groups(e, ["customer_id", "effective_date"], p).collect()] == ["A"]
-    sliced = split_hot_groups(e, ["customer_id", "effective_date"], ["entry_id"], p).collect()
-    a = sorted((r.entry_id, r._slice) for r in sliced if r.customer_id == "A")
-    slices = [s for _, s in a]
-    assert slices == sorted(slices) and min(slices) >= 1 and len(set(slices)) > 1
-    assert [r._slice for r in sliced if r.customer_id == "B"] == [0]
-    got = {r.entry_id: r.running_balance for r in L.running_balance(e, p).collect()}
-    assert got["e059"] == Decimal("60.00") and got["e000"] == Decimal("1.00")
+@pytest.fixture(scope="module")
+def book(spark):
+    """Two customers and a nameless one; same-day entries, a dishonoured one, one without status."""
+    return entries(
+        spark, ("k3", "N1", "payment", "8.25", "2023-09-04"), ("k1", "N1", "invoice_debit", "-20.00", "2023-09-04"),
+        ("k2", "N1", "credit", "3.00", "2023-09-01"), ("k4", "N1", "payment", "99.00", "2023-09-05", "dishonoured"),
+        ("k5", "N1", "payment", "7.00", "2023-09-06", None), ("k6", "N1", "payment", "10.00", "2023-09-09"),
+        ("m1", "N2", "payment", "1.50", "2023-09-04"), ("z1", None, "payment", "1000.00", "2023-09-01"))
+
+
+@pytest.mark.parametrize("params", [P, P.with_(split_hot=False), P.with_(hot_group_rows=1)])
+def test_running_balance(book, params):
+    got = {r.entry_id: str(r.running_balance) for r in L.running_balance(book, params).collect()}
+    assert got == {"k2": "3.00", "k1": "-17.00", "k3": "-8.75", "k6": "1.25", "m1": "1.50", "z1": "1000.00"}
+
+
+def test_account_views(book):
+    days = {(r.customer_id, str(r.effective_date)): (r.day_amount, r.balance) for r in L.end_of_day_balance(book).collect() if r.customer_id == "N1"}
+    assert days == {("N1", "2023-09-01"): (3, 3), ("N1", "2023-09-04"): (Decimal("-11.75"), Decimal("-8.75")),
+                    ("N1", "2023-09-09"): (10, Decimal("1.25"))}
+    assert {r.customer_id: str(r.last_entry_date) for r in L.overpaid_accounts(book).collect()} == {
+        "N1": "2023-09-09", "N2": "2023-09-04", None: "2023-09-01"}
+    assert [r.entry_id for r in L.dishonoured_entries(book).collect()] == ["k4"]
+
+
+@pytest.mark.parametrize("amounts", [L.entry_amounts, lambda e: L.day_amounts(L.end_of_day_balance(e))])
+def test_balance_asof(spark, book, amounts):
+    day = lambda d: dt.date(2023, 9, d)
+    asked = [("N1", dt.date(2023, 8, 31)), ("N1", day(4)), ("N1", day(4)), ("N1", day(7)), ("N2", day(30)), ("N9", day(30)), (None, day(30)), ("N1", None)]
+    t = spark.createDataFrame(asked, "customer_id string, date date")
+    rows = L.balance_asof(t, amounts(book)).collect()
+    assert {(r.customer_id, r.date): None if r.running_balance is None else str(r.running_balance) for r in rows} == {
+        ("N1", dt.date(2023, 8, 31)): None, ("N1", day(4)): "-8.75", ("N1", day(7)): "-8.75", ("N2", day(30)): "1.50",
+        ("N9", day(30)): None, (None, day(30)): None}
+    assert len(rows) == 6
+
+
+@pytest.mark.parametrize(("when", "total"), [("2023-11-21", "12.00"), ("2023-11-22", "0"), (None, "0")])
+def test_allocations_count_up_to_the_sent_date(spark, when, total):
+    inv = invoices(spark, ("90", "N1", "2023-10-01", "2023-10-31", "2023-11-14", "12.00"))
+    al = allocations(spark, ("u1", "k6", "90", "12.00", when), ("u2", "k6", "91", "50", "2023-01-01"))
+    (r,) = A.allocated_at_sent(inv, al, P).collect()
+    assert (str(r.sent_date), r.allocated_total_at_sent) == ("2023-11-21", Decimal(total))
+    assert N.under_allocated(inv, al, P).count() == (total == "0")
+
+
+def test_notices_and_their_views(spark, book):
+    inv = invoices(spark, ("92", "N1", "2023-08-01", "2023-08-31", "2023-08-28", 40), ("93", "N1", "2023-08-01", "2023-08-31", "2023-09-03", 40),
+                   ("94", "N9", "2023-08-01", "2023-08-31", "2023-09-03", 40), ("95", "N1", "2023-08-01", "2023-08-31", "2023-08-28", 40))
+    al = allocations(spark, ("u1", "k6", "95", "39.99", "2023-08-30"), ("u2", "k6", "95", "0.01", "2023-09-04"), ("u3", "k6", "93", "15", "2023-09-01"))
+    sent = N.naive_notices(inv, al, book, P)
+    got = {r.invoice_id: (str(r.sent_date), r.balance_at_sent, r.in_credit) for r in sent.collect()}
+    assert got == {"92": ("2023-09-04", Decimal("-8.75"), False), "93": ("2023-09-10", Decimal("1.25"), True), "94": ("2023-09-10", 0, True)}
+    silver = N.notices_of(A.allocated_at_sent(inv, al, P), L.day_amounts(L.end_of_day_balance(book)))
+    assert sorted(map(tuple, silver.collect())) == sorted(map(tuple, sent.collect()))
+    assert {r.invoice_id: r.notice_class for r in N.notice_classes(sent).collect()} == {"92": "legitimate", "93": "wrongful", "94": "wrongful"}
+    assert {r.invoice_id: r.allocation_shortfall for r in N.reconciliation_mismatch(sent).collect()} == {"93": 25, "94": 40}
+    place = {r.invoice_id: (r.allocated_total, r.allocated_total_at_sent, r.balance_at_due, r.notice_sent)
+             for r in N.invoice_position(inv, al, book, P).collect()}
+    assert place["95"] == (40, 40, 0, False) and place["93"] == (15, 15, 3, True)
