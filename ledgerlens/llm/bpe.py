@@ -10,8 +10,9 @@ in each text's order.
 Pieces of over ``LONG`` bytes would take a step for every merge, so for them a step merges all
 non-overlapping occurrences of the least pair, from the left.  That is the same contraction
 wherever no longer token over the merged one has a lesser rank (``safe``); elsewhere the step
-takes the leftmost pair alone.  Their recursion stops every ``STEPS`` steps and goes on from the
-state reached, which bounds the rows that it keeps.
+takes the leftmost pair alone.  Their recursion stops after at most ``STEPS`` steps and goes on from the
+state reached; shorter pieces go into a query as many as their squared lengths allow.  So no
+query keeps more than about ``KEPT_ROWS`` rows, and DuckDB writes nothing to a local disk.
 
 A worker remembers up to ``REMEMBER`` pieces from task to task.  The vocabulary (tens of
 thousands of short tokens, read once by the driver) is sent to the workers.
@@ -40,6 +41,8 @@ from ledgerlens.llm.corpus import fresh, table
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LONG = 256
 STEPS = 64
+#: Rows that one recursive query may keep: every step keeps the words that it still contracts.
+KEPT_ROWS = 4_000_000
 REMEMBER = 600_000
 
 #: Position of the pair and of its right token travel below the rank in one number.
@@ -57,7 +60,7 @@ with recursive s(w, p, t, n, q, step) as (
 select s.w, s.t from s join (select w, max(step) step from s group by w) z using (w, step) order by s.w, s.p
 """
 
-_CONTRACT_LONG = f"""
+_CONTRACT_LONG = """
 with recursive s(w, p, t, step) as (
   select w, p, t, 0 from state
  union all
@@ -72,7 +75,7 @@ with recursive s(w, p, t, step) as (
               from (select w, p, t l, lead(t) over (partition by w order by p) r from s) join merges using (l, r)
               qualify m = min(m) over (partition by w)))
       where chosen) c on c.w = s.w and c.p = s.p
-    where s.step < {STEPS}
+    where s.step < {steps}
   ) where eaten is null
 )
 select s.w, s.p, s.t, s.step from s join (select w, max(step) step from s group by w) z using (w, step) order by s.w, s.p
@@ -103,7 +106,7 @@ class Codec:
         self.byte = np.array([rank[bytes([b])] for b in range(256)], np.int32)
         pairs = np.array([(rank[b[:k]], rank[b[k:]], i) for b, i in rank.items() for k in range(1, len(b))
                           if b[:k] in rank and b[k:] in rank] or np.zeros((0, 3)), np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
         self._table("pairs", l=pairs[:, 0], r=pairs[:, 1], m=pairs[:, 2])
         self.db.execute("""create table merges as select l, r, m, m < coalesce(least_over, 2147483647) as safe from pairs
             left join (select part, min(m) least_over from (select l part, m from pairs union all select r, m from pairs)
@@ -132,8 +135,8 @@ class Codec:
         """(ids, offsets): the ids of piece i are ``ids[offsets[i]:offsets[i + 1]]``."""
         size = np.array([len(x) for x in pieces], np.int64)
         short, long = np.flatnonzero(size <= LONG), np.flatnonzero(size > LONG)
-        parts = [x for which, run in ((short, self._short), (long, self._long)) if len(which)
-                 for x in [run([pieces[i] for i in which], which)]]
+        parts = [run([pieces[i] for i in group], group) for which, run, rows in
+                 ((short, self._short, size**2 // 2), (long, self._long, size)) for group in _groups(which, rows)]
         if not parts:
             return np.zeros(0, np.int32), np.zeros(len(pieces) + 1, np.int64)
         w, t = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -156,10 +159,11 @@ class Codec:
     def _long(self, pieces: list[bytes], which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         w, p, t = self._rows(pieces)
         while True:
+            steps = max(1, min(STEPS, KEPT_ROWS // len(w)))
             self._table("state", w=w, p=p, t=t)
-            out = self.db.sql(_CONTRACT_LONG).to_arrow_table()
+            out = self.db.sql(_CONTRACT_LONG.format(steps=steps)).to_arrow_table()
             w, p, t = (out.column(c).to_numpy() for c in "wpt")
-            if out.column("step").to_numpy().max() < STEPS:
+            if out.column("step").to_numpy().max() < steps:
                 return which[w], t
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
@@ -192,6 +196,14 @@ class Codec:
         return self.place[np.searchsorted(self.known, hashes)]
 
 
+def _groups(which: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
+    """``which`` in runs of about ``KEPT_ROWS`` rows each."""
+    if not len(which):
+        return []
+    run = (np.cumsum(rows[which]) - 1) // KEPT_ROWS
+    return np.split(which, np.flatnonzero(np.diff(run)) + 1)
+
+
 _CODECS: dict[int, Codec] = {}
 
 
