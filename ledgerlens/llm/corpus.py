@@ -36,19 +36,24 @@ def one_label(labels: DataFrame, name: str) -> DataFrame:
             .filter("label = _most").select("doc_id", "label"))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, name: str, folds: int, out: int, per_class: int) -> DataFrame:
-    """(doc_id, label, text) of at most ``per_class`` labelled documents of either class outside the fold.
+def lowest_hashed(rows: DataFrame, most: int, *ties: str) -> DataFrame:
+    """The ``most`` rows of lowest ``doc_id`` hash: a sample that does not depend on order or partitioning.
 
-    The sample is the documents of lowest id hash, so it does not depend on order or partitioning.
+    Hashes are uniform, so all but about twice as many rows drop out before anything is sorted.
     """
-    y = one_label(labels, name).filter(~held_out("doc_id", folds, out)).withColumn("_h", F.xxhash64("doc_id"))
-    pick = None
-    for value in (0, 1):
-        part = y.filter(F.col("label") == value).orderBy("_h", "doc_id").limit(per_class)
-        pick = part if pick is None else pick.unionByName(part)
+    share = min(1.0, 2 * most / max(1, rows.count()))
+    hashed = rows.withColumn("_h", F.xxhash64("doc_id"))
+    near = hashed.filter(F.col("_h") <= int(-(2**63) + share * (2**64 - 1))) if share < 1 else hashed
+    return near.orderBy("_h", "doc_id", *ties).limit(most).drop("_h")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, name: str, folds: int, out: int, per_class: int) -> DataFrame:
+    """(doc_id, label, text) of at most ``per_class`` labelled documents of either class outside the fold."""
+    y = one_label(labels, name).filter(~held_out("doc_id", folds, out))
+    pick = lowest_hashed(y.filter("label = 0"), per_class).unionByName(lowest_hashed(y.filter("label = 1"), per_class))
     text = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text")
     # repeated rows of one id: the least text; copies of one text: the least id, so that copies do not weigh more
-    rows = text.join(F.broadcast(pick.select("doc_id", "label")), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    rows = text.join(F.broadcast(pick), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     return rows.groupBy("text", "label").agg(F.min("doc_id").alias("doc_id"))
 
 

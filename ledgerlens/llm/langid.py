@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm import text as X
-from ledgerlens.llm.corpus import append, fold, held_out, table
+from ledgerlens.llm.corpus import append, fold, held_out, lowest_hashed, table
 
 GRAMS = (5, 4, 3, 2, 1)
 MAX_DOCS = 20_000
@@ -126,7 +126,7 @@ class Model:
 def fit(docs: DataFrame, max_docs: int = MAX_DOCS) -> Model:
     """Counts from the training documents; ``docs`` has doc_id, lang and text (in lower case)."""
     usable = docs.filter(F.col("lang").isNotNull() & F.coalesce(fold("doc_id", FOLDS) != HELD_OUT, F.lit(True)))
-    ids = (usable.select("doc_id", "lang").withColumn("_h", F.xxhash64("doc_id")).orderBy("_h", "doc_id", "lang").limit(max_docs))
+    ids = lowest_hashed(usable.select("doc_id", "lang"), max_docs, "lang")
     langs = [(r.lang, r.n) for r in ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
              .orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()]
     if not langs:
