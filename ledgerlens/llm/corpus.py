@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import shutil
+import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -14,6 +19,28 @@ from ledgerlens.llm.text import slices
 from ledgerlens.session import shared_dir
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers, once a session: they need not find it on a path of their own."""
+    context = spark.sparkContext
+    if context not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        context.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(), "ledgerlens"), "zip", root, "ledgerlens"))
+        _SHIPPED.add(context)
+
+
+_SHIPPED: weakref.WeakSet = weakref.WeakSet()
+
+
+def shipped(run: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``run(spark, ...)`` after :func:`ship`."""
+    @functools.wraps(run)
+    def wrapped(spark: SparkSession, *args, **kw) -> DataFrame:
+        ship(spark)
+        return run(spark, *args, **kw)
+
+    return wrapped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

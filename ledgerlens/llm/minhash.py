@@ -49,6 +49,8 @@ SKETCH_ROWS, SKETCH_BITS = 2, 20
 CHUNK = 1 << 13
 SLOT_BITS = 14
 SEED = 20_011
+#: Rows of a list of digests and ids (some 50 bytes each) that may be broadcast.
+BROADCAST_ROWS = 100_000
 
 
 def _shingles(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -283,7 +285,9 @@ def classes(docs: DataFrame) -> DataFrame:
 def _verify(docs: DataFrame, texts: DataFrame, pairs: DataFrame, codes: np.ndarray) -> DataFrame:
     pairs = written(pairs, "pairs")
     needed = pairs.select("key").union(pairs.select("leader")).distinct()
-    needed = texts.join(needed, "key").select(F.col("key").alias("of"), "rep")
+    needed = written(texts.join(needed, "key").select(F.col("key").alias("of"), "rep"), "needed")
+    # a short list goes to the texts, else the texts are shuffled to meet it
+    needed = F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed
     # the one row of each text's least id; ids spread a hot text's copies over the tasks
     rows = docs.select("doc_id", digest("text").alias("key"), "text")
     own = rows.join(needed, (F.col("key") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")

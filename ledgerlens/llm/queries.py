@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.llm import lm
 from ledgerlens.llm.bpe import byte_bpe
+from ledgerlens.llm.corpus import shipped
 from ledgerlens.llm.decontam import decontamination
 from ledgerlens.llm.langid import language_id
 from ledgerlens.llm.minhash import near_dedup
@@ -19,7 +20,7 @@ from ledgerlens.llm.wordpiece import token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "op1_near_dedup": near_dedup,
         "op2_byte_bpe": byte_bpe,
         "op3_lm_scores": lm.lm_scores,
@@ -31,6 +32,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": toxicity,
         "op10_quality_rules": quality_rules,
     }
+    return {name: shipped(run) for name, run in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
