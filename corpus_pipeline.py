@@ -11,14 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.llm import bpe, decontam, minhash, quality_model, quality_rules
-from ledgerlens.llm.corpus import table, written
+from ledgerlens.llm.corpus import shipped, table, written
 
 STAGES = [
-    ("quality_rules", quality_rules.stage),
-    ("quality_model", quality_model.stage),
-    ("near_dedup", minhash.stage),
-    ("decontamination", decontam.stage),
-    ("byte_bpe", bpe.stage),
+    ("quality_rules", shipped(quality_rules.stage)),
+    ("quality_model", shipped(quality_model.stage)),
+    ("near_dedup", shipped(minhash.stage)),
+    ("decontamination", shipped(decontam.stage)),
+    ("byte_bpe", shipped(bpe.stage)),
 ]
 
 #: The classifier is trained by gradient descent, which SQL cannot express.
