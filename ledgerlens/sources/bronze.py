@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Iterable, Mapping
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -137,30 +138,19 @@ def from_rows(spark: SparkSession, rows: Iterable[Mapping] | object, table: str
     decimal types on the JVM side.
     """
     schema = schema or schemas.BRONZE[table]
-    try:
-        import pandas as pd
-        if isinstance(rows, pd.DataFrame):
-            rows = rows.to_dict("records")
-    except ImportError:  # pragma: no cover
-        pass
     names = [f.name for f in schema.fields]
-    data = [tuple(_raw(r.get(n)) for n in names) for r in rows]
-    raw = spark.createDataFrame(data, T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    if isinstance(rows, pd.DataFrame):  # column by column, over Arrow
+        raw = spark.createDataFrame(rows.reindex(columns=names).astype("string").astype(object).where(rows.reindex(columns=names).notna(), None), text)
+    else:
+        raw = spark.createDataFrame([tuple(_raw(r.get(n)) for n in names) for r in rows], text)
     return raw.select([_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
 
 
-def _raw(v):
-    if v is None:
+def _raw(v: object) -> str | None:
+    if v is None or (isinstance(v, float) and v != v):
         return None
-    try:
-        import math
-        if isinstance(v, float) and math.isnan(v):
-            return None
-    except TypeError:  # pragma: no cover
-        pass
-    if isinstance(v, bool):
-        return "true" if v else "false"
-    return str(v)
+    return str(v).lower() if isinstance(v, bool) else str(v)
 
 
 def _typed(c, dtype: T.DataType):

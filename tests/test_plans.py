@@ -1,6 +1,9 @@
 """Reports, validation, sources and the medallion stages."""
+import datetime as dt
 import os
+from decimal import Decimal
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +120,12 @@ def test_labels_file(spark, tmp_path):
     assert (row.defect_id, row.expected_rule, row.affected_invoice_id, str(row.injected_amount)) == ("D1", 2, "", "4.50")
 
 
+def test_rows_of_a_pandas_frame(spark):
+    frame = pd.DataFrame({"customer_id": ["N1", None], "amount": [1.5, None], "entry_id": ["k1", "k2"], "effective_date": ["2023-01-02", None], "more": [1, 2]})
+    rows = [(r.entry_id, r.customer_id, r.amount, r.effective_date) for r in from_rows(spark, frame, "ledger_entries").orderBy("entry_id").collect()]
+    assert rows == [("k1", "N1", Decimal("1.50"), dt.date(2023, 1, 2)), ("k2", None, None, None)]
+
+
 def test_bronze_from_csv_keeps_rejects(spark, tmp_path):
     texts = {"customers": "customer_id,plan_id,signup_date,status\nN1,p,,active\n", "invoices": HEADER + "\nI1,N1,2023-01-01\n",
              "ledger_entries": "entry_id,customer_id,type,amount,effective_date,source,status\n",
