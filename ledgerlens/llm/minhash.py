@@ -261,12 +261,10 @@ def classes(docs: DataFrame) -> DataFrame:
     codes = idf_codes(*sketch(docs))
     rows = written(signed(docs.select("doc_id", "text"), codes), "signed")
     texts = written(rows.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "distinct")
-    found = None
     wave = [F.xxhash64(F.lit(k), _band(k)) for k in range(BANDS)]
     buckets = written(texts.filter("sig is not null").select("key", F.explode(F.array(*wave)).alias("bucket")), "buckets")
     pairs = written(stars(buckets), "stars")
-    edges, found = _verify(docs, texts, pairs.select("key", "leader").distinct(), codes), None
-    edges = written(edges, "links")
+    edges = written(_verify(docs, texts, pairs.select("key", "leader").distinct(), codes), "links")
     # leftovers: members that their bucket's leader does not resemble
     left = pairs.join(edges, ["key", "leader"], "left_anti")
     nodes = written(left.select("key").union(left.select("leader")).distinct(), "left")

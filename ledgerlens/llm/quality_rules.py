@@ -174,3 +174,48 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents that the rules keep, with the columns they came with."""
     out, _, kept = judge(docs, table(spark, sf_dir, "labels"))
     return out.filter(kept).select([F.col(f"`{c}`") for c in docs.columns])
+
+
+def _sql() -> str:
+    """The same verdicts in DuckDB, with the binomial tail written out."""
+    tests = ", ".join(f"('{r}', {k}, {c}, {sign}, '{what}', '{of}')" for r, (what, of, sign, grid) in RULES.items() for k, c in enumerate(grid))
+    value = lambda col: "case " + col + "".join(f" when '{f.name}' then {f.name}" for f in MEASURES) + " end"
+    word = r"[^\x20\x09-\x0D]"
+    return rf"""
+with d as (select row_number() over () as uid, doc_id, coalesce(text, '') t, lang from documents),
+w as (select uid, unnest(ws) w, generate_subscripts(ws, 1) i from (select uid, regexp_extract_all(t, '{word}+') ws from d)),
+g as (select uid, i, lead(w, 4) over v as last,
+             concat_ws(' ', w, lead(w, 1) over v, lead(w, 2) over v, lead(w, 3) over v, lead(w, 4) over v) gram
+      from w window v as (partition by uid order by i)),
+r as (select uid, i from g where last is not null qualify count(*) over (partition by uid, gram) > 1),
+cover as (select uid, count(distinct i + k) n from (select uid, i, unnest(range({WINDOW})) k from r) group by uid),
+l as (select uid, count(*) n, count(*) - count(distinct line) dup
+      from (select uid, unnest(string_split(t, chr(10))) line from d) where regexp_matches(line, '{word}') group by uid),
+s as (select uid, count(*) n, sum(length(w)) chars from w group by uid),
+c as (select d.uid, d.doc_id, d.lang, coalesce(s.n, 0)::bigint n_words, coalesce(s.chars, 0)::bigint word_chars,
+             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint n_symbols, coalesce(l.dup, 0)::bigint n_dup_lines,
+             coalesce(cover.n, 0)::bigint n_repeat_words, coalesce(l.n, 0)::bigint n_lines
+      from d left join s using (uid) left join l using (uid) left join cover using (uid)),
+m as (select *, n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words base_failed from c),
+t(rule, place, cutoff, sign, what, of) as (values {tests}),
+tested as (select m.*, t.*, case when sign > 0 then 100 * ({value('what')}) > cutoff * ({value('of')})
+                                 else 100 * ({value('what')}) < cutoff * ({value('of')}) end rejected from m cross join t),
+good as (select doc_id from labels where doc_id is not null and quality in (0, 1) group by doc_id having min(quality) = 1),
+held as (select *, coalesce(lang, '{OTHER}') own from tested where doc_id in (select doc_id from good) and not base_failed),
+top as (select own from held group by own order by count(distinct uid) desc, own limit {MAX_STRATA}),
+tally as (select case when own in (select own from top) then own else '{OTHER}' end stratum, rule, place, cutoff, count(*) n, sum(rejected::int) k
+          from held group by all),
+level as (select {DELTA} / (count(distinct stratum) * (select count(*) from t)) least from tally),
+sure as (select stratum, rule, min(place) place from tally, level
+         where k < n * {RISK} and list_sum(list_transform(range(0, k::bigint + 1),
+               lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK}) + (n - i) * ln(1 - {RISK})))) <= least
+         group by stratum, rule),
+out as (select distinct uid from tested join sure on tested.rule = sure.rule and tested.place = sure.place
+        and sure.stratum = case when coalesce(lang, '{OTHER}') in (select stratum from tally) then coalesce(lang, '{OTHER}') else '{OTHER}' end
+        where rejected)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and uid not in (select uid from out) kept, lang stratum from m
+"""
+
+
+SQL = _sql()

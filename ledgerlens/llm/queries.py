@@ -6,14 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import lm
+from ledgerlens.llm import lm, quality_rules
 from ledgerlens.llm.bpe import byte_bpe
 from ledgerlens.llm.corpus import shipped
 from ledgerlens.llm.decontam import decontamination
 from ledgerlens.llm.langid import language_id
 from ledgerlens.llm.minhash import near_dedup
 from ledgerlens.llm.quality_model import quality_model
-from ledgerlens.llm.quality_rules import quality_rules
 from ledgerlens.llm.sharding import sharding
 from ledgerlens.llm.toxicity import toxicity
 from ledgerlens.llm.wordpiece import token_counts
@@ -30,10 +29,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_token_counts": token_counts,
         "op8_sharding": sharding,
         "op9_toxicity": toxicity,
-        "op10_quality_rules": quality_rules,
+        "op10_quality_rules": quality_rules.quality_rules,
     }
     return {name: shipped(run) for name, run in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_lm_scores": lm.SQL}
+    return {"op3_lm_scores": lm.SQL, "op10_quality_rules": quality_rules.SQL}
