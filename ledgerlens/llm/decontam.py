@@ -16,8 +16,8 @@ at least ``SCORE``:
 
 A retrieved pair counts as a leak when both parts of the segment, question and answer (its
 last sentence, or its second half where it has one sentence only), overlap with the passage:
-at least ``OVERLAP`` of either part's word trigrams (single words where a part is shorter)
-occur in the passage.  Words are runs of letters and digits in lower case.
+at least ``OVERLAP`` of either part's word trigrams (single words where a part is shorter; an
+empty part asks for nothing) occur in the passage.  Words are runs of letters and digits in lower case.
 
 All tests run against shards of at most ``SHARD`` segments, one after the other; an index of
 that size is what a worker holds, however many items there are.
@@ -110,7 +110,7 @@ class Index:
         self.top_share = float(share.max())
         self.row = np.full(len(self.terms), -1)
         self.row[frequent] = np.arange(frequent.sum())
-        self.dense = np.zeros((int(frequent.sum()), n), np.float32)
+        self.dense = np.zeros((int(frequent.sum()), n))
         dense = frequent[term]
         self.dense[self.row[term[dense]], seg[dense]] = weight[dense]
         blocks = -(-n // BLOCK)
@@ -144,7 +144,8 @@ class Index:
         bound = part + np.bincount(owner, weights=self.block_max[rows, seg[owner] // BLOCK], minlength=len(of))
         alive = bound >= self.least - eps
         exact = part + np.bincount(owner[alive[owner]], weights=self.dense[rows[alive[owner]], seg[owner[alive[owner]]]], minlength=len(of))
-        done = alive & (exact >= self.least - eps)
+        exact = np.round(exact, 6)
+        done = alive & (exact >= self.least)
         return of[done], seg[done], exact[done]
 
     def leaks(self, text: pa.Array) -> list[tuple[int, int | None, int, float, float, float]]:
@@ -172,7 +173,7 @@ class Index:
             span = h[base[row] + first: base[row] + min(first + PASSAGE, per[row])]
             held = np.concatenate([span, X.window_hashes(span, np.zeros(len(span), np.int64), GRAM)[0]])
             part = self.segments[s]
-            q, a = (float(np.isin(g, held).mean()) for g in (part.question, part.answer)) if len(part.question) else (1.0, float(np.isin(part.answer, held).mean()))
+            q, a = (float(np.isin(g, held).mean()) if len(g) else 1.0 for g in (part.question, part.answer))
             if q >= OVERLAP and a >= OVERLAP:
                 found = (-x, first, q, a)
                 key = (row, part.item)
@@ -234,3 +235,45 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         out, m = append(out, leaked, T.StructType([T.StructField("leaked", T.BooleanType())]))
         out = out.filter(~F.col(f"{m}.leaked")).drop(m)
     return out
+
+
+_WORDS = r"regexp_extract_all(lower({}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+#: The same in DuckDB, by plain joins of passages and segments on their terms.
+SQL = rf"""
+with t as (select row_number() over () iid, * from (select distinct item_id, text from benchmark where text is not null)),
+iw as (select iid, unnest(ws) w, generate_subscripts(ws, 1) - 1 i from (select iid, {_WORDS.format('text')} ws from t)),
+cuts as (select iid, k from (
+    select iid, j, n, sum(len({_WORDS.format('p')})) over (partition by iid order by j) k
+    from (select iid, unnest(ps) p, generate_subscripts(ps, 1) j, len(ps) n from (select iid, string_split_regex(text, '[.!?
+]') ps from t))) x
+    where j < n),
+span as (select iid, seg, seg * {SEGMENT} lo, least(seg * {SEGMENT} + {SEGMENT}, n) hi
+         from (select iid, i // {SEGMENT} seg, any_value(n) n from (select iid, i, count(*) over (partition by iid) n from iw) group by all)),
+s as (select iid, seg, lo, hi, coalesce((select max(k) from cuts c where c.iid = span.iid and k > lo and k < hi), (lo + hi + 1) // 2) cut from span),
+part as (select iid, seg, 'q' part, lo a, cut z from s union all select iid, seg, 'a', cut, hi from s),
+three as (select iid, i, w, concat_ws(' ', w, lead(w, 1) over v, lead(w, 2) over v) g from iw window v as (partition by iid order by i)),
+grams as (select distinct part.iid, seg, part, case when z - a < {GRAM} then w else g end gram
+          from part join three on part.iid = three.iid and i >= a and i < z and (z - a < {GRAM} or i + {GRAM} <= z)),
+tf as (select iid, i // {SEGMENT} seg, w, count(*) tf from iw group by all),
+size as (select iid, seg, hi - lo n from s),
+df as (select w, count(*) df from tf group by w),
+impact as (select tf.iid, tf.seg, tf.w, ln(1 + (c - df + 0.5) / (df + 0.5)) * tf * {K1 + 1} / (tf + {K1} * ({1 - B} + {B} * size.n / m)) x
+           from tf join df using (w) join size using (iid, seg), (select count(*) c, avg(n) m from size)),
+weight as (select iid, seg, w, x / sum(x) over (partition by iid, seg) x from impact),
+d as (select row_number() over () uid, doc_id, {_WORDS.format('text')} ws from documents where text is not null),
+dw as (select uid, unnest(ws) w, generate_subscripts(ws, 1) - 1 i, greatest(1, ceil(len(ws) / {PASSAGE / 2})::bigint - 1) windows from d),
+win as (select uid, w, i, windows, i // {PASSAGE // 2} - k win from dw, (values (0), (1)) x(k) where i // {PASSAGE // 2} - k between 0 and windows - 1),
+hit as (select uid, win, iid, seg, round(sum(x), 6) score from (select distinct uid, win, w from win) join weight using (w)
+        group by all having round(sum(x), 6) >= {SCORE}),
+held as (select distinct uid, win, unnest([w, case when last is not null then g end]) gram
+         from (select uid, win, i, w, concat_ws(' ', w, lead(w, 1) over v, lead(w, 2) over v) g, lead(w, 2) over v last
+               from win semi join hit using (uid, win) window v as (partition by uid, win order by i))),
+share as (select h.uid, h.win, h.iid, h.seg, part, count(held.gram) / count(*) x
+          from hit h join grams using (iid, seg) left join held on held.uid = h.uid and held.win = h.win and held.gram = grams.gram group by all),
+judged as (select h.*, coalesce(max(x) filter (part = 'q'), 1) q, coalesce(max(x) filter (part = 'a'), 1) a
+           from hit h left join share using (uid, win, iid, seg) group by all)
+select doc_id, item_id, (win * {PASSAGE // 2})::bigint passage, score, q question_overlap, a answer_overlap
+from judged join d using (uid) join t using (iid) where q >= {OVERLAP} and a >= {OVERLAP}
+qualify row_number() over (partition by uid, item_id order by score desc, win, q, a) = 1
+"""

@@ -6,14 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import lm, quality_rules
+from ledgerlens.llm import decontam, lm, quality_rules, sharding
 from ledgerlens.llm.bpe import byte_bpe
 from ledgerlens.llm.corpus import shipped
-from ledgerlens.llm.decontam import decontamination
 from ledgerlens.llm.langid import language_id
 from ledgerlens.llm.minhash import near_dedup
 from ledgerlens.llm.quality_model import quality_model
-from ledgerlens.llm.sharding import sharding
 from ledgerlens.llm.toxicity import toxicity
 from ledgerlens.llm.wordpiece import token_counts
 
@@ -23,11 +21,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_near_dedup": near_dedup,
         "op2_byte_bpe": byte_bpe,
         "op3_lm_scores": lm.lm_scores,
-        "op4_decontamination": decontamination,
+        "op4_decontamination": decontam.decontamination,
         "op5_language_id": language_id,
         "op6_quality_model": quality_model,
         "op7_token_counts": token_counts,
-        "op8_sharding": sharding,
+        "op8_sharding": sharding.sharding,
         "op9_toxicity": toxicity,
         "op10_quality_rules": quality_rules.quality_rules,
     }
@@ -35,4 +33,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_lm_scores": lm.SQL, "op10_quality_rules": quality_rules.SQL}
+    return {"op3_lm_scores": lm.SQL, "op4_decontamination": decontam.SQL, "op8_sharding": sharding.SQL, "op10_quality_rules": quality_rules.SQL}

@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.corpus import table
 
 SHARDS = 24
-BLOCKS = 4096
+#: By the first three hexadecimal digits of the id's MD5.
+BLOCKS = 16**3
 CHUNK = 4096
 OVERHEAD = 8
 _MULTIPLIER = 2862933555777941757
@@ -64,8 +65,9 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     )
     alike = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n"))
     key = F.coalesce("doc_id", F.lit(0).cast("long"))
+    block = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 3), 16, 10).cast("int")
     placed = alike.select("*", jump(key, shards).alias("shard"), jump(key, shards + 1).alias("grown_shard"),
-                          F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(BLOCKS)).cast("int").alias("block"))
+                          block.alias("block"))
     sizes = placed.groupBy("shard", "block").agg(F.sum("n").alias("rows"))
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(F.col("shard").alias("of"), F.col("block").alias("at_block"),
@@ -83,3 +85,31 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+#: The same in DuckDB: CRC-32 byte by byte over its table, the generator in 128-bit integers, slots by one window.
+SQL = f"""
+with recursive polynomial(i, c, n) as (
+  select i, i, 0 from (select unnest(range(256))::bigint i)
+ union all
+  select i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, n + 1 from polynomial where n < 8),
+crc as (select list(c order by i) t from polynomial where n = 8),
+d as (select doc_id, coalesce(text, '') t from documents),
+b as (select doc_id, octet_length(encode(t)) n, hex(encode(t)) h from d),
+r as (select doc_id, n + {OVERHEAD} size,
+             xor(list_reduce(list_concat([4294967295::bigint], list_transform(regexp_extract_all(h, '..'), lambda p: ('0x' || p)::bigint)),
+                             lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) text_crc32
+      from b, crc),
+j(doc_id, shards, key, b, j) as (
+  select *, -1::bigint, 0::bigint from (
+    select doc_id, shards, (coalesce(doc_id, 0)::hugeint + 18446744073709551616) % 18446744073709551616 from (select distinct doc_id from d), (values ({SHARDS}), ({SHARDS + 1})) s(shards))
+ union all
+  select doc_id, shards, k, j, floor((j + 1) * (2147483648.0::double / ((k >> 33) + 1)::double))::bigint
+  from (select *, (key * {_MULTIPLIER} + 1) % 18446744073709551616 k from j where j < shards)),
+placed as (select doc_id, max(case when shards = {SHARDS} then b end)::int shard, max(case when shards > {SHARDS} then b end)::int grown_shard
+           from j where j >= shards group by doc_id)
+select r.doc_id, size::bigint size, text_crc32::bigint text_crc32, 'key' law, shard,
+       row_number() over (partition by shard order by substr(md5(coalesce(r.doc_id::varchar, '')), 1, 3), r.doc_id nulls first, text_crc32, size) - 1 slot,
+       grown_shard
+from r join placed on r.doc_id is not distinct from placed.doc_id
+"""

@@ -15,8 +15,7 @@ import pytest
 import tiktoken
 
 import corpus_pipeline
-from ledgerlens.llm import lm
-from ledgerlens.llm.queries import queries
+from ledgerlens.llm.queries import oracle_sql, queries
 from tests.llm.conftest import corpus, fold
 
 DOCS, _, ITEMS = corpus()
@@ -130,11 +129,16 @@ def test_near_dedup(spark, small):
     assert len({one(i) for i in range(240)}) == 240
 
 
-def test_lm_scores_equal_sql(spark, small):
+@pytest.mark.parametrize("name", oracle_sql())
+def test_query_equals_its_sql(spark, small, name):
     db = duckdb.connect()
-    db.execute(f"create view documents as select * from read_parquet('{small}/documents.parquet/*.parquet')")
-    want = Counter(tuple(r) for r in db.execute(lm.SQL).fetchall())
-    assert Counter(tuple(r) for r in rows(queries()["op3_lm_scores"](spark, small))) == want
+    for table in ("documents", "labels", "benchmark"):
+        db.execute(f"create view {table} as select * from read_parquet('{small}/{table}.parquet/*.parquet')")
+    found = db.execute(oracle_sql()[name])
+    columns = [c[0] for c in found.description]
+    out = queries()[name](spark, small)
+    assert sorted(columns) == sorted(out.columns)
+    assert Counter(tuple(r) for r in rows(out.select(columns))) == Counter(map(tuple, found.fetchall()))
 
 
 def test_pipeline(spark, small):
