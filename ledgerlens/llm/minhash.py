@@ -257,7 +257,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, class_id) of every row of ``docs``; ``key`` is the digest of its text."""
+    """(key, doc_id, label, class_id) of every row of ``docs``: digest of its text, least digest and least id of its class."""
     codes = idf_codes(*sketch(docs))
     rows = written(signed(docs.select("doc_id", "text"), codes), "signed")
     texts = written(rows.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "distinct")
@@ -276,7 +276,7 @@ def classes(docs: DataFrame) -> DataFrame:
     named = texts.select("key", "rep").join(labels, "key", "left")
     named = named.select("key", "rep", F.coalesce("label", "key").alias("label"))
     ids = named.groupBy("label").agg(F.min("rep").alias("class_id"))
-    by_key = named.join(ids, "label").select("key", "class_id")
+    by_key = named.join(ids, "label").select("key", "label", "class_id")
     return rows.select("doc_id", "key").join(by_key, "key")
 
 
@@ -300,8 +300,8 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one row of every class, that of the least id, with the columns it came with."""
     keep = classes(docs.select("doc_id", "text")).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    name = fresh("_key", docs.columns)
-    keep = keep.groupBy("class_id").agg(F.min("key").alias("key")).select(F.col("key").alias("_of"), F.col("class_id").alias("_rep"))
+    name, of, rep = (fresh(n, docs.columns) for n in ("_key", "_of", "_rep"))
+    keep = keep.groupBy("label", "class_id").agg(F.min("key").alias("key")).select(F.col("key").alias(of), F.col("class_id").alias(rep))
     kept = docs.withColumn(name, digest("text")).join(
-        keep, (F.col(name) == F.col("_of")) & F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi")
+        keep, (F.col(name) == F.col(of)) & F.col("doc_id").eqNullSafe(F.col(rep)), "left_semi")
     return kept.dropDuplicates([name, "doc_id"]).drop(name)

@@ -113,6 +113,15 @@ def test_groups_of_variants_and_chains(spark):
     assert {r.doc_id: r.class_id for r in minhash.classes(frame).collect()} == want
 
 
+def test_stage_keeps_one_row_of_every_class(spark, tmp_path):
+    text = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcd"]
+    docs = [(None, text[0], 1), (None, text[1], 2), (None, text[1], 3), (7, text[2], 4), (7, text[2], 5), (5, text[2], 6), (None, text[3], 7), (9, text[3], 8)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, _of int")
+    kept = minhash.stage(spark, frame, str(tmp_path))
+    assert kept.columns == frame.columns
+    assert sorted((r.doc_id or 0, r.text[0]) for r in kept.collect()) == [(0, "a"), (0, "b"), (5, "c"), (9, "d")]
+
+
 def test_components_of_long_chains(spark):
     key = lambda i: i.to_bytes(4, "big")
     edges = [(key(i), key(i + 1)) for i in range(60)] + [(key(100), key(200)), (key(300), key(200))]
