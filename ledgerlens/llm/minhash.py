@@ -10,9 +10,12 @@
    Equal texts (by digest) then count as one.
 3. Texts that agree in all samples of a band share a bucket.  A bucket's members are compared
    with its leader, the member that shares most buckets with others (in a group of variants
-   that is the text they vary), so a bucket of n texts gives n - 1 pairs, not n * n.  Members
-   unlike their leader are leftovers: they are bucketed again by pairs of bands, among
-   themselves and the leaders they missed, round by round until nothing new is found.
+   that is the text they vary), so a bucket of n texts that are alike gives n - 1 pairs, not
+   n * n.  A bucket whose other members then are of more than one class goes into rounds:
+   ``LEADERS`` of its members (times as many in each round) are compared with all members of
+   other classes and leave, until what is left is of one class.  So every two texts of a bucket
+   have been compared or are of one class anyway.  The rounds grow with the logarithm of the
+   largest such bucket, the pairs with those of texts that are *not* found alike.
 4. Every pair is verified by the exact weighted Jaccard similarity of the whole texts, at
    ``SIMILAR``.
 5. Connected texts form a class, named by the least document id in it (label propagation with
@@ -51,6 +54,8 @@ SLOT_BITS = 14
 SEED = 20_011
 #: Rows of a list of digests and ids (some 50 bytes each) that may be broadcast.
 BROADCAST_ROWS = 100_000
+#: Leaders of an undecided bucket in the first round, and how many times as many in each later one.
+LEADERS = 8
 
 
 def _shingles(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -199,6 +204,35 @@ def stars(buckets: DataFrame) -> DataFrame:
     return shared.select("bucket", "key").join(leaders, "bucket").filter("key <> leader")
 
 
+def undecided(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, key, label) of the members (bucket, key) of buckets with more than one class; without a label, a text is its own."""
+    own = members.join(labels, "key", "left").select("bucket", "key", F.coalesce("label", "key").alias("label"))
+    mixed = own.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most").select("bucket")
+    return own.join(mixed, "bucket", "left_semi")
+
+
+def led(members: DataFrame, leaders: int) -> DataFrame:
+    """(bucket, key, label, leads) of undecided members; about ``leaders`` lead, at least one, in buckets of no more all.
+
+    Leaders are picked by a hash, so no bucket is sorted or counted off in one task.
+    """
+    picked = members.withColumn("h", F.xxhash64("bucket", "key"))
+    sizes = picked.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max("h").alias("top"))
+    share = F.pmod("h", F.lit(1 << 31)) / F.lit(1 << 31)
+    return picked.join(sizes, "bucket").select("bucket", "key", "label", ((F.col("h") == F.col("top")) | (share * F.col("n") < leaders)).alias("leads"))
+
+
+def crossed(members: DataFrame) -> DataFrame:
+    """Distinct (key, leader), key < leader, of each bucket's leaders and its members of other classes."""
+    of = members.filter("leads").select("bucket", F.col("key").alias("leader"), F.col("label").alias("theirs"))
+    met = members.join(of, "bucket").filter("label <> theirs and (not leads or key < leader)")
+    return ordered(met)
+
+
+def ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("key", "leader").alias("key"), F.greatest("key", "leader").alias("leader")).distinct()
+
+
 def verified(pairs: DataFrame, texts: DataFrame, codes: np.ndarray) -> DataFrame:
     """(key, leader) of the distinct ``pairs`` whose whole texts are similar."""
     shared = pairs.sparkSession.sparkContext.broadcast(codes)
@@ -264,15 +298,21 @@ def classes(docs: DataFrame) -> DataFrame:
     wave = [F.xxhash64(F.lit(k), _band(k)) for k in range(BANDS)]
     buckets = written(texts.filter("sig is not null").select("key", F.explode(F.array(*wave)).alias("bucket")), "buckets")
     pairs = written(stars(buckets), "stars")
-    edges = written(_verify(docs, texts, pairs.select("key", "leader").distinct(), codes), "links")
-    # leftovers: members that their bucket's leader does not resemble
-    left = pairs.join(edges, ["key", "leader"], "left_anti")
-    nodes = written(left.select("key").union(left.select("leader")).distinct(), "left")
-    twice = [F.xxhash64(F.lit(BANDS * j + k + BANDS), _band(j), _band(k)) for j in range(BANDS) for k in range(j)]
-    finer = texts.join(nodes, "key", "left_semi").select("key", F.explode(F.array(*twice)).alias("bucket"))
-    again = stars(finer).select("key", "leader").distinct().join(edges, ["key", "leader"], "left_anti")
-    more = written(_verify(docs, texts, again, codes), "links")
-    labels = components(edges.union(more))
+    first = written(pairs.select("key", "leader").distinct(), "pairs")
+    edges = written(verified(first, _texts(docs, texts, first.select("key").union(first.select("leader"))), codes), "links")
+    labels = components(edges)
+    left = written(undecided(pairs.select("bucket", "key"), labels), "left")
+    tried, leaders, whole = ordered(first), LEADERS, None
+    while left.limit(1).count():
+        whole = whole or _texts(docs, texts, left.select("key"))
+        members = written(led(left, leaders), "members")
+        again = written(crossed(members).join(tried, ["key", "leader"], "left_anti"), "pairs")
+        more = written(verified(again, whole, codes), "links")
+        if more.limit(1).count():
+            edges = edges.union(more)
+            labels = components(edges)
+        left = written(undecided(members.filter("not leads").select("bucket", "key"), labels), "left")
+        tried, leaders = tried.union(again), leaders * LEADERS
     named = texts.select("key", "rep").join(labels, "key", "left")
     named = named.select("key", "rep", F.coalesce("label", "key").alias("label"))
     ids = named.groupBy("label").agg(F.min("rep").alias("class_id"))
@@ -280,16 +320,15 @@ def classes(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "key").join(by_key, "key")
 
 
-def _verify(docs: DataFrame, texts: DataFrame, pairs: DataFrame, codes: np.ndarray) -> DataFrame:
-    pairs = written(pairs, "pairs")
-    needed = pairs.select("key").union(pairs.select("leader")).distinct()
-    needed = written(texts.join(needed, "key").select(F.col("key").alias("of"), "rep"), "needed")
+def _texts(docs: DataFrame, texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, text) of the digests in ``keys``, written."""
+    needed = written(texts.join(keys.distinct(), "key").select(F.col("key").alias("of"), "rep"), "needed")
     # a short list goes to the texts, else the texts are shuffled to meet it
     needed = F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed
     # the one row of each text's least id; ids spread a hot text's copies over the tasks
     rows = docs.select("doc_id", digest("text").alias("key"), "text")
     own = rows.join(needed, (F.col("key") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-    return verified(pairs, written(own.dropDuplicates(["key"]).select("key", "text"), "texts"), codes)
+    return written(own.dropDuplicates(["key"]).select("key", "text"), "texts")
 
 
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,6 +113,27 @@ def test_groups_of_variants_and_chains(spark):
     assert {r.doc_id: r.class_id for r in minhash.classes(frame).collect()} == want
 
 
+def test_twins_within_a_templated_family(spark):
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(9999)}" for _ in range(400)]
+    edit = lambda t, places, tag: [f"{tag}{i}" if i in places else x for i, x in enumerate(t)]
+    docs = []
+    for g in range(60):  # families of one template at about 0.75, of twins at 0.8 and more
+        one = edit(base, {*rng.sample(range(400), 6)}, f"a{g}x")
+        docs += [(2 * g, " ".join(one)), (2 * g + 1, " ".join(edit(one, {*rng.sample(range(400), 7)}, f"b{g}x")))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in minhash.classes(frame).collect()}
+    seen = minhash.idf_codes(*minhash.sketch(frame))
+    weights = [_weighted(t, seen) for _, t in docs]
+    want = list(range(120))
+    for i in range(120):  # brute force; classes are named by their least member
+        for j in range(i):
+            if _jaccard(weights[i], weights[j]) >= minhash.SIMILAR:
+                want = [min(want[i], want[j]) if x in (want[i], want[j]) else x for x in want]
+    assert len(set(want)) > 50 and want[1::2] == want[::2]
+    assert found == dict(enumerate(want))
+
+
 def test_stage_keeps_one_row_of_every_class(spark, tmp_path):
     text = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcd"]
     docs = [(None, text[0], 1), (None, text[1], 2), (None, text[1], 3), (7, text[2], 4), (7, text[2], 5), (5, text[2], 6), (None, text[3], 7), (9, text[3], 8)]
