@@ -1,6 +1,7 @@
 """Benchmark decontamination: BM25 retrieval with block-max bounds, then overlap of question and answer.
 
-The test items (cut into segments of at most ``SEGMENT`` words) form an inverted index whose
+The test items (cut into as few segments of about equal length as hold at most ``SEGMENT``
+words each, so that none is a short rest) form an inverted index whose
 impacts are BM25 weights divided by the segment's own full score, so a passage that holds a
 whole segment scores 1.  Every passage of every document (``PASSAGE`` words, half overlapping,
 so that a segment always lies whole in one) queries the index for *all* segments of a score of
@@ -14,8 +15,10 @@ at least ``SCORE``:
    ``BLOCK`` neighbouring segments); a pair whose bound stays below the threshold is dropped.
 3. Survivors get their exact score.
 
-A retrieved pair counts as a leak when both parts of the segment, question and answer (its
-last sentence, or its second half where it has one sentence only), overlap with the passage:
+A retrieved pair counts as a leak when both parts of the item, question and answer (its
+last sentence, or its second half where it has one sentence only), overlap with the passage
+or, where the item has several segments, with all passages of the document together that
+were retrieved for them:
 at least ``OVERLAP`` of either part's word trigrams (single words where a part is shorter; an
 empty part asks for nothing) occur in the passage.  Words are runs of letters and digits in lower case.
 
@@ -58,8 +61,12 @@ K1, B = 1.2, 0.75
 class Segment:
     item: int | None
     words: np.ndarray
+    #: Parts of the whole item; the same for all its segments.
     question: np.ndarray
     answer: np.ndarray
+    #: Number of the item's text among those given, and of its segments.
+    text: int = 0
+    parts: int = 1
 
 
 def _grams(h: np.ndarray) -> np.ndarray:
@@ -68,18 +75,20 @@ def _grams(h: np.ndarray) -> np.ndarray:
 
 
 def segments(ids: list, texts: list[str]) -> list[Segment]:
-    """Segments of at most ``SEGMENT`` words; question and answer part of each."""
+    """Segments of at most ``SEGMENT`` words, of one length but for a word; with question and answer part of their items."""
     out = []
-    for item, text in zip(ids, texts, strict=True):
+    for place, (item, text) in enumerate(zip(ids, texts, strict=True)):
         w = X.words(pc.utf8_lower(pa.array([text])), X.NON_ALNUM)
         h = X.hash_words(w)
+        n = len(h)
         ends = np.array([i for i, b in enumerate(w.data) if b in b".!?\n"], np.int64)
-        for lo in range(0, len(h), SEGMENT):
-            hi = min(lo + SEGMENT, len(h))
-            # the last sentence end that leaves words on both sides
-            inner = [k for k in np.searchsorted(w.start, ends).tolist() if lo < k < hi]
-            cut = inner[-1] if inner else (lo + hi + 1) // 2
-            out.append(Segment(item, h[lo:hi], _grams(h[lo:cut]), _grams(h[cut:hi])))
+        # the last sentence end that leaves words on both sides
+        inner = [k for k in np.searchsorted(w.start, ends).tolist() if 0 < k < n]
+        cut = inner[-1] if inner else (n + 1) // 2
+        question, answer = _grams(h[:cut]), _grams(h[cut:])
+        parts = -(-n // SEGMENT)
+        for k in range(parts):
+            out.append(Segment(item, h[n * k // parts: n * (k + 1) // parts], question, answer, place, parts))
     return out
 
 
@@ -167,17 +176,29 @@ class Index:
         pair = np.unique(window * len(self.terms) + np.concatenate([t[later], t[earlier]]))
         of, seg, score = self.retrieve(pair // len(self.terms), pair % len(self.terms))
         best: dict[tuple[int, int | None], tuple] = {}
+        # of items of several segments: all passages of a row
+        whole: dict[tuple[int, int], list[tuple]] = {}
         owner = np.searchsorted(wbase, of, side="right") - 1
-        for win, s, x, row in zip(of.tolist(), seg.tolist(), score.tolist(), owner.tolist(), strict=True):
-            first = (win - int(wbase[row])) * (PASSAGE // 2)
-            span = h[base[row] + first: base[row] + min(first + PASSAGE, per[row])]
-            held = np.concatenate([span, X.window_hashes(span, np.zeros(len(span), np.int64), GRAM)[0]])
-            part = self.segments[s]
+
+        def judge(row: int, part: Segment, x: float, first: int, held: np.ndarray) -> None:
             q, a = (float(np.isin(g, held).mean()) if len(g) else 1.0 for g in (part.question, part.answer))
             if q >= OVERLAP and a >= OVERLAP:
                 found = (-x, first, q, a)
                 key = (row, part.item)
                 best[key] = min(best.get(key, found), found)
+
+        for win, s, x, row in zip(of.tolist(), seg.tolist(), score.tolist(), owner.tolist(), strict=True):
+            first = (win - int(wbase[row])) * (PASSAGE // 2)
+            span = h[base[row] + first: base[row] + min(first + PASSAGE, per[row])]
+            held = np.concatenate([span, X.window_hashes(span, np.zeros(len(span), np.int64), GRAM)[0]])
+            part = self.segments[s]
+            if part.parts == 1:
+                judge(row, part, x, first, held)
+            else:
+                whole.setdefault((row, part.text), []).append((-x, first, s, held))
+        for (row, _), hits in whole.items():
+            x, first, s, _ = min(hits, key=lambda hit: hit[:3])
+            judge(row, self.segments[s], -x, first, np.concatenate([hit[3] for hit in hits]))
         return [(row, item, first, -x, q, a) for (row, item), (x, first, q, a) in best.items()]
 
 

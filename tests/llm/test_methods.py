@@ -213,6 +213,19 @@ def test_items_of_many_segments_and_shared_words_alone(spark):
     assert {(r.doc_id, r.item_id) for r in decontam.leaks(docs, items).collect()} == {(10, 1), (11, 2)}
 
 
+def test_the_rest_of_a_long_item_does_not_match_alone(spark):
+    rng = random.Random(8)
+    item = {n: " ".join(f"q{n}x{rng.randrange(900)}" for _ in range(n - k)) + " river" * (k > 0) + " name" * (k > 1) + "."
+            for n, k in ((64, 1), (65, 1), (66, 2), (130, 2))}
+    items = spark.createDataFrame(list(item.items()), "item_id long, text string")
+    noise = lambda: " ".join(f"n{rng.randrange(900)}" for _ in range(rng.randint(40, 200)))
+    clean = [(i, f"{noise()} the name of the river {noise()}") for i in range(20)]
+    half = [(100 + n, f"{noise()} {' '.join(t.split()[: n // 2])} {noise()}") for n, t in item.items()]
+    full = [(200 + n, f"{noise()} {t} {noise()}") for n, t in item.items()]
+    docs = spark.createDataFrame(clean + half + full, "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.leaks(docs, items).collect()} == {(200 + n, n) for n in item}
+
+
 # ---------------------------------------------------------------- 5, 6, 9 models
 
 def test_unseen_words_fall_back_to_the_longest_known_ngrams():
