@@ -8,9 +8,11 @@ halves, as Spark's long arithmetic must not overflow.
 
 Slots number a shard's rows from 0 without gaps.  No shard passes through one task: rows are
 ordered within ``BLOCKS`` hash blocks of a shard, and a block starts where the counts of the
-blocks before it end; that table has at most shards x ``BLOCKS`` rows.  Rows alike in id,
-size and checksum are counted before the shuffle and laid out again behind it, ``CHUNK`` at
-a time, so that a hot id does not fill one window.
+blocks before it end; that table has at most shards x ``BLOCKS`` rows.  Within a block, an id's rows
+are ordered in ``PARTS`` ranges of their checksum, and only the counts of these ranges are
+summed over the block, so different texts of a hot id do not fill one window.  Rows alike in
+id, size and checksum are counted before the shuffle and laid out again behind it, ``CHUNK``
+at a time.
 
 Defined results: a null text has size 8 and the checksum of no bytes, 0; a null id is the
 key 0 and comes first within a block; repeated rows share a shard and get slots of their own.
@@ -26,6 +28,8 @@ from ledgerlens.llm.corpus import table
 SHARDS = 24
 #: By the first three hexadecimal digits of the id's MD5.
 BLOCKS = 16**3
+#: By the first twelve bits of the checksum.
+PARTS = 16**3
 CHUNK = 4096
 OVERHEAD = 8
 _MULTIPLIER = 2862933555777941757
@@ -67,15 +71,21 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     key = F.coalesce("doc_id", F.lit(0).cast("long"))
     block = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 3), 16, 10).cast("int")
     placed = alike.select("*", jump(key, shards).alias("shard"), jump(key, shards + 1).alias("grown_shard"),
-                          block.alias("block"))
+                          block.alias("block"), F.expr(f"cast(text_crc32 div {2**32 // PARTS} as int)").alias("part"))
     sizes = placed.groupBy("shard", "block").agg(F.sum("n").alias("rows"))
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(F.col("shard").alias("of"), F.col("block").alias("at_block"),
                           F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("shard", "block").orderBy("doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = placed.groupBy("shard", "block", "doc_id", "part").agg(F.sum("n").alias("rows"))
+    earlier = Window.partitionBy("shard", "block").orderBy("doc_id", "part").rowsBetween(Window.unboundedPreceding, -1)
     # null-safe, as neither side has nulls and a null filter on one side would keep Spark from reusing the one shuffle
-    first = placed.withColumn("at", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(
+    bases = ranges.withColumn("over", F.coalesce(F.sum("rows").over(earlier), F.lit(0))).join(
         starts, F.col("shard").eqNullSafe(F.col("of")) & F.col("block").eqNullSafe(F.col("at_block")))
+    bases = bases.select(F.col("shard").alias("in_shard"), F.col("block").alias("in_block"), F.col("doc_id").alias("of_id"),
+                         F.col("part").alias("of_part"), (F.col("start") + F.col("over")).alias("start"))
+    inside = Window.partitionBy("shard", "block", "doc_id", "part").orderBy("text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
+    same = [F.col(x).eqNullSafe(F.col(y)) for x, y in (("shard", "in_shard"), ("block", "in_block"), ("doc_id", "of_id"), ("part", "of_part"))]
+    first = placed.withColumn("at", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(bases, same)
     chunks = first.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(CHUNK).cast("long"))).alias("from"))
     return (chunks.hint("rebalance")
             .select("*", F.explode(F.sequence("from", F.least(F.col("from") + CHUNK, "n") - 1)).alias("copy"))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import math
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -314,6 +316,21 @@ def test_hot_id_is_laid_out_in_chunks(spark):
         assert slots == list(range(len(slots)))
 
 
+def test_different_texts_of_a_hot_id_do_not_fill_one_window(spark):
+    ids = [None if i % 3 == 0 else 5 if i % 3 == 1 else i for i in range(6000)]
+    docs = spark.createDataFrame([(d, f"text {i % 5000}") for i, d in enumerate(ids)], "doc_id long, text string")
+    found = shard(docs)
+    by_checksum = [x for x in re.findall(r"windowspecdefinition\((.*?)specifiedwindowframe", found._jdf.queryExecution().optimizedPlan().toString())
+                   if "text_crc32" in x]
+    assert by_checksum and not any(re.search(r"doc_id#\w+ ASC", x) for x in by_checksum)  # an id's rows are never one window's
+    rows = found.collect()
+    block = lambda r: hashlib.md5(str("" if r.doc_id is None else r.doc_id).encode()).hexdigest()[:3]
+    for s in {r.shard for r in rows}:  # brute force: one sort of the whole shard
+        own = sorted((r for r in rows if r.shard == s), key=lambda r: (block(r), r.doc_id is not None, r.doc_id or 0, r.text_crc32, r.size))
+        assert [r.slot for r in sorted(own, key=lambda r: r.slot)] == list(range(len(own)))
+        assert [(r.doc_id, r.text_crc32, r.size) for r in sorted(own, key=lambda r: r.slot)] == [(r.doc_id, r.text_crc32, r.size) for r in own]
+
+
 # ---------------------------------------------------------------- 10 quality rules
 
 def test_binomial_tail_is_exact():
