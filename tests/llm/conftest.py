@@ -10,6 +10,7 @@ import pytest
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, shard int, label string"
 LABELS = "doc_id long, quality int, toxic int, text string"
 ITEMS = "item_id long, text string, doc_id long"
+VECTORS = "vec_id long, embedding array<float>, label int"
 
 EN = "the of and to in with that for was this from river stone market garden winter letter".split()
 DE = "der die und den von mit ist nicht schloss garten winter brief straße über mädchen".split()
@@ -55,7 +56,8 @@ def small(spark, tmp_path_factory) -> str:
     """A folder with the small corpus as Parquet."""
     folder = tmp_path_factory.mktemp("corpus")
     docs, labels, items = corpus()
-    for name, rows, schema in (("documents", docs, DOCS), ("labels", labels, LABELS), ("benchmark", items, ITEMS)):
+    vectors = [(i, [((i * 7 + k * k) % 23) / 11 - 1 for k in range(64)], 0) for i in range(60)] + [(None, [0.5] * 64, 1), (70, None, 1)]
+    for name, rows, schema in (("documents", docs, DOCS), ("labels", labels, LABELS), ("benchmark", items, ITEMS), ("embeddings", vectors, VECTORS)):
         spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{folder}/{name}.parquet")
     return str(folder)
 
@@ -64,7 +66,7 @@ def small(spark, tmp_path_factory) -> str:
 def nothing(spark, tmp_path_factory) -> str:
     """A folder with empty tables."""
     folder = tmp_path_factory.mktemp("empty")
-    for name, schema in (("documents", DOCS), ("labels", LABELS), ("benchmark", ITEMS)):
+    for name, schema in (("documents", DOCS), ("labels", LABELS), ("benchmark", ITEMS), ("embeddings", VECTORS)):
         spark.createDataFrame([], schema).write.parquet(f"{folder}/{name}.parquet")
     return str(folder)
 
