@@ -106,6 +106,19 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(good.withColumns({c: F.col(c).cast("long") for c in ("invoice_id", "customer_id")}))
 
 
+def _csv_two_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapped invoices as CSV files of two headers, one with a column of quoted line ends and quotes; read as one Bronze table."""
+    path = shared_dir(spark, "csv")
+    invoices = _t(spark, sf_dir)["invoices"]
+    odd = F.col("invoice_id") % 2 == 1
+    note = F.concat(F.lit('two\nlines, "'), F.col("invoice_id").cast("string"), F.lit('"'))
+    quoted = {"header": True, "quote": '"', "escape": '"'}
+    invoices.filter(odd).write.options(**quoted).csv(f"{path}/odd")
+    invoices.filter(~odd).withColumn("note", note).select("note", *reversed(invoices.columns)).write.options(**quoted).csv(f"{path}/even")
+    good, _ = read_bronze_csv(spark, [f"{path}/odd", f"{path}/even"], "invoices")
+    return _out(good.withColumns({c: F.col(c).cast("long") for c in ("invoice_id", "customer_id")}))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: the Gold flagged_accounts table over the sf0.001 tables."""
     return _out(_flags(_t(spark, SMOKE_DIR)))
@@ -178,6 +191,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                                      "balance_at_sent in_credit"),
         "silver_running_balance": _medallion("silver/silver_running_balance", "customer_id effective_date entry_id running_balance"),
         "bronze_csv_roundtrip": _csv_roundtrip,
+        "bronze_csv_two_headers": _csv_two_headers,
     }
     if corpus is not None:
         q |= corpus.queries()

@@ -1,7 +1,6 @@
 """Readers for the four billing tables and the mapping of the test star schema."""
 
 from ledgerlens.sources.bronze import (
-    MissingColumn,
     UpstreamMissing,
     from_rows,
     read_bronze_csv,
@@ -10,9 +9,10 @@ from ledgerlens.sources.bronze import (
     read_tables,
     require,
 )
+from ledgerlens.sources.csv_files import MissingColumn, csv_headers
 from ledgerlens.sources.testdata import billing_tables
 
 __all__ = [
-    "MissingColumn", "UpstreamMissing", "from_rows", "read_bronze_csv", "read_labels_csv", "read_table", "read_tables",
+    "MissingColumn", "UpstreamMissing", "csv_headers", "from_rows", "read_bronze_csv", "read_labels_csv", "read_table", "read_tables",
     "require", "billing_tables",
 ]

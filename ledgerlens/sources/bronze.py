@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Iterable, Mapping
 
 import pandas as pd
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens import schemas
+from ledgerlens.sources.csv_files import SHAPE, MissingColumn, read_records
 
 TABLES = ("customers", "ledger_entries", "invoices", "invoice_allocations")
 
@@ -20,10 +20,6 @@ class UpstreamMissing(RuntimeError):
     """An upstream stage's table is absent; the message is one human-readable line."""
 
 
-class MissingColumn(ValueError):
-    """A CSV file's header lacks a column of the table."""
-
-
 def _try_typed(c: Column, dtype: T.DataType) -> Column:
     """The typed value, or null where the text is no exact value of the type."""
     if isinstance(dtype, T.DateType):
@@ -35,14 +31,13 @@ def _try_typed(c: Column, dtype: T.DataType) -> Column:
     return c if isinstance(dtype, T.StringType) else c.try_cast(dtype)
 
 
-def parse_typed(raw: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+def parse_typed(raw: DataFrame, table: str, schema: T.StructType | None = None) -> tuple[DataFrame, DataFrame]:
     """Text columns of a table (found by name) as ``(typed rows, rejected rows)``.
 
     A row with a value that is not exactly one of its type is rejected, never dropped or
     rounded: rejects keep the raw text and name the failing columns in ``reject_reason``.
-    Works on batch and streaming frames alike.
     """
-    schema = schemas.BRONZE[table]
+    schema = schema or schemas.BRONZE[table]
     missing = [f.name for f in schema.fields if f.name not in raw.columns]
     if missing:
         raise MissingColumn(f"{table}: the header has no column {', '.join(missing)}")
@@ -53,48 +48,18 @@ def parse_typed(raw: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     return good, judged.filter(F.col("reject_reason") != "")
 
 
-#: Column that says what is wrong with a line's number of fields.
-SHAPE = "_shape"
-
-
-def read_bronze_csv(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, DataFrame]:
-    """``(typed rows, rejected rows)`` of CSV files with a header line; columns go by name.
+def read_bronze_csv(spark: SparkSession, path: str | Iterable[str], table: str, quoted_newlines: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``(typed rows, rejected rows)`` of the CSV files under ``path``; columns go by name, file by file.
 
-    Lines are parsed by ``from_csv`` against the header's own columns and one more: a line with
-    too few fields lacks the last, one with too many has the one more.  Rejects hold such lines and
-    those with values of the wrong type.  All files under ``path`` must share one header.
+    Rejects hold records of too few or too many fields and those with values of the wrong type.
     """
-    return parse_lines(spark.read.text(path), table)
+    return parse_typed(read_records(spark, path, schemas.BRONZE[table].names, table, quoted_newlines), table)
 
 
-def parse_lines(lines: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
-    """:func:`read_bronze_csv` of a frame of text lines (one column, ``value``)."""
-    lines = lines.filter(F.length(F.trim("value")) > 0)
-    header = lines.select("value").first()
-    if header is None:
-        raise MissingColumn(f"{table}: the file has no header")
-    names = [c.strip() for c in next(csv.reader([header.value]))]
-    fields = ", ".join(f"`{c}` string" for c in [*names, "_over", "_corrupt"])
-    cells = F.from_csv("value", fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    row = lines.filter(F.col("value") != header.value).select("value", cells.alias("c"))
-    over = F.col("c._over").isNotNull() | (_fields(F.col("value")) > len(names))
-    shape = F.when(over, F.lit("too many fields")).when(_fields(F.col("value")) < len(names), F.lit("too few fields"))
-    return parse_typed(row.select(*[F.col(f"c.`{c}`").alias(c) for c in names], shape.alias(SHAPE)), table)
-
-
-def _fields(line: Column) -> Column:
-    """Number of fields of a CSV line: commas outside quotes, and one."""
-    return F.length(F.regexp_replace(F.regexp_replace(line, '"[^"]*"', ""), "[^,]", "")) + 1
-
-
-def read_labels_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Expected defects from a CSV file with the columns of ``schemas.MANIFEST``; an absent invoice is ''."""
-    lines = spark.read.option("header", True).csv(path)
-    missing = [f.name for f in schemas.MANIFEST.fields if f.name not in lines.columns]
-    if missing:
-        raise MissingColumn(f"labels: the header has no column {', '.join(missing)}")
-    typed = lines.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.MANIFEST.fields])
-    return typed.fillna("", subset=["affected_invoice_id"])
+def read_labels_csv(spark: SparkSession, path: str | Iterable[str]) -> tuple[DataFrame, DataFrame]:
+    """``(expected defects, rejected rows)`` of CSV files with the columns of ``schemas.MANIFEST``; an absent invoice is ''."""
+    good, rejects = parse_typed(read_records(spark, path, schemas.MANIFEST.names, "labels"), "labels", schemas.MANIFEST)
+    return good.fillna("", subset=["affected_invoice_id"]), rejects
 
 
 _ABSENT = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")

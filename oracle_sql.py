@@ -387,5 +387,5 @@ SELECT 'right_only', * FROM (SELECT CAST(invoice_id AS VARCHAR), CAST(customer_i
     q["medallion_roundtrip"] = q["flagged_accounts"]
     q["silver_notices"] = q["naive_notices"]
     q["silver_running_balance"] = q["running_balance"]
-    q["bronze_csv_roundtrip"] = q["billing_invoices"]
+    q["bronze_csv_roundtrip"] = q["bronze_csv_two_headers"] = q["billing_invoices"]
     return q

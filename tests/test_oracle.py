@@ -14,7 +14,7 @@ assert os.path.isdir(SF), "the test tables are missing"
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ["customer", "orders", "lineitem", "documents"]:
+    for t in ["customer", "orders", "lineitem"]:
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
@@ -30,7 +30,11 @@ def _canon(cols, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+# The corpus queries are tested against their SQL in tests of their own.
+CORE = sorted(n for n in E.oracle_sql() if not n.startswith("op") and n != "pipeline")
+
+
+@pytest.mark.parametrize("name", CORE)
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     res = con.execute(E.oracle_sql()[name])

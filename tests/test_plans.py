@@ -113,11 +113,48 @@ def test_csv_goes_by_header(spark, tmp_path):
         read_bronze_csv(spark, str(path), "ledger_entries")
 
 
+def test_every_csv_file_keeps_its_own_header(spark, tmp_path):
+    folder = tmp_path / "in [1]"
+    folder.mkdir()
+    (folder / "a.csv").write_text("entry_id,customer_id,type,amount,effective_date,source,status\nk1,N1,payment,5,2023-01-01,direct_debit,settled\n")
+    (folder / "b{1}.csv").write_text("note,status,source,effective_date,amount,type,customer_id,entry_id\n"
+                                     '"two\nlines","dishonoured","a ""q"", b",2023-01-02,7.50,payment,N2,k2\n'
+                                     "plain,settled,x,2023-01-03,oops,payment,N3,k3\n")
+    (folder / "c.csv").write_text("entry_id,customer_id,type,amount,effective_date,source,status\n")
+    good, rejects = read_bronze_csv(spark, str(folder).replace("[1]", "?1?"), "ledger_entries")
+    assert sorted((r.entry_id, r.customer_id, str(r.amount), r.source, r.status) for r in good.collect()) == [
+        ("k1", "N1", "5.00", "direct_debit", "settled"), ("k2", "N2", "7.50", 'a "q", b', "dishonoured")]
+    assert [(r.entry_id, r.amount, r.note, r.reject_reason) for r in rejects.collect()] == [("k3", "oops", "plain", "amount")]
+    assert good.select("customer_id").count() == 2  # no fewer columns make a record look wrong
+    (folder / "d.csv").write_text("entry_id,customer_id\nk9,N1\n")
+    (folder / "e.csv").write_text("")
+    with pytest.raises(MissingColumn, match=r"d\.csv: no column type, amount.*e\.csv: no header"):
+        read_bronze_csv(spark, str(folder).replace("[1]", "?1?"), "ledger_entries")
+
+
+def test_large_files_without_quoted_line_ends_are_split(spark, tmp_path):
+    for name, order in (("a", 1), ("b", -1)):
+        cols = ["customer_id", "plan_id", "signup_date", "status"][::order]
+        rows = [["N%05d" % i, "p", "", "active"][::order] for i in range(20_000)]
+        (tmp_path / f"{name}.csv").write_text("\n".join(",".join(r) for r in [cols, *rows]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        good, rejects = read_bronze_csv(spark, str(tmp_path), "customers", quoted_newlines=False)
+        assert good.rdd.getNumPartitions() > 4
+        assert (good.count(), rejects.count()) == (40_000, 0)
+        assert good.groupBy("customer_id", "status").count().filter("count = 2 and status = 'active'").count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_labels_file(spark, tmp_path):
     path = tmp_path / "labels.csv"
-    path.write_text("expected_rule,defect_id,defect_family,customer_id,affected_invoice_id,expected_severity,injected_amount\n2,D1,x,N1,,warning,4.5\n")
-    (row,) = read_labels_csv(spark, str(path)).collect()
+    path.write_text("expected_rule,defect_id,defect_family,customer_id,affected_invoice_id,expected_severity,injected_amount\n"
+                    "2,D1,x,N1,,warning,4.5\nsecond,D2,x,N1,,warning,4.555\n")
+    labels, rejects = read_labels_csv(spark, str(path))
+    (row,) = labels.collect()
     assert (row.defect_id, row.expected_rule, row.affected_invoice_id, str(row.injected_amount)) == ("D1", 2, "", "4.50")
+    assert [(r.defect_id, r.reject_reason) for r in rejects.collect()] == [("D2", "expected_rule,injected_amount")]
 
 
 def test_rows_of_a_pandas_frame(spark):
