@@ -47,5 +47,14 @@ def checkpoint_base(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder's path under :func:`checkpoint_base`; whoever asked for it removes it."""
+    """A fresh folder's path under :func:`checkpoint_base`; whoever asked for it removes it (:func:`remove`)."""
     return f"{checkpoint_base(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder wherever Spark can reach it; an absent one is no error.
+
+    PySpark has no call of its own for this, so it goes through Hadoop's file system.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ledgerlens import schemas
 from ledgerlens.sources.csv_files import SHAPE, MissingColumn, read_records
+from ledgerlens.sources.versions import load, nothing_there
 
 TABLES = ("customers", "ledger_entries", "invoices", "invoice_allocations")
 
@@ -62,25 +63,22 @@ def read_labels_csv(spark: SparkSession, path: str | Iterable[str]) -> tuple[Dat
     return good.fillna("", subset=["affected_invoice_id"]), rejects
 
 
-_ABSENT = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
-
-
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Columnar table scan (parquet by default; ``fmt='delta'`` when Delta is installed)."""
     return read_tables(spark, *path.rstrip("/").rsplit("/", 1)[:1], [path.rstrip("/").rsplit("/", 1)[-1]], fmt).popitem()[1]
 
 
 def require(spark: SparkSession, *paths: str, fmt: str = "parquet") -> list[DataFrame]:
-    """Pre-flight check: every path must hold a table.  Returns the tables; reads no rows.
+    """Pre-flight check: every path must hold a table (versioned or plain).  Returns the tables; reads no rows.
 
     Only absence counts as such: a table that is there but cannot be read raises its own error.
     """
     found, absent = [], []
     for path in paths:
         try:
-            found.append(spark.read.format(fmt).load(path))
+            found.append(load(spark, path, fmt))
         except AnalysisException as e:
-            if not (e.getCondition() or "").startswith(_ABSENT):
+            if not nothing_there(e):
                 raise
             absent.append(path)
     if absent:

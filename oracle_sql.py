@@ -387,5 +387,33 @@ SELECT 'right_only', * FROM (SELECT CAST(invoice_id AS VARCHAR), CAST(customer_i
     q["medallion_roundtrip"] = q["flagged_accounts"]
     q["silver_notices"] = q["naive_notices"]
     q["silver_running_balance"] = q["running_balance"]
+    # ---- tables that the stages wrote; positions are plain windows here
+    q["silver_invoices"], q["silver_end_of_day"] = q["allocated_at_sent"], q["end_of_day_balance"]
+    q["report_flags_by_rule"], q["report_severity_matrix"] = q["flags_by_rule"], q["severity_matrix"]
+    q["report_flags_by_month"] = _with("""
+SELECT month, flags, row_number() OVER (ORDER BY month) AS position
+FROM (SELECT substr(flag_date, 1, 7) AS month, count(*) AS flags FROM flags GROUP BY 1) m""")
+    q["report_flag_drilldown"] = _with(f"""
+SELECT row_number() OVER (ORDER BY CASE f.severity WHEN 'critical' THEN 0 WHEN 'high' THEN 1 WHEN 'medium' THEN 2 ELSE 3 END,
+                                   f.customer_id, f.rule_id, f.flag_id, f.explanation) AS position,
+       f.customer_id, f.rule_id, d.rule_label, f.severity, CAST(f.amount AS DOUBLE) AS amount,
+       COALESCE(f.invoice_id, '') AS invoice_id, f.flag_date, f.explanation
+FROM flags f JOIN {RULE_DIM} ON d.rule_id = f.rule_id""")
+    q["flag_summary"] = _with("""
+SELECT CASE WHEN GROUPING(month) = 0 THEN 'month' WHEN GROUPING(severity) = 0 THEN 'severity' ELSE 'rule' END AS report,
+       rule_id, severity, month, count(*) AS flags
+FROM (SELECT rule_id, severity, substr(flag_date, 1, 7) AS month FROM flags) f
+GROUP BY GROUPING SETS ((rule_id), (month), (rule_id, severity))""")
+    rows = {"bronze/customers": "customers", "bronze/ledger_entries": "ledger_entries", "bronze/invoices": "invoices",
+            "bronze/invoice_allocations": "invoice_allocations", "silver/silver_running_balance": "valid",
+            "silver/silver_end_of_day": "(SELECT DISTINCT customer_id, effective_date FROM valid) x", "silver/silver_invoices": "at_sent",
+            "silver/silver_notices": "notices", "gold/flagged_accounts": "flags",
+            "reports/flag_summary": "(SELECT DISTINCT rule_id, severity FROM flags UNION ALL SELECT DISTINCT rule_id, NULL FROM flags "
+                                    "UNION ALL SELECT DISTINCT NULL, substr(flag_date, 1, 7) FROM flags) x",
+            "reports/flags_by_rule": RULE_DIM, "reports/flags_by_month": "(SELECT DISTINCT substr(flag_date, 1, 7) FROM flags) x",
+            "reports/severity_matrix": "(SELECT DISTINCT rule_id, severity FROM flags) x", "reports/flag_drilldown": "flags"}
+    counts = [f"SELECT '{name}' AS table_name, 'rows' AS metric, count(*) AS value FROM {source}" for name, source in rows.items()]
+    counts += [f"SELECT 'gold/flagged_accounts', 'rule_{r}', count(*) FILTER (WHERE rule_id = {r}) FROM flags" for r in range(1, 6)]
+    q["stage_metrics"] = _with("\nUNION ALL ".join([*counts, "SELECT 'silver/silver_notices', 'in_credit', count(*) FILTER (WHERE in_credit) FROM notices"]))
     q["bronze_csv_roundtrip"] = q["bronze_csv_two_headers"] = q["billing_invoices"]
     return q

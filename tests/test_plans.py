@@ -171,7 +171,9 @@ def test_bronze_from_csv_keeps_rejects(spark, tmp_path):
         (tmp_path / f"{name}.csv").write_text(text)
     root = shared_dir(spark, "test-bronze")
     counts = M.run_bronze_csv(spark, {n: str(tmp_path / f"{n}.csv") for n in texts}, root)
-    assert counts == {"customers": 0, "invoices": 1, "ledger_entries": 0, "invoice_allocations": 0}
+    assert {n: c["rows"] for n, c in counts.items() if n.startswith("bronze_rejects")} == {
+        "bronze_rejects/customers": 0, "bronze_rejects/invoices": 1, "bronze_rejects/ledger_entries": 0, "bronze_rejects/invoice_allocations": 0}
+    assert counts["bronze/customers"] == {"rows": 1} and counts["bronze/ledger_entries"] == {"rows": 0}
     assert read_table(spark, f"{root}/bronze/customers").count() == 1
 
 
