@@ -23,13 +23,14 @@ from ledgerlens.operators import intervals as I  # noqa: E402
 from ledgerlens.operators import ledger as L  # noqa: E402
 from ledgerlens.operators import notices as N  # noqa: E402
 from ledgerlens.operators import rules as R  # noqa: E402
-from ledgerlens.params import TESTDATA_PARAMS, WHATIF_PARAMS  # noqa: E402
+from ledgerlens.params import TESTDATA_PARAMS, WHATIF_PARAMS, DetectorParams  # noqa: E402
 from ledgerlens.plans import flags as G  # noqa: E402
 from ledgerlens.plans import medallion as M  # noqa: E402
 from ledgerlens.plans import reports as Rp  # noqa: E402
 from ledgerlens.plans import validation as V  # noqa: E402
 from ledgerlens.session import shared_dir  # noqa: E402
 from ledgerlens.sources.bronze import read_bronze_csv  # noqa: E402
+from ledgerlens.sources.layout import CustomerLayout, write_layout  # noqa: E402
 from ledgerlens.sources.testdata import billing_tables, expected_defects  # noqa: E402
 
 try:  # the corpus operators are an optional part of the library
@@ -104,6 +105,21 @@ def _medallion(table: str, columns: str) -> Callable[[SparkSession, str], DataFr
     return lambda spark, sf_dir: _out(M.read_table(spark, f"{_stages(spark, sf_dir)[0]}/{table}").select(*columns.split()))
 
 
+_LAYOUTS: dict[tuple[str, str], CustomerLayout] = {}
+
+
+def _by_customer(fn: Callable[[dict[str, DataFrame], DetectorParams], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """An operator over the mapped tables laid out by customer, written once per application and folder."""
+    return lambda spark, sf_dir: _out(_layout(spark, sf_dir).each(fn, P))
+
+
+def _layout(spark: SparkSession, sf_dir: str) -> CustomerLayout:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAYOUTS:
+        _LAYOUTS[key] = write_layout(spark, _t(spark, sf_dir), P)
+    return _LAYOUTS[key]
+
+
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mapped invoices written as CSV with the columns turned round, and read as Bronze."""
     path = shared_dir(spark, "csv")
@@ -192,6 +208,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _notices(t, WHATIF_PARAMS).select(
                 F.col("invoice_id").cast("string"), F.col("customer_id").cast("string"), "in_credit"),
         )),
+        # Bronze laid out by customer
+        "bucketed_running_balance": _by_customer(lambda t, p: L.running_balance(ent(t), p)),
+        "bucketed_end_of_day": _by_customer(lambda t, p: L.end_of_day_balance(ent(t))),
+        "bucketed_continuity": _by_customer(lambda t, p: R.continuity_classes(inv(t), p)),
+        "bucketed_rule3": _by_customer(lambda t, p: R.rule3_statement_gap(inv(t), p)),
+        "bucketed_rule5": _by_customer(lambda t, p: R.rule5_duplicate_invoice(inv(t), p)),
+        "bucketed_flagged_accounts": lambda spark, sf_dir: _out(G.flagged_by_layout(_layout(spark, sf_dir), P)),
         # sources and sinks end to end
         "medallion_roundtrip": _medallion("gold/flagged_accounts", "flag_id rule_id customer_id invoice_id amount severity flag_date explanation"),
         "silver_notices": _medallion("silver/silver_notices", "customer_id invoice_id amount_due sent_date allocated_total_at_sent "

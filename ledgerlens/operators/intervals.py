@@ -2,15 +2,18 @@
 
 Two statements overlap when ``a.ps <= b.pe and b.ps <= a.pe`` (closed intervals).
 
-Near-duplicates (``overlap_pairs``): a period of up to 2^k days has level k and lies in at
-most two bins of its level (bins of 2^k days).  Two periods meet in the bins of the longer
+Near-duplicates (``overlap_pairs``).  A customer of at most ``pairwise_rows`` statements is one key of
+a join by customer: candidates per statement are bounded by that number.  Where customers are larger,
+which one count by customer tells beforehand, only those of their statements meet that can match: a
+period of up to 2^k days has level k and lies in at most two bins of its level (bins of 2^k days).  Two periods meet in the bins of the longer
 one's level, so a statement is put into its own level's bins and, to be found by longer
 ones, into the bins of the longer levels that occur at all: a few dozen rows at the very
 most, however long the period.  A pair is kept only in the bin of ``greatest(a.ps, b.ps)``,
 so it comes out once.  The key also carries an amount band: ``b`` sits in the band of its
 amount, ``a`` in the bands of its tolerance interval (about three).  Bins and bands are
 monotone, which is all that exactness needs, and the exact predicates are checked after the
-join; AQE splits keys that are still skewed.
+join.  Keys of over ``heavy_key_rows`` statements (many alike at one time) are counted first; their
+``b`` side is dealt to parts by a hash and their ``a`` side repeated for each part, so no task gets a key whole.
 
 Counts (``overlap_counts``): how many statements overlap each one is the number of starts up
 to its end less the number of ends before its start, less itself: two running sums over one
@@ -25,6 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.skew import hot_keys, renamed, same
 from ledgerlens.params import DetectorParams
 
 _COLS = ["customer_id", "invoice_id", "ps", "pe", "amount_due"]
@@ -75,6 +79,49 @@ def overlap_pairs(invoices: DataFrame, params: DetectorParams, near_identical: b
     base = statement_periods(invoices).dropna(subset=["customer_id", "invoice_id", "ps", "pe"])
     if near_identical:
         base = base.dropna(subset=["amount_due"])
+    sizes = base.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
+    if not sizes.filter(F.col("n") > params.pairwise_rows).limit(1).count():  # a job that tells which plan is needed
+        return _named(_pairwise(base, params, near_identical))
+    hot = hot_keys(base, ["customer_id"], params) if params.split_hot else None
+    heavy = None
+    if hot is not None:
+        listed = F.broadcast(renamed(hot, ["customer_id"]))  # max_hot_groups rows at most
+        heavy = base.join(listed, same(["customer_id"], base, listed), "left_semi")
+        base = base.join(listed, same(["customer_id"], base, listed), "left_anti")
+    sized = base.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("customer_id")))
+    small, large = sized.filter(F.col("n") <= params.pairwise_rows).drop("n"), sized.filter(F.col("n") > params.pairwise_rows).drop("n")
+    return _named(_pairwise(small, params, near_identical).unionAll(
+        _binned(large if heavy is None else large.unionAll(heavy), params, near_identical)))
+
+
+def _named(met: DataFrame) -> DataFrame:
+    return met.select(
+        F.col("a_customer_id").alias("customer_id"),
+        "a_invoice_id", "b_invoice_id", "a_ps", "a_pe", "b_ps", "b_pe",
+        F.col("a_amount_due").alias("a_amount"), F.col("b_amount_due").alias("b_amount"),
+    )
+
+
+def _side(df: DataFrame, prefix: str, *more: str) -> DataFrame:
+    return df.select([F.col(c).alias(f"{prefix}_{c}") for c in [*_COLS, *more]])
+
+
+def _matches(params: DetectorParams, near_identical: bool) -> Column:
+    """The exact predicates of a pair."""
+    cond = (F.col("a_invoice_id") < F.col("b_invoice_id")) & (F.col("a_ps") <= F.col("b_pe")) & (F.col("b_ps") <= F.col("a_pe"))
+    if near_identical:
+        cond = cond & (F.abs(F.col("a_amount_due") - F.col("b_amount_due")) <= tolerance(F.col("a_amount_due"), params))
+    return cond
+
+
+def _pairwise(statements: DataFrame, params: DetectorParams, near_identical: bool) -> DataFrame:
+    """Pairs of customers with few statements."""
+    return _side(statements, "a").join(_side(statements, "b"), (F.col("a_customer_id") == F.col("b_customer_id")) & _matches(params, near_identical)).select(
+        *[f"{p}_{c}" for p in "ab" for c in _COLS])
+
+
+def _binned(base: DataFrame, params: DetectorParams, near_identical: bool) -> DataFrame:
+    """Pairs by customer, level, bin and amount band, heavy keys in parts."""
     lo, hi = F.least("ps", "pe"), F.greatest("ps", "pe")
     base = base.withColumn("level", _level(lo, hi))
     occurring = base.agg(F.sort_array(F.collect_set("level")).alias("levels")).scalar()  # two dozen numbers at most
@@ -86,29 +133,36 @@ def overlap_pairs(invoices: DataFrame, params: DetectorParams, near_identical: b
     home = bins(base, F.col("level"))
     longer = base.withColumn("_levels", F.array_except(occurring, F.sequence(F.lit(0), F.col("level"))))
     abroad = bins(longer.withColumn("_longer", F.explode("_levels")), F.col("_longer")).drop("_levels", "_longer")
-    side = lambda df, p: df.select([F.col(c).alias(f"{p}_{c}") for c in [*_COLS, "at", "bin"]])
     banded = near_identical and params.amount_banding
+    keys = ["customer_id", "at", "bin", *(["band"] if banded else [])]
 
     def join(a: DataFrame, b: DataFrame) -> DataFrame:
-        a, b = side(a, "a"), side(b, "b")
-        cond = reduce(lambda x, y: x & y, [F.col(f"a_{k}") == F.col(f"b_{k}") for k in ("customer_id", "at", "bin")])
+        a, b = _side(a, "a", "at", "bin"), _side(b, "b", "at", "bin")
         if banded:
             tol = tolerance(F.col("a_amount_due"), params)
             a = a.withColumn("a_band", F.explode(F.sequence(_band(F.col("a_amount_due") - tol, params), _band(F.col("a_amount_due") + tol, params))))
             b = b.withColumn("b_band", _band(F.col("b_amount_due"), params))
-            cond = cond & (F.col("a_band") == F.col("b_band"))
-        cond = (cond & (F.col("a_invoice_id") < F.col("b_invoice_id")) & (F.col("a_ps") <= F.col("b_pe")) & (F.col("b_ps") <= F.col("a_pe"))
-                & (F.col("a_bin") == _bin(F.greatest("a_ps", "b_ps"), F.col("a_at"))))
-        if near_identical:
-            cond = cond & (F.abs(F.col("a_amount_due") - F.col("b_amount_due")) <= tolerance(F.col("a_amount_due"), params))
-        return a.join(b, cond)
-
-    met = join(home, home.unionAll(abroad)).unionAll(join(abroad, home))
-    return met.select(
-        F.col("a_customer_id").alias("customer_id"),
-        "a_invoice_id", "b_invoice_id", "a_ps", "a_pe", "b_ps", "b_pe",
-        F.col("a_amount_due").alias("a_amount"), F.col("b_amount_due").alias("b_amount"),
-    )
+        a, b = in_parts(a, b, keys, params)
+        cond = reduce(lambda x, y: x & y, [F.col(f"a_{k}") == F.col(f"b_{k}") for k in [*keys, "part"]])
+        cond = cond & (F.col("a_bin") == _bin(F.greatest("a_ps", "b_ps"), F.col("a_at"))) & _matches(params, near_identical)
+        return a.join(b, cond).select(*[f"{p}_{c}" for p in "ab" for c in _COLS])
+
+    return join(home, home.unionAll(abroad)).unionAll(join(abroad, home))
+
+
+def in_parts(a: DataFrame, b: DataFrame, keys: list[str], params: DetectorParams) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a ``part``: b rows of a heavy key (``b_``-prefixed ``keys``) dealt by hash, a rows repeated for each part.
+
+    Only heavy keys are in the table that the sides meet, at most one for each ``heavy_key_rows`` rows.
+    """
+    of = lambda p: [f"{p}_{k}" for k in keys]
+    sizes = b.groupBy(*of("b")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > params.heavy_key_rows)
+    heavy = sizes.select(*[F.col(f"b_{k}").alias(f"_{k}") for k in keys], F.ceil(F.col("_n") / params.heavy_key_rows).cast("int").alias("_parts"))
+    parts = F.coalesce("_parts", F.lit(1))
+    meet = lambda df, p: df.join(heavy, reduce(lambda x, y: x & y, [F.col(f"{p}_{k}") == F.col(f"_{k}") for k in keys]), "left")
+    a_parts = meet(a, "a").withColumn("a_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    b_parts = meet(b, "b").withColumn("b_part", F.pmod(F.xxhash64("b_invoice_id"), parts).cast("int"))
+    return a_parts.select(*a.columns, "a_part"), b_parts.select(*b.columns, "b_part")
 
 
 def overlap_counts(invoices: DataFrame) -> DataFrame:

@@ -43,6 +43,17 @@ def hot_groups(df: DataFrame, keys: Sequence[str], params: DetectorParams) -> Da
     return counts.orderBy(F.desc("_n"), *keys).limit(params.max_hot_groups).select(*keys)
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], params: DetectorParams) -> DataFrame | None:
+    """:func:`hot_groups` as counted now, a local list of ``max_hot_groups`` rows at most; None without any.
+
+    The count is a job of its own, so that a plan over data without hot groups is the plain one, and
+    one over data with some does not count them again for each use.
+    """
+    found = hot_groups(df, keys, params)
+    rows = found.collect()
+    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+
+
 def _bounds_below(bounds: Column, value: Column) -> Column:
     """How many of the sorted ``bounds`` lie below ``value``, by bisection."""
     pair = lambda lo, hi: F.struct(lo.cast("int").alias("lo"), hi.cast("int").alias("hi"))
@@ -57,11 +68,14 @@ def _bounds_below(bounds: Column, value: Column) -> Column:
 
 
 def separate(df: DataFrame, keys: Sequence[str], order: Sequence[str], params: DetectorParams) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary groups, rows of hot groups with ``_slice``); no second frame where splitting is off."""
+    """(rows of ordinary groups, rows of hot groups with ``_slice``); no second frame without hot groups or where splitting is off."""
     keys, order = list(keys), list(order)
     if not params.split_hot:
         return df, None
-    hot = F.broadcast(renamed(hot_groups(df, keys, params), keys))  # max_hot_groups rows at most
+    listed = hot_keys(df, keys, params)
+    if listed is None:
+        return df, None
+    hot = F.broadcast(renamed(listed, keys))  # max_hot_groups rows at most
     ordinary = df.join(hot, same(keys, df, hot), "left_anti")
     heavy = df.join(hot, same(keys, df, hot), "left_semi")
     place = F.struct(*order)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from ledgerlens.operators import allocations as A
 from ledgerlens.operators import ledger as L
 from ledgerlens.operators import notices as N
 from ledgerlens.operators import rules as R
 from ledgerlens.params import DetectorParams
+from ledgerlens.sources.layout import CustomerLayout
 
 
 def build_silver(tables: dict[str, DataFrame], params: DetectorParams = DetectorParams()) -> dict[str, DataFrame]:
@@ -24,9 +25,11 @@ def build_silver(tables: dict[str, DataFrame], params: DetectorParams = Detector
 
 
 def gold_frames(tables: dict[str, DataFrame], params: DetectorParams = DetectorParams(),
-                silver: dict[str, DataFrame] | None = None) -> dict[int, DataFrame]:
+                silver: dict[str, DataFrame] | None = None, asof: Column | None = None) -> dict[int, DataFrame]:
     """The five rule outputs, keyed by rule id (each in the common schema).
 
+    ``asof`` is rule 2's date where ``tables`` do not hold all invoices.
+
     With ``silver`` (as written by the medallion stage) rules 1 and 4 read its notices and
     end-of-day balances; without it one as-of lookup over one allocated-at-sent table serves both.
     """
@@ -42,7 +45,7 @@ def gold_frames(tables: dict[str, DataFrame], params: DetectorParams = DetectorP
         notices = N.notices_of(at_sent, amounts, lookup)
     return {
         1: R.rule1_wrongful_notice(notices, params),
-        2: R.rule2_orphaned_credit(ent, alloc, inv, params),
+        2: R.rule2_orphaned_credit(ent, alloc, inv, params, asof),
         3: R.rule3_statement_gap(inv, params),
         4: R.rule4_dishonour(ent, params, lookup, amounts),
         5: R.rule5_duplicate_invoice(inv, params),
@@ -50,7 +53,13 @@ def gold_frames(tables: dict[str, DataFrame], params: DetectorParams = DetectorP
 
 
 def flagged_accounts(tables: dict[str, DataFrame], params: DetectorParams = DetectorParams(),
-                     silver: dict[str, DataFrame] | None = None) -> DataFrame:
+                     silver: dict[str, DataFrame] | None = None, asof: Column | None = None) -> DataFrame:
     """The Gold table: union by name of the five rules, one row per anomaly instance."""
-    frames = list(gold_frames(tables, params, silver).values())
+    frames = list(gold_frames(tables, params, silver, asof).values())
     return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def flagged_by_layout(layout: CustomerLayout, params: DetectorParams = DetectorParams()) -> DataFrame:
+    """The Gold table over Bronze laid out by customer: all rules go by customer but for the latest due date."""
+    asof = R.asof_date(layout.whole("invoices"))
+    return layout.each(lambda tables, p: flagged_accounts(tables, p, asof=asof), params)

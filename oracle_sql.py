@@ -415,5 +415,8 @@ GROUP BY GROUPING SETS ((rule_id), (month), (rule_id, severity))""")
     counts = [f"SELECT '{name}' AS table_name, 'rows' AS metric, count(*) AS value FROM {source}" for name, source in rows.items()]
     counts += [f"SELECT 'gold/flagged_accounts', 'rule_{r}', count(*) FILTER (WHERE rule_id = {r}) FROM flags" for r in range(1, 6)]
     q["stage_metrics"] = _with("\nUNION ALL ".join([*counts, "SELECT 'silver/silver_notices', 'in_credit', count(*) FILTER (WHERE in_credit) FROM notices"]))
+    for name, plain in (("running_balance", "running_balance"), ("end_of_day", "end_of_day_balance"), ("continuity", "continuity_classes"),
+                        ("rule3", "rule3_statement_gap"), ("rule5", "rule5_duplicate_invoice"), ("flagged_accounts", "flagged_accounts")):
+        q[f"bucketed_{name}"] = q[plain]
     q["bronze_csv_roundtrip"] = q["bronze_csv_two_headers"] = q["billing_invoices"]
     return q

@@ -4,6 +4,9 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from ledgerlens.operators.intervals import overlap_pairs
+from ledgerlens.params import TESTDATA_PARAMS
+from ledgerlens.sources.testdata import billing_tables
 
 SF = "/root/testdata/sf0.001"
 assert os.path.isdir(SF), "the test tables are missing"
@@ -28,10 +31,25 @@ def test_no_cartesian_nested_loop_or_python_udf(spark, name):
 
 
 def test_rule5_joins_on_customer_time_bin_and_amount_band(spark):
-    df = E.queries()["rule5_duplicate_invoice"](spark, SF)
+    df = overlap_pairs(billing_tables(spark, SF)["invoices"], TESTDATA_PARAMS.with_(pairwise_rows=1))
     plan = df._jdf.queryExecution().sparkPlan().toString()
-    join = [line for line in plan.splitlines() if "Join" in line][0]
-    assert "a_bin" in join and "a_band" in join and "a_customer_id" in join
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert any("a_bin" in j and "a_band" in j and "a_customer_id" in j and "a_part" in j for j in joins)
+    assert all("a_customer_id" in j or "_customer_id" in j for j in joins)  # customers of few statements meet by customer alone
+
+
+@pytest.mark.parametrize("name", ["running_balance", "end_of_day", "continuity", "rule3", "rule5"])
+def test_no_exchange_by_customer_over_bronze_laid_out_by_customer(spark, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables of any size
+    try:
+        plan = _plan(E.queries()[f"bucketed_{name}"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert "Bucketed: true" in plan
+    assert not [x for x in exchanges if x.split("hashpartitioning(")[1].startswith("customer_id") and x.count("#") <= 3]
+    if name in ("continuity", "rule3", "rule5"):
+        assert not exchanges
 
 
 def test_scans_are_pruned_and_filters_pushed(spark):
