@@ -22,6 +22,7 @@ token's string in a text is ordinary text.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -43,43 +44,75 @@ CAPACITY = 1024
 END = 2
 #: Pieces of one task and length that share a row of counts.
 BLOCK = 4096
-#: Characters of a text handed to the tokenizer at once, as far as it has places that part tokens safely.
+#: Characters of a text taken apart at once, as far as it has places that part tokens safely.
 STRETCH = 1 << 18
-#: A blank between two ASCII letters or digits begins a token's text whatever stands farther off.
-_SAFE = re.compile(r"(?<=[0-9A-Za-z]) (?=[0-9A-Za-z])")
+#: A blank between two characters that are none begins a token's text, whatever stands farther off.
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Characters beyond Latin scripts, on whose classes the two libraries' Unicode tables might differ.
+_OTHER = re.compile(r"[^\x00-\u024f]")
 
-_TOKENIZERS: dict = {}
 
+def ranks(vocabulary: dict[str, int]) -> dict[bytes, int]:
+    """A byte-level vocabulary's tokens as bytes: printable Latin-1 stands for itself, other bytes for U+0100 and on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in own)}
+    return {bytes(byte[c] for c in token): i for token, i in vocabulary.items()}
 
-def _tokenizer(spec: str):
-    """The worker's tokenizer; kept while tasks ask for the same one."""
-    if spec not in _TOKENIZERS:
+
+class Encoder:
+    """Ids as the ``tokenizers`` library gives them for the JSON ``spec``, with an end token after every text.
+
+    That library would need most of the time here.  Its vocabulary is one of ranks, so the quicker
+    ``tiktoken`` finds the same ids; texts with other than Latin scripts go to ``tokenizers`` itself.
+    """
+
+    def __init__(self, spec: str, end: int) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
 
-        _TOKENIZERS.clear()
-        made = Tokenizer.from_str(spec)
-        made.encode_special_tokens = True
-        _TOKENIZERS[spec] = made
-    return _TOKENIZERS[spec]
+        self.library = Tokenizer.from_str(spec)
+        self.library.encode_special_tokens = True
+        model = json.loads(spec)["model"]
+        self.quick = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks(model["vocab"]), special_tokens={})
+        self.end = np.array([end], "<u4")
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds): text i and its end token are ``ids[bounds[i]:bounds[i + 1]]``."""
+        found, size = [], []
+        for text in texts:
+            parts = [self._ids(s) for s in stretches(text)]
+            found += [*parts, self.end]
+            size.append(sum(map(len, parts)) + 1)
+        return np.concatenate(found).astype("<u4"), np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+
+    def _ids(self, text: str) -> np.ndarray:
+        if not text.isascii() and _OTHER.search(text):
+            return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        return self.quick.encode_to_numpy(text, disallowed_special=())
+
+
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
+
+
+def _encoder(spec: str, end: int) -> Encoder:
+    """The worker's encoder; kept while tasks ask for the same one."""
+    if (spec, end) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[spec, end] = Encoder(spec, end)
+    return _ENCODERS[spec, end]
 
 
 def stretches(text: str, size: int = STRETCH) -> list[str]:
     """``text`` in stretches of about ``size`` characters that the tokenizer takes apart alike."""
     out, start = [], 0
-    while len(text) - start > size and (cut := _SAFE.search(text, start + size)):
+    while len(text) - start > size and (cut := _CUT.search(text, start + size)):
         out.append(text[start: cut.start()])
         start = cut.start()
     return [*out, text[start:]]
 
 
-def encode(texts: list[str], spec: str, end: int = END) -> list[np.ndarray]:
-    """Ids of each text and the end token, as little-endian unsigned 32-bit integers."""
-    parts = [stretches(t) for t in texts]
-    found = iter(_tokenizer(spec).encode_batch_fast([s for p in parts for s in p], add_special_tokens=False))
-    return [np.array([i for _ in p for i in next(found).ids] + [end], "<u4") for p in parts]
-
-
 def cuts(n: int, capacity: int = CAPACITY) -> list[int]:
     """Bounds of a document's pieces: full ones but for a shorter first."""
     return [0, *range(n - capacity * ((n - 1) // capacity), n + 1, capacity)]
@@ -93,13 +126,16 @@ def pieces(docs: DataFrame, spec: str, capacity: int = CAPACITY, end: int = END)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
+        encoder = _encoder(shared.value, end)
         for part in X.slices(batches):
             row, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(encode([t or "" for t in part.column("text").to_pylist()], shared.value, end)):
-                at = cuts(len(ids), capacity)
-                blob = ids.tobytes()
+            ids, bounds = encoder.encode([t or "" for t in part.column("text").to_pylist()])
+            blob = memoryview(ids.tobytes())
+            for i, (first, last) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+                at = cuts(last - first, capacity)
                 for k, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
-                    row.append(i), piece.append(k), start.append(a), length.append(b - a), crc.append(zlib.crc32(blob[4 * a: 4 * b]))
+                    row.append(i), piece.append(k), start.append(a), length.append(b - a)
+                    crc.append(zlib.crc32(blob[4 * (first + a): 4 * (first + b)]))
             size = np.array(length)
             order = np.argsort(size, kind="stable")
             tally = np.bincount(size, minlength=capacity + 1)

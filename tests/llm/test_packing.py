@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import base64
+import json
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -98,12 +99,37 @@ def test_one_length_of_many_pieces(spark):
     assert len(rows) == 30_000 and check(rows, 1024) == made.sequences == -(-sum(r.length for r in rows) // 1024)
 
 
-@pytest.mark.parametrize("text", ["word " * 500, "a  b\n c d e'll f " * 300, "日本語 x y " * 400, "x" * 5000])
-def test_stretches_encode_alike(text):
-    cut = P.stretches(text, 700)
-    assert "".join(cut) == text
+ODD = ["word " * 500, " lead", "a  b\n c d e'll f \u00a0 g\u2003h \x1f i \x85 j " * 60, "日本語 x y " * 400, "x" * 5000, "", " ", "it 's <|endoftext|> 's",
+       "tab\t end \n", "ß'S é 1 2  3 ٣ ½ \U0001f600 \U0001f600\u200b z \u180e q"]
+
+
+def test_stretches_encode_as_the_whole_text(monkeypatch):
     library = Tokenizer.from_str(SPEC)
-    assert [i for s in cut for i in library.encode(s, add_special_tokens=False).ids] == library.encode(text, add_special_tokens=False).ids
+    library.encode_special_tokens = True
+    for stretch in (1 << 18, 50):
+        monkeypatch.setattr(P.stretches, "__defaults__", (stretch,))
+        encoder = P.Encoder(SPEC, 2)
+        for texts in (ODD, [" ".join(ODD)], ["".join(f"{t} " for t in ODD)]):
+            assert "".join(P.stretches(texts[0])) == texts[0]
+            ids, bounds = encoder.encode(texts)
+            for t, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True):
+                assert ids[a:b].tolist() == library.encode(t, add_special_tokens=False).ids + [2]
+
+
+def test_vocabulary_is_one_of_ranks():
+    """Merges come in the order of the ids they make, which is what the quicker library goes by."""
+    model = json.loads(SPEC)["model"]
+    made = [model["vocab"]["".join(pair if isinstance(pair, list) else pair.split(" "))] for pair in model["merges"]]
+    assert made == sorted(made) and len(set(made)) == len(made) == len(model["vocab"]) - 256
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        assert P.ranks(model["vocab"]) == {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.characters(exclude_categories=["Cs"], max_codepoint=0x24f) | st.characters(exclude_categories=["Cs"]) | st.sampled_from(" \n\t\u00a0ab'1s.")))
+def test_any_text_encodes_as_the_library_does(text):
+    library = P._encoder(SPEC, 2)
+    assert library.encode([text])[0].tolist() == library.library.encode(text, add_special_tokens=False).ids + [2]
 
 
 def test_cuts():
