@@ -1,22 +1,28 @@
 """Quality rules with risk-controlled cutoffs.
 
 Every rule compares an integer ratio of a document's counts with a cutoff.  Cutoffs are not
-set by hand: on labelled documents an exact binomial test decides, per stratum (language),
-which cutoffs of a fixed grid reject good documents (``quality`` = 1) at a rate below
-``RISK``; the sharpest certified cutoff is used, none where none is certified.  The error
-probability ``DELTA`` is divided by the number of all tests (rules x cutoffs x strata), so
-with probability 1 - DELTA *every* stratum keeps at least 1 - len(RULES) * RISK of its good
-documents that pass the base rule.
-
-Defined results: null or empty text has no words and fails the base rule; a null language is
-the stratum ``OTHER``, as is every language beyond the ``MAX_STRATA`` with most labels;
-repeated rows are judged each by itself; without labels no cutoff is certified and only the
-base rule rejects.  Labels in conflict for one id are not used.
+set by hand: on labelled documents exact binomial tests decide, per stratum (language),
+which cutoffs of a fixed grid reject good documents (``quality`` = 1) at a rate below a risk.
+
+* A rule's cutoffs are tested from loose to sharp until one fails (a fixed sequence, which needs no
+  correction); the last that passed is used, none where the first fails.  The error probability
+  ``DELTA`` is divided by the number of sequences: rules x (labelled strata + 1).
+* A stratum's risk is the least of ``RISKS`` that its number of labels can prove at all, so it
+  does not depend on what the rules do.  Strata with too few labels for any are tested together, as one
+  pool; what is proven then holds for the pool as a whole.
+* So with probability 1 - DELTA every stratum of its own, and the pool, keep at least
+  1 - len(RULES) * risk of their good documents that pass the base rule.  Column ``guarantee`` of the
+  query says which a row has: ``own``, ``pool``, or ``none`` (no label of its language: base rule alone).
+
+Defined results: null or empty text has no words and fails the base rule; rows of a null language are
+the stratum ``OTHER``; repeated rows are judged each by itself; without labels no cutoff is certified
+and only the base rule rejects.  Labels in conflict for one id are not used.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +33,8 @@ from pyspark.sql import types as T
 from ledgerlens.llm import text as X
 from ledgerlens.llm.corpus import append, one_label, table, written
 
-RISK = 0.005
+RISKS = (0.005, 0.01, 0.02, 0.05)
 DELTA = 0.05
-MAX_STRATA = 32
 OTHER = "*"
 SYMBOLS = X.separators(b"#*$%&|<>")
 WINDOW = 5
@@ -119,61 +124,96 @@ def certified(n: int, k: int, risk: float, level: float) -> bool:
     return n > 0 and k < n * risk and at_most(n, k, risk) <= level
 
 
-def cutoffs(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> dict[str, dict[str, int]]:
-    """{stratum: {rule: cutoff}} certified on the good labelled documents.
+def provable(n: int, level: float) -> float | None:
+    """The least of ``RISKS`` that n good documents can prove at ``level``, if none of them is rejected."""
+    return next((r for r in RISKS if n * math.log1p(-r) <= math.log(level)), None)
 
-    One row of counts per stratum reaches the driver, ``MAX_STRATA`` + 1 at most.
+
+@dataclass(frozen=True)
+class Certified:
+    """Cutoffs of one group of strata, and what they guarantee."""
+
+    guarantee: str
+    risk: float | None
+    cutoffs: dict[str, int]
+
+
+def sharpest(n: int, rejected: dict[str, int], risk: float | None, level: float) -> dict[str, int]:
+    """{rule: cutoff}: the last of each rule's cutoffs, from loose to sharp, that is certified with all before it."""
+    out = {}
+    for rule, (_, _, _, grid) in RULES.items():
+        for cutoff in reversed(grid):
+            if risk is None or not certified(n, rejected[f"{rule}_{cutoff}"], risk, level):
+                break
+            out[rule] = cutoff
+    return out
+
+
+def measured(docs: DataFrame) -> tuple[DataFrame, str]:
+    """(doc_id, lang, counts) of every row; also the counts' name."""
+    counted, m = measures(docs.select("doc_id", "text", "lang"))
+    return counted.select("doc_id", "lang", m), m
+
+
+def cutoffs(counted: DataFrame, m: str, labels: DataFrame, delta: float = DELTA) -> dict[str, Certified]:
+    """What is certified for each labelled stratum, from the good labelled documents of :func:`measured`.
+
+    One row of counts per labelled language reaches the driver.
     """
     good = one_label(labels, "quality").filter("label = 1").select("doc_id")
-    counted, m = measures(docs.select("doc_id", "text", "lang"))
-    # the texts stay where they are: ids and counts alone meet the labels
-    held = counted.filter(~base_failed(m)).select("doc_id", "lang", m).join(good, "doc_id", "left_semi")
+    held = counted.filter(~base_failed(m)).join(good, "doc_id", "left_semi")
     sums = [F.sum(rejects(m, r, c).cast("long")).alias(f"{r}_{c}") for r, (_, _, _, grid) in RULES.items() for c in grid]
-    per_lang = written(held.withColumn("stratum", F.coalesce("lang", F.lit(OTHER)))
-                       .groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *sums), "strata")
-    # the strata past MAX_STRATA are added up under OTHER before anything reaches the driver
-    top = per_lang.orderBy(F.desc("n"), "stratum").limit(MAX_STRATA).select("stratum", F.lit(True).alias("_own"))
-    pooled = (per_lang.join(F.broadcast(top), "stratum", "left")
-              .withColumn("stratum", F.when(F.col("_own"), F.col("stratum")).otherwise(F.lit(OTHER)))
-              .groupBy("stratum").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in per_lang.columns[2:]]))
-    rows = [r.asDict() for r in pooled.collect()]
-    level = delta / max(1, len(rows) * len(sums))
-    return {x["stratum"]: {r: c for r, (_, _, _, grid) in RULES.items()
-                           for c in [next((c for c in grid if certified(x["n"], x[f"{r}_{c}"], risk, level)), None)]
-                           if c is not None} for x in rows}
-
-
-def verdict(m: str, chosen: dict[str, dict[str, int]]) -> Column:
+    rows = [r.asDict() for r in held.groupBy(F.coalesce("lang", F.lit(OTHER)).alias("stratum")).agg(F.count(F.lit(1)).alias("n"), *sums).collect()]
+    level = delta / (len(RULES) * (len(rows) + 1))
+    out, thin = {}, []
+    for x in rows:
+        risk = provable(x["n"], level)
+        if risk is None:
+            thin.append(x)
+        else:
+            out[x["stratum"]] = Certified("own", risk, sharpest(x["n"], x, risk, level))
+    if thin:
+        pool = {k: sum(x[k] for x in thin) for k in thin[0] if k != "stratum"}
+        risk = provable(pool["n"], level)
+        shared = Certified("pool" if risk else "none", risk, sharpest(pool["n"], pool, risk, level))
+        out |= {x["stratum"]: shared for x in thin}
+    return out
+
+
+def verdict(m: str, chosen: dict[str, Certified]) -> Column:
     """True for documents that the base rule and their stratum's certified cutoffs keep."""
     lang = F.coalesce(F.col("lang"), F.lit(OTHER))
-    own = sorted(s for s in chosen if s != OTHER)
+    groups: dict[tuple, list[str]] = {}
+    for stratum, c in sorted(chosen.items()):
+        groups.setdefault(tuple(sorted(c.cutoffs.items())), []).append(stratum)
     failed = F.lit(False)
-    for stratum in own:
-        for r, c in sorted(chosen[stratum].items()):
-            failed = failed | ((lang == stratum) & rejects(m, r, c))
-    for r, c in sorted(chosen.get(OTHER, {}).items()):
-        failed = failed | ((~lang.isin(own) if own else F.lit(True)) & rejects(m, r, c))
+    for found, strata in groups.items():
+        for r, c in found:
+            failed = failed | (lang.isin(strata) & rejects(m, r, c))
     return ~base_failed(m) & ~failed
 
 
-def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> tuple[DataFrame, str, Column]:
-    """(``docs`` with counts, the counts' column, the column that says which rows are kept)."""
-    chosen = cutoffs(docs, labels, risk, delta)
-    out, m = measures(docs)
-    return out, m, verdict(m, chosen)
+def guarantee(chosen: dict[str, Certified]) -> Column:
+    """What the cutoffs of a row's stratum guarantee: own, pool or none."""
+    lang = F.coalesce(F.col("lang"), F.lit(OTHER))
+    of = lambda kind: lang.isin([s for s, c in sorted(chosen.items()) if c.guarantee == kind])
+    return F.when(of("own"), "own").when(of("pool"), "pool").otherwise("none")
 
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    out, m, kept = judge(docs, table(spark, sf_dir, "labels"))
-    return out.select("doc_id", *[f"{m}.{f.name}" for f in MEASURES][:5], base_failed(m).alias("base_failed"),
-                      kept.alias("kept"), F.col("lang").alias("stratum"))
+    # the counts are written once: the tests and the verdicts read them
+    counted, m = measured(table(spark, sf_dir, "documents"))
+    counted = written(counted, "counted")
+    chosen = cutoffs(counted, m, table(spark, sf_dir, "labels"))
+    return counted.select("doc_id", *[f"{m}.{f.name}" for f in MEASURES][:5], base_failed(m).alias("base_failed"),
+                          verdict(m, chosen).alias("kept"), F.col("lang").alias("stratum"), guarantee(chosen).alias("guarantee"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents that the rules keep, with the columns they came with."""
-    out, _, kept = judge(docs, table(spark, sf_dir, "labels"))
-    return out.filter(kept).select([F.col(f"`{c}`") for c in docs.columns])
+    chosen = cutoffs(*measured(docs), table(spark, sf_dir, "labels"))
+    out, m = measures(docs)
+    return out.filter(verdict(m, chosen)).select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def _sql() -> str:
@@ -181,6 +221,7 @@ def _sql() -> str:
     tests = ", ".join(f"('{r}', {k}, {c}, {sign}, '{what}', '{of}')" for r, (what, of, sign, grid) in RULES.items() for k, c in enumerate(grid))
     value = lambda col: "case " + col + "".join(f" when '{f.name}' then {f.name}" for f in MEASURES) + " end"
     word = r"[^\x20\x09-\x0D]"
+    risks = ", ".join(f"({r})" for r in RISKS)
     return rf"""
 with d as (select row_number() over () as uid, doc_id, coalesce(text, '') t, lang from documents),
 w as (select uid, unnest(ws) w, generate_subscripts(ws, 1) i from (select uid, regexp_extract_all(t, '{word}+') ws from d)),
@@ -202,19 +243,26 @@ tested as (select m.*, t.*, case when sign > 0 then 100 * ({value('what')}) > cu
                                  else 100 * ({value('what')}) < cutoff * ({value('of')}) end rejected from m cross join t),
 good as (select doc_id from labels where doc_id is not null and quality in (0, 1) group by doc_id having min(quality) = 1),
 held as (select *, coalesce(lang, '{OTHER}') own from tested where doc_id in (select doc_id from good) and not base_failed),
-top as (select own from held group by own order by count(distinct uid) desc, own limit {MAX_STRATA}),
-tally as (select case when own in (select own from top) then own else '{OTHER}' end stratum, rule, place, cutoff, count(*) n, sum(rejected::int) k
-          from held group by all),
-level as (select {DELTA} / (count(distinct stratum) * (select count(*) from t)) least from tally),
-sure as (select stratum, rule, min(place) place from tally, level
-         where k < n * {RISK} and list_sum(list_transform(range(0, k::bigint + 1),
-               lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK}) + (n - i) * ln(1 - {RISK})))) <= least
-         group by stratum, rule),
-out as (select distinct uid from tested join sure on tested.rule = sure.rule and tested.place = sure.place
-        and sure.stratum = case when coalesce(lang, '{OTHER}') in (select stratum from tally) then coalesce(lang, '{OTHER}') else '{OTHER}' end
-        where rejected)
+one as (select own, rule, place, count(*) n, sum(rejected::int) k from held group by all),
+level as (select {DELTA} / ({len(RULES)} * (count(distinct own) + 1)) least from one),
+proof as (select own, n, (select min(r) from (values {risks}) x(r) where n * ln(1 - r) <= ln(least)) risk
+          from (select own, max(n) n from one group by own), level),
+pool as (select n, (select min(r) from (values {risks}) x(r) where n * ln(1 - r) <= ln(least)) risk
+         from (select sum(n) n from proof where risk is null) z, level where n is not null),
+groups as (select own, 'own' kind, own as grp, risk from proof where risk is not null
+           union all select p.own, case when pool.risk is null then 'none' else 'pool' end, null, pool.risk from proof p, pool where p.risk is null),
+tally as (select grp, g.risk, rule, place, sum(n) n, sum(k) k from one join groups g using (own) group by all),
+failed as (select grp, rule, max(place) place from tally, level
+           where not coalesce(k < n * risk and list_sum(list_transform(range(0, k::bigint + 1),
+                 lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(risk) + (n - i) * ln(1 - risk)))) <= least, false)
+           group by grp, rule),
+sure as (select y.grp, y.rule, min(y.place) place from tally y left join failed f on f.grp is not distinct from y.grp and f.rule = y.rule
+         where f.place is null or y.place > f.place group by all),
+out as (select distinct uid from tested t join groups g on g.own = coalesce(t.lang, '{OTHER}')
+        join sure s on s.grp is not distinct from g.grp and s.rule = t.rule and s.place = t.place where rejected)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       not base_failed and uid not in (select uid from out) kept, lang stratum from m
+       not base_failed and uid not in (select uid from out) kept, lang stratum, coalesce(g.kind, 'none') guarantee
+from m left join groups g on g.own = coalesce(lang, '{OTHER}')
 """
 
 

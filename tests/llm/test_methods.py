@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import math
+from collections import Counter
 import random
 import re
 
@@ -339,12 +340,46 @@ def test_binomial_tail_is_exact():
         assert math.isclose(quality_rules.at_most(n, k, p), want, rel_tol=1e-9)
 
 
+def _judged(spark, groups):
+    """(documents, labels): per (language, n, labelled bad-looking good ones) n documents of plain words, labelled good; languages in capitals have no labels."""
+    docs, labels, i = [], [], 0
+    for lang, n, bad in groups:
+        for k in range(n):
+            text = " ".join(["word"] * 3 + [f"w{i}x{j}" for j in range(30)]) + (" ### ### ###" if k < bad else "")
+            docs.append((i, text, lang))
+            if lang is None or lang.islower():
+                labels.append((i, 1, 0))
+            i += 1
+    docs += [(i, "word " * 2 + " ".join(f"w{j}" for j in range(30)) + "".join(f" #{j}##" for j in range(20)), lang) for i, lang in enumerate([g[0] for g in groups], 10**6)]
+    return spark.createDataFrame(docs, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
 def test_cutoffs_need_proof(spark):
-    def frame(n, bad):
-        docs = [(i, " ".join(["word"] * 3 + [f"w{i}x{j}" for j in range(30)]) + (" ### ### ###" if i < bad else ""), "en") for i in range(n)]
-        return spark.createDataFrame(docs, "doc_id long, text string, lang string"), spark.createDataFrame([(i, 1) for i in range(n)], "doc_id long, quality int")
-
-    few, many, rejecting = (quality_rules.cutoffs(*frame(*x), risk=0.02) for x in ((60, 0), (1200, 0), (1200, 60)))
-    assert few == {"en": {}}
-    assert many["en"]["symbols"] == 5  # nobody is rejected by the sharpest cutoff
-    assert rejecting["en"]["symbols"] == 35  # 5 % would be by any below
+    of = lambda *groups: quality_rules.cutoffs(*quality_rules.measured(_judged(spark, groups)[0]), _judged(spark, groups)[1])
+    few, many, rejecting = (of(("en", n, bad))["en"] for n, bad in ((60, 0), (1200, 0), (1200, 60)))
+    assert few == quality_rules.Certified("none", None, {})
+    assert (many.guarantee, many.risk, many.cutoffs["symbols"]) == ("own", 0.005, 5)  # nobody is rejected by the sharpest cutoff
+    assert rejecting.cutoffs["symbols"] == 35  # 5 % would be by any below, however few by those beyond
+
+
+def test_strata_have_guarantees_of_their_own_or_of_a_pool(spark, tmp_path):
+    import duckdb
+
+    groups = (("de", 420, 0), ("fr", 70, 0), ("es", 60, 0), (None, 20, 0), ("SW", 300, 0))
+    docs, labels = _judged(spark, groups)
+    chosen = quality_rules.cutoffs(*quality_rules.measured(docs), labels)
+    assert {k: (v.guarantee, v.risk) for k, v in chosen.items()} == {
+        "de": ("own", 0.02), "fr": ("pool", 0.05), "es": ("pool", 0.05), quality_rules.OTHER: ("pool", 0.05)}
+    assert all(v.cutoffs["symbols"] == 5 for v in chosen.values())
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    found = quality_rules.quality_rules(spark, str(tmp_path))
+    rows = {r.doc_id: r for r in found.collect()}
+    assert [(rows[10**6 + k].kept, rows[10**6 + k].guarantee) for k in range(5)] == [(False, "own"), *[(False, "pool")] * 3, (True, "none")]
+    assert sum(r.kept for r in rows.values()) == 871
+    db = duckdb.connect()
+    for t in ("documents", "labels"):
+        db.execute(f"create view {t} as select * from read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    out = db.execute(quality_rules.SQL)
+    columns = [c[0] for c in out.description]
+    assert Counter(map(tuple, out.fetchall())) == Counter(map(tuple, found.select(columns).collect()))
