@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm.text import slices
-from ledgerlens.session import shared_dir
+from ledgerlens.session import remove, shared_dir
 
 
 def ship(spark: SparkSession) -> None:
@@ -74,10 +74,11 @@ def lowest_hashed(rows: DataFrame, most: int, *ties: str) -> DataFrame:
     return near.orderBy("_h", "doc_id", *ties).limit(most).drop("_h")
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, name: str, folds: int, out: int, per_class: int) -> DataFrame:
-    """(doc_id, label, text) of at most ``per_class`` labelled documents of either class outside the fold."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, name: str, folds: int, out: int, per_class: int | dict[int, int]) -> DataFrame:
+    """(doc_id, label, text) of at most ``per_class`` labelled documents of either class (or of each) outside the fold."""
+    most = per_class if isinstance(per_class, dict) else {0: per_class, 1: per_class}
     y = one_label(labels, name).filter(~held_out("doc_id", folds, out))
-    pick = lowest_hashed(y.filter("label = 0"), per_class).unionByName(lowest_hashed(y.filter("label = 1"), per_class))
+    pick = lowest_hashed(y.filter("label = 0"), most[0]).unionByName(lowest_hashed(y.filter("label = 1"), most[1]))
     text = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text")
     # repeated rows of one id: the least text; copies of one text: the least id, so that copies do not weigh more
     rows = text.join(F.broadcast(pick), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
@@ -89,7 +90,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, f"{name}-{uuid.uuid4().hex[:6]}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+_PATHS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def drop(*frames: DataFrame) -> None:
+    """Remove tables of :func:`written` that nothing reads any more."""
+    for frame in frames:
+        path = _PATHS.pop(frame, None)
+        if path:
+            remove(frame.sparkSession, path)
 
 
 def fresh(name: str, taken: list[str]) -> str:

@@ -10,6 +10,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -252,20 +253,52 @@ def test_features_of_a_word_and_of_repeats():
     assert at.tolist() == [0, 1, 3] and bucket[0] == bucket[1] != bucket[2]
 
 
-def test_kneser_ney_sums_to_one_and_shares_its_backoff():
-    rng = np.random.default_rng(8)
-    word = np.sort(rng.integers(1, 1 << 60, 50).astype(np.uint64))
-    toxic, ordinary = rng.integers(0, 40, 50), rng.integers(0, 40, 50)
-    ordinary[:5], toxic[:5] = 0, 30
-    ordinary[5:8], toxic[5:8] = 1, 0
-    model = toxicity.train(word, toxic, ordinary)
-    assert (model.llr[:5] > toxicity.MARGIN).all() and (model.llr[5:8] == 0).all()
-    counts = np.stack([toxic, ordinary]).astype(float)
-    classes = (counts > 0).sum(0)
-    shared = classes / (classes.sum() + 0.5)
-    for c in counts:
-        p = np.maximum(c - toxicity.DISCOUNT, 0) / c.sum() + np.minimum(c, toxicity.DISCOUNT).sum() / c.sum() * shared
-        assert 0.99 < p.sum() <= 1
+def _spelled(text: str) -> list[list[tuple]]:
+    """Per word the (history, symbol) pairs: up to ORDER bytes before, padded at the word's start, and the next byte or the end."""
+    out = []
+    for word in re.findall(rb"(?:[a-z]|[\x80-\xff])+", text.encode().lower()):
+        padded = [None] * toxicity.ORDER + list(word)
+        out.append([(tuple(padded[i: i + toxicity.ORDER]), word[i] if i < len(word) else "end") for i in range(len(word) + 1)])
+    return out
+
+
+def test_kneser_ney_equals_dictionaries():
+    rng = random.Random(3)
+    stems = ["ach", "lich", "vor", "über", "tan", "é"]
+    made = lambda extra, n: [" ".join(rng.choice(stems + extra) + rng.choice(stems) for _ in range(12)) for _ in range(n)]
+    texts = {"toxic": made(["BOCO", "boco", "réu"], 9), "ordinary": made(["sol", "mar"], 14)}
+    n = {c: Counter(x for t in ts for w in _spelled(t) for x in w) for c, ts in texts.items()}
+    grams = set(n["toxic"]) | set(n["ordinary"])
+    shorter = Counter((h[1:], x) for h, x in grams)
+    d, mass = toxicity.DISCOUNT, toxicity.MASS
+
+    def shared(h, x):
+        after = {y: k for (g, y), k in shorter.items() if g == h[1:]}
+        return (max(after.get(x, 0) - d, 0) + d * len(after) / toxicity.ALPHABET) / sum(after.values())
+
+    def chance(c, h, x):
+        after = {y: k for (g, y), k in n[c].items() if g == h}
+        given = (d * len(after) + mass) / (sum(after.values()) + mass)
+        if (h, x) not in grams:
+            return given  # both classes hand on to the same shared estimate
+        return max(after.get(x, 0) - d, 0) / (sum(after.values()) + mass) + given * shared(h, x)
+
+    def compared(text):
+        words = [sum(math.log(chance("toxic", h, x) / chance("ordinary", h, x)) for h, x in w if any(g == h for g, _ in grams)) for w in _spelled(text)]
+        return [sum(words) / max(len(words), 1), sum(max(x - toxicity.EXCESS, 0) for x in words) / max(len(words), 1)]
+
+    s = toxicity.spelling(pa.array(texts["toxic"] + texts["ordinary"]))
+    frame = pd.DataFrame({k: getattr(s, k) for k in toxicity._KEYS})
+    toxic = s.words.doc[s.word] < 9
+    model = toxicity.train(frame.assign(toxic=toxic.astype(int), ordinary=(~toxic).astype(int)).groupby(toxicity._KEYS, as_index=False).sum())
+    tried = [*texts["toxic"][:3], *texts["ordinary"][:3], "bocotan Bocolich", "unseen words überall", "", "12 !", "é", None]
+    want = np.array([compared(t or "") for t in tried])
+    assert np.allclose(model.differences(pa.array(tried, pa.string())), want, atol=1e-9)
+    assert want[6, 1] > 0 and (want[8:10] == 0).all()
+    # a history's shared estimates, discounted mass included, are probabilities
+    for h in list({h for h, _ in grams})[:20]:
+        assert sum(shared(h, x) for g, x in grams if g[1:] == h[1:] and g == h) <= 1 + 1e-9
+    assert toxicity.train(frame.iloc[:0].assign(toxic=0, ordinary=0)).score(pa.array(["x"])).tolist() == [0.5]
 
 
 # ---------------------------------------------------------------- 7 token counts
