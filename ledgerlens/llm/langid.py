@@ -7,9 +7,9 @@ log frequencies; a word without any known n-gram adds nothing.  A text's languag
 largest sum; the score is the softmax over the sums per word, sharpened by the number of
 words up to ``SHARP``.
 
-Learned from at most ``MAX_DOCS`` documents with a language outside the held-out fold (lowest
-id hash), and of these the ``MAX_WORDS`` most frequent words over all languages; n-gram
-counts derive from that table.  ``MAX_LANGS`` languages with most documents are learned.
+Learned from at most ``MAX_DOCS`` documents with an id and a language outside the held-out fold (lowest
+id hash): the n-grams of all their words, and per language its ``WORDS_PER_LANG`` most frequent words, so a
+small language keeps its words beside a large one.  Every language of the sample is learned.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; a text whose
 words are all unknown to the end gets the language most frequent in training; ties go to the
@@ -23,17 +23,16 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm import text as X
-from ledgerlens.llm.corpus import append, fold, held_out, lowest_hashed, table
+from ledgerlens.llm.corpus import append, drop, held_out, lowest_hashed, table, written
 
 GRAMS = (5, 4, 3, 2, 1)
 MAX_DOCS = 20_000
-MAX_WORDS = 1 << 17
-MAX_LANGS = 64
+WORDS_PER_LANG = 1 << 16
 SHARP = 8.0
 FOLDS, HELD_OUT = 3, 1
 UNKNOWN = "und"
@@ -125,10 +124,9 @@ class Model:
 
 def fit(docs: DataFrame, max_docs: int = MAX_DOCS) -> Model:
     """Counts from the training documents; ``docs`` has doc_id, lang and text (in lower case)."""
-    usable = docs.filter(F.col("lang").isNotNull() & F.coalesce(fold("doc_id", FOLDS) != HELD_OUT, F.lit(True)))
+    usable = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id", FOLDS, HELD_OUT))
     ids = lowest_hashed(usable.select("doc_id", "lang"), max_docs, "lang")
-    langs = [(r.lang, r.n) for r in ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()]
+    langs = [(r.lang, r.n) for r in ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()]
     if not langs:
         return Model()
     names = sorted(x for x, _ in langs)
@@ -147,17 +145,29 @@ def fit(docs: DataFrame, max_docs: int = MAX_DOCS) -> Model:
                 [pa.array(w.take(first[keep]), pa.binary()), pa.array(of[first[keep]].astype(np.int32)), pa.array(count[keep])],
                 ["word", "lang", "n"])
 
-    counts = (sample.select("lang", "text").mapInArrow(tally, "word binary, lang int, n long")
-              .groupBy("word", "lang").agg(F.sum("n").alias("n"))
-              .orderBy(F.desc("n"), "word", "lang").limit(MAX_WORDS).toPandas())
-    column = pa.array([bytes(x) for x in counts.word], pa.binary())
-    w = X.words(column, np.zeros(256, bool))
-    lang, n = counts.lang.to_numpy()[w.doc], counts.n.to_numpy()[w.doc].astype(float)
-    every = np.arange(len(w.doc))
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            w = X.words(batch.column("word"), np.zeros(256, bool))
+            lang, n = (batch.column(c).to_numpy()[w.doc] for c in ("lang", "n"))
+            for size in GRAMS:
+                owner, gram = grams(w, np.arange(len(w.doc)), size)
+                codes, _, first = X.distinct(X.mix(gram + X.mix(lang[owner].astype(np.uint64) + X.U64(2))))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(first), size, np.int32)), pa.array(gram[first].view(np.int64)), pa.array(lang[owner][first], pa.int32()),
+                     pa.array(np.bincount(codes, weights=n[owner], minlength=len(first)).astype(np.int64))], ["size", "gram", "lang", "n"])
+
+    counts = written(sample.select("lang", "text").mapInArrow(tally, "word binary, lang int, n long")
+                     .groupBy("word", "lang").agg(F.sum("n").alias("n")), "words")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))  # of a bounded sample
+    frequent = counts.withColumn("place", place).filter(F.col("place") <= WORDS_PER_LANG).drop("place").toPandas()
+    parts = counts.mapInArrow(split, "size int, gram long, lang int, n long").groupBy("size", "gram", "lang").agg(F.sum("n").alias("n")).toPandas()
+    drop(counts)
+    w = X.words(pa.array([bytes(x) for x in frequent.word], pa.binary()), np.zeros(256, bool))
+    lang, n = frequent.lang.to_numpy()[w.doc], frequent.n.to_numpy()[w.doc].astype(float)
     by_gram = {}
     for size in GRAMS:
-        owner, gram = grams(w, every, size)
-        by_gram[size] = Table.build(gram, lang[owner], n[owner], len(names))
+        of = parts[parts["size"] == size]
+        by_gram[size] = Table.build(of.gram.to_numpy().view(np.uint64), of.lang.to_numpy(), of.n.to_numpy(float), len(names))
     share = np.array([dict(langs)[x] for x in names], float)
     return Model(names, np.log(share / share.sum()), Table.build(X.hash_words(w), lang, n, len(names)), by_gram)
 

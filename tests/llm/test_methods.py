@@ -8,6 +8,7 @@ import math
 from collections import Counter
 import random
 import re
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -301,6 +302,57 @@ def test_kneser_ney_equals_dictionaries():
     assert toxicity.train(frame.iloc[:0].assign(toxic=0, ordinary=0)).score(pa.array(["x"])).tolist() == [0.5]
 
 
+def test_seventy_languages_are_all_learned_beside_a_large_one(spark):
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    own = {f"l{k:02d}": ["".join(rng.choice(letters) for _ in range(rng.randint(4, 9))) for _ in range(40)] for k in range(70)}
+    docs = [(len(own) * 12 * 9 + i, " ".join("".join(rng.choice(letters) for _ in range(6)) for _ in range(40)), "big") for i in range(900)]
+    docs += [(100 * k + j, " ".join(rng.choice(ws) for _ in range(30)), lang) for k, (lang, ws) in enumerate(own.items()) for j in range(12)]
+    docs += [(None, "word of nobody", "none")] * 50
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = langid.fit(frame)
+    assert model.langs == sorted([*own, "big"])
+    seen = frame.filter("doc_id is not null").toPandas()
+    found, score = model.predict(pa.array(seen.text))
+    right = (np.array(found) == seen.lang.to_numpy())
+    assert right[(seen.lang != "big").to_numpy()].mean() > 0.98 and set(found) >= set(own)
+
+
+def test_word_first_backoff_equals_dictionaries(spark):
+    """A word's evidence: its own smoothed log frequency, else the mean over its longest known n-grams."""
+    docs = [(3 * i, t, lang) for i, (t, lang) in enumerate([("der garten der", "de"), ("the garden", "en"), ("den garten", "de"), ("then gardens", "en")] * 3)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = langid.fit(frame)
+    train = [(t, lang) for i, t, lang in docs if zlib.crc32(str(i).encode()) % 3 != 1]
+    count = Counter((w, lang) for t, lang in train for w in t.split())
+    parts = lambda w, n: [f"<{w}>"[i: i + n] for i in range(len(w) + 3 - n)] if n > 1 else list(w)
+    tables = [count]
+    for n in langid.GRAMS:
+        tables.append(Counter())
+        for (w, lang), c in count.items():
+            for g in parts(w, n):
+                tables[-1][g, lang] += c
+
+    def log(table, key):
+        keys = {k for k, _ in table}
+        return [math.log((table[key, x] + 0.1) / (sum(c for (_, y), c in table.items() if y == x) + 0.1 * len(keys))) for x in model.langs]
+
+    tried = ["garten", "gartens", "the", "xyz", "9d", "q"]
+    w = X.words(pa.array(tried), X.BLANKS)
+    got = model.evidence(w, np.arange(len(tried)), X.hash_words(w))
+    for word, row in zip(tried, got, strict=True):
+        want = [0.0] * len(model.langs)
+        if any(k == word for k, _ in count):
+            want = log(count, word)
+        else:
+            for n, table in zip(langid.GRAMS, tables[1:], strict=True):
+                known = [g for g in parts(word, n) if any(k == g for k, _ in table)]
+                if known:
+                    want = np.mean([log(table, g) for g in known], 0)
+                    break
+        assert np.allclose(row, want, atol=1e-5), word
+
+
 # ---------------------------------------------------------------- 7 token counts
 
 def _greedy(symbols: tuple, pieces: set) -> int:
