@@ -27,6 +27,7 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import duckdb
 import numpy as np
@@ -91,6 +92,11 @@ class Vocabulary:
     tokens: tuple[bytes, ...]
     ids: tuple[int, ...]
 
+    @cached_property
+    def digest(self) -> str:
+        """Of all tokens and ids."""
+        return hashlib.sha256(repr((self.tokens, self.ids)).encode()).hexdigest()
+
     @classmethod
     def read(cls, path: str) -> Vocabulary:
         with open(path, "rb") as f:
@@ -204,12 +210,13 @@ def _groups(which: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
     return np.split(which, np.flatnonzero(np.diff(run)) + 1)
 
 
-_CODECS: dict[int, Codec] = {}
+_CODECS: dict[str, Codec] = {}
+X.KEPT.append(_CODECS)
 
 
 def _codec(vocabulary: Vocabulary) -> Codec:
     """The worker's codec; kept while tasks ask for the same vocabulary."""
-    key = hash((len(vocabulary.tokens), vocabulary.tokens[-1000:], vocabulary.ids[-1000:]))
+    key = vocabulary.digest
     if key not in _CODECS:
         _CODECS.clear()
         _CODECS[key] = Codec(vocabulary)

@@ -6,6 +6,7 @@ All helpers work on one slice of a record batch at a time, so a task's memory is
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,13 +23,31 @@ SLICE_ELEMENTS = 1 << 21
 U64 = np.uint64
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut each record batch into consecutive row ranges of about ``most`` text bytes."""
+#: What a worker keeps from task to task and other operators' tasks in the same worker have no use for.
+KEPT: list[dict] = []
+
+
+def release() -> None:
+    """Give back what earlier operators' tasks left in this worker."""
+    if any(KEPT):
+        for kept in KEPT:
+            kept.clear()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # another C library: its memory stays with the process
+            pass
+
+
+def slices(batches: Iterator[pa.RecordBatch], *texts: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut each record batch into consecutive row ranges of about ``most`` bytes in the columns ``texts`` together."""
+    texts = texts or ("text",)
+    release()
     for batch in batches:
         if not batch.num_rows:
             continue
-        size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-        part = (np.cumsum(size.astype(np.int64) + 16) - 1) // most
+        size = sum(pc.fill_null(pc.binary_length(batch.column(t)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for t in texts)
+        part = (np.cumsum(size + 16) - 1) // most
         cuts = np.flatnonzero(np.diff(part)) + 1
         for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             yield batch.slice(lo, hi - lo)
