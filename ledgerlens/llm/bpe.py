@@ -43,8 +43,11 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LONG = 256
 STEPS = 64
 #: Rows that one recursive query may keep: every step keeps the words that it still contracts.
-KEPT_ROWS = 4_000_000
-REMEMBER = 600_000
+KEPT_ROWS = 500_000
+#: Pieces that a worker remembers.
+REMEMBER = 200_000
+#: Pieces laid out at once.
+SLICE_PIECES = 1 << 18
 
 #: Position of the pair and of its right token travel below the rank in one number.
 _CONTRACT = """
@@ -112,7 +115,7 @@ class Codec:
         self.byte = np.array([rank[bytes([b])] for b in range(256)], np.int32)
         pairs = np.array([(rank[b[:k]], rank[b[k:]], i) for b, i in rank.items() for k in range(1, len(b))
                           if b[:k] in rank and b[k:] in rank] or np.zeros((0, 3)), np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         self._table("pairs", l=pairs[:, 0], r=pairs[:, 1], m=pairs[:, 2])
         self.db.execute("""create table merges as select l, r, m, m < coalesce(least_over, 2147483647) as safe from pairs
             left join (select part, min(m) least_over from (select l part, m from pairs union all select r, m from pairs)
@@ -259,7 +262,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", with_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(vocabulary.value)
         for batch in batches:
-            for part in X.list_slices(batch, "pieces"):
+            for part in X.list_slices(batch, "pieces", SLICE_PIECES):
                 yield pa.RecordBatch.from_arrays([part.column("row"), _encode_slice(part, codec, with_ids)], ["row", name])
 
     out = row.mapInArrow(run, T.StructType([T.StructField("row", row.schema["row"].dataType), T.StructField(name, fields)]))
