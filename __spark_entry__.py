@@ -24,6 +24,7 @@ from ledgerlens.operators import ledger as L  # noqa: E402
 from ledgerlens.operators import notices as N  # noqa: E402
 from ledgerlens.operators import rules as R  # noqa: E402
 from ledgerlens.params import TESTDATA_PARAMS, WHATIF_PARAMS, DetectorParams  # noqa: E402
+from ledgerlens.plans import digests as D  # noqa: E402
 from ledgerlens.plans import flags as G  # noqa: E402
 from ledgerlens.plans import medallion as M  # noqa: E402
 from ledgerlens.plans import reports as Rp  # noqa: E402
@@ -120,6 +121,17 @@ def _layout(spark: SparkSession, sf_dir: str) -> CustomerLayout:
     return _LAYOUTS[key]
 
 
+def _notice_tables(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The notices under either grace period, written as tables that a digest can be taken of."""
+    t, out = _t(spark, sf_dir), []
+    for params in (P, WHATIF_PARAMS):
+        rows = _notices(t, params).select(F.col("invoice_id").cast("string"), F.col("customer_id").cast("string"), "in_credit")
+        path = shared_dir(spark, "notices")
+        rows.write.parquet(path)
+        out.append(spark.read.schema(rows.schema).parquet(path))
+    return out
+
+
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mapped invoices written as CSV with the columns turned round, and read as Bronze."""
     path = shared_dir(spark, "csv")
@@ -208,6 +220,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _notices(t, WHATIF_PARAMS).select(
                 F.col("invoice_id").cast("string"), F.col("customer_id").cast("string"), "in_credit"),
         )),
+        "table_diff_by_digest": lambda spark, sf_dir: D.digest_diff(*_notice_tables(spark, sf_dir), key=["invoice_id"]),
         # Bronze laid out by customer
         "bucketed_running_balance": _by_customer(lambda t, p: L.running_balance(ent(t), p)),
         "bucketed_end_of_day": _by_customer(lambda t, p: L.end_of_day_balance(ent(t))),

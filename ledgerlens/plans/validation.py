@@ -12,6 +12,8 @@ produces a per-customer cross product.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -184,43 +186,90 @@ def flag_contract_checks(flags: DataFrame) -> DataFrame:
     })
 
 
-def _dup_rows(df: DataFrame, key: str, name: str) -> DataFrame:
-    g = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return g.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("violations")).select(
-        F.lit(name).alias("check_name"), "violations"
-    )
+@dataclass(frozen=True)
+class Key:
+    """A table's key column; ``check`` counts its rows beyond the first of every key."""
+
+    table: str
+    column: str
+    check: str
+
+
+@dataclass(frozen=True)
+class Reference:
+    """A column of ``table`` that names a key of ``parent``; ``check`` counts the rows whose key the parent lacks."""
+
+    table: str
+    column: str
+    parent: str
+    check: str
 
 
-def _orphans(child: DataFrame, parent: DataFrame, key: str, name: str) -> DataFrame:
-    """Rows of ``child`` whose key ``parent`` lacks; a null key has no parent either (as NOT EXISTS would say).
+BILLING_KEYS = (
+    Key("customers", "customer_id", "customers_pk_unique"), Key("ledger_entries", "entry_id", "ledger_pk_unique"),
+    Key("invoices", "invoice_id", "invoices_pk_unique"), Key("invoice_allocations", "allocation_id", "allocations_pk_unique"),
+)
+BILLING_REFERENCES = (
+    Reference("ledger_entries", "customer_id", "customers", "ledger_customer_fk"),
+    Reference("invoices", "customer_id", "customers", "invoice_customer_fk"),
+    Reference("invoice_allocations", "entry_id", "ledger_entries", "allocation_entry_fk"),
+    Reference("invoice_allocations", "invoice_id", "invoices", "allocation_invoice_fk"),
+)
+_INTEGERS = ("tinyint", "smallint", "int", "bigint")
 
-    The child is counted by key first, so a hot key is one row in the join.
+
+def integrity_checks(tables: dict[str, DataFrame], keys: Sequence[Key], references: Sequence[Reference],
+                     conditions: dict[str, dict[str, Column]]) -> DataFrame:
+    """``check_name, violations`` of keys, references and row conditions (by table), from one scan of every table.
+
+    Every row gives its key, the keys it refers to and the conditions it breaks; these are counted by key in one
+    shuffle, with partial counts before it, so a hot key is one row of every task.  Keys may be sparse and of any type:
+    whole numbers stay numbers, others are compared as text.  A null key is not a key of its table; a null reference
+    has no parent (as NOT EXISTS would say).  Repeats of a parent's key do not repeat its children.
     """
-    counted = child.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    missing = counted.join(parent.select(key).distinct(), key, "left_anti")
-    return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations")).select(
-        F.lit(name).alias("check_name"), "violations"
-    )
+    types = {name: dict(df.dtypes) for name, df in tables.items()}
+    slots: dict[Reference, int] = {}
+    for r in references:
+        slots[r] = sum(o.parent == r.parent for o in slots)
+    domain = {k.table: i for i, k in enumerate(keys)}
+    whole = {k.table: all(types[t][c] in _INTEGERS for t, c in
+                          [(k.table, k.column), *((r.table, r.column) for r in references if r.parent == k.table)]) for k in keys}
+    names = [(table, check) for table, checks in conditions.items() for check in checks]
+    broken = len(keys)  # the domain of conditions, keyed by their number
+
+    def part(at: int, slot: int, number: Column, text: Column) -> Column:
+        return F.struct(F.lit(at).alias("domain"), F.lit(slot).alias("slot"), number.cast("long").alias("number"), text.cast("string").alias("text"))
+
+    def of_key(at: str, slot: int, column: str) -> Column:
+        c, none = F.col(column), F.lit(None)
+        return part(domain[at], slot, *((c, none) if whole[at] else (none, c)))
+
+    def of_table(table: str) -> DataFrame:
+        parts = [F.when(F.col(k.column).isNotNull(), of_key(k.table, -1, k.column)) for k in keys if k.table == table]
+        parts += [of_key(r.parent, slots[r], r.column) for r in references if r.table == table]
+        parts += [F.when(conditions[t][check], part(broken, -1, F.lit(i), F.lit(None))) for i, (t, check) in enumerate(names) if t == table]
+        return tables[table].select(F.inline(F.array_compact(F.array(*parts))))
+
+    used = {k.table for k in keys} | {r.table for r in references} | set(conditions)
+    rows = reduce(lambda a, b: a.unionByName(b), [of_table(t) for t in tables if t in used])
+    width = 1 + max(slots.values(), default=-1)
+    counted = rows.groupBy("domain", "number", "text").agg(
+        F.count_if(F.col("slot") == -1).alias("own"), *[F.count_if(F.col("slot") == s).alias(f"by_{s}") for s in range(width)])
+    of = lambda at: F.col("domain") == at
+    violations = {k.check: F.when(of(domain[k.table]) & (F.col("own") > 1), F.col("own") - 1) for k in keys}
+    violations |= {r.check: F.when(of(domain[r.parent]) & (F.col("own") == 0), F.col(f"by_{slots[r]}")) for r in references}
+    violations |= {check: F.when(of(broken) & (F.col("number") == i), F.col("own")) for i, (_, check) in enumerate(names)}
+    total = counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(name) for name, c in violations.items()])
+    return total.selectExpr(f"stack({len(violations)}, {', '.join(f"'{n}', `{n}`" for n in violations)}) as (check_name, violations)")
 
 
 def bronze_quality_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    """Primary-key uniqueness, foreign keys, amount sign by entry type, period order."""
-    cust, ent = tables["customers"], tables["ledger_entries"]
-    inv, alloc = tables["invoices"], tables["invoice_allocations"]
-    parts = [
-        _dup_rows(cust, "customer_id", "customers_pk_unique"),
-        _dup_rows(ent, "entry_id", "ledger_pk_unique"),
-        _dup_rows(inv, "invoice_id", "invoices_pk_unique"),
-        _dup_rows(alloc, "allocation_id", "allocations_pk_unique"),
-        _orphans(ent, cust, "customer_id", "ledger_customer_fk"),
-        _orphans(inv, cust, "customer_id", "invoice_customer_fk"),
-        _orphans(alloc, ent, "entry_id", "allocation_entry_fk"),
-        _orphans(alloc, inv, "invoice_id", "allocation_invoice_fk"),
-        _checks(ent, {"amount_sign_by_type": (
+    """Primary-key uniqueness, foreign keys, amount sign by entry type, period order; every table is read once."""
+    return integrity_checks(tables, BILLING_KEYS, BILLING_REFERENCES, {
+        "ledger_entries": {"amount_sign_by_type": (
             ((F.col("type") == "invoice_debit") & (F.col("amount") >= 0))
             | (F.col("type").isin("payment", "credit") & (F.col("amount") <= 0))
             | F.col("amount").isNull()
-        )}),
-        _checks(inv, {"period_start_before_end": F.col("statement_period_start") > F.col("statement_period_end")}),
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        )},
+        "invoices": {"period_start_before_end": F.col("statement_period_start") > F.col("statement_period_end")},
+    })

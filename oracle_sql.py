@@ -384,6 +384,7 @@ SELECT 'left_only' AS side, * FROM (SELECT CAST(invoice_id AS VARCHAR) AS invoic
 UNION ALL
 SELECT 'right_only', * FROM (SELECT CAST(invoice_id AS VARCHAR), CAST(customer_id AS VARCHAR), in_credit FROM notices_whatif
     EXCEPT ALL SELECT CAST(invoice_id AS VARCHAR), CAST(customer_id AS VARCHAR), in_credit FROM notices) y""")
+    q["table_diff_by_digest"] = q["table_diff"]
     q["medallion_roundtrip"] = q["flagged_accounts"]
     q["silver_notices"] = q["naive_notices"]
     q["silver_running_balance"] = q["running_balance"]

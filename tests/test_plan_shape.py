@@ -14,7 +14,7 @@ assert os.path.isdir(SF), "the test tables are missing"
 # Side effects (writes) or eager checkpoints at build time: not needed for plan checks.
 SKIP = {"medallion_roundtrip", "silver_notices", "silver_running_balance", "bronze_csv_roundtrip", "bronze_csv_two_headers", "detection_scorecard",
         "missed_defects", "false_positives", "severity_confusion", "silver_invoices", "silver_end_of_day", "stage_metrics",
-        "report_flags_by_rule", "report_flags_by_month", "report_severity_matrix", "report_flag_drilldown"}
+        "report_flags_by_rule", "report_flags_by_month", "report_severity_matrix", "report_flag_drilldown", "table_diff_by_digest"}
 # The corpus queries have tests of their own.
 CORPUS = {n for n in E.queries() if n.startswith("op") or n == "pipeline"}
 
