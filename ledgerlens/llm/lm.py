@@ -3,22 +3,24 @@
 The model is the corpus itself: counts of all words and of all word pairs of all documents.
 A word w after v scores
 
-    count(v w) / count(v)                     where the pair occurs ``SEEN`` times or more,
-    BACKOFF * max(count(w), floor) / N        elsewhere,
-
-with N words in all and ``floor`` = N / ``FLOOR``: rarer words count as that frequent.  (By the
-pigeonhole principle at most ``FLOOR`` words lie over the floor, so the table of their counts has
-a fixed bound and goes to every worker; the pair counts do not.)  A document's first word
-follows a mark that every document begins with.
-
-Pairs are never counted on one machine: every document's pairs are exploded by the hash of the
-pair into buckets, one packed row for a bucket and a slice of texts, so a bucket's group holds
-both the pair's count table and all its occurrences.  There the occurrences are counted, joined
-with the counts, and summed per document; the partial sums of the buckets are then summed.
-The number of buckets follows the corpus's size (``BUCKET_PAIRS`` occurrences each), and
-occurrences of one pair in one document travel once, with their number.  Hot pairs do not
-travel at all: those over a 1 / ``FLOOR`` share of some stretch of texts, added up, are again
-at most ``FLOOR``, are counted exactly in a pass of their own and scored where they occur.
+    count(v w) / count(v)             where the pair occurs ``SEEN`` times or more,
+    BACKOFF * count(w) / N            elsewhere,
+
+with N words in all.  A document's first word follows a mark that every document begins with.  All counts are exact.
+
+Counts are joined to the n-grams where these meet by hash.  Every document's pairs are exploded into buckets, one
+packed row for a bucket and a slice of texts, so a bucket's group holds both a count table and all occurrences that
+need it.  There the occurrences are counted, joined with the counts, and summed per document; the partial sums of the
+buckets are then summed.  The number of buckets follows the corpus's size (``BUCKET_PAIRS`` occurrences each), tasks
+follow the buckets, and occurrences of one pair in one document travel once, with their number.
+
+Words with at least a 1 / ``FREQUENT`` share of all (by the pigeonhole principle ``FREQUENT`` at most) are known to every
+worker.  A pair of two such words goes to the bucket of the pair's hash.  A pair with a rarer word goes to the
+bucket of that word, which so holds every occurrence of the word and with that its exact count; a pair of two rare
+words goes to both, and each adds the part of the score that its word's count makes.  Hot pairs do not travel at all:
+those over a 1 / ``FREQUENT`` share of some stretch of texts, added up, are again at most ``FREQUENT`` (and both their words are
+known everywhere); they are counted exactly in a pass of their own and scored where they occur.  So ``FREQUENT`` bounds what
+is sent to every worker and changes no result.
 
 Defined results: a null, empty or wordless text has 0 words and a null score; every repeated
 row is scored and counted by itself.
@@ -39,7 +41,7 @@ from ledgerlens.llm.corpus import table, written
 
 BACKOFF = 0.4
 SEEN = 2
-FLOOR = 1 << 20
+FREQUENT = 1 << 20
 BUCKET_PAIRS = 1 << 22
 START = X.mix(np.array([0xB0], np.uint64))[0]
 
@@ -68,7 +70,7 @@ WORD, PAIR = 0, 1
 STRETCH = 1 << 21
 
 
-def counts(docs: DataFrame) -> DataFrame:
+def counts(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     """(kind, key, n): exact counts of all words, and for pairs the counts of the stretches where they are frequent."""
     def rows(kind: int, table: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(table[0]), kind, np.int32)), pa.array(table[0].view(np.int64)), pa.array(table[1])],
@@ -82,16 +84,16 @@ def counts(docs: DataFrame) -> DataFrame:
             words, pairs, size = _merged(words, _tally(h)), _merged(pairs, _tally(pair)), size + len(h)
             if size >= STRETCH:
                 yield rows(WORD, words)
-                yield rows(PAIR, _frequent(pairs, size))
+                yield rows(PAIR, _frequent(pairs, size, frequent))
                 words, pairs, size = _NONE, _NONE, 0
         yield rows(WORD, _merged(words, (np.array([START]), np.array([begun]))))
-        yield rows(PAIR, _frequent(pairs, size))
+        yield rows(PAIR, _frequent(pairs, size, frequent))
 
     return written(docs.select("text").mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
 
 
-def _frequent(table: tuple[np.ndarray, np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
-    keep = table[1] > max(SEEN, size / FLOOR)
+def _frequent(table: tuple[np.ndarray, np.ndarray], size: int, frequent: int) -> tuple[np.ndarray, np.ndarray]:
+    keep = table[1] > max(SEEN, size / frequent)
     return table[0][keep], table[1][keep]
 
 
@@ -133,37 +135,44 @@ def _unpacked(data: bytes, width: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-#: Bytes of a pair's hash that travel; the bucket adds its own bits.
+#: Bytes of a hash that travel; the bucket adds bits of its own.
 KEY_BYTES = 6
+#: In a packed row of a rare word: the place of the other word in the table of frequent ones (``RARE`` without one), and the
+#: high bit set where the rare word is the one before.
+RARE = (1 << 31) - 1
 
 
-_PACKED = "bucket int, first long, rows binary, sizes binary, keys binary, more binary, times binary"
+_PACKED = "bucket int, first long, rows binary, sizes binary, keys binary, more binary, times binary, words binary"
 
 
-def scores(docs: DataFrame) -> DataFrame:
+def scores(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     """(doc_id, n_words, n_seen, log_score, mean_score) of every row: sums and mean of natural logarithms."""
-    table_ = counts(docs)
+    table_ = counts(docs, frequent)
     mark = int(START.view(np.int64))
-    total = table_.filter((F.col("kind") == WORD) & (F.col("key") != mark)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    floor = total / FLOOR
-    # FLOOR words and pairs, and the mark, at most
-    top = table_.filter(F.col("n") >= max(floor, 1)).filter((F.col("kind") == WORD) | (F.col("n") > SEEN)).toPandas()
-    words = top[top.kind == WORD].sort_values("key")
+    is_mark = (F.col("kind") == WORD) & (F.col("key") == mark)
+    total = table_.filter((F.col("kind") == WORD) & ~is_mark).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # ``frequent`` words and pairs, and the mark, at most
+    often = F.col("n") >= max(total / frequent, 1)
+    top = table_.filter(is_mark | often & ((F.col("kind") == WORD) | (F.col("n") > SEEN))).toPandas()
+    words = top[top.kind == WORD]
     keys, n = words.key.to_numpy().view(np.uint64), words.n.to_numpy()
     order = np.argsort(keys)
     hot, hot_n = hot_pairs(docs, top[top.kind == PAIR].key.to_numpy().view(np.uint64)) if total else _NONE
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast((keys[order], np.log(n[order]), hot, np.log(np.maximum(hot_n, 1))))
-    low, log_n = float(np.log(floor)) if total else 0.0, float(np.log(max(total, 1)))
+    model = docs.sparkSession.sparkContext.broadcast((keys[order], np.log(np.maximum(n[order], 1)), hot, np.log(np.maximum(hot_n, 1))))
+    log_n = float(np.log(max(total, 1)))
     buckets = max(16, -(-int(total) // BUCKET_PAIRS))
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in X.slices(batches):
-            yield _explode(part, *model.value, low, log_n, buckets)
+            yield _explode(part, *model.value, log_n, buckets)
+
+    def count(group: pa.Table) -> pa.Table:
+        return _count(group, model.value[1], log_n)
 
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("uid"), "text")
-    packed = rows.mapInArrow(explode, _PACKED)
-    parts = packed.groupBy("bucket").applyInArrow(_count, "uid long, doc_id long, n_words long, n_seen long, log_score double")
+    # as many tasks as buckets: of pairs, of documents, and twice as many of rare words, whose pairs may come twice
+    packed = rows.mapInArrow(explode, _PACKED).repartition(4 * buckets, "bucket")
+    parts = packed.groupBy("bucket").applyInArrow(count, "uid long, doc_id long, n_words long, n_seen long, log_score double")
     sums = parts.groupBy("uid").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("n_seen").alias("n_seen"),
                                     F.sum("log_score").alias("log_score"))
     some = F.col("n_words") > 0
@@ -171,18 +180,20 @@ def scores(docs: DataFrame) -> DataFrame:
                        F.when(some, F.col("log_score") / F.col("n_words")).alias("mean_score"))
 
 
-def _explode(part: pa.RecordBatch, keys: np.ndarray, logs: np.ndarray, hot: np.ndarray, hot_logs: np.ndarray, low: float, log_n: float,
+def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
+    return (((h >> X.U64(32)) * X.U64(buckets)) >> X.U64(32)).astype(np.int64)
+
+
+def _explode(part: pa.RecordBatch, keys: np.ndarray, logs: np.ndarray, hot: np.ndarray, hot_logs: np.ndarray, log_n: float,
              buckets: int) -> pa.RecordBatch:
     """Packed rows of a slice of texts: one for each bucket that its pairs fall into, and one of the documents themselves."""
     n = part.num_rows
     w, h, before, pair = _ngrams(part.column("text"))
-
-    def log_of(x: np.ndarray) -> np.ndarray:
-        at = _find(keys, x)
-        return np.where(at >= 0, logs[at], low) if len(logs) else np.zeros(len(x))
-
-    unseen = np.log(BACKOFF) + log_of(h) - log_n
-    more = -log_of(before) - unseen  # what a seen pair adds, but for its own log count
+    at_w, at_v = _find(keys, h), _find(keys, before)
+    known = (at_w >= 0) & (at_v >= 0)
+    # of pairs of two frequent words: what they score unseen, and what a seen pair adds, but for its own log count
+    unseen = np.where(known, np.log(BACKOFF) + logs[at_w] - log_n, 0.0)
+    more = np.where(known, -logs[at_v] - unseen, 0.0)
     base = np.bincount(w.doc, weights=unseen, minlength=n)
     at = _find(hot, pair)
     is_hot = at >= 0
@@ -193,30 +204,40 @@ def _explode(part: pa.RecordBatch, keys: np.ndarray, logs: np.ndarray, hot: np.n
     codes, _, lead = X.distinct(X.mix(pair[cold] + X.mix(w.doc[cold].astype(np.uint64) + X.U64(1))))
     times = np.bincount(codes, minlength=len(lead))
     lead = cold[lead]
-    bucket = (((pair[lead] >> X.U64(32)) * X.U64(buckets)) >> X.U64(32)).astype(np.int64)
-    order = np.lexsort((w.doc[lead], bucket))
-    lead, times, bucket = lead[order], times[order], bucket[order]
-    doc, key, more = w.doc[lead], _packed(pair[lead], KEY_BYTES), more[lead]
-    edge = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+    first = part.column("uid")[0].as_py()
     out: list[tuple] = []
-    for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-        own, sizes = np.unique(doc[lo:hi], return_counts=True)
-        often = np.flatnonzero(times[lo:hi] > 1)
-        out.append((int(bucket[lo]), own.astype("<u4").tobytes(), sizes.astype("<u4").tobytes(), key[lo:hi].tobytes(),
-                    more[lo:hi].astype("<f8").tobytes(), np.stack([often, times[lo:hi][often]], 1).astype("<u4").tobytes()))
+
+    def pack(some: np.ndarray, bucket: np.ndarray, payload: np.ndarray, word: np.ndarray | None = None) -> None:
+        order = np.lexsort((w.doc[lead[some]], bucket))
+        some, bucket, payload = some[order], bucket[order], payload[order]
+        doc, key, often = w.doc[lead[some]], _packed(pair[lead[some]], KEY_BYTES), times[some]
+        word = None if word is None else _packed(word[order], KEY_BYTES)
+        edge = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+        for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+            own, sizes = np.unique(doc[lo:hi], return_counts=True)
+            many = np.flatnonzero(often[lo:hi] > 1)
+            out.append((int(bucket[lo]), own.astype("<u4").tobytes(), sizes.astype("<u4").tobytes(), key[lo:hi].tobytes(), payload[lo:hi].tobytes(),
+                        np.stack([many, often[lo:hi][many]], 1).astype("<u4").tobytes(), None if word is None else word[lo:hi].tobytes()))
+
+    both = np.flatnonzero(known[lead])
+    pack(both, _bucket(pair[lead[both]], buckets), more[lead[both]].astype("<f8"))
+    rare_w, rare_v = np.flatnonzero(at_w[lead] < 0), np.flatnonzero(at_v[lead] < 0)
+    word = np.concatenate([h[lead[rare_w]], before[lead[rare_v]]])
+    other = np.concatenate([at_v[lead[rare_w]], at_w[lead[rare_v]]])
+    payload = np.where(other < 0, RARE, other) + (np.repeat([0, 1], [len(rare_w), len(rare_v)]) << 31)
+    pack(np.concatenate([rare_w, rare_v]), 2 * buckets + _bucket(word, 2 * buckets), payload.astype("<u4"), word)
+
     ids = part.column("doc_id")
     given = np.stack([pc.fill_null(ids, 0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False)], 1).astype("<i8")
-    first = part.column("uid")[0].as_py()
-    # beyond the buckets of pairs: the documents, with what needs no pair's count
+    # beyond the buckets of pairs: the documents, with what needs no more counts
     out.append((buckets + first % buckets, given.tobytes(), w.per_doc.astype("<u4").tobytes(), hits.astype("<u4").tobytes(),
-                base.astype("<f8").tobytes(), None))
-    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-    cols = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+                base.astype("<f8").tobytes(), None, None))
+    cols = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), [pa.int32(), *[pa.binary()] * 6], strict=True)]
     return pa.RecordBatch.from_arrays([cols[0], pa.array([first] * len(out), pa.int64()), *cols[1:]],
-                                      ["bucket", "first", "rows", "sizes", "keys", "more", "times"])
+                                      ["bucket", "first", "rows", "sizes", "keys", "more", "times", "words"])
 
 
-def _count(group: pa.Table) -> pa.Table:
+def _count(group: pa.Table, logs: np.ndarray, log_n: float) -> pa.Table:
     """Partial sums by document of one bucket."""
     firsts = group.column("first").to_numpy()
     take = lambda c, kind: [np.frombuffer(x, kind) for x in group.column(c).to_pylist()]
@@ -227,7 +248,6 @@ def _count(group: pa.Table) -> pa.Table:
         doc = pa.array(ids[:, 0], pa.int64(), mask=ids[:, 1] > 0)
         return pa.table({"uid": uid, "doc_id": doc, "n_words": n_words.astype(np.int64), "n_seen": hits.astype(np.int64), "log_score": base})
     key = np.concatenate([_unpacked(x, KEY_BYTES) for x in group.column("keys").to_pylist()])
-    more = np.concatenate(take("more", "<f8"))
     sizes = np.concatenate(take("sizes", "<u4")).astype(np.int64)
     uid = np.concatenate([f + x.astype(np.int64) for f, x in zip(firsts, take("rows", "<u4"), strict=True)])
     times = np.ones(len(key), np.int64)
@@ -236,16 +256,44 @@ def _count(group: pa.Table) -> pa.Table:
         odd = odd.reshape(-1, 2)
         times[at + odd[:, 0]] = odd[:, 1]
         at += len(keys) // KEY_BYTES
-    codes, values, _ = X.distinct(key)
-    count = np.bincount(codes, weights=times, minlength=len(values))[codes]
-    seen = count >= SEEN
-    score = np.where(seen, times * (more + np.log(count)), 0.0)
+    if group.column("words").null_count:
+        count = _totals(key, times)
+        seen = counted = count >= SEEN
+        score = np.where(seen, np.concatenate(take("more", "<f8")) + np.log(count), 0.0)
+    else:
+        word = np.concatenate([_unpacked(x, KEY_BYTES) for x in group.column("words").to_pylist()])
+        seen, counted, score = _rare(word, key, np.concatenate(take("more", "<u4")), times, logs, log_n)
     starts = np.cumsum(sizes) - sizes
-    some = np.add.reduceat(np.where(seen, times, 0), starts)
-    keep = some > 0
+    hits, sums = np.add.reduceat(np.where(counted, times, 0), starts), np.add.reduceat(times * score, starts)
+    keep = (hits > 0) | (sums != 0)
     n = int(keep.sum())
-    return pa.table({"uid": uid[keep], "doc_id": pa.nulls(n, pa.int64()), "n_words": pa.nulls(n, pa.int64()), "n_seen": some[keep],
-                     "log_score": np.add.reduceat(score, starts)[keep]})
+    return pa.table({"uid": uid[keep], "doc_id": pa.nulls(n, pa.int64()), "n_words": pa.nulls(n, pa.int64()), "n_seen": hits[keep],
+                     "log_score": sums[keep]})
+
+
+def _totals(key: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The sum of ``times`` over each row's key."""
+    codes, values, _ = X.distinct(key)
+    return np.bincount(codes, weights=times, minlength=len(values))[codes]
+
+
+def _rare(word: np.ndarray, key: np.ndarray, payload: np.ndarray, times: np.ndarray, logs: np.ndarray,
+          log_n: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(seen, seen and counted here, score) of the occurrences in a bucket of rare words.
+
+    Every occurrence of a rare word is here as the later word of its pair (and, unless it ends a text, as the one
+    before).  A pair of two rare words is also in the other's bucket: each adds its own word's part.
+    """
+    is_before, at = payload >> 31 == 1, (payload & RARE).astype(np.int64)
+    two = at == RARE
+    other = np.where(two, 0.0, logs[np.where(two, 0, at)])
+    own = np.log(_totals(word, np.where(is_before, 0, times)))
+    count = _totals(X.mix(word * X._BASE + (key << X.U64(1)) + is_before.astype(np.uint64)), times)
+    seen, log_count = count >= SEEN, np.log(count)
+    back = np.log(BACKOFF) - log_n
+    as_later = np.where(seen, log_count - other, back + own)
+    as_before = np.where(seen, np.where(two, 0.0, log_count) - own, np.where(two, 0.0, back + other))
+    return seen, seen & ~(is_before & two), np.where(is_before, as_before, as_later)
 
 
 def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,8 +312,7 @@ c0 as (select v, count(*) c from p group by v),
 cv as (select w v, c from c1 union all select null, c from c0 where v is null),
 c2 as (select v, w, count(*) c from p group by v, w),
 s as (select p.uid, c2.c >= {SEEN} seen,
-             case when c2.c >= {SEEN} then ln(c2.c) - ln(greatest(cv.c, n / {FLOOR}))
-                  else ln({BACKOFF}) + ln(greatest(c1.c, n / {FLOOR})) - ln(n) end x
+             case when c2.c >= {SEEN} then ln(c2.c) - ln(cv.c) else ln({BACKOFF}) + ln(c1.c) - ln(n) end x
       from p join c2 on p.v is not distinct from c2.v and p.w = c2.w join cv on p.v is not distinct from cv.v
       join c1 on p.w = c1.w cross join n)
 select doc_id, len(ws)::bigint n_words, coalesce(k, 0)::bigint n_seen, round(t, 4) log_score, round(t / len(ws), 6) mean_score
