@@ -7,8 +7,8 @@ whole segment scores 1.  Every passage of every document (``PASSAGE`` words, hal
 so that a segment always lies whole in one) queries the index for *all* segments of a score of
 at least ``SCORE``:
 
-1. Terms are split as in WAND: the most frequent ones, which together give no segment more
-   than half the threshold, cannot lift a segment over it.  Only the other, essential terms'
+1. Terms are split as in WAND: the most frequent ones (in a 1 / ``DENSE`` share of the segments or more), which together
+   give no segment more than half the threshold, cannot lift a segment over it.  Only the other, essential terms'
    postings are opened; a segment whose essential sum plus the largest share of frequent
    terms stays below the threshold is never looked at.
 2. For the rest, the passage's frequent terms are bounded by their block maxima (blocks of
@@ -21,8 +21,10 @@ or, where the item has several segments, with all passages of the document toget
 were retrieved for them:
 at least ``OVERLAP`` of either part's word trigrams (single words where a part is shorter; an
 empty part asks for nothing) occur in the passage.  Words are runs of letters and digits in lower case.
+An item of fewer than ``SHORT`` words is asked for as a whole, all its words in a row; one of fewer than ``GRAM`` words
+is an expression of the language rather than a test, and only a document of nothing but these words leaks it.
 
-All tests run against shards of at most ``SHARD`` segments, one after the other; an index of
+All tests run against shards of about ``SHARD`` segments, one after the other; an index of
 that size is what a worker holds, however many items there are.
 
 Defined results: null or empty texts and items match nothing; repeated documents each give
@@ -54,6 +56,9 @@ PASSAGE = 128
 BLOCK = 16
 SHARD = 20_000
 GRAM = 3
+SHORT = 2 * GRAM
+#: A frequent term's weights are kept as a dense row, at most ``DENSE * SEGMENT`` rows by the number of postings.
+DENSE = 16
 K1, B = 1.2, 0.75
 
 
@@ -74,6 +79,21 @@ def _grams(h: np.ndarray) -> np.ndarray:
     return np.unique(X.window_hashes(h, np.zeros(len(h), np.int64), GRAM)[0] if len(h) >= GRAM else h)
 
 
+def _run(h: np.ndarray) -> np.ndarray:
+    """What a short item asks for, as an array of one hash."""
+    if not len(h):
+        return h
+    run = X.window_hashes(h, np.zeros(len(h), np.int64), len(h))[0]
+    return X.mix(run + X.U64(1)) if len(h) < GRAM else run
+
+
+def _held(span: np.ndarray, whole: bool) -> np.ndarray:
+    """What a passage holds: words, trigrams, the runs that short items ask for; ``whole``: it is its whole document."""
+    own = np.zeros(len(span), np.int64)
+    runs = [X.window_hashes(span, own, k)[0] for k in range(GRAM, SHORT)]
+    return np.concatenate([span, *runs, *([_run(span)] if whole and len(span) < GRAM else [])])
+
+
 def segments(ids: list, texts: list[str]) -> list[Segment]:
     """Segments of at most ``SEGMENT`` words, of one length but for a word; with question and answer part of their items."""
     out = []
@@ -85,7 +105,7 @@ def segments(ids: list, texts: list[str]) -> list[Segment]:
         # the last sentence end that leaves words on both sides
         inner = [k for k in np.searchsorted(w.start, ends).tolist() if 0 < k < n]
         cut = inner[-1] if inner else (n + 1) // 2
-        question, answer = _grams(h[:cut]), _grams(h[cut:])
+        question, answer = (_run(h), h[:0]) if n < SHORT else (_grams(h[:cut]), _grams(h[cut:]))
         parts = -(-n // SEGMENT)
         for k in range(parts):
             out.append(Segment(item, h[n * k // parts: n * (k + 1) // parts], question, answer, place, parts))
@@ -112,6 +132,8 @@ class Index:
         share = np.zeros(n)
         frequent = np.zeros(len(self.terms), bool)
         for t in np.argsort(-df, kind="stable"):
+            if df[t] * DENSE < n:
+                break  # rarer ones are cheaper as postings
             rows = by_term[first[t]: first[t] + df[t]]
             if (share[seg[rows]] + weight[rows]).max() <= score / 2:
                 share[seg[rows]] += weight[rows]
@@ -190,7 +212,7 @@ class Index:
         for win, s, x, row in zip(of.tolist(), seg.tolist(), score.tolist(), owner.tolist(), strict=True):
             first = (win - int(wbase[row])) * (PASSAGE // 2)
             span = h[base[row] + first: base[row] + min(first + PASSAGE, per[row])]
-            held = np.concatenate([span, X.window_hashes(span, np.zeros(len(span), np.int64), GRAM)[0]])
+            held = _held(span, len(span) == per[row])
             part = self.segments[s]
             if part.parts == 1:
                 judge(row, part, x, first, held)
@@ -203,10 +225,11 @@ class Index:
 
 
 def _shards(spark: SparkSession, items: DataFrame) -> Iterator[Index]:
-    """Indexes of at most about ``SHARD`` items each; items are read shard by shard, not all at once."""
+    """Indexes of about ``SHARD`` segments each; items are read shard by shard, not all at once."""
     items = items.select("item_id", "text").filter(F.col("text").isNotNull()).distinct()
-    words = items.agg(F.sum(F.size(F.split("text", r"[^\p{L}\p{N}]+")))).first()[0] or 0
-    parts = max(1, -(-int(words) // (SHARD * SEGMENT)))
+    words = F.size(F.split("text", r"[^\p{L}\p{N}]+"))
+    count = items.agg(F.sum(F.greatest(F.lit(1), F.ceil(words / SEGMENT)))).first()[0] or 0
+    parts = max(1, -(-int(count) // SHARD))
     for k in range(parts):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).orderBy("item_id", "text").collect()
         if made := segments([r.item_id for r in own], [r.text for r in own]):
@@ -269,31 +292,39 @@ cuts as (select iid, k from (
     from (select iid, unnest(ps) p, generate_subscripts(ps, 1) j, len(ps) n from (select iid, string_split_regex(text, '[.!?
 ]') ps from t))) x
     where j < n),
-span as (select iid, seg, seg * {SEGMENT} lo, least(seg * {SEGMENT} + {SEGMENT}, n) hi
-         from (select iid, i // {SEGMENT} seg, any_value(n) n from (select iid, i, count(*) over (partition by iid) n from iw) group by all)),
-s as (select iid, seg, lo, hi, coalesce((select max(k) from cuts c where c.iid = span.iid and k > lo and k < hi), (lo + hi + 1) // 2) cut from span),
-part as (select iid, seg, 'q' part, lo a, cut z from s union all select iid, seg, 'a', cut, hi from s),
+nn as (select iid, count(*) n, ceil(count(*) / {SEGMENT})::bigint parts, string_agg(w, ' ' order by i) run from iw group by iid),
+sw as (select iid, i, w, n, ((i + 1) * parts - 1) // n seg from iw join nn using (iid)),
+s as (select iid, n, coalesce((select max(k) from cuts c where c.iid = nn.iid and k > 0 and k < n), (n + 1) // 2) cut from nn where n >= {SHORT}),
+part as (select iid, 'q' part, 0 a, cut z from s union all select iid, 'a', cut, n from s),
 three as (select iid, i, w, concat_ws(' ', w, lead(w, 1) over v, lead(w, 2) over v) g from iw window v as (partition by iid order by i)),
-grams as (select distinct part.iid, seg, part, case when z - a < {GRAM} then w else g end gram
-          from part join three on part.iid = three.iid and i >= a and i < z and (z - a < {GRAM} or i + {GRAM} <= z)),
-tf as (select iid, i // {SEGMENT} seg, w, count(*) tf from iw group by all),
-size as (select iid, seg, hi - lo n from s),
+grams as (select distinct part.iid, part, case when z - a < {GRAM} then w else g end gram
+          from part join three on part.iid = three.iid and i >= a and i < z and (z - a < {GRAM} or i + {GRAM} <= z)
+          union all select iid, 'q', case when n < {GRAM} then '^' || run || '$' else run end from nn where n < {SHORT}),
+tf as (select iid, seg, w, count(*) tf from sw group by all),
+size as (select iid, seg, count(*) n from sw group by all),
 df as (select w, count(*) df from tf group by w),
 impact as (select tf.iid, tf.seg, tf.w, ln(1 + (c - df + 0.5) / (df + 0.5)) * tf * {K1 + 1} / (tf + {K1} * ({1 - B} + {B} * size.n / m)) x
            from tf join df using (w) join size using (iid, seg), (select count(*) c, avg(n) m from size)),
 weight as (select iid, seg, w, x / sum(x) over (partition by iid, seg) x from impact),
 d as (select row_number() over () uid, doc_id, {_WORDS.format('text')} ws from documents where text is not null),
-dw as (select uid, unnest(ws) w, generate_subscripts(ws, 1) - 1 i, greatest(1, ceil(len(ws) / {PASSAGE / 2})::bigint - 1) windows from d),
-win as (select uid, w, i, windows, i // {PASSAGE // 2} - k win from dw, (values (0), (1)) x(k) where i // {PASSAGE // 2} - k between 0 and windows - 1),
-hit as (select uid, win, iid, seg, round(sum(x), 6) score from (select distinct uid, win, w from win) join weight using (w)
-        group by all having round(sum(x), 6) >= {SCORE}),
-held as (select distinct uid, win, unnest([w, case when last is not null then g end]) gram
-         from (select uid, win, i, w, concat_ws(' ', w, lead(w, 1) over v, lead(w, 2) over v) g, lead(w, 2) over v last
+dw as (select uid, unnest(ws) w, generate_subscripts(ws, 1) - 1 i, greatest(1, ceil(len(ws) / {PASSAGE / 2})::bigint - 1) windows, len(ws) n from d),
+win as (select uid, w, i, n, i // {PASSAGE // 2} - k win from dw, (values (0), (1)) x(k) where i // {PASSAGE // 2} - k between 0 and windows - 1),
+hit as (select h.*, case when parts = 1 then win else -1 end own
+        from (select uid, win, iid, seg, round(sum(x), 6) score from (select distinct uid, win, w from win) join weight using (w)
+              group by all having round(sum(x), 6) >= {SCORE}) h join nn using (iid)),
+held as (select distinct uid, win, unnest([w, case when w3 is not null then concat_ws(' ', w, w2, w3) end,
+                                           case when w4 is not null then concat_ws(' ', w, w2, w3, w4) end,
+                                           case when w5 is not null then concat_ws(' ', w, w2, w3, w4, w5) end,
+                                           case when i = 0 and n < {GRAM} then '^' || concat_ws(' ', w, w2) || '$' end]) gram
+         from (select uid, win, i, n, w, lead(w, 1) over v w2, lead(w, 2) over v w3, lead(w, 3) over v w4, lead(w, 4) over v w5
                from win semi join hit using (uid, win) window v as (partition by uid, win order by i))),
-share as (select h.uid, h.win, h.iid, h.seg, part, count(held.gram) / count(*) x
-          from hit h join grams using (iid, seg) left join held on held.uid = h.uid and held.win = h.win and held.gram = grams.gram group by all),
+got as (select distinct h.uid, h.own, h.iid, gram from hit h join held using (uid, win)),
+share as (select h.uid, h.own, h.iid, part, count(got.gram) / count(*) x
+          from (select distinct uid, own, iid from hit) h join grams using (iid)
+          left join got on got.uid = h.uid and got.own = h.own and got.iid = h.iid and got.gram = grams.gram group by all),
 judged as (select h.*, coalesce(max(x) filter (part = 'q'), 1) q, coalesce(max(x) filter (part = 'a'), 1) a
-           from hit h left join share using (uid, win, iid, seg) group by all)
+           from (from hit qualify row_number() over (partition by uid, own, iid order by score desc, win, seg) = 1) h
+           left join share using (uid, own, iid) group by all)
 select doc_id, item_id, (win * {PASSAGE // 2})::bigint passage, score, q question_overlap, a answer_overlap
 from judged join d using (uid) join t using (iid) where q >= {OVERLAP} and a >= {OVERLAP}
 qualify row_number() over (partition by uid, item_id order by score desc, win, q, a) = 1
