@@ -23,7 +23,7 @@ from ledgerlens.operators import intervals as I  # noqa: E402
 from ledgerlens.operators import ledger as L  # noqa: E402
 from ledgerlens.operators import notices as N  # noqa: E402
 from ledgerlens.operators import rules as R  # noqa: E402
-from ledgerlens.params import TESTDATA_PARAMS, WHATIF_PARAMS, DetectorParams  # noqa: E402
+from ledgerlens.params import SUPPLIES_PARAMS, TESTDATA_PARAMS, WHATIF_PARAMS, DetectorParams  # noqa: E402
 from ledgerlens.plans import digests as D  # noqa: E402
 from ledgerlens.plans import flags as G  # noqa: E402
 from ledgerlens.plans import medallion as M  # noqa: E402
@@ -32,7 +32,7 @@ from ledgerlens.plans import validation as V  # noqa: E402
 from ledgerlens.session import shared_dir  # noqa: E402
 from ledgerlens.sources.bronze import read_bronze_csv  # noqa: E402
 from ledgerlens.sources.layout import CustomerLayout, write_layout  # noqa: E402
-from ledgerlens.sources.testdata import billing_tables, expected_defects  # noqa: E402
+from ledgerlens.sources.testdata import SUPPLIES, billing_tables, expected_defects  # noqa: E402
 
 try:  # the corpus operators are an optional part of the library
     import corpus_pipeline
@@ -89,6 +89,11 @@ def _q(fn: Callable[[dict[str, DataFrame]], DataFrame]) -> Callable[[SparkSessio
     return lambda spark, sf_dir: _out(fn(_t(spark, sf_dir)))
 
 
+def _supplies(fn: Callable[[dict[str, DataFrame]], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """An operator over the second mapping of the test tables."""
+    return lambda spark, sf_dir: _out(fn(billing_tables(spark, sf_dir, SUPPLIES)))
+
+
 _RUNS: dict[tuple[str, str], tuple[str, M.Metrics]] = {}
 
 
@@ -165,9 +170,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     alc = lambda t: t["invoice_allocations"]
     q = {
         # sources (mapping of the test tables)
+        "billing_customers": _q(lambda t: t["customers"]),
         "billing_invoices": _q(inv),
         "billing_ledger": _q(ent),
         "billing_allocations": _q(alc),
+        "supplies_customers": _supplies(lambda t: t["customers"]),
+        "supplies_invoices": _supplies(inv),
+        "supplies_ledger": _supplies(ent),
+        "supplies_allocations": _supplies(alc),
+        "supplies_flagged_accounts": _supplies(lambda t: G.flagged_accounts(t, SUPPLIES_PARAMS)),
         # filters and predicates
         "valid_ledger": _q(lambda t: L.valid_entries(ent(t))),
         "dishonoured_entries": _q(lambda t: L.dishonoured_entries(ent(t))),

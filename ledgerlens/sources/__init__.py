@@ -1,4 +1,4 @@
-"""Readers for the four billing tables and the mapping of the test star schema."""
+"""Readers for the four billing tables and mappings of star schemas onto them."""
 
 from ledgerlens.sources.bronze import (
     UpstreamMissing,
@@ -10,9 +10,10 @@ from ledgerlens.sources.bronze import (
     require,
 )
 from ledgerlens.sources.csv_files import MissingColumn, csv_headers
+from ledgerlens.sources.mapping import Lookup, MappingError, Rows, StarMapping
 from ledgerlens.sources.testdata import billing_tables
 
 __all__ = [
-    "MissingColumn", "UpstreamMissing", "csv_headers", "from_rows", "read_bronze_csv", "read_labels_csv", "read_table", "read_tables",
-    "require", "billing_tables",
+    "Lookup", "MappingError", "MissingColumn", "Rows", "StarMapping", "UpstreamMissing", "billing_tables", "csv_headers", "from_rows",
+    "read_bronze_csv", "read_labels_csv", "read_table", "read_tables", "require",
 ]

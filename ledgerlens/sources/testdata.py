@@ -1,28 +1,26 @@
-"""Mapping of the TPC-H-shaped test tables onto the four billing tables.
+"""Mappings of the TPC-H-shaped test tables onto the four billing tables.
 
-orders    -> invoices (one statement per order, 90-day period) and invoice debits
-lineitem  -> payments / credits / dishonoured payments, and invoice allocations
-customer  -> customers
+``ORDERS``: orders    -> invoices (one statement per order, 90-day period) and invoice debits
+            lineitem  -> payments / credits / dishonoured payments, and invoice allocations
+            customer  -> customers
+``SUPPLIES``, the second one: supplier and nation -> customers; each line item is a statement of its supplier, its
+period as long as the part's size says, with a debit, and by its flags a payment or credit and an allocation.
 
-Ids keep their bigint type, so invoice-id order (rule 3 ties, rule 5 pairs) is
-numeric on both the Spark side and the SQL oracle.  All columns are derived with
-built-in expressions, so Catalyst prunes the parquet scan to the columns used.
+Under ``ORDERS`` ids keep their bigint type, so invoice-id order (rule 3 ties, rule 5 pairs) is numeric on both the
+Spark side and the SQL oracle; under ``SUPPLIES`` only the customers' do.  All columns are built-in expressions, so
+Catalyst prunes the parquet scan to the columns used.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.params import FAMILY_RULE
-from ledgerlens.schemas import MANIFEST, MONEY
+from ledgerlens.schemas import MANIFEST
+from ledgerlens.sources.mapping import Lookup, Rows, StarMapping
 
-# Fixed shape of the synthetic statements: period length and days to due date.
-PERIOD_DAYS = 89     # statement_period_end = start + 89
-DUE_AFTER_END = 5    # due_date = statement_period_end + 5
-
-
-# Columns the mapping reads, with their stored types.  Declaring them skips the
+# Columns the mappings read, with their stored types.  Declaring them skips the
 # footer-based schema inference at plan time and makes the column pruning explicit.
 READ_SCHEMAS = {
     "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
@@ -31,93 +29,78 @@ READ_SCHEMAS = {
         "l_discount double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
     ),
     "customer": "c_custkey bigint, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_size int",
 }
 
+_PLACED, _SHIPPED = "to_date(o_orderdate)", "to_date(l_shipdate)"
+_TOTAL, _PRICE = "cast(o_totalprice as decimal(18,2))", "cast(l_extendedprice as decimal(18,2))"
+_NET = f"cast(round({_PRICE} * (1 - cast(l_discount as decimal(4,2))), 2) as decimal(18,2))"
+_CREDIT = "l_returnflag = 'N' and l_linestatus = 'O'"
+_FULL, _PARTIAL = "l_returnflag = 'A'", "l_returnflag = 'N' and l_linestatus = 'F'"
+
+
+def _line_key(prefix: str = "") -> str:
+    """Text key of a line item: (l_orderkey, l_linenumber) is not unique in the test data; these five parts are."""
+    # yyyyMMdd by integer arithmetic: cheaper than a formatter per row
+    day = f"lpad(cast(year({_SHIPPED}) * 10000 + month({_SHIPPED}) * 100 + dayofmonth({_SHIPPED}) as string), 8, '0')"
+    return (f"concat_ws('-', concat('{prefix}', cast(l_orderkey as string)), cast(l_linenumber as string), "
+            f"cast(l_partkey as string), cast(l_suppkey as string), {day})")
 
-def _tbl(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(READ_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
+# What line items pay: under both mappings of the same type, source and status.
+_PAYMENT = {
+    "entry_id": _line_key("P"),
+    "type": f"if({_CREDIT}, 'credit', 'payment')",
+    "source": f"if({_CREDIT}, 'goodwill', 'direct_debit')",
+    "status": "if(l_returnflag = 'R', 'dishonoured', 'settled')",
+}
+_DEBIT = {"type": "'invoice_debit'", "source": "'invoice'", "status": "'settled'"}
+
+ORDERS = StarMapping(types={"invoice_id": "bigint", "customer_id": "bigint"}, targets={
+    "customers": (Rows("customer", {
+        "customer_id": "c_custkey", "plan_id": "c_mktsegment", "signup_date": "null", "status": "'active'"}),),
+    "invoices": (Rows("orders", {
+        "invoice_id": "o_orderkey", "customer_id": "o_custkey",
+        "statement_period_start": _PLACED, "statement_period_end": f"date_add({_PLACED}, 89)", "due_date": f"date_add({_PLACED}, 94)",
+        "amount_due": _TOTAL, "issued_date": _PLACED}),),
+    "ledger_entries": (
+        Rows("orders", _DEBIT | {
+            "entry_id": "concat('D', cast(o_orderkey as string))", "customer_id": "o_custkey", "amount": f"cast(-{_TOTAL} as decimal(18,2))",
+            "effective_date": _PLACED}),
+        Rows("lineitem", _PAYMENT | {"customer_id": "o_custkey", "amount": _PRICE, "effective_date": _SHIPPED},
+             lookups=(Lookup("orders", "l_orderkey = o_orderkey"),)),
+    ),
+    "invoice_allocations": (Rows("lineitem", {  # flag A in full, N/F lines net of discount (partial)
+        "allocation_id": _line_key("A"), "entry_id": _line_key("P"), "invoice_id": "l_orderkey",
+        "amount_allocated": f"if({_FULL}, {_PRICE}, {_NET})", "allocated_date": _SHIPPED}, where=f"({_FULL}) or ({_PARTIAL})"),),
+})
+
+SUPPLIES = StarMapping(types={"customer_id": "bigint"}, targets={
+    "customers": (Rows("supplier", {
+        "customer_id": "s_suppkey", "plan_id": "n_name", "signup_date": "null", "status": "if(s_acctbal < 0, 'suspended', 'active')"},
+        lookups=(Lookup("nation", "s_nationkey = n_nationkey", "left"),)),),
+    "invoices": (Rows("lineitem", {
+        "invoice_id": _line_key(), "customer_id": "l_suppkey", "statement_period_start": _SHIPPED,
+        "statement_period_end": f"date_add({_SHIPPED}, coalesce(p_size, 0))", "due_date": f"date_add({_SHIPPED}, 14 + coalesce(p_size, 0))",
+        "amount_due": _PRICE, "issued_date": _SHIPPED},
+        lookups=(Lookup("part", "l_partkey = p_partkey", "left"),)),),
+    "ledger_entries": (
+        Rows("lineitem", _DEBIT | {
+            "entry_id": _line_key("D"), "customer_id": "l_suppkey", "amount": f"cast(-{_PRICE} as decimal(18,2))", "effective_date": _SHIPPED}),
+        Rows("lineitem", _PAYMENT | {
+            "customer_id": "l_suppkey", "amount": _PRICE, "effective_date": f"date_add({_SHIPPED}, 10 * l_linenumber)"}),
+    ),
+    "invoice_allocations": (Rows("lineitem", {
+        "allocation_id": _line_key("A"), "entry_id": _line_key("P"), "invoice_id": _line_key(),
+        "amount_allocated": f"if({_FULL}, {_PRICE}, {_NET})", "allocated_date": f"date_add({_SHIPPED}, 10 * l_linenumber)"},
+        where=f"({_FULL}) or ({_PARTIAL})"),),
+})
 
-def invoices_from_orders(orders: DataFrame) -> DataFrame:
-    start = F.to_date(F.col("o_orderdate"))
-    return orders.select(
-        F.col("o_orderkey").alias("invoice_id"),
-        F.col("o_custkey").alias("customer_id"),
-        start.alias("statement_period_start"),
-        F.date_add(start, PERIOD_DAYS).alias("statement_period_end"),
-        F.date_add(start, PERIOD_DAYS + DUE_AFTER_END).alias("due_date"),
-        F.col("o_totalprice").cast(MONEY).alias("amount_due"),
-        start.alias("issued_date"),
-    )
-
-
-def _line_key(prefix: str) -> Column:
-    # (l_orderkey, l_linenumber) is not unique in the test data; this five-part key is.
-    return F.concat_ws(
-        "-",
-        F.concat(F.lit(prefix), F.col("l_orderkey").cast("string")),
-        F.col("l_linenumber").cast("string"),
-        F.col("l_partkey").cast("string"),
-        F.col("l_suppkey").cast("string"),
-        _yyyymmdd(F.to_date(F.col("l_shipdate"))),
-    )
-
-
-def _yyyymmdd(d: Column) -> Column:
-    """``yyyyMMdd`` text of a date by integer arithmetic (cheaper than a formatter per row)."""
-    n = F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
-    return F.lpad(n.cast("string"), 8, "0")
-
-
-def ledger_from_orders_lineitem(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """Invoice debits (one per order) plus one payment/credit per line item."""
-    debits = orders.select(
-        F.concat(F.lit("D"), F.col("o_orderkey").cast("string")).alias("entry_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.lit("invoice_debit").alias("type"),
-        (-F.col("o_totalprice").cast(MONEY)).cast(MONEY).alias("amount"),
-        F.to_date(F.col("o_orderdate")).alias("effective_date"),
-        F.lit("invoice").alias("source"),
-        F.lit("settled").alias("status"),
-    )
-    is_credit = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O")
-    lines = lineitem.join(
-        orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey")), "l_orderkey"
-    )
-    credits = lines.select(
-        _line_key("P").alias("entry_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.when(is_credit, "credit").otherwise("payment").alias("type"),
-        F.col("l_extendedprice").cast(MONEY).alias("amount"),
-        F.to_date(F.col("l_shipdate")).alias("effective_date"),
-        F.when(is_credit, "goodwill").otherwise("direct_debit").alias("source"),
-        F.when(F.col("l_returnflag") == "R", "dishonoured").otherwise("settled").alias("status"),
-    )
-    return debits.unionByName(credits)
-
-
-def allocations_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    """Allocation rows: flag A lines in full, N/F lines net of discount (partial)."""
-    full = F.col("l_returnflag") == "A"
-    partial = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F")
-    price = F.col("l_extendedprice").cast(MONEY)
-    net = F.round(price * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")), 2)
-    return lineitem.filter(full | partial).select(
-        _line_key("A").alias("allocation_id"),
-        _line_key("P").alias("entry_id"),
-        F.col("l_orderkey").alias("invoice_id"),
-        F.when(full, price).otherwise(net).cast(MONEY).alias("amount_allocated"),
-        F.to_date(F.col("l_shipdate")).alias("allocated_date"),
-    )
-
-
-def customers_from_customer(customer: DataFrame) -> DataFrame:
-    return customer.select(
-        F.col("c_custkey").alias("customer_id"),
-        F.col("c_mktsegment").alias("plan_id"),
-        F.lit(None).cast("date").alias("signup_date"),
-        F.lit("active").alias("status"),
-    )
+
+def _tbl(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(READ_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def expected_defects(flags: DataFrame, invoices: DataFrame) -> DataFrame:
@@ -144,13 +127,6 @@ def expected_defects(flags: DataFrame, invoices: DataFrame) -> DataFrame:
     return known.unionByName(extra.drop("invoice_id")).select([F.col(f.name).cast(f.dataType).alias(f.name) for f in MANIFEST.fields])
 
 
-def billing_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def billing_tables(spark: SparkSession, sf_dir: str, star: StarMapping = ORDERS) -> dict[str, DataFrame]:
     """The four billing tables over a test-data folder, as lazy DataFrames."""
-    orders = _tbl(spark, sf_dir, "orders")
-    lineitem = _tbl(spark, sf_dir, "lineitem")
-    return {
-        "customers": customers_from_customer(_tbl(spark, sf_dir, "customer")),
-        "invoices": invoices_from_orders(orders),
-        "ledger_entries": ledger_from_orders_lineitem(orders, lineitem),
-        "invoice_allocations": allocations_from_lineitem(lineitem),
-    }
+    return star.tables({name: _tbl(spark, sf_dir, name) for name in star.sources()})

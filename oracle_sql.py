@@ -14,6 +14,7 @@ GRACE = 7
 ORPHAN = 30
 GAP = 3
 ESC = "100000.00"
+SUPPLIES_ESC = "50000.00"
 WHATIF_GRACE = 14
 
 _KEY = "concat_ws('-', '{p}' || CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), " \
@@ -75,7 +76,42 @@ def _silver(grace: int, sfx: str = "") -> list[tuple[str, str]]:
     ]
 
 
-def _rules(sfx: str, orphan: int, gap: int, esc: str) -> list[tuple[str, str]]:
+def _supplies() -> list[tuple[str, str]]:
+    """The second mapping: each line item a statement of its supplier."""
+    part = "FROM lineitem LEFT JOIN part ON p_partkey = l_partkey"
+    pays = "CAST(l_shipdate AS DATE) + 10 * l_linenumber"
+    price, net = "CAST(l_extendedprice AS DECIMAL(18,2))", \
+        "round(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))), 2)"
+    return [
+        ("invoices", f"""
+  SELECT {_KEY.format(p='')} AS invoice_id, l_suppkey AS customer_id, CAST(l_shipdate AS DATE) AS statement_period_start,
+         CAST(l_shipdate AS DATE) + COALESCE(p_size, 0) AS statement_period_end,
+         CAST(l_shipdate AS DATE) + 14 + COALESCE(p_size, 0) AS due_date,
+         {price} AS amount_due, CAST(l_shipdate AS DATE) AS issued_date {part}"""),
+        ("ledger_entries", f"""
+  SELECT {_KEY.format(p='D')} AS entry_id, l_suppkey AS customer_id, 'invoice_debit' AS type, -{price} AS amount,
+         CAST(l_shipdate AS DATE) AS effective_date, 'invoice' AS source, 'settled' AS status
+  FROM lineitem
+  UNION ALL
+  SELECT {_KEY.format(p='P')}, l_suppkey, CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN 'credit' ELSE 'payment' END,
+         {price}, {pays}, CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN 'goodwill' ELSE 'direct_debit' END,
+         CASE WHEN l_returnflag = 'R' THEN 'dishonoured' ELSE 'settled' END
+  FROM lineitem"""),
+        ("invoice_allocations", f"""
+  SELECT {_KEY.format(p='A')} AS allocation_id, {_KEY.format(p='P')} AS entry_id, {_KEY.format(p='')} AS invoice_id,
+         CAST(CASE WHEN l_returnflag = 'A' THEN {price} ELSE {net} END AS DECIMAL(18,2)) AS amount_allocated,
+         {pays} AS allocated_date
+  FROM lineitem
+  WHERE l_returnflag = 'A' OR (l_returnflag = 'N' AND l_linestatus = 'F')"""),
+        ("customers", """
+  SELECT s_suppkey AS customer_id, n_name AS plan_id, CAST(NULL AS DATE) AS signup_date,
+         CASE WHEN s_acctbal < 0 THEN 'suspended' ELSE 'active' END AS status
+  FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey"""),
+        ("valid", "SELECT * FROM ledger_entries WHERE status <> 'dishonoured'"),
+    ]
+
+
+def _rules(sfx: str, orphan: int, gap: int, esc: str, invoice_of: str = "^P([0-9]+)-") -> list[tuple[str, str]]:
     flag_cols = "flag_id, rule_id, customer_id, invoice_id, amount, severity, flag_date, explanation"
     return [
         (f"r1{sfx}", f"""
@@ -116,7 +152,7 @@ def _rules(sfx: str, orphan: int, gap: int, esc: str) -> list[tuple[str, str]]:
   WHERE gap_days > {gap}"""),
         (f"r4{sfx}", f"""
   SELECT 'R4_' || entry_id AS flag_id, 4 AS rule_id, CAST(customer_id AS VARCHAR) AS customer_id,
-         regexp_extract(entry_id, '^P([0-9]+)-', 1) AS invoice_id, CAST(amount AS DECIMAL(18,2)) AS amount,
+         regexp_extract(entry_id, '{invoice_of}', 1) AS invoice_id, CAST(amount AS DECIMAL(18,2)) AS amount,
          'critical' AS severity, strftime(effective_date, '%Y-%m-%d') AS flag_date,
          concat_ws('', 'Dishonoured debit ', entry_id, ' (', CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR),
                    ') with no cause: balance ', CAST(CAST(balance AS DECIMAL(18,2)) AS VARCHAR),
@@ -142,12 +178,14 @@ def _rules(sfx: str, orphan: int, gap: int, esc: str) -> list[tuple[str, str]]:
     ]
 
 
-def _shared() -> list[tuple[str, str]]:
-    ctes = _mapping() + _silver(GRACE)
-    ctes.append(("dishonour_bal", """
+_DISHONOUR_BAL = ("dishonour_bal", """
   SELECT d.*, COALESCE((SELECT SUM(v.amount) FROM valid v
                         WHERE v.customer_id = d.customer_id AND v.effective_date <= d.effective_date), 0) AS balance
-  FROM ledger_entries d WHERE d.status = 'dishonoured'"""))
+  FROM ledger_entries d WHERE d.status = 'dishonoured'""")
+
+
+def _shared() -> list[tuple[str, str]]:
+    ctes = [*_mapping(), *_silver(GRACE), _DISHONOUR_BAL]
     ctes += _rules("", ORPHAN, GAP, ESC)
     family = "CASE {} WHEN 1 THEN 'allocation' WHEN 2 THEN 'stale_unswept_credit' WHEN 3 THEN 'statement_gap' " \
              "WHEN 4 THEN 'dishonour' ELSE 'duplicate_invoice' END"
@@ -166,8 +204,8 @@ def _shared() -> list[tuple[str, str]]:
     return ctes
 
 
-def _with(final: str) -> str:
-    ctes = _shared()
+def _with(final: str, ctes: list[tuple[str, str]] | None = None) -> str:
+    ctes = ctes or _shared()
     body = ",\n".join(f"{name} AS ({q}\n)" for name, q in ctes)
     return f"WITH {body}\n{final}"
 
@@ -190,15 +228,19 @@ RULE_DIM = ("(VALUES (1, 'R1 wrongful notice'), (2, 'R2 orphaned credit'), (3, '
 
 def queries_sql() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["billing_invoices"] = _with(
-        "SELECT invoice_id, customer_id, " + ", ".join(
-            _iso(c) for c in ["statement_period_start", "statement_period_end", "due_date"]
-        ) + f", {_dbl('amount_due')}, {_iso('issued_date')} FROM invoices")
     ent = f"entry_id, customer_id, type, {_dbl('amount')}, {_iso('effective_date')}, source, status"
-    q["billing_ledger"] = _with(f"SELECT {ent} FROM ledger_entries")
-    q["billing_allocations"] = _with(
-        f"SELECT allocation_id, entry_id, invoice_id, {_dbl('amount_allocated')}, {_iso('allocated_date')} "
-        "FROM invoice_allocations")
+    supplies = [*_supplies(), *_silver(GRACE), _DISHONOUR_BAL, *_rules("", ORPHAN, GAP, SUPPLIES_ESC, "^P(.+)$")]
+    for prefix, ctes in (("billing", _shared()), ("supplies", supplies)):
+        q[f"{prefix}_customers"] = _with(f"SELECT customer_id, plan_id, {_iso('signup_date')}, status FROM customers", ctes)
+        q[f"{prefix}_invoices"] = _with(
+            "SELECT invoice_id, customer_id, " + ", ".join(
+                _iso(c) for c in ["statement_period_start", "statement_period_end", "due_date"]
+            ) + f", {_dbl('amount_due')}, {_iso('issued_date')} FROM invoices", ctes)
+        q[f"{prefix}_ledger"] = _with(f"SELECT {ent} FROM ledger_entries", ctes)
+        q[f"{prefix}_allocations"] = _with(
+            f"SELECT allocation_id, entry_id, invoice_id, {_dbl('amount_allocated')}, {_iso('allocated_date')} "
+            "FROM invoice_allocations", ctes)
+    q["supplies_flagged_accounts"] = _with(f"SELECT {FLAG_OUT} FROM flags", supplies)
     q["valid_ledger"] = _with(f"SELECT {ent} FROM valid")
     q["dishonoured_entries"] = _with(f"SELECT {ent} FROM ledger_entries WHERE status = 'dishonoured'")
     q["credit_candidates"] = _with(f"SELECT {ent} FROM valid WHERE type IN ('payment', 'credit')")

@@ -14,7 +14,7 @@ assert os.path.isdir(SF), "the test tables are missing"
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ["customer", "orders", "lineitem"]:
+    for t in ["customer", "orders", "lineitem", "supplier", "nation", "part"]:
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
