@@ -321,7 +321,8 @@ def components(edges: DataFrame) -> DataFrame:
     Each round takes the least label of the neighbours and then the label of that label, so
     rounds grow with the logarithm of a component's width; one number a round reaches the driver.
     """
-    both = written(edges.union(edges.select("leader", "key")).toDF("key", "near").distinct(), "edges")
+    way = lambda a, b: F.struct(F.col(a).alias("key"), F.col(b).alias("near"))
+    both = written(edges.select(F.inline(F.array(way("key", "leader"), way("leader", "key")))).distinct(), "edges")
     current = written(both.groupBy("key").agg(F.least("key", F.min("near")).alias("label")), "labels")
     while True:
         labels = current.select("key", "label")
@@ -337,6 +338,24 @@ def components(edges: DataFrame) -> DataFrame:
             return after
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (key, label) after more ``links`` (key, leader); a text without a label is a class of its own.
+
+    Only classes that the links connect are followed; a label is the least key of its class, so the least label of
+    connected classes is theirs.
+    """
+    named = labels.select("key", "label")
+    mine = links.join(named, "key", "left").select(F.coalesce("label", "key").alias("one"), "leader")
+    theirs = named.select(F.col("key").alias("leader"), "label")
+    between = mine.join(theirs, "leader", "left").select(F.col("one").alias("key"), F.coalesce("label", "leader").alias("leader"))
+    over = components(between.filter("key <> leader").distinct())
+    moved = over.select(F.col("key").alias("label"), F.col("label").alias("now"))
+    known = named.join(moved, "label", "left").select("key", F.coalesce("now", "label").alias("label"))
+    out = written(known.union(over.join(named, "key", "left_anti").select("key", "label")), "labels")
+    drop(over)
+    return out
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """(key, doc_id, label, class_id) of every row of ``docs``: digest of its text, least digest and least id of its class."""
     codes = idf_codes(*sketch(docs))
@@ -351,6 +370,7 @@ def classes(docs: DataFrame) -> DataFrame:
     edges = written(verified(first, needed, codes), "links")
     drop(needed)
     labels = components(edges)
+    drop(edges)
     members = written(undecided(pairs.select("bucket", "key"), labels).select("key").distinct(), "members")
     drop(pairs)
     if members.limit(1).count():
@@ -365,16 +385,14 @@ def classes(docs: DataFrame) -> DataFrame:
             again = written(crossed(marked).join(tried, ["key", "leader"], "left_anti"), "pairs")
             more = written(verified(again, whole, codes), "links")
             if more.limit(1).count():
-                joined, older = written(edges.union(more), "links"), labels
-                labels = components(joined)
-                drop(edges, older)
-                edges = joined
+                older, labels = labels, merged(labels, more)
+                drop(older)
             rest = written(undecided(marked.filter("not leads"), labels), "left")
             both = written(tried.union(again), "tried")
             drop(left, marked, again, more, tried)
             left, tried, leaders = rest, both, leaders * LEADERS
         drop(whole, left, tried)
-    drop(first, edges, members)
+    drop(first, members)
     named = texts.select("key", "rep").join(labels.select("key", "label"), "key", "left")
     named = named.select("key", "rep", F.coalesce("label", "key").alias("label"))
     ids = named.groupBy("label").agg(F.min("rep").alias("class_id"))

@@ -148,6 +148,21 @@ def test_stage_keeps_one_row_of_every_class(spark, tmp_path):
     assert sorted((r.doc_id or 0, r.text[0]) for r in kept.collect()) == [(0, "a"), (0, "b"), (5, "c"), (9, "d")]
 
 
+@pytest.mark.parametrize("seed, nodes, first, later", [(1, 60, 30, 20), (2, 40, 5, 40), (3, 30, 40, 0), (4, 30, 0, 25)])
+def test_merged_labels_equal_the_components_of_all_links(spark, seed, nodes, first, later):
+    rng = random.Random(seed)
+    links = [tuple(sorted(rng.sample(range(nodes), 2))) for _ in range(first + later)]
+    frame = lambda x: spark.createDataFrame([(b"%03d" % a, b"%03d" % b) for a, b in x], "key binary, leader binary")
+    named = lambda df: {bytes(r.key): bytes(r.label) for r in df.collect()}
+    after = named(minhash.merged(minhash.components(frame(links[:first])), frame(links[first:])))
+    assert after == named(minhash.components(frame(links)))
+    group = {i: {i} for i in range(nodes)}
+    for a, b in links:
+        whole = group[a] | group[b]
+        group.update(dict.fromkeys(whole, whole))
+    assert after == {b"%03d" % i: b"%03d" % min(g) for i, g in group.items() if len(g) > 1}
+
+
 def test_components_of_long_chains(spark):
     key = lambda i: i.to_bytes(4, "big")
     edges = [(key(i), key(i + 1)) for i in range(60)] + [(key(100), key(200)), (key(300), key(200))]
