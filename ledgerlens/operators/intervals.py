@@ -2,18 +2,19 @@
 
 Two statements overlap when ``a.ps <= b.pe and b.ps <= a.pe`` (closed intervals).
 
-Near-duplicates (``overlap_pairs``).  A customer of at most ``pairwise_rows`` statements is one key of
-a join by customer: candidates per statement are bounded by that number.  Where customers are larger,
-which one count by customer tells beforehand, only those of their statements meet that can match: a
-period of up to 2^k days has level k and lies in at most two bins of its level (bins of 2^k days).  Two periods meet in the bins of the longer
-one's level, so a statement is put into its own level's bins and, to be found by longer
-ones, into the bins of the longer levels that occur at all: a few dozen rows at the very
-most, however long the period.  A pair is kept only in the bin of ``greatest(a.ps, b.ps)``,
-so it comes out once.  The key also carries an amount band: ``b`` sits in the band of its
-amount, ``a`` in the bands of its tolerance interval (about three).  Bins and bands are
-monotone, which is all that exactness needs, and the exact predicates are checked after the
-join.  Keys of over ``heavy_key_rows`` statements (many alike at one time) are counted first; their
-``b`` side is dealt to parts by a hash and their ``a`` side repeated for each part, so no task gets a key whole.
+Near-duplicates (``overlap_pairs``).  Where no customer has more than ``pairwise_rows`` statements, which one
+count by customer tells beforehand, they meet by customer: candidates per statement are bounded by that number.
+Otherwise only those statements meet that can match.  Of two overlapping periods the one that starts later starts
+inside the other.  So on one side of the join (``b``) a statement lies at its start alone, on the other (``a``) in all bins
+that its period touches, and every pair comes out once, the earlier start on the ``a`` side.  A period of up to
+2^k days has level k, a multiple of ``LEVELS``, and touches at most two bins of its level (bins of 2^k days).  Two
+periods meet in the bins of the longer one's level, so a statement also gets a row for each longer level that
+occurs at all: a few rows at the very most, however long the period.  The key also carries an amount band:
+``b`` sits in the band of its amount, ``a`` in the bands of the amounts that may match it, which is mostly one,
+since a band is ``BANDS`` tolerances wide.  Bins and bands are monotone, which is all that exactness needs, and
+the exact predicates are checked after the join.  Keys of over ``heavy_key_rows`` statements (many alike at one time)
+are counted first; their ``b`` side is dealt to parts by a hash and their ``a`` side repeated for each part, so no
+task gets a key whole, however large its customer.
 
 Counts (``overlap_counts``): how many statements overlap each one is the number of starts up
 to its end less the number of ends before its start, less itself: two running sums over one
@@ -28,15 +29,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.skew import hot_keys, renamed, same
 from ledgerlens.params import DetectorParams
 
 _COLS = ["customer_id", "invoice_id", "ps", "pe", "amount_due"]
+#: Levels are multiples of this; a level more is a row more of every shorter period, a wider one more candidates.
+LEVELS = 3
+#: Width of an amount band in tolerances: a statement's matches lie in 1 + 2 / BANDS bands on average.
+BANDS = 8
 
 
 def _level(lo: Column, hi: Column) -> Column:
-    """The least k with a period of at most 2^k days."""
-    return F.ceil(F.log2((F.datediff(hi, lo) + 1).cast("double"))).cast("int")
+    """The least multiple k of ``LEVELS`` with a period of at most 2^k days."""
+    return (F.ceil(F.log2((F.datediff(hi, lo) + 1).cast("double")) / LEVELS) * LEVELS).cast("int")
 
 
 def _bin(day: Column, level: Column) -> Column:
@@ -49,17 +53,26 @@ def tolerance(amount: Column, params: DetectorParams) -> Column:
 
 
 def _band(x: Column, params: DetectorParams) -> Column:
-    """Monotone amount band: steps of the least tolerance (a cent where it is 0), then geometric where the ratio takes over."""
+    """Monotone amount band: steps of the least tolerance (a cent where it is 0), then geometric where the ratio takes over; ``BANDS`` of either."""
     ratio, unit = float(params.tolerance_ratio), max(float(params.tolerance_min), 0.01)
     xd = x.cast("double")
-    steps = F.floor(xd / F.lit(unit))
+    steps = F.floor(xd / F.lit(unit * BANDS))
     if not ratio:
         return steps.cast("long")
     knee = max(float(params.tolerance_min) / ratio, unit)
-    beyond = F.lit(math.floor(knee / unit)) + F.floor(F.log(xd / F.lit(knee)) / F.lit(math.log1p(ratio)))
+    beyond = F.lit(math.floor(knee / (unit * BANDS))) + F.floor(F.log(xd / F.lit(knee)) / F.lit(math.log1p(ratio) * BANDS))
     return F.when(xd < F.lit(knee), steps).otherwise(beyond).cast("long")
 
 
+def _bands(amount: Column, params: DetectorParams) -> Column:
+    """The bands of all amounts that may match ``amount``, whichever of the two the tolerance is taken of (and a cent more, for rounding)."""
+    x, ratio, least = amount.cast("double"), float(params.tolerance_ratio), float(params.tolerance_min)
+    down = x - F.greatest(F.lit(least), F.lit(ratio) * x)
+    up = F.greatest(x + F.lit(least), x / F.lit(1 - ratio))
+    slack = F.lit(0.01) + F.abs(x) * F.lit(1e-9)
+    return F.sequence(_band(down - slack, params), _band(up + slack, params))
+
+
 def statement_periods(invoices: DataFrame) -> DataFrame:
     return invoices.select(
         "customer_id", "invoice_id",
@@ -80,18 +93,8 @@ def overlap_pairs(invoices: DataFrame, params: DetectorParams, near_identical: b
     if near_identical:
         base = base.dropna(subset=["amount_due"])
     sizes = base.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
-    if not sizes.filter(F.col("n") > params.pairwise_rows).limit(1).count():  # a job that tells which plan is needed
-        return _named(_pairwise(base, params, near_identical))
-    hot = hot_keys(base, ["customer_id"], params) if params.split_hot else None
-    heavy = None
-    if hot is not None:
-        listed = F.broadcast(renamed(hot, ["customer_id"]))  # max_hot_groups rows at most
-        heavy = base.join(listed, same(["customer_id"], base, listed), "left_semi")
-        base = base.join(listed, same(["customer_id"], base, listed), "left_anti")
-    sized = base.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("customer_id")))
-    small, large = sized.filter(F.col("n") <= params.pairwise_rows).drop("n"), sized.filter(F.col("n") > params.pairwise_rows).drop("n")
-    return _named(_pairwise(small, params, near_identical).unionAll(
-        _binned(large if heavy is None else large.unionAll(heavy), params, near_identical)))
+    small = not sizes.filter(F.col("n") > params.pairwise_rows).limit(1).count()  # a job that tells which plan is needed
+    return _named((_pairwise if small else _binned)(base, params, near_identical))
 
 
 def _named(met: DataFrame) -> DataFrame:
@@ -106,14 +109,20 @@ def _side(df: DataFrame, prefix: str, *more: str) -> DataFrame:
     return df.select([F.col(c).alias(f"{prefix}_{c}") for c in [*_COLS, *more]])
 
 
-def _matches(params: DetectorParams, near_identical: bool) -> Column:
-    """The exact predicates of a pair."""
-    cond = (F.col("a_invoice_id") < F.col("b_invoice_id")) & (F.col("a_ps") <= F.col("b_pe")) & (F.col("b_ps") <= F.col("a_pe"))
+def _overlap(params: DetectorParams, near_identical: bool, first: Column | None = None) -> Column:
+    """The exact predicates of two different statements; the tolerance is that of the ``a`` side, or of ``b`` where ``first`` does not hold."""
+    cond = (F.col("a_invoice_id") != F.col("b_invoice_id")) & (F.col("a_ps") <= F.col("b_pe")) & (F.col("b_ps") <= F.col("a_pe"))
     if near_identical:
-        cond = cond & (F.abs(F.col("a_amount_due") - F.col("b_amount_due")) <= tolerance(F.col("a_amount_due"), params))
+        amount = F.col("a_amount_due") if first is None else F.when(first, F.col("a_amount_due")).otherwise(F.col("b_amount_due"))
+        cond = cond & (F.abs(F.col("a_amount_due") - F.col("b_amount_due")) <= tolerance(amount, params))
     return cond
 
 
+def _matches(params: DetectorParams, near_identical: bool) -> Column:
+    """The exact predicates of a pair, ``a`` the one of the smaller id."""
+    return (F.col("a_invoice_id") < F.col("b_invoice_id")) & _overlap(params, near_identical)
+
+
 def _pairwise(statements: DataFrame, params: DetectorParams, near_identical: bool) -> DataFrame:
     """Pairs of customers with few statements."""
     return _side(statements, "a").join(_side(statements, "b"), (F.col("a_customer_id") == F.col("b_customer_id")) & _matches(params, near_identical)).select(
@@ -121,43 +130,37 @@ def _pairwise(statements: DataFrame, params: DetectorParams, near_identical: boo
 
 
 def _binned(base: DataFrame, params: DetectorParams, near_identical: bool) -> DataFrame:
-    """Pairs by customer, level, bin and amount band, heavy keys in parts."""
+    """Pairs by customer, level, bin and amount band, heavy keys in parts; from the rows of earlier (``a``) and later (``b``) start."""
     lo, hi = F.least("ps", "pe"), F.greatest("ps", "pe")
     base = base.withColumn("level", _level(lo, hi))
-    occurring = base.agg(F.sort_array(F.collect_set("level")).alias("levels")).scalar()  # two dozen numbers at most
-
-    def bins(df: DataFrame, level: Column) -> DataFrame:
-        df = df.withColumn("at", level)
-        return df.withColumn("bin", F.explode(F.sequence(_bin(lo, F.col("at")), _bin(hi, F.col("at")))))
-
-    home = bins(base, F.col("level"))
-    longer = base.withColumn("_levels", F.array_except(occurring, F.sequence(F.lit(0), F.col("level"))))
-    abroad = bins(longer.withColumn("_longer", F.explode("_levels")), F.col("_longer")).drop("_levels", "_longer")
-    banded = near_identical and params.amount_banding
+    occurring = base.agg(F.sort_array(F.collect_set("level")).alias("levels")).scalar()  # a few numbers
+    banded = near_identical and params.amount_banding and params.tolerance_ratio < 1
     keys = ["customer_id", "at", "bin", *(["band"] if banded else [])]
-
-    def join(a: DataFrame, b: DataFrame) -> DataFrame:
-        a, b = _side(a, "a", "at", "bin"), _side(b, "b", "at", "bin")
-        if banded:
-            tol = tolerance(F.col("a_amount_due"), params)
-            a = a.withColumn("a_band", F.explode(F.sequence(_band(F.col("a_amount_due") - tol, params), _band(F.col("a_amount_due") + tol, params))))
-            b = b.withColumn("b_band", _band(F.col("b_amount_due"), params))
-        a, b = in_parts(a, b, keys, params)
-        cond = reduce(lambda x, y: x & y, [F.col(f"a_{k}") == F.col(f"b_{k}") for k in [*keys, "part"]])
-        cond = cond & (F.col("a_bin") == _bin(F.greatest("a_ps", "b_ps"), F.col("a_at"))) & _matches(params, near_identical)
-        return a.join(b, cond).select(*[f"{p}_{c}" for p in "ab" for c in _COLS])
-
-    return join(home, home.unionAll(abroad)).unionAll(join(abroad, home))
+    placed = base.withColumn("at", F.explode(F.array_except(occurring, F.sequence(F.lit(-1), F.col("level") - 1))))
+    extra = ["level", "at", "bin"]
+    a = _side(placed.withColumn("bin", F.explode(F.sequence(_bin(lo, F.col("at")), _bin(hi, F.col("at"))))), "a", *extra)
+    b = _side(placed.withColumn("bin", _bin(F.col("ps"), F.col("at"))), "b", *extra)
+    if banded:
+        a = a.withColumn("a_band", F.explode(_bands(F.col("a_amount_due"), params)))
+        b = b.withColumn("b_band", _band(F.col("b_amount_due"), params))
+    a, b = in_parts(a, b, keys, params)
+    cond = reduce(lambda x, y: x & y, [F.col(f"a_{k}") == F.col(f"b_{k}") for k in [*keys, "part"]])
+    cond = cond & (F.col("a_at") == F.greatest("a_level", "b_level"))  # the longer one's level
+    cond = cond & ((F.col("a_ps") < F.col("b_ps")) | ((F.col("a_ps") == F.col("b_ps")) & (F.col("a_invoice_id") < F.col("b_invoice_id"))))
+    first = F.col("a_invoice_id") < F.col("b_invoice_id")
+    met = a.join(b, cond & _overlap(params, near_identical, first))
+    return met.select(*[F.when(first if p == "a" else ~first, F.col(f"a_{c}")).otherwise(F.col(f"b_{c}")).alias(f"{p}_{c}") for p in "ab" for c in _COLS])
 
 
 def in_parts(a: DataFrame, b: DataFrame, keys: list[str], params: DetectorParams) -> tuple[DataFrame, DataFrame]:
     """Both sides with a ``part``: b rows of a heavy key (``b_``-prefixed ``keys``) dealt by hash, a rows repeated for each part.
 
-    Only heavy keys are in the table that the sides meet, at most one for each ``heavy_key_rows`` rows.
+    Only heavy keys are in the table that the sides meet, at most one for each ``heavy_key_rows`` rows of b; it is broadcast,
+    so no side is shuffled for it.
     """
     of = lambda p: [f"{p}_{k}" for k in keys]
     sizes = b.groupBy(*of("b")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > params.heavy_key_rows)
-    heavy = sizes.select(*[F.col(f"b_{k}").alias(f"_{k}") for k in keys], F.ceil(F.col("_n") / params.heavy_key_rows).cast("int").alias("_parts"))
+    heavy = F.broadcast(sizes.select(*[F.col(f"b_{k}").alias(f"_{k}") for k in keys], F.ceil(F.col("_n") / params.heavy_key_rows).cast("int").alias("_parts")))
     parts = F.coalesce("_parts", F.lit(1))
     meet = lambda df, p: df.join(heavy, reduce(lambda x, y: x & y, [F.col(f"{p}_{k}") == F.col(f"_{k}") for k in keys]), "left")
     a_parts = meet(a, "a").withColumn("a_part", F.explode(F.sequence(F.lit(0), parts - 1)))

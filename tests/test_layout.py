@@ -79,3 +79,26 @@ def test_many_alike_statements_in_one_bin(spark):
     pairs = I.overlap_pairs(frame, params)
     got = pairs.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("a_invoice_id", "b_invoice_id").alias("d")).first()
     assert got.n == got.d == n * (n - 1) // 2
+
+
+def test_overlap_join_moves_few_rows_of_each_statement(spark, monkeypatch):
+    """Periods of 1 to 51 days, prices spread: both sides together are a few rows a statement (over 20 before)."""
+    n, moved, whole = 6_000, [], I.in_parts
+
+    def counted(a, b, *more):
+        moved.append(a.count() + b.count())
+        return whole(a, b, *more)
+
+    monkeypatch.setattr(I, "in_parts", counted)
+    start = F.date_add(F.lit("2020-01-01").cast("date"), F.pmod(F.xxhash64("id"), F.lit(2500)).cast("int"))
+    frame = spark.range(n).select(
+        F.col("id").cast("string").alias("invoice_id"), (F.col("id") % 3).alias("customer_id"), start.alias("statement_period_start"),
+        F.date_add(start, F.pmod(F.hash("id"), F.lit(51))).alias("statement_period_end"),
+        (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(10_000_000)) / 100 + 900).cast("decimal(18,2)").alias("amount_due"))
+    pairs = I.overlap_pairs(frame, DetectorParams())
+    assert sum(moved) < 5 * n
+    rows = [(r[0], r[1], str(r[2]), str(r[3]), None, r[4]) for r in frame.collect()]
+    key = {r[0]: r for r in rows}
+    got = pairs.collect()
+    assert all(r.a_invoice_id < r.b_invoice_id and float(key[r.a_invoice_id][5]) == float(r.a_amount) and str(r.b_ps) == key[r.b_invoice_id][2] for r in got)
+    assert sorted((r.a_invoice_id, r.b_invoice_id) for r in got) == _brute(rows, DetectorParams()) and len(got) > 100
