@@ -29,7 +29,7 @@ from ledgerlens.plans import flags as G  # noqa: E402
 from ledgerlens.plans import medallion as M  # noqa: E402
 from ledgerlens.plans import reports as Rp  # noqa: E402
 from ledgerlens.plans import validation as V  # noqa: E402
-from ledgerlens.session import shared_dir  # noqa: E402
+from ledgerlens.session import COMPRESSION, shared_dir  # noqa: E402
 from ledgerlens.sources.bronze import read_bronze_csv  # noqa: E402
 from ledgerlens.sources.layout import CustomerLayout, write_layout  # noqa: E402
 from ledgerlens.sources.testdata import SUPPLIES, billing_tables, expected_defects  # noqa: E402
@@ -80,7 +80,7 @@ def _gold_pair(t: dict[str, DataFrame], text: bool = False) -> tuple[DataFrame,
     flags = _flags(t) if text else _flags(t).drop("explanation", "flag_date")
     spark = flags.sparkSession
     path = shared_dir(spark, "gold")
-    flags.write.parquet(path)
+    flags.write.option("compression", COMPRESSION).parquet(path)
     flags = spark.read.schema(flags.schema).parquet(path)
     return flags, expected_defects(flags, t["invoices"])
 
@@ -234,7 +234,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_diff_by_digest": lambda spark, sf_dir: D.digest_diff(*_notice_tables(spark, sf_dir), key=["invoice_id"]),
         # Bronze laid out by customer
         "bucketed_running_balance": _by_customer(lambda t, p: L.running_balance(ent(t), p)),
-        "bucketed_end_of_day": _by_customer(lambda t, p: L.end_of_day_balance(ent(t))),
+        "bucketed_end_of_day": _by_customer(lambda t, p: L.end_of_day_balance(ent(t), by_customer=True)),
         "bucketed_continuity": _by_customer(lambda t, p: R.continuity_classes(inv(t), p)),
         "bucketed_rule3": _by_customer(lambda t, p: R.rule3_statement_gap(inv(t), p)),
         "bucketed_rule5": _by_customer(lambda t, p: R.rule5_duplicate_invoice(inv(t), p)),

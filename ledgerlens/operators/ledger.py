@@ -3,15 +3,16 @@
 Scale design
 ------------
 A customer may own a large share of all ledger rows, and a window partition is one
-task.  Day level: entries are pre-aggregated to one row per (customer, day) with a
-map-side partial sum, and only that table is windowed per customer; its size per
+task.  Day level: entries are dealt by customer and added up to one row per (customer, day)
+as they stream into their task, and only that table is windowed per customer; its size per
 customer is bounded by the calendar.  Entry level: the running balance is windowed per
 customer, and per slice of the order for hot customers (``operators.skew``).
 
 The as-of lookup ("balance at the end of day d") unions the valid entries with the
-(customer, d) targets, reduces them by one aggregate to a row per (customer, day),
-and runs one running sum over those rows: linear, no range join, and again one row
-per customer-day at most.
+(customer, d) targets, deals them by customer, reduces them by one aggregate to a row per
+(customer, day), and runs one running sum over those rows: linear, no range join, one shuffle.
+A task adds up its customers' entries as they stream in; what it holds and sorts is one row per
+customer-day at most.
 """
 
 from __future__ import annotations
@@ -44,10 +45,15 @@ def day_totals(entries: DataFrame) -> DataFrame:
     )
 
 
-def end_of_day_balance(entries: DataFrame) -> DataFrame:
-    """``customer_id, effective_date, day_amount, balance``: balance after the day's entries."""
+def end_of_day_balance(entries: DataFrame, by_customer: bool = False) -> DataFrame:
+    """``customer_id, effective_date, day_amount, balance``: balance after the day's entries.
+
+    Entries are dealt by customer first, so days are added up and windowed in one shuffle; ``by_customer`` says
+    that they already lie so.
+    """
     w = Window.partitionBy("customer_id").orderBy("effective_date").rowsBetween(_UNBOUNDED, 0)
-    return day_totals(entries).withColumn("balance", F.sum("day_amount").over(w))
+    dealt = entries if by_customer else entries.repartition("customer_id")
+    return day_totals(dealt).withColumn("balance", F.sum("day_amount").over(w))
 
 
 def running_balance(entries: DataFrame, params: DetectorParams = DetectorParams()) -> DataFrame:
@@ -83,6 +89,14 @@ def entry_amounts(entries: DataFrame) -> DataFrame:
     return valid_entries(entries).select("customer_id", F.col("effective_date").alias("date"), "amount")
 
 
+def entry_movements(entries: DataFrame) -> DataFrame:
+    """:func:`entry_amounts` with a row, without amount, for each dishonoured entry, whose day is a target: both from one scan."""
+    failed = F.col("status") == F.lit("dishonoured")
+    day = F.col("effective_date")
+    return entries.filter(F.col("status").isNotNull()).select(
+        "customer_id", day.alias("date"), F.when(~failed, F.col("amount")).alias("amount"), (failed & day.isNotNull()).alias("is_target"))
+
+
 def day_amounts(end_of_day: DataFrame) -> DataFrame:
     """The same from an end-of-day balance table, one row per customer-day."""
     return end_of_day.select("customer_id", F.col("effective_date").alias("date"), F.col("day_amount").alias("amount"))
@@ -92,22 +106,23 @@ def balance_asof(targets: DataFrame, amounts: DataFrame, date_col: str = "date",
                  out_col: str = "running_balance") -> DataFrame:
     """End-of-day balance of each distinct (customer_id, date) target.
 
-    ``amounts`` is :func:`entry_amounts` or :func:`day_amounts`.  Null when the customer has
+    ``amounts`` is :func:`entry_amounts`, :func:`day_amounts` or, with targets of its own, :func:`entry_movements`.  Null when the customer has
     no amount on or before the date.  One row per distinct target; amounts without a
     customer belong to no target.
 
-    Plan: amounts and targets are unioned and reduced by ONE aggregate to a row per
-    (customer, day) carrying the day's net amount and whether the day is a target
-    (map-side partial aggregation, one shuffle); ONE running sum per customer over those
-    day rows then gives every target its balance (one shuffle).
+    Plan: amounts and targets are unioned and dealt by customer (ONE shuffle); one aggregate
+    reduces them to a row per (customer, day) carrying the day's net amount and whether the
+    day is a target, and one running sum per customer over those day rows gives every target
+    its balance, both where the rows are.
     """
     moved = amounts.filter(F.col("customer_id").isNotNull()).select(
-        "customer_id", F.col("date").alias("_d"), F.col("amount").alias("_amt"), F.lit(False).alias("_t"))
+        "customer_id", F.col("date").alias("_d"), F.col("amount").alias("_amt"),
+        (F.col("is_target") if "is_target" in amounts.columns else F.lit(False)).alias("_t"))
     kind = moved.schema["_amt"].dataType
     wanted = targets.select(
         "customer_id", F.col(date_col).alias("_d"), F.lit(None).cast(kind).alias("_amt"), F.lit(True).alias("_t"),
     ).filter(F.col("_d").isNotNull())
-    days = moved.unionByName(wanted).groupBy("customer_id", "_d").agg(
+    days = moved.unionByName(wanted).repartition("customer_id").groupBy("customer_id", "_d").agg(
         F.sum("_amt").alias("_day"), F.max("_t").alias("_is_target"))
     w = Window.partitionBy("customer_id").orderBy("_d").rowsBetween(_UNBOUNDED, 0)
     return (

@@ -38,10 +38,8 @@ def gold_frames(tables: dict[str, DataFrame], params: DetectorParams = DetectorP
         notices, lookup, amounts = silver["silver_notices"], None, L.day_amounts(silver["silver_end_of_day"])
     else:
         at_sent, amounts = A.allocated_at_sent(inv, alloc, params), L.entry_amounts(ent)
-        lookup = L.balance_lookup(amounts, [
-            (at_sent.filter("allocated_total_at_sent < amount_due"), "sent_date"),
-            (L.dishonoured_entries(ent), "effective_date"),
-        ])
+        # the days of dishonoured entries come with the amounts, from the same scan
+        lookup = L.balance_lookup(L.entry_movements(ent), [(at_sent.filter("allocated_total_at_sent < amount_due"), "sent_date")])
         notices = N.notices_of(at_sent, amounts, lookup)
     return {
         1: R.rule1_wrongful_notice(notices, params),

@@ -70,3 +70,39 @@ def test_gold_assembly_computes_the_shared_balance_lookup_once(spark):
     assert "isFinalPlan=true" in final
     # Rules 1 and 4 join back to the same lookup: its exchange runs once and is reused.
     assert "ReusedExchange [_bc" in final
+
+
+def _exchanges(spark, df) -> list[str]:
+    """Keys of the shuffles of a plan in which nothing is broadcast unasked."""
+    return [line.split("hashpartitioning(")[1].split("#")[0] for line in _plan(df).splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_days_are_added_up_and_windowed_in_one_shuffle(spark):
+    from ledgerlens.operators import allocations as A
+    from ledgerlens.operators import ledger as L
+
+    t = {n: df.localCheckpoint() for n, df in billing_tables(spark, SF).items()}
+    entries, invoices = t["ledger_entries"], t["invoices"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert _exchanges(spark, L.end_of_day_balance(entries)) == ["customer_id"]
+        targets = invoices.selectExpr("customer_id", "due_date as date")
+        assert _exchanges(spark, L.balance_asof(targets, L.entry_amounts(entries))) == ["customer_id"]
+        assert _exchanges(spark, A.allocated_at_sent(invoices, t["invoice_allocations"], TESTDATA_PARAMS)) == ["invoice_id"] * 2  # one of either table
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lookup_reads_amounts_and_dishonoured_days_in_one_scan(spark):
+    from ledgerlens.operators import ledger as L
+    from tests.conftest import entries
+
+    rows = entries(spark, ("e1", "c", "payment", 10, "2024-01-01"), ("e2", "c", "payment", 7, "2024-01-03", "dishonoured"),
+                   ("e3", "c", "payment", 5, "2024-01-04", None), ("e4", "d", "payment", 3, "2024-01-02", "dishonoured"),
+                   ("e5", "c", "payment", 4, None, "dishonoured"), ("e6", None, "payment", 4, "2024-01-03", "dishonoured"),
+                   ("e7", "c", "payment", 2, "2024-01-03"))
+    none = rows.selectExpr("customer_id", "effective_date as date").limit(0)
+    apart = L.balance_lookup(L.entry_amounts(rows), [(L.dishonoured_entries(rows), "effective_date")]).filter("customer_id is not null")
+    together = L.balance_lookup(L.entry_movements(rows), [(none, "date")])
+    assert sorted(map(tuple, together.collect()), key=str) == sorted(map(tuple, apart.collect()), key=str)
+    assert together.count() == 2
