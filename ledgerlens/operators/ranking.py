@@ -13,7 +13,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.session import shared_dir
+from ledgerlens.session import COMPRESSION, shared_dir
 
 _PLACE = "_place"
 #: ``monotonically_increasing_id`` holds the partition above its 33 lower bits.
@@ -30,7 +30,7 @@ def with_position(df: DataFrame, order: Sequence[str | Column], name: str = "pos
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = shared_dir(spark, "ranges")
     (df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-     .withColumn(_PLACE, F.monotonically_increasing_id()).write.parquet(path))
+     .withColumn(_PLACE, F.monotonically_increasing_id()).write.option("compression", COMPRESSION).parquet(path))
     rows = spark.read.parquet(path)
     of = F.shiftright(_PLACE, _INDEX_BITS).cast("int")
     sizes = sorted(rows.groupBy(of.alias("range")).agg(F.count(F.lit(1)).alias("n")).collect())  # one number per range

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators.skew import hot_keys, renamed, same
 from ledgerlens.params import DetectorParams
-from ledgerlens.session import remove, shared_dir
+from ledgerlens.session import COMPRESSION, remove, shared_dir
 
 #: Order of the rows in a bucket, which is that of the operators' windows.
 SORTED = {"ledger_entries": ("customer_id", "effective_date", "entry_id"),
@@ -72,13 +72,13 @@ def write_layout(spark: SparkSession, tables: dict[str, DataFrame], params: Dete
         if hot is not None:
             listed = F.broadcast(renamed(hot, ["customer_id"]))  # max_hot_groups a table at most
             path = shared_dir(spark, f"hot-{name}")
-            rows.join(listed, same(["customer_id"], rows, listed), "left_semi").write.parquet(path)
+            rows.join(listed, same(["customer_id"], rows, listed), "left_semi").write.option("compression", COMPRESSION).parquet(path)
             layout.hot[name] = spark.read.schema(rows.schema).parquet(path)
             layout.paths.append(path)
             rows = rows.join(listed, same(["customer_id"], rows, listed), "left_anti")
         path, table = shared_dir(spark, f"by-customer-{name}"), f"ledgerlens_{name}_{run}"
         # dealt as the buckets are, so every bucket is one file
-        (rows.repartition(buckets, "customer_id").write.bucketBy(buckets, "customer_id").sortBy(*order).option("path", path).saveAsTable(table))
+        (rows.repartition(buckets, "customer_id").write.bucketBy(buckets, "customer_id").sortBy(*order).option("compression", COMPRESSION).option("path", path).saveAsTable(table))
         layout.names.append(table)
         layout.paths.append(path)
         layout.ordinary[name] = spark.table(table)

@@ -22,7 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.session import remove
+from ledgerlens.session import COMPRESSION, remove
 
 LOG = "_log"
 LOG_SCHEMA = "sequence long, version string, metrics map<string, long>, committed timestamp"
@@ -58,6 +58,8 @@ def stage(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | No
     seen = Observation()
     wanted = {"rows": F.count(F.lit(1)), **(metrics or {})}
     writer = df.observe(seen, *[c.cast("long").alias(n) for n, c in wanted.items()]).write.format(fmt)
+    if fmt == "parquet":
+        writer = writer.option("compression", COMPRESSION)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.save(f"{path.rstrip('/')}/{version}")

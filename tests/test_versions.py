@@ -86,3 +86,27 @@ def test_all_counting_reports_come_from_one_scan(spark):
     assert plan.count("FileScan") == 1
     ranked = Rp.ranked_drilldown(f).orderBy("position").collect()
     assert [(r.position, r.explanation) for r in ranked] == [(i + 1, r.explanation) for i, r in enumerate(Rp.flag_drilldown(f).collect())]
+
+
+def test_tables_between_steps_are_compressed_well(spark):
+    from ledgerlens.params import TESTDATA_PARAMS
+    from ledgerlens.sources.layout import write_layout
+    from ledgerlens.sources.testdata import billing_tables
+
+    path = shared_dir(spark, "table")
+    V.write_table(spark.range(9), path)
+    layout = write_layout(spark, billing_tables(spark, "/root/testdata/sf0.001"), TESTDATA_PARAMS, buckets=2)
+    files = [f for df in (V.load(spark, path), layout.whole("invoices"), layout.whole("ledger_entries")) for f in df.inputFiles()]
+    assert files and all(f.endswith(".zstd.parquet") for f in files if "_log" not in f)
+    layout.drop()
+
+
+def test_flags_are_written_without_a_shuffle_to_gather_rules(spark, monkeypatch):
+    from ledgerlens.plans import medallion as M
+
+    written = []
+    monkeypatch.setattr(M, "read_tables", lambda *a, **kw: {})
+    monkeypatch.setattr(M.G, "flagged_accounts", lambda *a: some_flags(spark))
+    monkeypatch.setattr(M, "write_table", lambda df, *a: written.append(df._jdf.queryExecution().executedPlan().toString()) or {})
+    M.run_gold(spark, "nowhere")
+    assert written and "Exchange" not in written[0]
