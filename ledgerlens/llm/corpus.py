@@ -79,9 +79,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, name: str, folds: int, o
     most = per_class if isinstance(per_class, dict) else {0: per_class, 1: per_class}
     y = one_label(labels, name).filter(~held_out("doc_id", folds, out))
     pick = lowest_hashed(y.filter("label = 0"), most[0]).unionByName(lowest_hashed(y.filter("label = 1"), most[1]))
+    return _with_text(docs, F.broadcast(pick))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, name: str, folds: int, out: int) -> DataFrame:
+    """(doc_id, label, text) of all labelled documents outside the fold."""
+    outside = ~held_out("doc_id", folds, out)
+    return _with_text(docs.filter(outside), one_label(labels, name).filter(outside))
+
+
+def _with_text(docs: DataFrame, y: DataFrame) -> DataFrame:
     text = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text")
     # repeated rows of one id: the least text; copies of one text: the least id, so that copies do not weigh more
-    rows = text.join(F.broadcast(pick), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    rows = text.join(y, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     return rows.groupBy("text", "label").agg(F.min("doc_id").alias("doc_id"))
 
 

@@ -317,6 +317,33 @@ def test_kneser_ney_equals_dictionaries():
     assert toxicity.train(frame.iloc[:0].assign(toxic=0, ordinary=0)).score(pa.array(["x"])).tolist() == [0.5]
 
 
+def test_toxicity_counts_all_labelled_documents(spark):
+    rng = random.Random(4)
+    made = lambda stems, n: [" ".join(rng.choice(stems) + rng.choice(["", "tan", "lich", "al"]) for _ in range(30)) for _ in range(n)]
+    texts = made(["boco", "réu"], 12) + [f"{t} {'abcdefghij'[k // 10]}{'klmnopqrst'[k % 10]}own" for k, t in enumerate(made(["sol", "mar"], 90))]
+    y = [1] * 12 + [0] * 90
+    docs = spark.createDataFrame([*enumerate([*texts, "bocolich marown", "", None]), (None, "sol")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, x) for i, x in enumerate(y)], "doc_id long, toxic int")
+    learned = [i for i in range(len(y)) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert sum(1 - y[i] for i in learned) > 3 * sum(y[i] for i in learned)  # more than a sample of three to one had
+    s = toxicity.spelling(pa.array([texts[i] for i in learned]))
+    frame, label = pd.DataFrame({k: getattr(s, k) for k in toxicity._KEYS}), np.array([y[i] for i in learned])[s.words.doc[s.word]]
+    want = toxicity.train(frame.assign(toxic=label, ordinary=1 - label).groupby(toxicity._KEYS, as_index=False).sum())
+    model = toxicity.fit(docs, labels)
+    for table, keys, numbers in ((model.grams, want.gram, want.gram_llr), (model.histories, want.history, want.history_llr)):
+        found = table.toPandas()
+        found, own = found[found.columns[0]].to_numpy().view(np.uint64), found[toxicity._NUMBERS[-1]].to_numpy()
+        order = np.argsort(found)
+        assert (found[order] == keys).all() and np.allclose(own[order], numbers)
+    want.slope, want.bias = model.slope, model.bias
+    for frequent in (toxicity.FREQUENT, 20, 0):  # what is sent to the workers changes no score
+        other = toxicity.fit(docs, labels, frequent)
+        assert np.allclose(other.slope, model.slope) and np.isclose(other.bias, model.bias)
+        got = toxicity.score(docs, model, frequent=frequent).collect()
+        assert len(got) == 106
+        assert np.allclose([r.score for r in got], want.score(pa.array([r.text for r in got], pa.string())))
+
+
 def test_seventy_languages_are_all_learned_beside_a_large_one(spark):
     rng = random.Random(12)
     letters = "abcdefghijklmnopqrstuvwxyz"
