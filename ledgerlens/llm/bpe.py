@@ -14,7 +14,7 @@ takes the leftmost pair alone.  Their recursion stops after at most ``STEPS`` st
 state reached; shorter pieces go into a query as many as their squared lengths allow.  So no
 query keeps more than about ``KEPT_ROWS`` rows, and DuckDB writes nothing to a local disk.
 
-A worker remembers up to ``REMEMBER`` pieces from task to task.  The vocabulary (tens of
+A worker remembers up to ``REMEMBER`` pieces from task to task, then goes on with those that came up more than once.  The vocabulary (tens of
 thousands of short tokens, read once by the driver) is sent to the workers.
 
 Defined results: a null or empty text has no token; repeated rows encode alike; special
@@ -32,6 +32,7 @@ from functools import cached_property
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,7 +86,7 @@ with recursive s(w, p, t, step) as (
 select s.w, s.p, s.t, s.step from s join (select w, max(step) step from s group by w) z using (w, step) order by s.w, s.p
 """
 
-_DECODE = "select d, unhex(string_agg(h, '' order by p)) b from ids join vocabulary using (t) group by d order by d"
+_DECODE = "select d, unhex(string_agg(h, '' order by p)) b, count(*) n from ids join vocabulary using (t) group by d order by d"
 
 
 @dataclass(frozen=True)
@@ -128,6 +129,20 @@ class Codec:
         self.place = np.zeros(0, np.int64)  # their places in the lists below
         self.id_bounds, self.byte_bounds = np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.ids, self.bytes = np.zeros(0, np.int32), np.zeros(0, np.uint8)
+        self.uses = np.zeros(0, np.int32)  # slices that had the piece, by place
+
+    def _keep(self, most: int) -> None:
+        """Forget all pieces but the ``most`` used ones of those that came up more than once; count their uses anew."""
+        again = np.flatnonzero(self.uses > 1)
+        kept = np.sort(again[np.argsort(-self.uses[again], kind="stable")[:most]])
+        at = np.full(len(self.uses), -1, np.int64)
+        at[kept] = np.arange(len(kept))
+        place = at[self.place]
+        self.known, self.place = self.known[place >= 0], place[place >= 0]
+        n, size = np.diff(self.id_bounds)[kept], np.diff(self.byte_bounds)[kept]
+        self.ids, self.bytes = self.ids[X.ragged(self.id_bounds[kept], n)], self.bytes[X.ragged(self.byte_bounds[kept], size)]
+        self.id_bounds, self.byte_bounds = (np.concatenate([[0], np.cumsum(x)]) for x in (n, size))
+        self.uses = np.zeros(len(kept), np.int32)
 
     def _table(self, name: str, **columns: np.ndarray) -> None:
         self.db.register("given", pa.table({k: pa.array(v) for k, v in columns.items()}))
@@ -175,34 +190,41 @@ class Codec:
             if out.column("step").to_numpy().max() < steps:
                 return which[w], t
 
-    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
-        """Bytes of each range of ids, by ordered aggregation."""
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes, offsets) of each range of ids, by ordered aggregation."""
         n = np.diff(offsets)
         self._table("ids", d=np.repeat(np.arange(len(n)), n), p=np.arange(len(ids)), t=ids)
-        rows = self.db.sql(_DECODE).to_arrow_table()
-        if self.db.sql("select count(*) from ids anti join vocabulary using (t)").fetchall()[0][0]:
+        rows = self.db.sql(_DECODE).to_arrow_table().combine_chunks()
+        if rows.column("n").to_numpy().sum() < len(ids):
             raise ValueError("an id is not in the vocabulary")
-        out = [b""] * len(n)
-        for d, b in zip(rows.column("d").to_pylist(), rows.column("b").to_pylist(), strict=True):
-            out[d] = b
-        return out
+        size = np.zeros(len(n), np.int64)
+        if not rows.num_rows:
+            return np.zeros(0, np.uint8), np.zeros(len(n) + 1, np.int64)
+        data, at = X.text_bytes(rows.column("b").combine_chunks())
+        size[rows.column("d").to_numpy()] = np.diff(at)
+        return data, np.concatenate([[0], np.cumsum(size)])
 
     def learn(self, hashes: np.ndarray, take) -> np.ndarray:
         """Places of the pieces with these distinct hashes; ``take(which)`` gives the bytes of those not yet known."""
         if len(self.known) > REMEMBER:
-            self._forget()
-        new = np.flatnonzero(~np.isin(hashes, self.known))
+            self._keep(REMEMBER // 2)
+        at = np.minimum(np.searchsorted(self.known, hashes), max(len(self.known) - 1, 0))
+        new = np.flatnonzero(self.known[at] != hashes) if len(self.known) else np.arange(len(hashes))
         if len(new):
             ids, bounds = self.encode(take(new))
-            data, start, end = self._spans(self.decode(ids, bounds))
+            data, ends = self.decode(ids, bounds)
             n = len(self.id_bounds) - 1
             self.ids, self.bytes = np.concatenate([self.ids, ids]), np.concatenate([self.bytes, data])
             self.id_bounds = np.concatenate([self.id_bounds, self.id_bounds[-1] + bounds[1:]])
-            self.byte_bounds = np.concatenate([self.byte_bounds, self.byte_bounds[-1] + end])
+            self.byte_bounds = np.concatenate([self.byte_bounds, self.byte_bounds[-1] + ends[1:]])
+            self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int32)])
             known, place = np.concatenate([self.known, hashes[new]]), np.concatenate([self.place, n + np.arange(len(new))])
             order = np.argsort(known)
             self.known, self.place = known[order], place[order]
-        return self.place[np.searchsorted(self.known, hashes)]
+            at = np.searchsorted(self.known, hashes)
+        place = self.place[at] if len(hashes) else np.zeros(0, np.int64)
+        self.uses[place] += 1
+        return place
 
 
 def _groups(which: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
@@ -279,9 +301,9 @@ def decode(frame: DataFrame, path: str, ids: str = "ids") -> DataFrame:
         for batch in batches:
             for part in X.list_slices(batch, ids):
                 values, rows = X.list_bounds(part.column(ids))
-                texts = codec.decode(values.to_numpy(zero_copy_only=False).astype(np.int32), rows)
-                texts = [None if null else x for x, null in zip(texts, part.column(ids).is_null().to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], [*part.schema.names, name])
+                texts = X.binary_list(*codec.decode(values.to_numpy(zero_copy_only=False).astype(np.int32), rows))
+                texts = pc.if_else(part.column(ids).is_null(), pa.scalar(None, pa.binary()), texts)
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], [*part.schema.names, name])
 
     return frame.mapInArrow(run, T.StructType([*frame.schema.fields, T.StructField(name, T.BinaryType())]))
 

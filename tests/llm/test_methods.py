@@ -195,6 +195,21 @@ def test_encode_equals_the_library_and_round_trips(spark, library):
         bpe.decode(unknown, path).collect()
 
 
+def test_pieces_that_come_again_are_encoded_once(library, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBER", 20)
+    codec = bpe.Codec(bpe.Vocabulary.read(public_tokenizers.path(bpe.VOCABULARY)))
+    encoded, encode = Counter(), codec.encode
+    monkeypatch.setattr(codec, "encode", lambda pieces: (encoded.update(pieces), encode(pieces))[1])
+    for k in range(12):
+        pieces = ["hello", "", " wörld"] + [f"odd{chr(97 + k)}{chr(97 + j)}" for j in range(9)]
+        batch = pa.RecordBatch.from_arrays([pa.array([pieces, [], pieces[::-1]])], ["pieces"])
+        for ids, want in zip(bpe._encode_slice(batch, codec, True).field("ids").to_pylist(), batch.column("pieces").to_pylist(), strict=True):
+            assert ids == [t for x in want for t in library.encode_ordinary(x)]
+        assert len(codec.known) <= 20 + len(pieces)
+    assert encoded[b"hello"] == encoded[" wörld".encode()] == 1 and set(encoded.values()) == {1}
+    assert codec.decode(np.zeros(0, np.int32), np.zeros(3, np.int64))[1].tolist() == [0, 0, 0]
+
+
 # ---------------------------------------------------------------- 4 decontamination
 
 def test_retrieval_finds_every_segment_over_the_threshold():
