@@ -121,6 +121,7 @@ class Codec:
         self.db.execute("""create table merges as select l, r, m, m < coalesce(least_over, 2147483647) as safe from pairs
             left join (select part, min(m) least_over from (select l part, m from pairs union all select r, m from pairs)
                        group by part) o on o.part = pairs.m""")
+        self.db.execute("drop table pairs")
         self._table("vocabulary", t=np.array(vocabulary.ids, np.int32), h=np.array([b.hex() for b in vocabulary.tokens]))
         self._forget()
 
@@ -140,7 +141,7 @@ class Codec:
         place = at[self.place]
         self.known, self.place = self.known[place >= 0], place[place >= 0]
         n, size = np.diff(self.id_bounds)[kept], np.diff(self.byte_bounds)[kept]
-        self.ids, self.bytes = self.ids[X.ragged(self.id_bounds[kept], n)], self.bytes[X.ragged(self.byte_bounds[kept], size)]
+        self.ids, self.bytes = X.take_ranges(self.ids, self.id_bounds[kept], n), X.take_ranges(self.bytes, self.byte_bounds[kept], size)
         self.id_bounds, self.byte_bounds = (np.concatenate([[0], np.cumsum(x)]) for x in (n, size))
         self.uses = np.zeros(len(kept), np.int32)
 
@@ -256,10 +257,10 @@ def _encode_slice(part: pa.RecordBatch, codec: Codec, with_ids: bool) -> pa.Stru
     blob = data.tobytes()
     place = codec.learn(values, lambda new: [blob[at[i]: at[i + 1]] for i in first[new].tolist()])[codes]
     n = np.diff(codec.id_bounds)[place]
-    ids = codec.ids[X.ragged(codec.id_bounds[place], n)]
+    ids = X.take_ranges(codec.ids, codec.id_bounds[place], n)
     id_rows = np.concatenate([[0], np.cumsum(n)])[rows]
     size = np.diff(codec.byte_bounds)[place]
-    decoded = codec.bytes[X.ragged(codec.byte_bounds[place], size)]
+    decoded = X.take_ranges(codec.bytes, codec.byte_bounds[place], size)
     byte_rows = np.concatenate([[0], np.cumsum(size)])[rows]
     digest = lambda x, b: pa.array([hashlib.sha256(x[i:j]).hexdigest() for i, j in zip(b[:-1].tolist(), b[1:].tolist(), strict=True)], pa.string())
     out = {"n_tokens": pa.array(np.diff(id_rows)), "ids_sha256": digest(ids.astype("<u4"), id_rows), "decoded_sha256": digest(decoded, byte_rows)}
@@ -286,6 +287,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", with_id
         for batch in batches:
             for part in X.list_slices(batch, "pieces", SLICE_PIECES):
                 yield pa.RecordBatch.from_arrays([part.column("row"), _encode_slice(part, codec, with_ids)], ["row", name])
+        batch = part = None
+        X.trim()
 
     out = row.mapInArrow(run, T.StructType([T.StructField("row", row.schema["row"].dataType), T.StructField(name, fields)]))
     return out.select(*[F.col(f"row.`{c}`") for c in kept], name), name

@@ -19,6 +19,8 @@ import pyarrow.compute as pc
 SLICE_BYTES = 2 << 20
 #: Elements of list columns handled at once.
 SLICE_ELEMENTS = 1 << 21
+#: Elements that get 64-bit numbers of their own (places, terms of hashes) at once.
+WIDE = 1 << 18
 
 U64 = np.uint64
 
@@ -32,11 +34,16 @@ def release() -> None:
     if any(KEPT):
         for kept in KEPT:
             kept.clear()
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (OSError, AttributeError):  # another C library: its memory stays with the process
-            pass
+        trim()
+
+
+def trim() -> None:
+    """Give back freed memory: a worker outlives its task, and its executor holds several of them."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: its memory stays with the process
+        pass
 
 
 def slices(batches: Iterator[pa.RecordBatch], *texts: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -51,6 +58,8 @@ def slices(batches: Iterator[pa.RecordBatch], *texts: str, most: int = SLICE_BYT
         cuts = np.flatnonzero(np.diff(part)) + 1
         for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             yield batch.slice(lo, hi - lo)
+    batch = None
+    trim()
 
 
 def list_slices(batch: pa.RecordBatch, column: str, most: int = SLICE_ELEMENTS) -> Iterator[pa.RecordBatch]:
@@ -142,11 +151,21 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * U64(0x9E3779B97F4A7C15))
 _BASE = U64(0x5851F42D4C957F2D)
 
 
+def _runs(sizes: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of ranges with about ``WIDE`` elements together; a longer range stays whole."""
+    cuts = np.flatnonzero(np.diff((np.cumsum(sizes + 1) - 1) // WIDE)) + 1
+    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(sizes)], strict=True))
+
+
 def hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hashes of byte ranges (polynomial over the bytes, then mixed); ranges may overlap."""
-    size = end - start
-    if not len(size):
+    if not len(start):
         return np.zeros(0, np.uint64)
+    return np.concatenate([_hash_run(data, start[a:b], end[a:b]) for a, b in _runs(end - start)])
+
+
+def _hash_run(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    size = end - start
     first = np.cumsum(size) - size
     at = np.arange(size.sum()) - np.repeat(first, size)
     power = np.ones(int(size.max()) + 1, np.uint64)
@@ -189,6 +208,11 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(starts, sizes)
 
 
+def take_ranges(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``values`` at the places of :func:`ragged`."""
+    return np.concatenate([values[:0], *(values[ragged(starts[a:b], sizes[a:b])] for a, b in _runs(sizes))])
+
+
 def binary_list(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """Arrow binary column whose row i is the bytes of ``data[offsets[i]:offsets[i + 1]]``."""
     width = data.dtype.itemsize

@@ -8,6 +8,7 @@ import math
 from collections import Counter
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -43,6 +44,39 @@ def test_hashes_depend_on_the_bytes_alone():
     assert len(set(many.tolist())) == 200_000
 
 
+def test_ranges_are_hashed_and_taken_in_runs(monkeypatch):
+    rng = np.random.default_rng(3)
+    data = rng.integers(0, 256, 1 << 21).astype(np.uint8)
+    bounds = np.unique(np.append(rng.integers(0, len(data), len(data) // 5), [0, len(data)]))
+    start, end = np.append(bounds[:-1], 7), np.append(bounds[1:], 7)  # the last one is empty
+    tracemalloc.start()
+    hashes = X.hash_ranges(data, start, end)
+    taken = X.take_ranges(data, start, end - start)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 << 20
+    assert (taken == data).all() and not len(X.take_ranges(data, start[:0], start[:0]))
+    monkeypatch.setattr(X, "WIDE", 1 << 30)
+    assert (hashes == X.hash_ranges(data, start, end)).all()
+    monkeypatch.setattr(X, "WIDE", 3)
+    assert (hashes[-200:] == X.hash_ranges(data, start[-200:], end[-200:])).all()
+
+
+def test_stages_lower_the_rows_of_a_batch(spark):
+    import corpus_pipeline
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.createDataFrame([(1, "a text", "en", "web")], "doc_id long, text string, lang string, source string")
+    try:
+        for given, want in ((10_000, corpus_pipeline.BATCH_ROWS), (0, corpus_pipeline.BATCH_ROWS), (50, 50)):
+            spark.conf.set(name, given)
+            dict(corpus_pipeline.STAGES)["byte_bpe"](spark, docs, "")
+            assert int(spark.conf.get(name)) == want
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_slices_cover_all_rows():
     batch = pa.record_batch({"text": ["x" * k for k in range(50)] + [None]})
     parts = list(X.slices(iter([batch, batch.slice(0, 0)]), most=100))
