@@ -178,7 +178,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "supplies_invoices": _supplies(inv),
         "supplies_ledger": _supplies(ent),
         "supplies_allocations": _supplies(alc),
-        "supplies_flagged_accounts": _supplies(lambda t: G.flagged_accounts(t, SUPPLIES_PARAMS)),
+        "supplies_flagged_accounts": _supplies(lambda t: G.flagged_over_lookups(t, SUPPLIES_PARAMS)),
         # filters and predicates
         "valid_ledger": _q(lambda t: L.valid_entries(ent(t))),
         "dishonoured_entries": _q(lambda t: L.dishonoured_entries(ent(t))),

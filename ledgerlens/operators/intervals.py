@@ -16,6 +16,11 @@ the exact predicates are checked after the join.  Keys of over ``heavy_key_rows`
 are counted first; their ``b`` side is dealt to parts by a hash and their ``a`` side repeated for each part, so no
 task gets a key whole, however large its customer.
 
+Most customers need no shuffle by such keys: those of up to ``TOGETHER * pairwise_rows`` statements.  Theirs are dealt by
+customer, each moved once (not at all where they lie so), and get their rows in bins and bands in that task.  Keys of one
+statement are dropped there, and those that share a key are compared.  Only larger customers, which the count tells, go
+through the join.
+
 Counts (``overlap_counts``): how many statements overlap each one is the number of starts up
 to its end less the number of ends before its start, less itself: two running sums over one
 row per customer-day, no pairs at all.
@@ -24,16 +29,20 @@ row per customer-day, no pairs at all.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.skew import hot_keys, renamed, same
 from ledgerlens.params import DetectorParams
 
 _COLS = ["customer_id", "invoice_id", "ps", "pe", "amount_due"]
 #: Levels are multiples of this; a level more is a row more of every shorter period, a wider one more candidates.
 LEVELS = 3
+#: Customers of up to this many times ``pairwise_rows`` statements are compared in one task each.
+TOGETHER = 8
 #: Width of an amount band in tolerances: a statement's matches lie in 1 + 2 / BANDS bands on average.
 BANDS = 8
 
@@ -93,8 +102,17 @@ def overlap_pairs(invoices: DataFrame, params: DetectorParams, near_identical: b
     if near_identical:
         base = base.dropna(subset=["amount_due"])
     sizes = base.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
-    small = not sizes.filter(F.col("n") > params.pairwise_rows).limit(1).count()  # a job that tells which plan is needed
-    return _named((_pairwise if small else _binned)(base, params, near_identical))
+    limit = TOGETHER * params.pairwise_rows
+    most, large = sizes.agg(F.max("n"), F.count_if(F.col("n") > limit)).first()  # a job that tells which plan is needed
+    if (most or 0) <= params.pairwise_rows:
+        return _named(_pairwise(base, params, near_identical))
+    if not large:
+        return _named(_together(base, params, near_identical))
+    if large > params.max_hot_groups:  # too many for a list
+        return _named(_binned(base, params, near_identical))
+    listed = F.broadcast(renamed(hot_keys(base, ["customer_id"], params.with_(hot_group_rows=limit)), ["customer_id"]))
+    of = lambda how: base.join(listed, same(["customer_id"], base, listed), how)
+    return _named(_together(of("left_anti"), params, near_identical).unionByName(_binned(of("left_semi"), params, near_identical)))
 
 
 def _named(met: DataFrame) -> DataFrame:
@@ -109,18 +127,36 @@ def _side(df: DataFrame, prefix: str, *more: str) -> DataFrame:
     return df.select([F.col(c).alias(f"{prefix}_{c}") for c in [*_COLS, *more]])
 
 
-def _overlap(params: DetectorParams, near_identical: bool, first: Column | None = None) -> Column:
-    """The exact predicates of two different statements; the tolerance is that of the ``a`` side, or of ``b`` where ``first`` does not hold."""
-    cond = (F.col("a_invoice_id") != F.col("b_invoice_id")) & (F.col("a_ps") <= F.col("b_pe")) & (F.col("b_ps") <= F.col("a_pe"))
+def _of(prefix: str) -> Callable[[str], Column]:
+    """A statement's fields as columns of one side of a join."""
+    return lambda c: F.col(f"{prefix}_{c}")
+
+
+def _overlap(a: Callable[[str], Column], b: Callable[[str], Column], params: DetectorParams, near_identical: bool, first: Column | None = None) -> Column:
+    """The exact predicates of two different statements; the tolerance is that of ``a``, or of ``b`` where ``first`` does not hold."""
+    cond = (a("invoice_id") != b("invoice_id")) & (a("ps") <= b("pe")) & (b("ps") <= a("pe"))
     if near_identical:
-        amount = F.col("a_amount_due") if first is None else F.when(first, F.col("a_amount_due")).otherwise(F.col("b_amount_due"))
-        cond = cond & (F.abs(F.col("a_amount_due") - F.col("b_amount_due")) <= tolerance(amount, params))
+        amount = a("amount_due") if first is None else F.when(first, a("amount_due")).otherwise(b("amount_due"))
+        cond = cond & (F.abs(a("amount_due") - b("amount_due")) <= tolerance(amount, params))
     return cond
 
 
 def _matches(params: DetectorParams, near_identical: bool) -> Column:
     """The exact predicates of a pair, ``a`` the one of the smaller id."""
-    return (F.col("a_invoice_id") < F.col("b_invoice_id")) & _overlap(params, near_identical)
+    return (F.col("a_invoice_id") < F.col("b_invoice_id")) & _overlap(_of("a"), _of("b"), params, near_identical)
+
+
+def _meet_once(a: Callable[[str], Column], b: Callable[[str], Column], at: Column, params: DetectorParams, near_identical: bool) -> Column:
+    """The exact predicates of two statements of one key of level ``at``: the longer one's level, and ``a`` the one that starts earlier."""
+    cond = at == F.greatest(a("level"), b("level"))
+    cond = cond & ((a("ps") < b("ps")) | ((a("ps") == b("ps")) & (a("invoice_id") < b("invoice_id"))))
+    return cond & _overlap(a, b, params, near_identical, a("invoice_id") < b("invoice_id"))
+
+
+def _by_id(a: Callable[[str], Column], b: Callable[[str], Column]) -> list[Column]:
+    """Both statements' fields, those of the smaller id as ``a``."""
+    first = a("invoice_id") < b("invoice_id")
+    return [F.when(first if p == "a" else ~first, a(c)).otherwise(b(c)).alias(f"{p}_{c}") for p in "ab" for c in _COLS]
 
 
 def _pairwise(statements: DataFrame, params: DetectorParams, near_identical: bool) -> DataFrame:
@@ -129,27 +165,49 @@ def _pairwise(statements: DataFrame, params: DetectorParams, near_identical: boo
         *[f"{p}_{c}" for p in "ab" for c in _COLS])
 
 
-def _binned(base: DataFrame, params: DetectorParams, near_identical: bool) -> DataFrame:
-    """Pairs by customer, level, bin and amount band, heavy keys in parts; from the rows of earlier (``a``) and later (``b``) start."""
+def _placed(base: DataFrame, near_identical: bool, params: DetectorParams, together: bool = False) -> tuple[DataFrame, Column, list[str]]:
+    """Statements with ``level``, once for each level ``at`` that they need; the bins they touch there; the keys by which they meet."""
     lo, hi = F.least("ps", "pe"), F.greatest("ps", "pe")
-    base = base.withColumn("level", _level(lo, hi))
-    occurring = base.agg(F.sort_array(F.collect_set("level")).alias("levels")).scalar()  # a few numbers
-    banded = near_identical and params.amount_banding and params.tolerance_ratio < 1
-    keys = ["customer_id", "at", "bin", *(["band"] if banded else [])]
+    occurring = base.agg(F.sort_array(F.collect_set(_level(lo, hi))).alias("levels")).scalar()  # a few numbers
+    base = (base.repartition("customer_id") if together else base).withColumn("level", _level(lo, hi))
     placed = base.withColumn("at", F.explode(F.array_except(occurring, F.sequence(F.lit(-1), F.col("level") - 1))))
+    banded = near_identical and params.amount_banding and params.tolerance_ratio < 1
+    bins = F.sequence(_bin(lo, F.col("at")), _bin(hi, F.col("at")))
+    return placed, bins, ["customer_id", "at", "bin", *(["band"] if banded else [])]
+
+
+def _together(base: DataFrame, params: DetectorParams, near_identical: bool) -> DataFrame:
+    """Pairs of customers that one task can hold: all rows of a statement are made, and meet, where its customer's lie.
+
+    A statement's row in the bin and band of its start and amount (``own``) serves as the later one's of ``_binned``.
+    """
+    rows, bins, keys = _placed(base, near_identical, params, together=True)
+    rows = rows.withColumn("bin", F.explode(bins))
+    own = F.col("bin") == _bin(F.col("ps"), F.col("at"))
+    if "band" in keys:
+        rows = rows.withColumn("band", F.explode(_bands(F.col("amount_due"), params)))
+        own = own & (F.col("band") == _band(F.col("amount_due"), params))
+    shared = rows.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys))).filter("_n > 1")
+    met = shared.groupBy(*keys).agg(F.collect_list(F.struct(*_COLS, "level", own.alias("own"))).alias("_all"))
+    later = met.select("at", "_all", F.explode(F.filter("_all", lambda x: x["own"])).alias("_b"))
+    a, b = lambda c: F.col("_a")[c], lambda c: F.col("_b")[c]
+    pairs = later.select("_b", F.explode(F.filter("_all", lambda x: _meet_once(lambda c: x[c], b, F.col("at"), params, near_identical))).alias("_a"))
+    return pairs.select(*_by_id(a, b))
+
+
+def _binned(base: DataFrame, params: DetectorParams, near_identical: bool) -> DataFrame:
+    """Pairs by customer, level, bin and amount band, heavy keys in parts; from the rows of earlier (``a``) and later (``b``) start."""
+    placed, bins, keys = _placed(base, near_identical, params)
     extra = ["level", "at", "bin"]
-    a = _side(placed.withColumn("bin", F.explode(F.sequence(_bin(lo, F.col("at")), _bin(hi, F.col("at"))))), "a", *extra)
+    a = _side(placed.withColumn("bin", F.explode(bins)), "a", *extra)
     b = _side(placed.withColumn("bin", _bin(F.col("ps"), F.col("at"))), "b", *extra)
-    if banded:
+    if "band" in keys:
         a = a.withColumn("a_band", F.explode(_bands(F.col("a_amount_due"), params)))
         b = b.withColumn("b_band", _band(F.col("b_amount_due"), params))
     a, b = in_parts(a, b, keys, params)
     cond = reduce(lambda x, y: x & y, [F.col(f"a_{k}") == F.col(f"b_{k}") for k in [*keys, "part"]])
-    cond = cond & (F.col("a_at") == F.greatest("a_level", "b_level"))  # the longer one's level
-    cond = cond & ((F.col("a_ps") < F.col("b_ps")) | ((F.col("a_ps") == F.col("b_ps")) & (F.col("a_invoice_id") < F.col("b_invoice_id"))))
-    first = F.col("a_invoice_id") < F.col("b_invoice_id")
-    met = a.join(b, cond & _overlap(params, near_identical, first))
-    return met.select(*[F.when(first if p == "a" else ~first, F.col(f"a_{c}")).otherwise(F.col(f"b_{c}")).alias(f"{p}_{c}") for p in "ab" for c in _COLS])
+    met = a.join(b, cond & _meet_once(_of("a"), _of("b"), F.col("a_at"), params, near_identical))
+    return met.select(*_by_id(_of("a"), _of("b")))
 
 
 def in_parts(a: DataFrame, b: DataFrame, keys: list[str], params: DetectorParams) -> tuple[DataFrame, DataFrame]:

@@ -5,11 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Codec of the Parquet tables written between steps: ids and sentences take about half of what snappy leaves.
 COMPRESSION = "zstd"
+#: Whether a query that ends removes its shuffle files (Spark 4.1; false by default).
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "ledgerlens",
                   extra: dict | None = None) -> SparkSession:
@@ -53,6 +57,25 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_base(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Jobs in this block remove their shuffle files when they end; otherwise those stay until the driver collects garbage."""
+    before = spark.conf.get(FREE_SHUFFLES)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back; the shuffles that made it are removed."""
+    path = shared_dir(df.sparkSession, name)
+    with shuffles_freed(df.sparkSession):
+        df.write.option("compression", COMPRESSION).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder wherever Spark can reach it; an absent one is no error.
 

@@ -14,7 +14,7 @@ over the buckets and, only where there are hot customers, the splitting plan ove
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators.skew import hot_keys, renamed, same
 from ledgerlens.params import DetectorParams
-from ledgerlens.session import COMPRESSION, remove, shared_dir
+from ledgerlens.session import COMPRESSION, remove, shared_dir, shuffles_freed
 
 #: Order of the rows in a bucket, which is that of the operators' windows.
 SORTED = {"ledger_entries": ("customer_id", "effective_date", "entry_id"),
@@ -56,19 +56,25 @@ class CustomerLayout:
             remove(self.spark, path)
 
 
-def write_layout(spark: SparkSession, tables: dict[str, DataFrame], params: DetectorParams, buckets: int | None = None) -> CustomerLayout:
-    """Write the tables of ``SORTED`` by customer, in ``buckets`` files each (the session's shuffle partitions by default).
+def write_layout(spark: SparkSession, tables: dict[str, DataFrame], params: DetectorParams, buckets: int | None = None,
+                 names: Sequence[str] = tuple(SORTED)) -> CustomerLayout:
+    """Write the tables of ``SORTED``, or those of ``names``, by customer, in ``buckets`` files each (the session's shuffle partitions by default).
 
-    Choose ``buckets`` so that one holds some hundred MB; it stays with the tables.
+    Choose ``buckets`` so that one holds some hundred MB; it stays with the tables.  The shuffles that write them are
+    removed as soon as they are written.
     """
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with shuffles_freed(spark):
+        return _written(spark, tables, params, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), names)
+
+
+def _written(spark: SparkSession, tables: dict[str, DataFrame], params: DetectorParams, buckets: int, names: Sequence[str]) -> CustomerLayout:
     run = uuid.uuid4().hex[:12]
-    keys = [hot_keys(tables[name], ["customer_id"], params) for name in SORTED] if params.split_hot else []
+    keys = [hot_keys(tables[name], ["customer_id"], params) for name in names] if params.split_hot else []
     found = [k for k in keys if k is not None]
     hot = found[0].union(*found[1:]).distinct() if len(found) > 1 else found[0] if found else None
     layout = CustomerLayout(spark, dict(tables), dict(tables) if hot is not None else None, [], [])
-    for name, order in SORTED.items():
-        rows = tables[name]
+    for name in names:
+        rows, order = tables[name], SORTED[name]
         if hot is not None:
             listed = F.broadcast(renamed(hot, ["customer_id"]))  # max_hot_groups a table at most
             path = shared_dir(spark, f"hot-{name}")
